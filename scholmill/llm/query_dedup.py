@@ -5,8 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from scholmill.llm.substring_dedup import substring_dedup
+from scholmill.llm.suffix_dedup import suffix_dedup
 
 
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     return substring_dedup(docs, window=50, digest=True).withColumnRenamed("kept", "kept_sha256")
+
+
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return suffix_dedup(docs, length=100, digest=True).drop("kept")

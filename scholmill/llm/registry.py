@@ -6,7 +6,10 @@ from scholmill.llm import query_dedup
 
 
 def queries() -> dict:
-    return {"op5_substring_dedup": query_dedup.op5_substring_dedup}
+    return {
+        "op5_substring_dedup": query_dedup.op5_substring_dedup,
+        "op7_suffix_dedup": query_dedup.op7_suffix_dedup,
+    }
 
 
 def oracle_sql() -> dict:

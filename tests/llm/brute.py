@@ -24,3 +24,19 @@ def substring_dedup(rows, window):
         kept = [x for x, g in zip(w, gone, strict=True) if not g]
         out[d] = (len(w), sum(gone), sha(" ".join(kept).encode()))
     return out
+
+
+def suffix_dedup(rows, length):
+    """rows: (doc_id, text). Returns {doc_id: (n_bytes, n_removed, n_spans, sha)}; doc_ids are distinct."""
+    seen, out = set(), {}
+    for d, t in sorted(rows):
+        b = (t or "").encode()
+        gone = [False] * len(b)
+        for i in range(len(b) - length + 1):
+            if b[i : i + length] in seen:
+                gone[i : i + length] = [True] * length
+            seen.add(b[i : i + length])
+        kept = bytes(x for x, g in zip(b, gone, strict=True) if not g)
+        spans = sum(g and not p for p, g in zip([False, *gone], gone, strict=False))
+        out[d] = (len(b), sum(gone), spans, sha(kept))
+    return out
