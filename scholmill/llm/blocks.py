@@ -254,5 +254,24 @@ def cut_back(sent: list[list[np.ndarray]], values: np.ndarray) -> list[np.ndarra
     return np.split(values, np.cumsum([len(s[0]) for s in sent])[:-1])
 
 
+def first_of(keys: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct keys, the smallest id of each, and each entry's key; the ids come in ascending order."""
+    distinct, first, of = np.unique(keys, return_index=True, return_inverse=True)
+    return distinct, ids[first], of
+
+
+def smaller(sent: list[list[np.ndarray]]) -> list[np.ndarray]:
+    """By how much a block's smallest id is above the smallest of all; -1 if it is the smallest and others have the key."""
+    order, group, start = grouped(sent)
+    ids = np.concatenate([s[1].astype(np.int64) for s in sent])[order]
+    least = np.minimum.reduceat(ids, start)
+    count = np.diff(np.append(start, len(ids)))
+    over = ids.astype(np.uint64) - least[group].astype(np.uint64)  # within 64 bits for any two ids
+    found = np.where(over > 0, np.minimum(over, np.uint64(2**62)).astype(np.int64), np.where(count[group] > 1, -1, 0))
+    back = np.empty_like(found)
+    back[order] = found
+    return cut_back(sent, back)
+
+
 def sha256(b: bytes) -> str:
     return hashlib.sha256(b).hexdigest()

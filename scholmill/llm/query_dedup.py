@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from scholmill.llm.line_dedup import line_dedup
 from scholmill.llm.substring_dedup import substring_dedup
 from scholmill.llm.suffix_dedup import suffix_dedup
 
@@ -16,3 +17,24 @@ def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     return suffix_dedup(docs, length=100, digest=True).drop("kept")
+
+
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup(spark.read.parquet(f"{sf_dir}/documents.parquet"), min_lines=3, gram=2)
+
+
+#: Runs of three lines, the first place of each, and the lines that later ones cover.
+OP8_SQL = r"""
+WITH lines AS (
+  SELECT doc_id, i, string_split(coalesce(text, ''), chr(10))[i] AS line, len(string_split(coalesce(text, ''), chr(10))) AS n
+  FROM (SELECT doc_id, text, unnest(range(1, len(string_split(coalesce(text, ''), chr(10))) + 1)) AS i FROM documents)),
+runs AS (
+  SELECT doc_id, i, line || chr(10) || lead(line, 1) OVER w || chr(10) || lead(line, 2) OVER w AS run, n FROM lines WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
+later AS (
+  SELECT doc_id, i FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY run ORDER BY doc_id, i) AS k FROM runs WHERE i <= n - 2) WHERE k > 1),
+gone AS (SELECT DISTINCT doc_id, unnest([i, i + 1, i + 2]) AS i FROM later),
+kept AS (
+  SELECT l.doc_id, count(*) AS n_lines, count(g.i) AS n_removed, coalesce(string_agg(CASE WHEN g.i IS NULL THEN line END, chr(10) ORDER BY l.i), '') AS text
+  FROM lines l LEFT JOIN gone g ON l.doc_id = g.doc_id AND l.i = g.i GROUP BY l.doc_id)
+SELECT * FROM kept
+"""

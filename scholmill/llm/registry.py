@@ -9,8 +9,9 @@ def queries() -> dict:
     return {
         "op5_substring_dedup": query_dedup.op5_substring_dedup,
         "op7_suffix_dedup": query_dedup.op7_suffix_dedup,
+        "op8_line_dedup": query_dedup.op8_line_dedup,
     }
 
 
 def oracle_sql() -> dict:
-    return {}
+    return {"op8_line_dedup": query_dedup.OP8_SQL}

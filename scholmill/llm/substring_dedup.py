@@ -73,25 +73,6 @@ class _Block:
         return out
 
 
-def _first_of(keys: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct keys, the smallest id of each, and each entry's key; the ids come in ascending order."""
-    distinct, first, of = np.unique(keys, return_index=True, return_inverse=True)
-    return distinct, ids[first], of
-
-
-def _smaller(sent: list[list[np.ndarray]]) -> list[np.ndarray]:
-    """By how much a block's smallest id is above the smallest of all; -1 if it is the smallest and others have the key."""
-    order, group, start = B.grouped(sent)
-    ids = np.concatenate([s[1].astype(np.int64) for s in sent])[order]
-    least = np.minimum.reduceat(ids, start)
-    count = np.diff(np.append(start, len(ids)))
-    over = ids.astype(np.uint64) - least[group].astype(np.uint64)  # within 64 bits for any two ids
-    found = np.where(over > 0, np.minimum(over, np.uint64(2**62)).astype(np.int64), np.where(count[group] > 1, -1, 0))
-    back = np.empty_like(found)
-    back[order] = found
-    return B.cut_back(sent, back)
-
-
 def _ask_anchors(n: int, window: int):
     def ask(table: pa.Table) -> pa.Table:
         texts = B.Texts(table)
@@ -102,7 +83,7 @@ def _ask_anchors(n: int, window: int):
             ids.append(texts.ids[a + part.row])
         keys, ids = np.concatenate(keys), np.concatenate(ids)
         order = np.argsort(ids, kind="stable")
-        distinct, least, _ = _first_of(keys[order], ids[order])
+        distinct, least, _ = B.first_of(keys[order], ids[order])
         return B.ask(table.column("block")[0].as_py(), n, distinct, B.small_ids(least))
 
     return ask
@@ -114,7 +95,7 @@ def _flags(texts: B.Texts, window: int, reply: np.ndarray | None) -> list[tuple[
     keys = np.concatenate([p.keys for p in found])
     ids = np.concatenate([texts.ids[p.a + p.row] for p in found])
     order = np.argsort(ids, kind="stable")
-    distinct, least, of = _first_of(keys[order], ids[order])
+    distinct, least, of = B.first_of(keys[order], ids[order])
     most = np.full(len(distinct), np.iinfo(np.int64).min)
     np.maximum.at(most, of, ids[order])
     smaller, shared = np.empty(len(keys), bool), np.empty(len(keys), bool)
@@ -141,7 +122,7 @@ def _ask_windows(n: int, window: int):
             marks.append(np.packbits(flags))
         keys, ids = np.concatenate(keys), np.concatenate(ids)
         order = np.argsort(ids, kind="stable")
-        distinct, least, _ = _first_of(keys[order], ids[order])
+        distinct, least, _ = B.first_of(keys[order], ids[order])
         return B.ask(key[0].as_py(), n, distinct, B.small_ids(least), keep=B.pack(np.concatenate(marks)))
 
     return ask
@@ -168,7 +149,7 @@ def _finish(window: int, digest: bool):
         keys = np.concatenate([p.prefix.of(at, at + window) for (p, _), at in zip(parts, starts, strict=True)])
         ids = np.concatenate([texts.ids[p.a + p.doc[at]] for (p, _), at in zip(parts, starts, strict=True)])
         order = np.argsort(ids, kind="stable")
-        distinct, least, of = _first_of(keys[order], ids[order])
+        distinct, least, of = B.first_of(keys[order], ids[order])
         later = np.empty(len(keys), bool)
         later[order] = (ids[order] > least[of]) | ((np.zeros(0, np.int64) if reply is None else reply)[of] > 0)
         n_words, n_removed, texts_out, seen = [], [], [], 0
@@ -194,6 +175,6 @@ def _finish(window: int, digest: bool):
 def substring_dedup(docs: DataFrame, window: int = 50, digest: bool = False, block_bytes: int = B.BLOCK_BYTES) -> DataFrame:
     """doc_id, n_words, n_removed and ``kept``: the words kept, joined by a space (their sha256 with ``digest``)."""
     dealt, n = B.dealt(docs, block_bytes)
-    answers = B.answered(dealt.groupBy("block").applyInArrow(_ask_anchors(n, window), B.MAIL), _smaller)
-    windows = B.answered(dealt.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_ask_windows(n, window), B.MAIL), _smaller)
+    answers = B.answered(dealt.groupBy("block").applyInArrow(_ask_anchors(n, window), B.MAIL), B.smaller)
+    windows = B.answered(dealt.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_ask_windows(n, window), B.MAIL), B.smaller)
     return dealt.groupBy("block").cogroup(windows.groupBy("block")).applyInArrow(_finish(window, digest), RESULT)

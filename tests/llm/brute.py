@@ -40,3 +40,18 @@ def suffix_dedup(rows, length):
         spans = sum(g and not p for p, g in zip([False, *gone], gone, strict=False))
         out[d] = (len(b), sum(gone), spans, sha(kept))
     return out
+
+
+def line_dedup(rows, t):
+    """rows: (doc_id, text). Returns {doc_id: (n_lines, n_removed, text)}; doc_ids are distinct."""
+    seen, out = set(), {}
+    for d, text in sorted(rows):
+        lines = (text or "").split("\n")
+        gone = [False] * len(lines)
+        for i in range(len(lines) - t + 1):
+            run = tuple(lines[i : i + t])
+            if run in seen:
+                gone[i : i + t] = [True] * t
+            seen.add(run)
+        out[d] = (len(lines), sum(gone), "\n".join(x for x, g in zip(lines, gone, strict=True) if not g))
+    return out
