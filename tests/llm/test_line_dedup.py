@@ -23,7 +23,7 @@ def test_odd_rows(spark):
     rows = [(None, text), (None, None), (4, text), (4, text), (9, ""), (10, None), (11, text + "\n" + "z" * 300_000), (12, "\n" * 9)]
     docs = spark.createDataFrame([(*r, "x", 1) for r in rows], SCHEMA)
     got = sorted((r.doc_id if r.doc_id is not None else 99, r.n_lines, r.n_removed, len(r.text), r.dest) for r in line_dedup(docs, carry=("dest",), block_bytes=100).collect())
-    assert got == [(4, 4, 0, 7, 1), (4, 4, 0, 7, 1), (9, 1, 0, 0, 1), (10, 1, 0, 0, 1), (11, 5, 4, 300_000, 1), (12, 10, 7, 2, 1), (99, 1, 0, 0, 1), (99, 4, 4, 0, 1)]
+    assert got == [(4, 4, 0, 7, 1), (4, 4, 0, 7, 1), (9, 1, 0, 0, 1), (10, 1, 0, 0, 1), (11, 5, 4, 300_000, 1), (12, 10, 9, 0, 1), (99, 1, 0, 0, 1), (99, 4, 4, 0, 1)]
 
 
 def test_empty(spark):
