@@ -1,0 +1,18 @@
+"""Cutting lineage with copies that survive a lost executor."""
+
+from __future__ import annotations
+
+import tempfile
+
+from pyspark.sql import DataFrame
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """``df`` written to the shared checkpoint folder and read from there.
+
+    The folder is the session's ``spark.checkpoint.dir``; only where none is set (as in local tests) a new one is made.
+    """
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoint-"))
+    return df.checkpoint(eager=True)

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from scholmill.llm import query_dedup
+from scholmill.llm import query_dedup, query_packing
 
 
 def queries() -> dict:
     return {
         "op5_substring_dedup": query_dedup.op5_substring_dedup,
+        "op6_best_fit_packing": query_packing.op6_best_fit_packing,
         "op7_suffix_dedup": query_dedup.op7_suffix_dedup,
         "op8_line_dedup": query_dedup.op8_line_dedup,
     }
