@@ -117,13 +117,14 @@ class Powers:
 
 
 _POWERS = Powers(0x5851F42D4C957F2D)
+SECOND = Powers(0xD1342543DE82EF95)
 
 
 class Prefix:
     """Prefix polynomial hashes of a sequence of symbols: the hash of any stretch in constant time."""
 
-    def __init__(self, symbols: np.ndarray):
-        up, self.down = _POWERS.to(len(symbols) + 1)
+    def __init__(self, symbols: np.ndarray, powers: Powers = _POWERS):
+        up, self.down = powers.to(len(symbols) + 1)
         self.sums = np.zeros(len(symbols) + 1, np.uint64)
         np.cumsum((symbols.astype(np.uint64) + np.uint64(1)) * up[: len(symbols)], out=self.sums[1:])
 

@@ -43,7 +43,7 @@ class _Part:
         self.runs = B.expand(self.first[:-1], np.maximum(per_row - min_lines + 1, 0))
         self.row = np.searchsorted(self.first, self.runs, side="right") - 1
         grams = lines.all(gram)
-        self.mark = leftmost_minima(grams, min_lines - gram + 1)[self.runs] if len(self.runs) else self.runs
+        self.mark = leftmost_minima(grams, min_lines - gram + 1)[self.runs].astype(np.int64) if len(self.runs) else self.runs
         self.keys = grams[self.mark] if len(self.runs) else np.zeros(0, np.uint64)
         self.hashes = lines.of(self.runs, self.runs + min_lines)
 

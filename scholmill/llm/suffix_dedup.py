@@ -3,10 +3,12 @@
 Every ``length``-byte string is owned by an anchor: the leftmost smallest hash of its ``gram``-byte pieces. Equal
 strings have equal anchors at equal offsets. A first exchange finds, for each anchor, whether an earlier place
 has the same anchor with the same surroundings (all strings the anchor owns): then all of them are repeats.
-Only anchors that recur in other surroundings, at the edges of shared passages, are sorted: the task that owns
-their hash range gets the bytes, mergesorts the suffixes with comparisons by prefix polynomial hashes (the common
-extension of two suffixes by binary search), and takes runs of neighbours that share ``length`` bytes, each
-verified byte by byte. Every byte covered by a string that starts earlier (smaller doc_id, or same document and
+Only anchors that recur in other surroundings, at the edges of shared passages, are looked at closer: a second
+exchange keeps those whose nearer surroundings recur. Of these, every block mergesorts the suffixes with comparisons by prefix
+polynomial hashes (the common extension of two suffixes by binary search); runs of neighbours that share ``length`` bytes,
+each verified byte by byte, are one string. The earliest of each run meets the other blocks' in the task that owns its hash
+range, by two independent hashes (128 bits). So a passage that a third of all documents hold comes once from each block.
+Every byte covered by a string that starts earlier (smaller doc_id, or same document and
 earlier start) is removed; strings are judged on the input.
 
 Null texts are empty, shorter texts stay as they are, rows without doc_id come last, rows with one doc_id count as
@@ -129,6 +131,40 @@ def _judge(sent: list[list[np.ndarray]]) -> list[np.ndarray]:
     return B.cut_back(sent, back)
 
 
+def _codes(texts: B.Texts, parts: list[_Part], reply: np.ndarray | None) -> np.ndarray:
+    """For every anchor: 1 if all its strings are repeats, 2 if some may be, 0 if none is."""
+    h, _, ids, base, order, new = _keys(texts, parts)
+    code = np.ones(len(h), np.uint8)
+    if reply is not None:
+        of = np.cumsum(new) - 1
+        first = order[new][of]
+        code[order] = np.where((ids[order] == ids[first]) & (base[order] == base[first]), reply[of], 1)
+    return code
+
+
+class _Edges:
+    """Of a part: its anchors of code 2, each with the up to ``_SHARES`` stretches that all its strings of nearby offsets hold."""
+
+    def __init__(self, part: _Part, code: np.ndarray, gram: int):
+        at = np.flatnonzero(code == 2)
+        bounds = np.arange(_SHARES + 1) * (part.length - gram + 1) // _SHARES  # of the anchor's offset in a string
+        low, high = (part.anchors[at] - part.hi[at])[:, None], (part.anchors[at] - part.lo[at])[:, None]
+        self.part = part
+        i, j = np.nonzero((low < bounds[1:]) & (high >= bounds[:-1]))
+        self.at, p = at[i], part.anchors[at[i]]
+        self.first = np.maximum(part.lo[self.at], p - bounds[j + 1] + 1)
+        self.last = np.minimum(part.hi[self.at], p - bounds[j])
+        self.keys = B.mix(part.prefix.of(p - bounds[j], p - bounds[j + 1] + 1 + part.length) + j.astype(np.uint64))
+        self.row = part.row[self.at]
+
+
+_SHARES = 4
+
+
+def _edges(parts: list[_Part], code: np.ndarray, gram: int) -> list[_Edges]:
+    return [_Edges(p, c, gram) for p, c in zip(parts, np.split(code, np.cumsum([len(p.anchors) for p in parts])[:-1]), strict=True)]
+
+
 def _ask_edges(n: int, length: int, gram: int):
     def ask(key, docs: pa.Table, mail: pa.Table) -> pa.Table:
         if not docs.num_rows:
@@ -136,28 +172,88 @@ def _ask_edges(n: int, length: int, gram: int):
         texts = B.Texts(docs)
         reply, marks = B.replies(mail)
         parts = _parts(texts, length, gram, marks)
-        h, _, ids, base, order, new = _keys(texts, parts)
-        code = np.ones(len(h), np.uint8)
-        if reply is not None:
-            of = np.cumsum(new) - 1
-            first = order[new][of]
-            code[order] = np.where((ids[order] == ids[first]) & (base[order] == base[first]), reply[of], 1)
-        edges = np.flatnonzero(code == 2)
-        edges = edges[np.argsort(h[edges], kind="stable")]
+        code = _codes(texts, parts, reply)
+        edges = _edges(parts, code, gram)
+        keys = np.concatenate([e.keys for e in edges])
+        distinct, least, _ = B.first_of(keys, np.concatenate([texts.ids[e.part.a + e.row] for e in edges]))
         keep = B.pack(np.frombuffer(marks, np.uint8), np.frombuffer(zlib.compress(code.tobytes(), 1), np.uint8))
-        lo, hi = (np.concatenate([getattr(p, k) + texts.offsets[p.a] for p in parts]) for k in ("lo", "hi"))
-        place = np.concatenate([p.anchors + texts.offsets[p.a] for p in parts])
-        cut, rows = B.ranges(h[edges], n), []
-        for i, (a, b) in enumerate(zip(cut[:-1], cut[1:], strict=True)):
-            if b > a:
-                e = edges[a:b]
-                size = hi[e] + length - lo[e]
-                rows.append((i, key[0].as_py(), B.pack(h[e], ids[e], base[e], (place[e] - lo[e]).astype(np.int32), size.astype(np.int32), texts.data[B.expand(lo[e], size)])))
-        return B.mail([*rows, (-1 - key[0].as_py(), key[0].as_py(), keep)])
+        return B.ask(key[0].as_py(), n, distinct, B.small_ids(least), keep=keep)
 
     return ask
 
 
+class _Strings:
+    """Of a part: the strings that may repeat, sorted within (anchor, offset); runs of equal ones, by their earliest."""
+
+    def __init__(self, texts: B.Texts, edges: _Edges, live: np.ndarray):
+        part, length = edges.part, edges.part.length
+        count = (edges.last - edges.first + 1)[live]
+        self.places = B.expand(edges.first[live], count)
+        anchor = np.repeat(edges.at[live], count)
+        row = part.row[anchor]
+        self.ids, self.start = texts.ids[part.a + row], self.places - part.offsets[row]
+        h, offset = part.h[anchor], part.anchors[anchor] - self.places
+        by = np.lexsort((self.start, self.ids, offset, h))
+        new = np.ones(len(by), bool)
+        new[1:] = (np.diff(h[by]) != 0) | (np.diff(offset[by]) != 0)
+        order = by[suffix_sort(part.prefix, part.data, self.places[by], np.cumsum(new) - 1, length)]
+        same = np.zeros(len(order), bool)  # as the one before in its group, by hash and then by bytes
+        x, y = self.places[order[:-1]], self.places[order[1:]]
+        near = np.flatnonzero((part.prefix.of(x, x + length) == part.prefix.of(y, y + length)) & ~new[1:])
+        step = np.arange(length)
+        for a in range(0, len(near), 10_000):
+            k = near[a : a + 10_000]
+            same[k + 1] = (part.data[x[k][:, None] + step] == part.data[y[k][:, None] + step]).all(axis=1)
+        self.heads = order[~same]  # the sort is stable, so the first of a run is its earliest
+        self.run = np.empty(len(order), np.int64)
+        self.run[order] = np.cumsum(~same) - 1
+        at = self.places[self.heads]
+        self.keys = part.prefix.of(at, at + length)
+        self.checks = B.Prefix(part.data, B.SECOND).of(at, at + length) if len(at) else self.keys
+
+
+def _strings(texts: B.Texts, edges: list[_Edges], reply: np.ndarray | None) -> list[_Strings]:
+    keys = np.concatenate([e.keys for e in edges])
+    distinct, of, count = np.unique(keys, return_inverse=True, return_counts=True)
+    shared = count > 1
+    if reply is not None:
+        shared = shared | (reply != 0)
+    live = shared[of] if len(of) else np.zeros(0, bool)
+    return [_Strings(texts, e, x) for e, x in zip(edges, np.split(live, np.cumsum([len(e.keys) for e in edges])[:-1]), strict=True)]
+
+
+def _runs(strings: list[_Strings]):
+    """Key, second hash, doc_id and start of all runs, the order that sorts them so, and which begin a new string."""
+    keys, checks = np.concatenate([s.keys for s in strings]), np.concatenate([s.checks for s in strings])
+    ids, start = (np.concatenate([getattr(s, k)[s.heads] for s in strings]) for k in ("ids", "start"))
+    order = np.lexsort((start, ids, checks, keys))
+    new = np.ones(len(order), bool)
+    new[1:] = (np.diff(keys[order]) != 0) | (np.diff(checks[order]) != 0)
+    return keys, checks, ids, start, order, new
+
+
+def _ask_strings(n: int, length: int, gram: int):
+    def ask(key, docs: pa.Table, mail: pa.Table) -> pa.Table:
+        if not docs.num_rows:
+            return B.mail([])
+        texts = B.Texts(docs)
+        reply, kept = B.replies(mail)
+        marks, codes = B.unpack(kept)
+        parts = _parts(texts, length, gram, marks.tobytes())
+        strings = _strings(texts, _edges(parts, np.frombuffer(zlib.decompress(codes.tobytes()), np.uint8), gram), reply)
+        keys, checks, ids, _, order, new = _runs(strings)
+        first = order[new]
+        spread = np.zeros(0, np.uint8) if reply is None else np.packbits(reply != 0)
+        return B.ask(key[0].as_py(), n, keys[first], checks[first], B.small_ids(ids[first]), keep=B.pack(marks, codes, spread, np.array([reply is not None])))
+
+    return ask
+
+
+def _later(sent: list[list[np.ndarray]]) -> list[np.ndarray]:
+    """1 where a document with a smaller doc_id, in another block, has the string."""
+    return [(x == 1).astype(np.uint8) for x in _judge(sent)]
+
+
 def common_extension(prefix: B.Prefix, x: np.ndarray, y: np.ndarray, most: int) -> np.ndarray:
     """Length of the common prefix of the suffixes at x and y, up to ``most``, by binary search over prefix hashes."""
     low, high = np.zeros(len(x), np.int64), np.full(len(x), most, np.int64)
@@ -208,42 +304,6 @@ def suffix_sort(prefix: B.Prefix, data: np.ndarray, places: np.ndarray, group: n
     return order
 
 
-def _sort_edges(length: int):
-    def answer(sent: list[list[np.ndarray]]) -> list[np.ndarray]:
-        h, ids, base, rel = (np.concatenate([s[k].astype(np.int64) if k else s[k] for s in sent]) for k in range(4))
-        size, data = np.concatenate([s[4] for s in sent]).astype(np.int64), np.concatenate([s[5] for s in sent])
-        at = np.cumsum(size) - size
-        count = size - length + 1
-        context = np.repeat(np.arange(len(h)), count)
-        shift = B.expand(np.zeros(len(h), np.int64), count)
-        places = at[context] + shift
-        offset = rel[context] - shift  # of the anchor in the string: equal strings have it in one place
-        start = base[context] + shift
-        by = np.lexsort((start, ids[context], offset, h[context]))
-        new = np.ones(len(by), bool)
-        new[1:] = (np.diff(h[context][by]) != 0) | (np.diff(offset[by]) != 0)
-        group = np.cumsum(new) - 1
-        prefix = B.Prefix(data)
-        order = by[suffix_sort(prefix, data, places[by], group, length)]
-        same = np.zeros(len(order), bool)  # as the one before, in the same group, by hash and then by bytes
-        x, y = places[order[:-1]], places[order[1:]]
-        near = np.flatnonzero((prefix.of(x, x + length) == prefix.of(y, y + length)) & ~new[1:])
-        step = np.arange(length)
-        for a in range(0, len(near), 20_000):
-            k = near[a : a + 20_000]
-            same[k + 1] = (data[x[k][:, None] + step] == data[y[k][:, None] + step]).all(axis=1)
-        # the sort is stable, so the first of a run is the earliest; one string at one place twice, under one doc_id, is not later
-        run = np.flatnonzero(~same)[np.cumsum(~same) - 1] if len(order) else order
-        first = order[run]
-        later = same & ((ids[context[order]] != ids[context[first]]) | (start[order] != start[first]))
-        flags = np.zeros(len(order), np.uint8)
-        flags[order] = later
-        cut = np.cumsum([int((s[4].astype(np.int64) - length + 1).sum()) for s in sent])[:-1]
-        return np.split(flags, cut)
-
-    return answer
-
-
 RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary, kept_sha256 string"
 
 
@@ -254,15 +314,29 @@ def _finish(length: int, gram: int, digest: bool):
             return pa.table({k: pa.array([], pa.int64()) for k in names} | {"kept": pa.array([], pa.binary()), "kept_sha256": pa.array([], pa.string())})
         texts = B.Texts(docs)
         reply, kept = B.replies(mail)
-        marks, codes = B.unpack(kept)
+        marks, codes, shared, asked = B.unpack(kept)
         parts = _parts(texts, length, gram, marks.tobytes())
         code = np.frombuffer(zlib.decompress(codes.tobytes()), np.uint8)
-        h = np.concatenate([p.h for p in parts])
+        edges = _edges(parts, code, gram)
+        n_keys = len(np.unique(np.concatenate([e.keys for e in edges])))
+        strings = _strings(texts, edges, np.unpackbits(shared, count=n_keys) if asked[0] else None)
+        _, _, ids, start, order, new = _runs(strings)
+        of = np.cumsum(new) - 1
+        ahead = np.zeros(int(new.sum()), bool) if reply is None else reply.astype(bool)
+        first = order[new][of]
+        least = np.empty((len(order), 2), np.int64)  # the earliest place of each run's string, in the block
+        least[order] = np.stack([ids[first], start[first]], axis=1)
+        out = np.empty(len(order), bool)
+        out[order] = ahead[of]
+        later, seen = [], 0
+        for s in strings:
+            run = s.run + seen
+            seen += len(s.heads)
+            gone = out[run] | (s.ids != least[run, 0]) | (s.start != least[run, 1])
+            later.append(s.places[gone])
+        later = np.concatenate([x + texts.offsets[p.a] for x, p in zip(later, parts, strict=True)])
         lo, hi = (np.concatenate([getattr(p, k) + texts.offsets[p.a] for p in parts]) for k in ("lo", "hi"))
-        whole, edges = np.flatnonzero(code == 1), np.flatnonzero(code == 2)
-        edges = edges[np.argsort(h[edges], kind="stable")]
-        later = B.expand(lo[edges], hi[edges] - lo[edges] + 1)
-        later = later[reply.astype(bool)] if reply is not None else later[:0]
+        whole = np.flatnonzero(code == 1)
         edge = np.zeros(len(texts.data) + 1, np.int32)
         for at, to in ((lo[whole], hi[whole] + length), (later, later + length)):
             np.add.at(edge, at, 1)
@@ -285,5 +359,6 @@ def suffix_dedup(docs: DataFrame, length: int = 100, digest: bool = False, block
     gram = max(1, length * 31 // 100)
     dealt, n = B.dealt(docs, block_bytes)
     anchors = B.answered(dealt.groupBy("block").applyInArrow(_ask_anchors(n, length, gram), B.MAIL), _judge)
-    edges = B.answered(dealt.groupBy("block").cogroup(anchors.groupBy("block")).applyInArrow(_ask_edges(n, length, gram), B.MAIL), _sort_edges(length))
-    return dealt.groupBy("block").cogroup(edges.groupBy("block")).applyInArrow(_finish(length, gram, digest), RESULT)
+    edges = B.answered(dealt.groupBy("block").cogroup(anchors.groupBy("block")).applyInArrow(_ask_edges(n, length, gram), B.MAIL), B.smaller)
+    strings = B.answered(dealt.groupBy("block").cogroup(edges.groupBy("block")).applyInArrow(_ask_strings(n, length, gram), B.MAIL), _later)
+    return dealt.groupBy("block").cogroup(strings.groupBy("block")).applyInArrow(_finish(length, gram, digest), RESULT)
