@@ -116,14 +116,14 @@ class Powers:
         return self.up[:n], self.down[:n]
 
 
-_POWERS = Powers(0x5851F42D4C957F2D)
+FIRST = Powers(0x5851F42D4C957F2D)
 SECOND = Powers(0xD1342543DE82EF95)
 
 
 class Prefix:
     """Prefix polynomial hashes of a sequence of symbols: the hash of any stretch in constant time."""
 
-    def __init__(self, symbols: np.ndarray, powers: Powers = _POWERS):
+    def __init__(self, symbols: np.ndarray, powers: Powers = FIRST):
         up, self.down = powers.to(len(symbols) + 1)
         self.sums = np.zeros(len(symbols) + 1, np.uint64)
         np.cumsum((symbols.astype(np.uint64) + np.uint64(1)) * up[: len(symbols)], out=self.sums[1:])
@@ -201,6 +201,20 @@ def small_ids(ids: np.ndarray) -> np.ndarray:
     return ids.astype(np.uint32) if len(ids) and ids.min() >= 0 and ids.max() < 1 << 32 else ids
 
 
+def squeeze(sorted_keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sorted 64-bit keys as 32-bit steps; where and by how much steps are larger."""
+    step = np.diff(sorted_keys, prepend=np.uint64(0))
+    high = step >> np.uint64(32)
+    at = np.flatnonzero(high)
+    return step.astype(np.uint32), at.astype(np.uint32), high[at]
+
+
+def unsqueeze(step: np.ndarray, at: np.ndarray, high: np.ndarray) -> np.ndarray:
+    full = step.astype(np.uint64)
+    full[at] += high << np.uint64(32)
+    return np.cumsum(full)
+
+
 def ranges(hashes: np.ndarray, n: int) -> np.ndarray:
     """Where the sorted hashes are cut into n equal ranges of the hash space."""
     edges = np.array([(i << 64) // n for i in range(1, n)], np.uint64)

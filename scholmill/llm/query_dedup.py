@@ -5,10 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from scholmill.llm.line_dedup import line_dedup
+from scholmill.llm.near_dedup import near_dedup
 from scholmill.llm.substring_dedup import substring_dedup
 from scholmill.llm.suffix_dedup import suffix_dedup
 
 
+def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup(spark.read.parquet(f"{sf_dir}/documents.parquet"), threshold=0.8, shingle=5)
+
+
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     return substring_dedup(docs, window=50, digest=True).withColumnRenamed("kept", "kept_sha256")

@@ -8,6 +8,7 @@ from scholmill.llm import query_dedup, query_models, query_packing
 def queries() -> dict:
     return {
         "op2_quality": query_models.op2_quality,
+        "op3_near_dedup": query_dedup.op3_near_dedup,
         "op5_substring_dedup": query_dedup.op5_substring_dedup,
         "op6_best_fit_packing": query_packing.op6_best_fit_packing,
         "op7_suffix_dedup": query_dedup.op7_suffix_dedup,

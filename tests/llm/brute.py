@@ -55,3 +55,34 @@ def line_dedup(rows, t):
             seen.add(run)
         out[d] = (len(lines), sum(gone), "\n".join(x for x, g in zip(lines, gone, strict=True) if not g))
     return out
+
+
+def near_classes(rows, threshold, k):
+    """rows: (doc_id, text) with distinct ids. Returns ({doc_id: class_id}, links) by all pairs, weighted as the operator does."""
+    import math
+    from collections import Counter
+
+    grams = {}
+    for d, t in rows:
+        w = (t or "").split()
+        grams[d] = Counter(tuple(w[i : i + k]) for i in range(len(w) - k + 1)) if len(w) >= k else Counter([tuple(w)] if w else [])
+    df = Counter(g for c in grams.values() for g in c)
+    n = len(rows)
+
+    def idf(g):
+        level = min(round(8 * math.log2(df[g])), 255)
+        return 1 + max(0.0, math.log((1 + n) / (1 + 2 ** (level / 8)))) / math.log(1 + max(n, 2))
+
+    vec = {d: {g: c * idf(g) for g, c in x.items()} for d, x in grams.items()}
+    label, links = {d: d for d in vec}, {}
+    ids = sorted(vec)
+    for i, a in enumerate(ids):
+        for b in ids[i + 1 :]:
+            keys = vec[a].keys() | vec[b].keys()
+            top = sum(max(vec[a].get(g, 0), vec[b].get(g, 0)) for g in keys)
+            s = sum(min(vec[a].get(g, 0), vec[b].get(g, 0)) for g in keys) / top if top else 0
+            if s >= threshold:
+                links[a, b] = s
+                old, new = max(label[a], label[b]), min(label[a], label[b])
+                label = {d: new if x == old else x for d, x in label.items()}
+    return label, links
