@@ -134,7 +134,7 @@ class Prefix:
     def all(self, length: int) -> np.ndarray:
         """Of every stretch of that length."""
         n = max(0, len(self.sums) - length)
-        return mix((self.sums[length : length + n] - self.sums[:n]) * self.down[:n] + np.uint64(length) * _MUL)
+        return mix((self.sums[length : length + n] - self.sums[:n]) * self.down[:n] + np.uint64(length * int(_MUL) % 2**64))
 
 
 #: The bytes that part words, space and 0x09 to 0x0D.
@@ -142,11 +142,11 @@ _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 
 
-def words(offsets: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hash of every word, the first word of every row (and the end), and the start byte of every word."""
+def words(offsets: np.ndarray, data: np.ndarray, apart: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hash of every word, the first word of every row (and the end), and the start byte of every word; ``apart``: bytes that part words."""
     if len(data) == 0:
         return np.zeros(0, np.uint64), np.zeros(len(offsets), np.int64), np.zeros(0, np.int64)
-    space = _SPACE[data]
+    space = apart[data]
     begin = np.ones(len(data), bool)  # a word starts after a space or where a row starts
     begin[1:] = space[:-1]
     begin[offsets[:-1][offsets[:-1] < len(data)]] = True

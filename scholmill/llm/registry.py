@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from scholmill.llm import query_dedup, query_models, query_packing
+from scholmill.llm import query_decontamination, query_dedup, query_models, query_packing
 
 
 def queries() -> dict:
     return {
         "op2_quality": query_models.op2_quality,
         "op3_near_dedup": query_dedup.op3_near_dedup,
+        "op4_decontamination": query_decontamination.op4_decontamination,
         "op5_substring_dedup": query_dedup.op5_substring_dedup,
         "op6_best_fit_packing": query_packing.op6_best_fit_packing,
         "op7_suffix_dedup": query_dedup.op7_suffix_dedup,
