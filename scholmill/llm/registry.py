@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from scholmill.llm import query_decontamination, query_dedup, query_models, query_packing
+from scholmill.llm import query_decontamination, query_dedup, query_models, query_nearest, query_packing
 
 
 def queries() -> dict:
     return {
+        "op1_permutation_index": query_nearest.op1_permutation_index,
         "op2_quality": query_models.op2_quality,
         "op3_near_dedup": query_dedup.op3_near_dedup,
         "op4_decontamination": query_decontamination.op4_decontamination,
