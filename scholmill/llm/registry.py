@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from scholmill.llm import query_decontamination, query_dedup, query_models, query_nearest, query_packing
+from scholmill.llm import query_decontamination, query_dedup, query_models, query_nearest, query_packing, query_pii
 
 
 def queries() -> dict:
@@ -15,6 +15,7 @@ def queries() -> dict:
         "op6_best_fit_packing": query_packing.op6_best_fit_packing,
         "op7_suffix_dedup": query_dedup.op7_suffix_dedup,
         "op8_line_dedup": query_dedup.op8_line_dedup,
+        "op9_personal_data": query_pii.op9_personal_data,
         "op10_language_id": query_models.op10_language_id,
     }
 

@@ -86,3 +86,26 @@ def near_classes(rows, threshold, k):
                 old, new = max(label[a], label[b]), min(label[a], label[b])
                 label = {d: new if x == old else x for d, x in label.items()}
     return label, links
+
+
+PII = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+    "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+    "card": r"[0-9]([\x20-]?[0-9])+",
+    "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+}
+
+
+def luhn(d):
+    return sum(sum(divmod(2 * int(c), 10)) if i % 2 else int(c) for i, c in enumerate(reversed(d))) % 10 == 0
+
+
+def pii_base(text):
+    out = []
+    for kind, pattern in PII.items():
+        for m in re.finditer(pattern, text or ""):
+            d = re.sub("[^0-9]", "", m[0])
+            ok = {"email": True, "ip": kind != "ip" or all(len(p.lstrip("0")) <= 3 and int(p[-3:]) <= 255 for p in m[0].split(".")), "card": 16 <= len(d) <= 19 and luhn(d), "phone": 8 <= len(d) <= 15}[kind]
+            if ok:
+                out.append(f"{kind}:{m.start()}:{m.end()}")
+    return ",".join(out)
