@@ -274,3 +274,18 @@ class NearDedup:
 def near_dedup(docs: DataFrame, threshold: float = 0.8, shingle: int = 5, bands: int = 14, rows: int = 4, block_bytes: int = B.BLOCK_BYTES) -> DataFrame:
     """doc_id and class_id of every row; a class is kept by its document with doc_id = class_id."""
     return NearDedup(docs, threshold, shingle, bands, rows, block_bytes).classes()
+
+
+def keep_one(docs: DataFrame, **options) -> DataFrame:
+    """The rows of ``docs`` without those that have a class kept by another document; of rows of one doc_id one stays.
+
+    Rows without doc_id stay.
+    """
+    found = NearDedup(docs, **options)
+    gone = cut(found.classes().filter("class_id <> doc_id").select("doc_id").distinct())
+    # few ids are sent to every task; more are joined by a shuffle
+    kept = docs.join(F.broadcast(gone) if gone.count() <= BROADCAST_IDS else gone, "doc_id", "left_anti").select(docs.columns)
+    if not found._repeated():
+        return kept
+    known = kept.filter("doc_id IS NOT NULL").dropDuplicates(["doc_id"])
+    return known.unionByName(kept.filter("doc_id IS NULL"))
