@@ -4,8 +4,8 @@ A text's shingles are its runs of ``shingle`` words (a shorter text is one shing
 inverse document frequency between 1 and 2, from the exact counts of all documents. Consistent weighted samples give signatures
 in bands; texts that agree in a band are candidates. Texts of the same words are one class from the start, so copies take no part.
 In every band bucket the members are first compared with its smallest doc_id: linear in the bucket. After the components
-of these links are known, members of different components in a bucket are compared with one another (by further
-leaders first, while that is much), so that no candidate link between different classes is left out, and none inside one is
+of these links are known, members of different components in a bucket are compared with one another (with
+leaders drawn anew first, while that is much), so that no candidate link between different classes is left out, and none inside one is
 needed. A link is a weighted Jaccard similarity of ``threshold`` or more, computed from the whole texts.
 
 Null texts count as empty; texts without words are like no other; rows without doc_id have a null class and take no part;
@@ -39,8 +39,12 @@ def shingles(offsets: np.ndarray, data: np.ndarray, k: int):
     start = B.expand(first[:-1], many)
     row = np.repeat(np.arange(len(n)), many)
     h = prefix.of(start, np.minimum(start + k, first[1:][row]))
-    order = np.lexsort((h, row))
+    # one key of row and hash sorts faster than two; what its 16 bits of hash miss is sorted out by the second step
+    order = np.argsort(row.astype(np.uint64) << np.uint64(48) | h >> np.uint64(16)) if len(n) < 1 << 16 else np.lexsort((h, row))
     h, row = h[order], row[order]
+    if len(h) and ((h[1:] < h[:-1]) & (row[1:] == row[:-1])).any():
+        order = np.lexsort((h, row))
+        h, row = h[order], row[order]
     new = np.ones(len(h), bool)
     new[1:] = (h[1:] != h[:-1]) | (row[1:] != row[:-1])
     at = np.flatnonzero(new)
@@ -91,7 +95,7 @@ class Sampler:
 
     def __init__(self, bands: int, rows: int, seed: int = 11):
         rng = np.random.default_rng(seed)
-        shape = (bands, 1 << _SLOT_BITS, rows)
+        shape = (bands, rows, 1 << _SLOT_BITS)
         self.bands, self.rows = bands, rows
         self.r = rng.gamma(2.0, 1.0, shape).astype(np.float32)
         self.beta = rng.random(shape).astype(np.float32)
@@ -105,20 +109,19 @@ class Sampler:
             return out
         size = np.diff(np.append(starts, len(h)))
         of = np.repeat(np.arange(len(starts)), size)
-        w = log_weight.astype(np.float32)[:, None]
+        w = log_weight.astype(np.float32)
         for b in range(self.bands):
-            slot = (h * self.turn[b]) >> np.uint64(64 - _SLOT_BITS)
-            r, beta = self.r[b][slot], self.beta[b][slot]
-            t = np.floor(w / r + beta)
-            a = self.c[b][slot] - r * (t - beta)  # ln of the sampled value; the least one is the sample
-            least = np.minimum.reduceat(a, starts, axis=0)
-            i, j = np.nonzero(a == least[of])
-            key = B.mix(h[i] + t[i, j].astype(np.int64).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(b * self.rows) + j.astype(np.uint64))
-            sample = np.full((len(starts), self.rows), np.iinfo(np.uint64).max, np.uint64)
-            np.minimum.at(sample, (of[i], j), key)  # of equal values, in elements of one slot, the same in every text
-            band = sample[:, 0]
-            for j in range(1, self.rows):
-                band = B.mix(band) + sample[:, j]
+            slot = ((h * self.turn[b]) >> np.uint64(64 - _SLOT_BITS)).astype(np.int64)
+            band = np.zeros(len(starts), np.uint64)
+            for k in range(self.rows):
+                r, beta = self.r[b, k].take(slot), self.beta[b, k].take(slot)
+                t = np.floor(w / r + beta)
+                a = self.c[b, k].take(slot) - r * (t - beta)  # ln of the sampled value; the least one is the sample
+                i = np.flatnonzero(a == np.repeat(np.minimum.reduceat(a, starts), size))
+                key = B.mix(h[i] + t[i].astype(np.int64).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(b * self.rows + k))
+                sample = np.full(len(starts), np.iinfo(np.uint64).max, np.uint64)
+                np.minimum.at(sample, of[i], key)  # of equal values, in elements of one slot, the same in every text
+                band = B.mix(band) + sample
             out[:, b] = B.mix(band + np.uint64(b))
         return out
 
@@ -220,7 +223,7 @@ class NearDedup:
     def verify(self, pairs: DataFrame) -> DataFrame:
         """The pairs that are links, with their similarity."""
         pairs = cut(pairs)
-        ids = pairs.select(F.explode(F.array("x", "y")).alias("doc_id")).distinct()
+        ids = pairs.select(F.col("x").alias("doc_id")).distinct().unionByName(pairs.select(F.col("y").alias("doc_id")).distinct()).distinct()
         n = ids.count()
         if n <= BROADCAST_IDS:
             ids = F.broadcast(ids)
@@ -237,7 +240,7 @@ class NearDedup:
             self._has_repeats = self.signed.filter("doc_id IS NOT NULL").agg((F.count("*") > F.count_distinct("doc_id")).alias("r")).first()[0]
         return self._has_repeats
 
-    def links(self, most_rounds: int = 6, much: int = 4) -> DataFrame:
+    def links(self, most_rounds: int = 4, much: float = 0.5) -> DataFrame:
         """Links enough that their components are those of all candidate links."""
         m = self.members.select("bucket", F.col("doc_id").alias("x"), F.col("weight").alias("x_weight"), F.col("leader.doc_id").alias("y"), F.col("leader.weight").alias("y_weight"))
         links = self.verify(self._near(m))
@@ -246,19 +249,21 @@ class NearDedup:
         while n_members:
             labels = components(links, "x", "y")
             held = self.members.join(labels.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("label", F.coalesce("label", "doc_id")).select("bucket", "doc_id", "weight", "label")
-            main = held.groupBy("bucket").agg(F.min(F.struct("doc_id", "label")).alias("m"), F.count("*").alias("n"), F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo < hi").select("bucket", F.col("m.label").alias("main"), "n")
+            # of each bucket the component of the leader, and a leader drawn anew, so that a member meets others in each bucket
+            draw = F.min_by(F.struct("doc_id", "weight", "label"), F.xxhash64("doc_id", "bucket", F.lit(tried)))
+            main = held.groupBy("bucket").agg(F.min(F.struct("doc_id", "label")).alias("m"), draw.alias("s"), F.count("*").alias("n"), F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo < hi").select("bucket", F.col("m.label").alias("main"), "s", "n")
             open_ = cut(held.join(main, "bucket"))  # buckets that hold several components
-            rest = open_.filter("label <> main")
-            work = rest.agg(F.sum("n")).first()[0] or 0
+            work = open_.filter("label <> main").agg(F.sum("n")).first()[0] or 0
             if not work:
                 return links
-            other = open_.select("bucket", F.col("doc_id").alias("y"), F.col("weight").alias("y_weight"), F.col("label").alias("y_label"))
             last = work <= much * n_members or tried >= most_rounds
+            other = open_.select("bucket", F.col("doc_id").alias("y"), F.col("weight").alias("y_weight"), F.col("label").alias("y_label"))
             if last:
-                side = rest.select("bucket", F.col("doc_id").alias("x"), F.col("weight").alias("x_weight"), F.col("label").alias("x_label"))
-            else:  # one more leader in each bucket: linear
-                side = rest.groupBy("bucket").agg(F.min(F.struct(F.xxhash64("doc_id", F.lit(tried)).alias("k"), "doc_id", "weight", "label")).alias("s")).select("bucket", F.col("s.doc_id").alias("x"), F.col("s.weight").alias("x_weight"), F.col("s.label").alias("x_label"))
-            links = links.unionByName(self.verify(self._near(side.join(other, "bucket").filter("x_label <> y_label"))))
+                side = open_.filter("label <> main").select("bucket", F.col("doc_id").alias("x"), F.col("weight").alias("x_weight"), F.col("label").alias("x_label"))
+                pairs = side.join(other, "bucket")
+            else:  # linear in the bucket
+                pairs = open_.select(F.col("s.doc_id").alias("x"), F.col("s.weight").alias("x_weight"), F.col("s.label").alias("x_label"), F.col("doc_id").alias("y"), F.col("weight").alias("y_weight"), F.col("label").alias("y_label"))
+            links = links.unionByName(self.verify(self._near(pairs.filter("x_label <> y_label"))))
             if last:
                 return links
             tried += 1
