@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scholmill.llm import decontamination, language_id, line_dedup, near_dedup, packing
-from scholmill.llm.durable import written
+from scholmill.operators.durable import written
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
