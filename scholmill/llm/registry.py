@@ -21,4 +21,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict:
-    return {"op8_line_dedup": query_dedup.OP8_SQL}
+    return {"op5_substring_dedup": query_dedup.OP5_SQL, "op7_suffix_dedup": query_dedup.OP7_SQL, "op8_line_dedup": query_dedup.OP8_SQL}
