@@ -4,8 +4,8 @@ A text's shingles are its runs of ``shingle`` words (a shorter text is one shing
 inverse document frequency between 1 and 2, from the exact counts of all documents. Consistent weighted samples give signatures
 in bands; texts that agree in a band are candidates. Texts of the same words are one class from the start, so copies take no part.
 In every band bucket the members are first compared with its smallest doc_id: linear in the bucket. After the components
-of these links are known, members of different components in a bucket are compared with one another (with
-leaders drawn anew first, while that is much), so that no candidate link between different classes is left out, and none inside one is
+of these links are known, members of different components in a bucket are compared with one another (in large
+buckets with a leader drawn anew first, and then block by block), so that no candidate link between different classes is left out, and none inside one is
 needed. A link is a weighted Jaccard similarity of ``threshold`` or more, computed from the whole texts.
 
 Null texts count as empty; texts without words are like no other; rows without doc_id have a null class and take no part;
@@ -28,6 +28,9 @@ from scholmill.operators.durable import cut
 
 #: Ids that are sent to every task as a set, at most; beyond, the join is a shuffle.
 BROADCAST_IDS = 1_000_000
+#: Members of a bucket whose pairs are listed; larger ones are compared block by block, of so many texts.
+SMALL_BUCKET = 16
+BLOCK_ROWS = 256
 _SLOT_BITS = 14
 
 
@@ -198,6 +201,53 @@ def _verify(k: int, n_docs: int, threshold: float):
     return run
 
 
+def _expanded(column, levels: list[bytes], k: int, n_docs: int):
+    """Row, key and weight of every shingle, one entry for each time it stands in the text: so that common weights are sums of products."""
+    row, h, count, _, _ = shingles(*B.utf8(column), k)
+    level = np.frombuffer(b"".join(zlib.decompress(x) for x in levels), np.uint8)
+    turn = B.expand(np.zeros(len(h), np.int64), count).astype(np.uint64)
+    return np.repeat(row, count), B.mix(np.repeat(h, count) + turn * np.uint64(0x9E3779B97F4A7C15)), np.repeat(idf(level, n_docs), count)
+
+
+LINKS = "x long, y long, similarity double"
+#: Columns of the working matrices of a block.
+_COLUMNS = 4096
+
+
+def block_similarities(left: pa.Table, right: pa.Table, k: int, n_docs: int) -> np.ndarray:
+    """Weighted Jaccard of every text in one block with every text in the other, as a matrix product over common shingles."""
+    sides = [_expanded(t.column("text"), t.column("levels").to_pylist(), k, n_docs) for t in (left, right)]
+    total = [np.bincount(row, weights=w, minlength=t.num_rows) for (row, _, w), t in zip(sides, (left, right), strict=True)]
+    both = np.intersect1d(sides[0][1], sides[1][1])
+    placed = []
+    for row, key, w in sides:
+        at = np.searchsorted(both, key)
+        hit = both[np.minimum(at, len(both) - 1)] == key if len(both) else np.zeros(len(key), bool)
+        order = np.argsort(at[hit], kind="stable")
+        placed.append((row[hit][order], at[hit][order], w[hit][order]))
+    common = np.zeros((left.num_rows, right.num_rows))
+    for a in range(0, len(both), _COLUMNS):
+        m = []
+        for i, ((row, at, w), t) in enumerate(zip(placed, (left, right), strict=True)):
+            s = slice(*np.searchsorted(at, [a, a + _COLUMNS]))
+            m.append(np.zeros((t.num_rows, min(_COLUMNS, len(both) - a))))
+            m[-1][row[s], at[s] - a] = 1.0 if i else w[s]
+        common += m[0] @ m[1].T
+    return common / np.maximum(total[0][:, None] + total[1] - common, 1e-12)
+
+
+def _compare(k: int, n_docs: int, threshold: float):
+    def run(key, left: pa.Table, right: pa.Table) -> pa.Table:
+        if not left.num_rows or not right.num_rows:
+            return pa.table({"x": pa.array([], pa.int64()), "y": pa.array([], pa.int64()), "similarity": pa.array([], pa.float64())})
+        found = block_similarities(left, right, k, n_docs)
+        x, y, u, v = (np.asarray(t.column(c)) for c in ("doc_id", "label") for t in (left, right))
+        i, j = np.nonzero((found >= threshold - 1e-12) & (u[:, None] != v))
+        return pa.table({"x": np.minimum(x[i], y[j]), "y": np.maximum(x[i], y[j]), "similarity": found[i, j]})
+
+    return run
+
+
 class NearDedup:
     """The steps of the operator over one table."""
 
@@ -223,16 +273,39 @@ class NearDedup:
     def verify(self, pairs: DataFrame) -> DataFrame:
         """The pairs that are links, with their similarity."""
         pairs = cut(pairs)
-        ids = pairs.select(F.col("x").alias("doc_id")).distinct().unionByName(pairs.select(F.col("y").alias("doc_id")).distinct()).distinct()
-        n = ids.count()
-        if n <= BROADCAST_IDS:
-            ids = F.broadcast(ids)
-        levels = self.signed.join(ids, "doc_id", "left_semi").select("doc_id", "levels").dropDuplicates(["doc_id"])
-        texts = self.docs.join(ids, "doc_id", "left_semi").dropDuplicates(["doc_id"]) if self._repeated() else self.docs.join(ids, "doc_id", "left_semi")
-        full = texts.join(levels, "doc_id")
+        full = self._texts(pairs.select(F.col("x").alias("doc_id")).distinct().unionByName(pairs.select(F.col("y").alias("doc_id")).distinct()).distinct())
         x = full.select(F.col("doc_id").alias("x"), F.col("text").alias("x_text"), F.col("levels").alias("x_levels"))
         y = full.select(F.col("doc_id").alias("y"), F.col("text").alias("y_text"), F.col("levels").alias("y_levels"))
-        return cut(pairs.join(x, "x").join(y, "y").mapInArrow(_verify(self.shingle, self.n_docs, self.threshold), "x long, y long, similarity double"))
+        return cut(pairs.join(x, "x").join(y, "y").mapInArrow(_verify(self.shingle, self.n_docs, self.threshold), LINKS))
+
+    def _texts(self, ids: DataFrame) -> DataFrame:
+        """doc_id, text and levels of some documents."""
+        if ids.count() <= BROADCAST_IDS:
+            ids = F.broadcast(ids)
+        levels = self.signed.join(ids, "doc_id", "left_semi").select("doc_id", "levels")
+        texts = self.docs.join(ids, "doc_id", "left_semi")
+        if self._repeated():
+            levels, texts = (t.dropDuplicates(["doc_id"]) for t in (levels, texts))
+        return texts.join(levels, "doc_id")
+
+    def compare(self, open_: DataFrame) -> DataFrame:
+        """Links between members of different components in large buckets: outside the main one, against all.
+
+        Both sides are cut into blocks of about ``BLOCK_ROWS`` texts, and each pair of blocks is one small task of matrix products. No pair that is not
+        a link becomes a row.
+        """
+        texts = self._texts(open_.select("doc_id").distinct())
+        sizes = open_.groupBy("bucket").agg(F.count_if(F.col("label") != F.col("main")).alias("n_rest"))
+        rows = open_.join(sizes, "bucket")
+        parts = lambda n: F.greatest(F.lit(1), F.ceil(F.col(n) / BLOCK_ROWS)).cast("int")
+        rows = rows.select("bucket", "doc_id", "label", "main", parts("n_rest").alias("lefts"), parts("n").alias("rights"))
+        own = lambda n: F.pmod(F.xxhash64("doc_id", "bucket"), F.col(n)).cast("int")
+        every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+        left = rows.filter("label <> main").select("bucket", "doc_id", "label", own("lefts").alias("a"), every("rights").alias("b"))
+        right = rows.select("bucket", "doc_id", "label", every("lefts").alias("a"), own("rights").alias("b"))
+        keys = ["bucket", "a", "b"]
+        left, right = (t.join(texts, "doc_id").select(*[F.col(c).alias(c) for c in (*keys, "doc_id", "label", "text", "levels")]) for t in (left, right))
+        return cut(left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(_compare(self.shingle, self.n_docs, self.threshold), LINKS).dropDuplicates(["x", "y"]))
 
     def _repeated(self) -> bool:
         """Whether a doc_id has several rows."""
@@ -240,33 +313,33 @@ class NearDedup:
             self._has_repeats = self.signed.filter("doc_id IS NOT NULL").agg((F.count("*") > F.count_distinct("doc_id")).alias("r")).first()[0]
         return self._has_repeats
 
-    def links(self, most_rounds: int = 4, much: float = 0.5) -> DataFrame:
+    def _open(self, links: DataFrame, tried: int) -> DataFrame:
+        """Members of buckets that hold several components: with the component of the smallest member (main), and a member drawn anew (s)."""
+        labels = components(links, "x", "y")
+        held = self.members.join(labels.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("label", F.coalesce("label", "doc_id")).select("bucket", "doc_id", "weight", "label")
+        draw = F.min_by(F.struct("doc_id", "weight", "label"), F.xxhash64("doc_id", "bucket", F.lit(tried)))
+        main = held.groupBy("bucket").agg(F.min(F.struct("doc_id", "label")).alias("m"), draw.alias("s"), F.count("*").alias("n"), F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo < hi").select("bucket", F.col("m.label").alias("main"), "s", "n")
+        return cut(held.join(main, "bucket"))
+
+    def links(self, drawn: int = 1, small: int = SMALL_BUCKET) -> DataFrame:
         """Links enough that their components are those of all candidate links."""
         m = self.members.select("bucket", F.col("doc_id").alias("x"), F.col("weight").alias("x_weight"), F.col("leader.doc_id").alias("y"), F.col("leader.weight").alias("y_weight"))
         links = self.verify(self._near(m))
-        n_members = self.members.count()
-        tried = 1
-        while n_members:
-            labels = components(links, "x", "y")
-            held = self.members.join(labels.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("label", F.coalesce("label", "doc_id")).select("bucket", "doc_id", "weight", "label")
-            # of each bucket the component of the leader, and a leader drawn anew, so that a member meets others in each bucket
-            draw = F.min_by(F.struct("doc_id", "weight", "label"), F.xxhash64("doc_id", "bucket", F.lit(tried)))
-            main = held.groupBy("bucket").agg(F.min(F.struct("doc_id", "label")).alias("m"), draw.alias("s"), F.count("*").alias("n"), F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo < hi").select("bucket", F.col("m.label").alias("main"), "s", "n")
-            open_ = cut(held.join(main, "bucket"))  # buckets that hold several components
-            work = open_.filter("label <> main").agg(F.sum("n")).first()[0] or 0
-            if not work:
-                return links
-            last = work <= much * n_members or tried >= most_rounds
-            other = open_.select("bucket", F.col("doc_id").alias("y"), F.col("weight").alias("y_weight"), F.col("label").alias("y_label"))
-            if last:
-                side = open_.filter("label <> main").select("bucket", F.col("doc_id").alias("x"), F.col("weight").alias("x_weight"), F.col("label").alias("x_label"))
-                pairs = side.join(other, "bucket")
-            else:  # linear in the bucket
-                pairs = open_.select(F.col("s.doc_id").alias("x"), F.col("s.weight").alias("x_weight"), F.col("s.label").alias("x_label"), F.col("doc_id").alias("y"), F.col("weight").alias("y_weight"), F.col("label").alias("y_label"))
-            links = links.unionByName(self.verify(self._near(pairs.filter("x_label <> y_label"))))
-            if last:
-                return links
-            tried += 1
+        for k in range(drawn + 1):
+            open_ = self._open(links, k)
+            large = open_.filter(F.col("n") > small)
+            if k < drawn:  # another leader in each large bucket: linear in the bucket
+                if large.isEmpty():
+                    continue
+                pairs = large.select(F.col("s.doc_id").alias("x"), F.col("s.weight").alias("x_weight"), F.col("s.label").alias("x_label"), F.col("doc_id").alias("y"), F.col("weight").alias("y_weight"), F.col("label").alias("y_label"))
+                links = links.unionByName(self.verify(self._near(pairs.filter("x_label <> y_label"))))
+                continue
+            few = open_.filter(F.col("n") <= small)
+            side = few.filter("label <> main").select("bucket", F.col("doc_id").alias("x"), F.col("weight").alias("x_weight"), F.col("label").alias("x_label"))
+            other = few.select("bucket", F.col("doc_id").alias("y"), F.col("weight").alias("y_weight"), F.col("label").alias("y_label"))
+            links = links.unionByName(self.verify(self._near(side.join(other, "bucket").filter("x_label <> y_label"))))
+            if not large.isEmpty():
+                links = links.unionByName(self.compare(large))
         return links
 
     def classes(self) -> DataFrame:

@@ -2,8 +2,9 @@ import random
 
 import numpy as np
 
-from scholmill.operators.components import components
+from scholmill.llm import near_dedup as N
 from scholmill.llm.near_dedup import NearDedup, Sampler, near_dedup
+from scholmill.operators.components import components
 from tests.llm import brute
 
 SCHEMA = "doc_id long, text string, bucket int, first string, weight double"
@@ -40,7 +41,7 @@ def test_classes(spark):
     assert got == want
 
 
-def test_leaders_and_the_rest(spark):
+def test_leaders_and_the_rest(spark, monkeypatch):
     """A chain whose ends are no links: only members of different components that meet again join it."""
     rng = random.Random(4)
     base = [f"v{i}" for i in range(200)]
@@ -51,9 +52,10 @@ def test_leaders_and_the_rest(spark):
             w[j] = f"x{i}_{j}"
         rows.append((i, " ".join(w)))
     want, links = brute.near_classes(rows, 0.8, 5)
-    for much in (0, 1000):
+    monkeypatch.setattr(N, "BLOCK_ROWS", 7)
+    for drawn, small in ((0, 1000), (1, 4), (0, 1)):
         d = NearDedup(table(spark, rows), bands=40, rows=1)
-        found = components(d.links(most_rounds=3, much=much), "x", "y").collect()
+        found = components(d.links(drawn, small), "x", "y").collect()
         label = {r.node: r.label for r in found}
         assert {i: label.get(i, i) for i, _ in rows} == want
     assert links
