@@ -30,7 +30,7 @@ from scholmill.operators.durable import cut
 BROADCAST_IDS = 1_000_000
 #: Members of a bucket whose pairs are listed; larger ones are compared block by block, of so many texts.
 SMALL_BUCKET = 16
-BLOCK_ROWS = 256
+BLOCK_ROWS = 1024
 _SLOT_BITS = 14
 
 
