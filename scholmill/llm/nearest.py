@@ -2,11 +2,17 @@
 
 Pivots are a fixed number of vectors, those with the smallest hashes of their ids. Every vector is represented by the order of all
 pivots from the nearest to the farthest, and posted in the inverted files of its ``posts`` nearest ones. A query visits the
-files of its own ``posts`` nearest pivots, ranks what is posted there by footrule distance (the sum of the differences of
+files of its own nearest pivots (``posts`` of them at least), ranks what is posted there by footrule distance (the sum of the differences of
 each pivot's place in both orders), and reranks the best ``share`` of each file (``least`` rows at any rate) by inner products of the
 original vectors in double precision. A vector that stands in several visited files counts in the one nearest to the query. Vectors of
 unequal length get one more coordinate that makes their lengths equal, which turns the largest inner product into the smallest angle.
 
+How many files are visited and what share of them is reranked is settled by a recall check before: the true neighbours of ``checked``
+queries, those with the smallest hashes, are found among all entries, with the file that each would be met in and its rank by footrule
+there. Visits and share grow from the given values until a share of ``recall`` of these neighbours is found. All files and the whole of
+each are the end of that, which is exact, so no structure of the table (dense clusters, uneven lengths) leaves it without an answer.
+The check is a mean over the checked queries; single queries can have less.
+
 Equal vectors are one entry of the index with its smallest ids, as many as can be in a result, so copies of a vector are no hot list;
 a long inverted file is split into salted parts of ``part_rows`` rows, each visited by all queries of the file.
 
@@ -55,6 +61,93 @@ POSTED = "pivot int, salt int, entry long, vector array<double>, places array<sh
 FOUND = "query long, entry long, score double"
 
 
+class _Checked:
+    """Queries whose true neighbours are found among all entries, to settle how many files are visited and how much of each is reranked."""
+
+    def __init__(self, ids: np.ndarray, x: np.ndarray, pivots: np.ndarray, longest: float, posts: int):
+        self.ids, self.x, self.pivots, self.longest, self.posts = ids, x, pivots, longest, posts
+        self.own = _places(x * (longest / np.sqrt((x * x).sum(1, keepdims=True))), pivots, longest)[1]
+
+    def met(self, i: int, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """For query i the place of the file each entry counts in, and its footrule distance."""
+        place = np.where(places < self.posts, self.own[i], np.int16(places.shape[1])).min(1)
+        return place, np.abs(places - self.own[i]).sum(1, dtype=np.int32)
+
+
+TRUE = "query int, entry long, score double, place int, footrule int"
+RANKED = "hit int, below long, size long"
+
+
+def _true(checked, k: int):
+    """The best k entries of each batch for every checked query, other than itself."""
+
+    def run(batches):
+        c = checked.value
+        for batch in batches:
+            entry, x = np.asarray(batch.column("entry")), _matrix(batch.column("vector"))
+            if not len(entry):
+                continue
+            places = _places(x, c.pivots, c.longest)[1]
+            out = []
+            for i, score in enumerate(c.x @ x.T):
+                best = np.argpartition(-score, k)[: k + 1] if len(score) > k + 1 else np.arange(len(score))
+                best = best[entry[best] != c.ids[i]]
+                place, footrule = c.met(i, places[best])
+                out.append((np.full(len(best), i), entry[best], score[best], place, footrule))
+            columns = [np.concatenate(o) for o in zip(*out, strict=True)]
+            types = (pa.int32(), pa.int64(), pa.float64(), pa.int32(), pa.int32())
+            yield pa.RecordBatch.from_arrays([pa.array(o, t) for o, t in zip(columns, types, strict=True)], ["query", "entry", "score", "place", "footrule"])
+
+    return run
+
+
+def _ranked(checked, hits):
+    """For each true neighbour (query, place, footrule), how many entries of its file come no later than it, and how many there are."""
+
+    def run(batches):
+        c, (query, place, footrule) = checked.value, hits.value
+        below, size = np.zeros(len(query), np.int64), np.zeros(len(query), np.int64)
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            places = _places(_matrix(batch.column("vector")), c.pivots, c.longest)[1]
+            for i in range(len(c.ids)):
+                at, f = c.met(i, places)
+                for h in np.flatnonzero(query == i):
+                    same = at == place[h]
+                    size[h] += same.sum()
+                    below[h] += (same & (f <= footrule[h])).sum()
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(query)), pa.int32()), pa.array(below), pa.array(size)], ["hit", "below", "size"])
+
+    return run
+
+
+def _settle(entries: DataFrame, searched: DataFrame, pivots: np.ndarray, longest: float, k: int, posts: int, share: float, least: int, part_rows: int, recall: float, checked: int) -> tuple[int, float]:
+    """Visits and share that find ``recall`` of the true neighbours of the checked queries with the least work."""
+    picked = searched.orderBy(F.xxhash64("entry"), "entry").limit(checked).collect()  # at most ``checked`` rows
+    if not picked:
+        return posts, share
+    spark = entries.sparkSession
+    shared = spark.sparkContext.broadcast(_Checked(np.array([r["entry"] for r in picked]), np.array([r["vector"] for r in picked]), pivots, longest, posts))
+    best = Window.partitionBy("query").orderBy(F.desc("score"), "entry")
+    true = entries.select("entry", "vector").mapInArrow(_true(shared, k), TRUE).withColumn("n", F.row_number().over(best)).filter(F.col("n") <= k).collect()  # at most k for each checked query
+    if not true:
+        return posts, share
+    query, place, footrule = (np.array([r[c] for r in true]) for c in ("query", "place", "footrule"))
+    hits = spark.sparkContext.broadcast((query, place, footrule))
+    ranks = entries.select("entry", "vector").mapInArrow(_ranked(shared, hits), RANKED).groupBy("hit").agg(F.sum("below").alias("below"), F.sum("size").alias("size")).collect()  # one row for each true neighbour
+    below, size = np.zeros(len(true)), np.zeros(len(true))
+    for r in ranks:
+        below[r["hit"]], size[r["hit"]] = r["below"], r["size"]
+    parts = np.ceil(size / part_rows)
+    shares = [share]
+    while shares[-1] < 1:
+        shares.append(min(1.0, 2 * shares[-1]))
+    most = max(posts, len(pivots))
+    fits = [(v * (0.5 + s), v, s) for s in shares for v in range(posts, most + 1) if ((place < v) & ((s >= 1) | (below <= np.maximum(least * parts, s * size)))).mean() >= recall]
+    return min(fits)[1:] if fits else (most, 1.0)
+
+
 def _post(pivots, longest: float, posts: int, is_query: bool, parts: dict[int, int] | None, keep: bool):
     """Rows of the inverted files. A query, scaled to the longest length, goes to all parts of a file; an entry to one."""
 
@@ -92,10 +185,10 @@ def _visit(posts: int, share: float, least: int, top: int):
         pivot = key[0].as_py()
         entry, x, places = np.asarray(posted.column("entry")), _matrix(posted.column("vector")), _matrix(posted.column("places"))
         out = []
+        stands = (places < posts).astype(np.float32).T
         for query, q, own in zip(np.asarray(queries.column("entry")), _matrix(queries.column("vector")), _matrix(queries.column("places")), strict=True):
             # entries that stand in a file nearer to the query count there
-            nearer = np.flatnonzero(own < own[pivot])
-            fresh = np.flatnonzero(~(places[:, nearer] < posts).any(1)) if len(nearer) else np.arange(len(entry))
+            fresh = np.flatnonzero((own < own[pivot]).astype(np.float32) @ stands == 0)
             n = max(least, int(np.ceil(share * len(fresh))))
             if len(fresh) > n:
                 footrule = np.abs(places[fresh] - own).sum(1, dtype=np.int32)
@@ -109,7 +202,7 @@ def _visit(posts: int, share: float, least: int, top: int):
     return run
 
 
-def nearest(table: DataFrame, queries, k: int = 20, vec_id: str = "vec_id", embedding: str = "embedding", pivots: int = 64, posts: int = 10, share: float = 0.2, least: int = 200, part_rows: int = 8192) -> DataFrame:
+def nearest(table: DataFrame, queries, k: int = 20, vec_id: str = "vec_id", embedding: str = "embedding", pivots: int = 64, posts: int = 10, share: float = 0.2, least: int = 200, part_rows: int = 8192, recall: float = 0.95, checked: int = 128) -> DataFrame:
     """query_id, rank (from 1), vec_id and score of the k nearest found for each row that meets the condition ``queries`` on ``id``."""
     spark = table.sparkSession
     rows = cut(usable(table, vec_id, embedding))
@@ -121,11 +214,12 @@ def nearest(table: DataFrame, queries, k: int = 20, vec_id: str = "vec_id", embe
     sample = np.array([r[0] for r in entries.orderBy(F.xxhash64("entry"), "entry").limit(pivots).select("vector").collect()])  # at most ``pivots`` rows
     longest = entries.agg(F.max(F.sqrt(F.aggregate("vector", F.lit(0.0), lambda a, x: a + x * x)))).first()[0] or 1.0
     longest = float(longest) * (1 + 1e-12)
+    visited, share = _settle(entries, searched, sample, longest, k, posts, share, least, part_rows, recall, checked) if len(sample) else (posts, share)
     shared = spark.sparkContext.broadcast(sample)
     counts = entries.select("entry", "vector").mapInArrow(_post(shared, longest, posts, False, None, False), "pivot int").groupBy("pivot").count().collect()  # one row for each pivot
     parts = {r["pivot"]: -(-r["count"] // part_rows) for r in counts}
     posted = entries.select("entry", "vector").mapInArrow(_post(shared, longest, posts, False, parts, True), POSTED)
-    visits = searched.mapInArrow(_post(shared, longest, posts, True, parts, True), POSTED)
+    visits = searched.mapInArrow(_post(shared, longest, visited, True, parts, True), POSTED)
     found = posted.groupBy("pivot", "salt").cogroup(visits.groupBy("pivot", "salt")).applyInArrow(_visit(posts, share, least, k + 1), FOUND)
     best = Window.partitionBy("query").orderBy(F.desc("score"), "entry")
     top = found.withColumn("n", F.row_number().over(best)).filter(F.col("n") <= k + 1)

@@ -48,6 +48,27 @@ def test_recall(spark):
     assert np.mean([len({i for i, _ in got[q]} & {i for i, _ in want[q]}) / 20 for q in want]) > 0.93
 
 
+def recall(spark, x, step=50):
+    rows = [(i, [float(np.float32(v)) for v in y]) for i, y in enumerate(x)]
+    want = brute(rows, range(0, len(rows), step), 20)
+    got = lists(nearest(spark.createDataFrame([(*r, 1, "x") for r in rows], SCHEMA), f"id % {step} = 0"))
+    assert got.keys() == want.keys()
+    return np.mean([len({i for i, _ in got[q]} & {i for i, _ in want[q]}) / 20 for q in want])
+
+
+def test_recall_in_a_dense_cluster(spark):
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(12_000, 64))
+    x[::3] = x[0] + 0.1 * rng.normal(size=(4000, 64))
+    assert recall(spark, x / np.sqrt((x * x).sum(1, keepdims=True))) >= 0.9
+
+
+def test_recall_with_uneven_lengths(spark):
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(12_000, 64))
+    assert recall(spark, x / np.sqrt((x * x).sum(1, keepdims=True)) * np.exp(0.5 * rng.normal(size=(12_000, 1)))) >= 0.9
+
+
 def test_odd_rows(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(0, [1.0, 0.0]), (1, [1.0, 0.0]), (1, [1.0, 0.0]), (2, None), (3, [0.0, 0.0]), (4, [nan, 1.0]), (5, [inf, 1.0]), (6, [None, 1.0]), (7, [1.0]), (None, [1.0, 1.0]), (8, [-0.0, 2.0]), (20, [3e38, 3e38]), (40, [])]
