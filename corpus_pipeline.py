@@ -30,7 +30,7 @@ def remove_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def remove_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class stays."""
-    return near_dedup.keep_one(docs, threshold=0.8, shingle=5).select(COLUMNS)
+    return near_dedup.keep_one(docs, threshold=0.8, shingle=5, plain=True).select(COLUMNS)
 
 
 def remove_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -6,7 +6,11 @@ in bands; texts that agree in a band are candidates. Texts of the same words are
 In every band bucket the members are first compared with its smallest doc_id: linear in the bucket. After the components
 of these links are known, members of different components in a bucket are compared with one another (in large
 buckets with a leader drawn anew first, and then block by block), so that no candidate link between different classes is left out, and none inside one is
-needed. A link is a weighted Jaccard similarity of ``threshold`` or more, computed from the whole texts.
+needed. A link is a weighted Jaccard similarity of ``threshold`` or more, computed from the whole texts. With ``plain``, a Jaccard
+similarity of the sets of shingles of ``threshold`` or more is a link as well: near copies raise the document frequencies of what they
+share, so that in a large group of them the weighted similarity falls below the plain one (from 0.8 to 0.67 at most if no text
+repeats a shingle). Bands are drawn by weight in both cases; such a pair of plain similarity 0.8 meets in one of 14 bands of 4 with a
+probability of 0.95 or more, one with repeated shingles can have a smaller one.
 
 Null texts count as empty; texts without words are like no other; rows without doc_id have a null class and take no part;
 rows of one doc_id count as one document; an empty table gives an empty result; other columns are left out.
@@ -129,7 +133,7 @@ class Sampler:
         return out
 
 
-SIGNED = "doc_id long, high long, low long, n_words long, weight double, bands array<long>, levels binary"
+SIGNED = "doc_id long, high long, low long, n_words long, weight double, size int, bands array<long>, levels binary"
 
 
 def _sign(k: int, n_docs: int, bands: int, rows: int):
@@ -137,14 +141,14 @@ def _sign(k: int, n_docs: int, bands: int, rows: int):
 
     def sign(key, docs: pa.Table, mail: pa.Table) -> pa.Table:
         if not docs.num_rows:
-            return pa.table({"doc_id": pa.array([], pa.int64()), "high": pa.array([], pa.int64()), "low": pa.array([], pa.int64()), "n_words": pa.array([], pa.int64()), "weight": pa.array([], pa.float64()), "bands": pa.array([], pa.list_(pa.int64())), "levels": pa.array([], pa.binary())})
+            return pa.table({"doc_id": pa.array([], pa.int64()), "high": pa.array([], pa.int64()), "low": pa.array([], pa.int64()), "n_words": pa.array([], pa.int64()), "weight": pa.array([], pa.float64()), "size": pa.array([], pa.int32()), "bands": pa.array([], pa.list_(pa.int64())), "levels": pa.array([], pa.binary())})
         sampler = made[0] if made else Sampler(bands, rows)
         made[:] = [sampler]
         texts = B.Texts(docs)
         reply, _ = B.replies(mail)
         found = [shingles(texts.offsets[a : b + 1] - texts.offsets[a], texts.data[texts.offsets[a] : texts.offsets[b]], k) for a, b in texts.parts()]
         distinct = np.unique(np.concatenate([f[1] for f in found]) >> np.uint64(16))
-        weight, signed, levels = [], [], []
+        weight, sizes, signed, levels = [], [], [], []
         for row, h, count, _, n_words in found:
             level = reply[np.searchsorted(distinct, h >> np.uint64(16))] if len(h) else np.zeros(0, np.uint8)
             w = count * idf(level, n_docs)
@@ -156,11 +160,12 @@ def _sign(k: int, n_docs: int, bands: int, rows: int):
             own[live] = sampler.signatures(h, np.log(w), at)
             signed.append(own)
             weight.append(np.bincount(row, weights=w, minlength=n))
+            sizes.append(size)
             edges = np.concatenate([[0], np.cumsum(size)])
             levels += [zlib.compress(level[s:e].tobytes(), 1) for s, e in zip(edges[:-1], edges[1:], strict=True)]
         whole = np.concatenate([f[3] for f in found], axis=1).view(np.int64)
         flat = np.concatenate(signed).view(np.int64)
-        return pa.table({"doc_id": texts.doc_ids(), "high": pa.array(whole[0]), "low": pa.array(whole[1]), "n_words": pa.array(np.concatenate([f[4] for f in found])), "weight": pa.array(np.concatenate(weight)), "bands": pa.ListArray.from_arrays(pa.array(np.arange(len(flat) + 1, dtype=np.int32) * bands), pa.array(flat.reshape(-1))), "levels": pa.array(levels, pa.binary())})
+        return pa.table({"doc_id": texts.doc_ids(), "high": pa.array(whole[0]), "low": pa.array(whole[1]), "n_words": pa.array(np.concatenate([f[4] for f in found])), "weight": pa.array(np.concatenate(weight)), "size": pa.array(np.concatenate(sizes), pa.int32()), "bands": pa.ListArray.from_arrays(pa.array(np.arange(len(flat) + 1, dtype=np.int32) * bands), pa.array(flat.reshape(-1))), "levels": pa.array(levels, pa.binary())})
 
     return sign
 
@@ -168,8 +173,8 @@ def _sign(k: int, n_docs: int, bands: int, rows: int):
 # ---- verification
 
 
-def similarities(left, right, left_levels: list[bytes], right_levels: list[bytes], k: int, n_docs: int) -> np.ndarray:
-    """Weighted Jaccard of the texts in two string arrays, row by row."""
+def similarities(left, right, left_levels: list[bytes], right_levels: list[bytes], k: int, n_docs: int, plain: bool = False) -> np.ndarray:
+    """Weighted Jaccard of the texts in two string arrays, row by row; with ``plain``, that of their sets of shingles where it is larger."""
     sides = []
     for column, levels in ((left, left_levels), (right, right_levels)):
         row, h, count, _, _ = shingles(*B.utf8(column), k)
@@ -182,10 +187,14 @@ def similarities(left, right, left_levels: list[bytes], right_levels: list[bytes
     n = len(left)
     common = np.bincount(row[both], weights=np.minimum(w[both], w[both + 1]), minlength=n)
     total = np.bincount(row, weights=w, minlength=n) - common
-    return np.where(total > 0, common / np.maximum(total, 1e-12), 0.0)
+    found = np.where(total > 0, common / np.maximum(total, 1e-12), 0.0)
+    if plain:
+        common = np.bincount(row[both], minlength=n)
+        found = np.maximum(found, common / np.maximum(np.bincount(row, minlength=n) - common, 1))
+    return found
 
 
-def _verify(k: int, n_docs: int, threshold: float):
+def _verify(k: int, n_docs: int, threshold: float, plain: bool):
     def run(batches):
         for batch in batches:
             sizes = np.cumsum([len(x) + len(y) for x, y in zip(batch.column("x_text").to_pylist(), batch.column("y_text").to_pylist(), strict=True)])
@@ -193,7 +202,7 @@ def _verify(k: int, n_docs: int, threshold: float):
             while at < batch.num_rows:
                 to = max(at + 1, int(np.searchsorted(sizes, (sizes[at - 1] if at else 0) + 2_000_000, side="right")))
                 s = batch.slice(at, to - at)
-                found = similarities(s.column("x_text"), s.column("y_text"), s.column("x_levels").to_pylist(), s.column("y_levels").to_pylist(), k, n_docs)
+                found = similarities(s.column("x_text"), s.column("y_text"), s.column("x_levels").to_pylist(), s.column("y_levels").to_pylist(), k, n_docs, plain)
                 keep = pa.array(found >= threshold - 1e-12)
                 yield pa.RecordBatch.from_arrays([s.column("x").filter(keep), s.column("y").filter(keep), pa.array(found).filter(keep)], ["x", "y", "similarity"])
                 at = to
@@ -202,11 +211,11 @@ def _verify(k: int, n_docs: int, threshold: float):
 
 
 def _expanded(column, levels: list[bytes], k: int, n_docs: int):
-    """Row, key and weight of every shingle, one entry for each time it stands in the text: so that common weights are sums of products."""
+    """Row, key, weight and turn of every shingle, one entry for each time it stands in the text: so that common weights are sums of products."""
     row, h, count, _, _ = shingles(*B.utf8(column), k)
     level = np.frombuffer(b"".join(zlib.decompress(x) for x in levels), np.uint8)
     turn = B.expand(np.zeros(len(h), np.int64), count).astype(np.uint64)
-    return np.repeat(row, count), B.mix(np.repeat(h, count) + turn * np.uint64(0x9E3779B97F4A7C15)), np.repeat(idf(level, n_docs), count)
+    return np.repeat(row, count), B.mix(np.repeat(h, count) + turn * np.uint64(0x9E3779B97F4A7C15)), np.repeat(idf(level, n_docs), count), turn
 
 
 LINKS = "x long, y long, similarity double"
@@ -214,17 +223,19 @@ LINKS = "x long, y long, similarity double"
 _COLUMNS = 4096
 
 
-def block_similarities(left: pa.Table, right: pa.Table, k: int, n_docs: int) -> np.ndarray:
-    """Weighted Jaccard of every text in one block with every text in the other, as a matrix product over common shingles."""
+def block_similarities(left: pa.Table, right: pa.Table, k: int, n_docs: int, plain: bool = False) -> np.ndarray:
+    """Weighted Jaccard of every text in one block with every text in the other, as a matrix product over common shingles; ``plain`` as above."""
     sides = [_expanded(t.column("text"), t.column("levels").to_pylist(), k, n_docs) for t in (left, right)]
-    total = [np.bincount(row, weights=w, minlength=t.num_rows) for (row, _, w), t in zip(sides, (left, right), strict=True)]
+    total = [np.bincount(row, weights=w, minlength=t.num_rows) for (row, _, w, _), t in zip(sides, (left, right), strict=True)]
     both = np.intersect1d(sides[0][1], sides[1][1])
-    placed = []
-    for row, key, w in sides:
+    placed, single = [], np.zeros(len(both), bool)  # single: columns of a shingle's first time in a text
+    for row, key, w, turn in sides:
         at = np.searchsorted(both, key)
         hit = both[np.minimum(at, len(both) - 1)] == key if len(both) else np.zeros(len(key), bool)
         order = np.argsort(at[hit], kind="stable")
         placed.append((row[hit][order], at[hit][order], w[hit][order]))
+        single[at[hit & (turn == 0)]] = True
+    shared = np.zeros((left.num_rows, right.num_rows))
     common = np.zeros((left.num_rows, right.num_rows))
     for a in range(0, len(both), _COLUMNS):
         m = []
@@ -233,14 +244,21 @@ def block_similarities(left: pa.Table, right: pa.Table, k: int, n_docs: int) ->
             m.append(np.zeros((t.num_rows, min(_COLUMNS, len(both) - a))))
             m[-1][row[s], at[s] - a] = 1.0 if i else w[s]
         common += m[0] @ m[1].T
-    return common / np.maximum(total[0][:, None] + total[1] - common, 1e-12)
+        if plain:
+            once = single[a : a + _COLUMNS]
+            shared += (m[0][:, once] > 0).astype(float) @ m[1][:, once].T
+    found = common / np.maximum(total[0][:, None] + total[1] - common, 1e-12)
+    if plain:
+        size = [np.bincount(row[turn == 0], minlength=t.num_rows) for (row, _, _, turn), t in zip(sides, (left, right), strict=True)]
+        found = np.maximum(found, shared / np.maximum(size[0][:, None] + size[1] - shared, 1))
+    return found
 
 
-def _compare(k: int, n_docs: int, threshold: float):
+def _compare(k: int, n_docs: int, threshold: float, plain: bool):
     def run(key, left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows or not right.num_rows:
             return pa.table({"x": pa.array([], pa.int64()), "y": pa.array([], pa.int64()), "similarity": pa.array([], pa.float64())})
-        found = block_similarities(left, right, k, n_docs)
+        found = block_similarities(left, right, k, n_docs, plain)
         x, y, u, v = (np.asarray(t.column(c)) for c in ("doc_id", "label") for t in (left, right))
         i, j = np.nonzero((found >= threshold - 1e-12) & (u[:, None] != v))
         return pa.table({"x": np.minimum(x[i], y[j]), "y": np.maximum(x[i], y[j]), "similarity": found[i, j]})
@@ -251,8 +269,8 @@ def _compare(k: int, n_docs: int, threshold: float):
 class NearDedup:
     """The steps of the operator over one table."""
 
-    def __init__(self, docs: DataFrame, threshold: float = 0.8, shingle: int = 5, bands: int = 14, rows: int = 4, block_bytes: int = B.BLOCK_BYTES):
-        self.threshold, self.shingle = threshold, shingle
+    def __init__(self, docs: DataFrame, threshold: float = 0.8, shingle: int = 5, bands: int = 14, rows: int = 4, block_bytes: int = B.BLOCK_BYTES, plain: bool = False):
+        self.threshold, self.shingle, self.plain = threshold, shingle, plain
         dealt, n = B.dealt(docs, block_bytes)
         self.docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
         self.n_docs = docs.count()
@@ -262,13 +280,14 @@ class NearDedup:
         firsts = whole.groupBy("high", "low").agg(F.min("doc_id").alias("first"))
         self.copies = cut(firsts)
         heads = whole.join(firsts, ["high", "low"]).filter("doc_id = first").dropDuplicates(["doc_id"])
-        members = heads.select("doc_id", "weight", F.explode("bands").alias("bucket"))
+        members = heads.select("doc_id", F.struct("weight", "size").alias("weight"), F.explode("bands").alias("bucket"))
         leaders = members.groupBy("bucket").agg(F.min(F.struct("doc_id", "weight")).alias("leader"), F.count("*").alias("n")).filter("n > 1").drop("n")
         self.members = cut(members.join(leaders, "bucket"))  # of buckets with two members or more
 
     def _near(self, pairs: DataFrame) -> DataFrame:
-        """Distinct pairs x < y whose weights allow the similarity."""
-        return pairs.filter(f"x <> y AND least(x_weight, y_weight) >= {self.threshold} * greatest(x_weight, y_weight) - 1e-9").select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
+        """Distinct pairs x < y whose weights, or with ``plain`` numbers of shingles, allow the similarity."""
+        fits = [f"least(x_weight.{c}, y_weight.{c}) >= {self.threshold} * greatest(x_weight.{c}, y_weight.{c}) - 1e-9" for c in (["weight", "size"] if self.plain else ["weight"])]
+        return pairs.filter(f"x <> y AND ({' OR '.join(fits)})").select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
 
     def verify(self, pairs: DataFrame) -> DataFrame:
         """The pairs that are links, with their similarity."""
@@ -276,7 +295,7 @@ class NearDedup:
         full = self._texts(pairs.select(F.col("x").alias("doc_id")).distinct().unionByName(pairs.select(F.col("y").alias("doc_id")).distinct()).distinct())
         x = full.select(F.col("doc_id").alias("x"), F.col("text").alias("x_text"), F.col("levels").alias("x_levels"))
         y = full.select(F.col("doc_id").alias("y"), F.col("text").alias("y_text"), F.col("levels").alias("y_levels"))
-        return cut(pairs.join(x, "x").join(y, "y").mapInArrow(_verify(self.shingle, self.n_docs, self.threshold), LINKS))
+        return cut(pairs.join(x, "x").join(y, "y").mapInArrow(_verify(self.shingle, self.n_docs, self.threshold, self.plain), LINKS))
 
     def _texts(self, ids: DataFrame) -> DataFrame:
         """doc_id, text and levels of some documents."""
@@ -305,7 +324,7 @@ class NearDedup:
         right = rows.select("bucket", "doc_id", "label", every("lefts").alias("a"), own("rights").alias("b"))
         keys = ["bucket", "a", "b"]
         left, right = (t.join(texts, "doc_id").select(*[F.col(c).alias(c) for c in (*keys, "doc_id", "label", "text", "levels")]) for t in (left, right))
-        return cut(left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(_compare(self.shingle, self.n_docs, self.threshold), LINKS).dropDuplicates(["x", "y"]))
+        return cut(left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(_compare(self.shingle, self.n_docs, self.threshold, self.plain), LINKS).dropDuplicates(["x", "y"]))
 
     def _repeated(self) -> bool:
         """Whether a doc_id has several rows."""
@@ -349,9 +368,9 @@ class NearDedup:
         return found.select("doc_id", F.when(F.col("n_words") == 0, F.col("doc_id")).otherwise(F.when(F.col("doc_id").isNotNull(), F.coalesce("label", "first"))).alias("class_id"))
 
 
-def near_dedup(docs: DataFrame, threshold: float = 0.8, shingle: int = 5, bands: int = 14, rows: int = 4, block_bytes: int = B.BLOCK_BYTES) -> DataFrame:
+def near_dedup(docs: DataFrame, threshold: float = 0.8, shingle: int = 5, bands: int = 14, rows: int = 4, block_bytes: int = B.BLOCK_BYTES, plain: bool = False) -> DataFrame:
     """doc_id and class_id of every row; a class is kept by its document with doc_id = class_id."""
-    return NearDedup(docs, threshold, shingle, bands, rows, block_bytes).classes()
+    return NearDedup(docs, threshold, shingle, bands, rows, block_bytes, plain).classes()
 
 
 def keep_one(docs: DataFrame, **options) -> DataFrame:

@@ -11,7 +11,7 @@ from scholmill.llm.suffix_dedup import suffix_dedup
 
 
 def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_dedup(spark.read.parquet(f"{sf_dir}/documents.parquet"), threshold=0.8, shingle=5)
+    return near_dedup(spark.read.parquet(f"{sf_dir}/documents.parquet"), threshold=0.8, shingle=5, plain=True)
 
 
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,9 +1,12 @@
 import random
+import zlib
 
 import numpy as np
+import pyarrow as pa
 
 from scholmill.llm import near_dedup as N
 from scholmill.llm.near_dedup import NearDedup, Sampler, near_dedup
+from scholmill.llm.query_dedup import op3_near_dedup
 from scholmill.operators.components import components
 from tests.llm import brute
 
@@ -61,6 +64,41 @@ def test_leaders_and_the_rest(spark, monkeypatch):
     assert links
 
 
+def test_large_group_of_near_copies(spark, tmp_path, monkeypatch):
+    """Texts of one group whose plain similarities are 0.81 are one class, although their shared shingles weigh least."""
+    rows = []
+    for i in range(120):
+        w = [f"v{j}" for j in range(200)]
+        for j in (30, 80, 130, 180):
+            w[j] = f"x{i}_{j}"
+        rows.append((i, " ".join(w)))
+    rows += [(1000 + i, " ".join(f"y{i}_{j}" for j in range(200))) for i in range(600)]
+    grams = [{tuple(t.split()[i : i + 5]) for i in range(196)} for _, t in rows[:120]]
+    assert all(0.8 <= len(a & b) / len(a | b) for a in grams for b in grams)
+    table(spark, rows).write.parquet(f"{tmp_path}/documents.parquet")
+    want = {i: 0 if i < 120 else i for i, _ in rows}
+    assert {r.doc_id: r.class_id for r in op3_near_dedup(spark, str(tmp_path)).collect()} == want
+    # the pairs compared block by block
+    monkeypatch.setattr(N, "BLOCK_ROWS", 16)
+    d = NearDedup(table(spark, rows[:60]), bands=14, rows=4, plain=True)
+    label = {r.node: r.label for r in components(d.links(0, 1), "x", "y").collect()}
+    assert {label.get(i, i) for i in range(60)} == {0}
+
+
+def test_plain_similarities():
+    rng = random.Random(9)
+    texts = [" ".join(rng.choices("abc", k=rng.randint(5, 40))) for _ in range(30)]
+    sets = [{tuple(t.split()[i : i + 2]) for i in range(len(t.split()) - 1)} for t in texts]
+    levels = [zlib.compress(bytes(len(s))) for s in sets]
+    t = pa.table({"text": texts, "levels": pa.array(levels, pa.binary())})
+    plain = np.array([[len(a & b) / len(a | b) for b in sets] for a in sets])
+    blocks = N.block_similarities(t, t, 2, 30, plain=True)
+    assert np.allclose(blocks, np.maximum(plain, N.block_similarities(t, t, 2, 30)))
+    x, y = (np.repeat(np.arange(30), 30), np.tile(np.arange(30), 30))
+    pairs = N.similarities(pa.array([texts[i] for i in x]), pa.array([texts[i] for i in y]), [levels[i] for i in x], [levels[i] for i in y], 2, 30, plain=True)
+    assert np.allclose(pairs.reshape(30, 30), blocks)
+
+
 def test_samples_estimate_weighted_jaccard():
     rng = np.random.default_rng(3)
     h = rng.integers(0, 1 << 62, 400, dtype=np.int64).astype(np.uint64)
