@@ -6,6 +6,9 @@ times a capped length. The scripts of a text narrow its candidates to languages
 text with the best sequence of candidates, where each switch costs a penalty; equal neighbours form spans. A text's language is
 the one whose spans hold most letters (ties: the first in sorted order), its score their share.
 
+Texts are handled in slices of some ``SLICE`` characters. A longer text is cut into slices after words; the state of Viterbi goes from
+one to the next, so its labels are those of the whole. A run of letters of more than ``SLICE`` characters in such a text counts as several words.
+
 Null texts and texts without letters give ``und`` with score 0 and no spans; rows without a language teach nothing; without any training
 row every text is ``und``; other columns can be carried along; equal rows are labelled each; an empty table gives an empty result.
 """
@@ -21,6 +24,7 @@ from pyspark.sql import functions as F
 
 UNDETERMINED = "und"
 BUCKETS = 1 << 16
+SLICE = 200_000
 #: First code points of script ranges, and their scripts (0: no letter's script of its own).
 SCRIPT_STARTS = (0x0000, 0x0370, 0x0400, 0x0530, 0x0590, 0x0600, 0x0700, 0x0900, 0x0E00, 0x1100, 0x1200, 0x1E00, 0x1F00, 0x2000, 0x2C00, 0x2C60, 0x2C80, 0x3040, 0x30A0, 0x3100, 0x3400, 0xA000, 0xA720, 0xA800, 0xAC00, 0xD7B0, 0xF900, 0xFB00, 0xFB50, 0xFE00, 0xFF21, 0xFF66, 0xFFA0, 0x20000)
 SCRIPT_NAMES = ("Latin", "Greek", "Cyrillic", "Other", "Hebrew", "Arabic", "Other", "Indic", "SoutheastAsian", "Hangul", "Other", "Latin", "Greek", "Other", "Other", "Latin", "Other", "Hiragana", "Katakana", "Other", "Han", "Other", "Latin", "Other", "Hangul", "Other", "Han", "Latin", "Arabic", "Other", "Latin", "Katakana", "Hangul", "Han")
@@ -44,8 +48,11 @@ class Words:
         joined = "\n".join(texts) + "\n"
         code = np.frombuffer(joined.encode("utf-32-le", "replace"), np.uint32)
         low = np.minimum(code, 0xFFFF)
-        letter = _LETTER[low] | (code > 0xFFFF)
-        lower = np.where(code < 0x10000, _LOWER[low], code)
+        letter, lower = _LETTER[low], _LOWER[low]
+        if len(high := np.flatnonzero(code > 0xFFFF)):
+            kinds, of = np.unique(code[high], return_inverse=True)
+            letter[high] = np.array([chr(c).isalpha() for c in kinds])[of]
+            lower[high] = np.array([ord(chr(c).lower()) if len(chr(c).lower()) == 1 else c for c in kinds], np.uint32)[of]
         edge = np.diff(letter.astype(np.int8), prepend=0)
         self.start, self.end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
         sizes = np.array([len(t) + 1 for t in texts], np.int64)
@@ -61,9 +68,40 @@ class Words:
         h[:-1] += c[1:] * np.uint32(0xC2B2AE35)
         h ^= h >> np.uint32(15)
         h *= np.uint32(0x2C1B3C6D)
-        self.bucket = ((h >> np.uint32(12)) & np.uint32(BUCKETS - 1))[letter].astype(np.int64)
+        self.bucket = ((h >> np.uint32(12)) & np.uint32(BUCKETS - 1))[letter].astype(np.uint16)
         self.first = np.concatenate([[0], np.cumsum(self.size)])
 
+    def sums(self, table: np.ndarray) -> np.ndarray:
+        """For every word the sum of its trigrams' rows of ``table``, some letters at a time."""
+        out = np.zeros((len(self.start), table.shape[1]))
+        step = max(1, 4_000_000 // table.shape[1])
+        for a in range(0, len(self.bucket), step):
+            b = min(a + step, len(self.bucket))
+            i, j = np.searchsorted(self.first, a, side="right") - 1, np.searchsorted(self.first, b, side="left")
+            heads = np.maximum(self.first[i:j], a) - a
+            out[i:j] += np.add.reduceat(table[self.bucket[a:b]], heads, axis=0, dtype=np.float64)
+        return out
+
+
+def slices(texts: list[str]):
+    """Ranges of texts of some ``SLICE`` characters together; a longer text is alone."""
+    at, ends = 0, np.cumsum([len(t) for t in texts])
+    while at < len(texts):
+        to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + SLICE, side="right")))
+        yield at, to
+        at = to
+
+
+def pieces(text: str):
+    """(start, piece) of a long text, cut after words."""
+    at = 0
+    while at < len(text):
+        to = min(at + SLICE, len(text))
+        while to < min(at + 2 * SLICE, len(text)) and text[to].isalpha():
+            to += 1
+        yield at, text[at:to]
+        at = to
+
 
 def counts(batches, languages: list[str]):
     """Per task: (language, bucket, n) and, as negative buckets, letters by script."""
@@ -71,13 +109,14 @@ def counts(batches, languages: list[str]):
     table = np.zeros((len(languages), BUCKETS + len(SCRIPTS)), np.int64)
     for batch in batches:
         langs, texts = batch.column("lang").to_pylist(), batch.column("text").to_pylist()
-        for a in range(0, len(texts), 256):
-            some = [(index[g], t or "") for g, t in zip(langs[a : a + 256], texts[a : a + 256], strict=True)]
-            words = Words([t for _, t in some])
-            lang = np.array([g for g, _ in some])[words.row] if some else np.zeros(0, int)
-            wide = table.shape[1]
-            table += np.bincount(np.repeat(lang, words.size) * wide + words.bucket, minlength=table.size).reshape(table.shape)
-            np.add.at(table, (lang, BUCKETS + words.script), words.size)
+        texts = [t or "" for t in texts]
+        for a, b in slices(texts):
+            for part in [texts[a:b]] if len(texts[a]) <= SLICE else ([t] for _, t in pieces(texts[a])):
+                words = Words(part)
+                lang = np.array([index[g] for g in langs[a:b]])[words.row]
+                flat, n = np.unique(np.repeat(lang, words.size) * table.shape[1] + words.bucket, return_counts=True)
+                table.reshape(-1)[flat] += n
+                np.add.at(table, (lang, BUCKETS + words.script), words.size)
     for i, row in enumerate(table):
         at = np.flatnonzero(row)
         if len(at):
@@ -106,72 +145,107 @@ def train(rows: DataFrame, lang: str = "lang") -> Model:
     return Model(languages, table)
 
 
-def viterbi(scores: np.ndarray, allowed: np.ndarray, row: np.ndarray, n_rows: int, penalty: float) -> np.ndarray:
-    """Best label of every word; scores: words x labels, row: ascending. All texts step together, word by word.
+class Viterbi:
+    """Best labels of the words of some texts. All texts step together, word by word; words can come in several portions.
 
-    A switch costs the same from any label to any other, so that each step needs only the best label so far.
+    A switch costs the same from any label to any other, so each step needs only the best label so far; kept of it are that label and,
+    in bits, which labels were reached by a switch.
     """
-    n, k = scores.shape
-    out = np.zeros(n, np.int16)
-    if not n:
-        return out
-    scores = np.where(allowed, scores, np.float32(-1e9))
-    length = np.bincount(row, minlength=n_rows)
-    first = np.cumsum(length) - length
-    by = np.argsort(-length, kind="stable")
-    by = by[length[by] > 0]
-    sizes = length[by]
-    start = first[by]
-    state = np.zeros((len(by), k), np.float32)
-    back = np.full((n, k), -1, np.int8)  # the label before, -1: the same
-    live = len(by)
-    for t in range(int(sizes[0])):
-        while sizes[live - 1] <= t:
-            live -= 1
-        at = start[:live] + t
-        if t:
-            s = state[:live]
-            best = s.argmax(1)
-            jump = s[np.arange(live), best] - penalty
-            switch = jump[:, None] > s
-            back[at] = np.where(switch, best[:, None], -1)
+
+    def __init__(self, n_rows: int, k: int, penalty: float):
+        self.k, self.penalty = k, penalty
+        self.state, self.fresh = np.zeros((n_rows, k), np.float32), np.ones(n_rows, bool)
+        self.steps: list[tuple[list, np.ndarray, np.ndarray, int]] = []
+
+    def forward(self, scores: np.ndarray, row: np.ndarray) -> None:
+        """The next words; scores: words x labels, row: ascending."""
+        n = len(scores)
+        length = np.bincount(row, minlength=len(self.state))
+        first = np.cumsum(length) - length
+        by = np.argsort(-length, kind="stable")
+        by = by[length[by] > 0]
+        sizes, start = length[by], first[by]
+        state, fresh = self.state[by], self.fresh[by]
+        best, bits = np.zeros(n, np.int16), np.zeros((n, -(-self.k // 8)), np.uint8)
+        live, lives = len(by), []
+        for t in range(int(sizes[0]) if n else 0):
+            while sizes[live - 1] <= t:
+                live -= 1
+            lives.append(live)
+            at, s = start[:live] + t, state[:live]
+            top = s.argmax(1)
+            jump = s[np.arange(live), top] - self.penalty
+            switch = (jump[:, None] > s) & ~fresh[:live, None]
+            best[at], bits[at] = top, np.packbits(switch, axis=1)
             s = np.where(switch, jump[:, None], s)
             s -= s.max(1, keepdims=True)  # only differences matter; sums of long texts stay exact
             state[:live] = s + scores[at]
-        else:
-            state[:live] = scores[at]
-    label = state.argmax(1)
-    live = 0
-    for t in range(int(sizes[0]) - 1, -1, -1):
-        while live < len(by) and sizes[live] > t:
-            live += 1
-        at = start[:live] + t
-        out[at] = label[:live]
-        step = back[at, label[:live]]
-        label[:live] = np.where(step >= 0, step, label[:live])
-    return out
+            fresh[:live] = False
+        self.state[by], self.fresh[by] = state, fresh
+        self.steps.append(((by, start, lives), best, bits, n))
+
+    def labels(self) -> list[np.ndarray]:
+        """The label of every word, by portion."""
+        label, out = self.state.argmax(1), []
+        for (by, start, lives), best, bits, n in reversed(self.steps):
+            found = np.zeros(n, np.int16)
+            for t in range(len(lives) - 1, -1, -1):
+                live = lives[t]
+                at, now = start[:live] + t, label[by[:live]]
+                found[at] = now
+                switched = (bits[at, now >> 3] >> (7 - (now & 7)).astype(np.uint8)) & 1
+                label[by[:live]] = np.where(switched == 1, best[at], now)
+            out.append(found)
+        return out[::-1]
 
 
-def _label(model: Model, texts: list[str], penalty: float, cap: int):
-    words = Words(texts)
-    k, n = len(model.languages), len(words.start)
-    letters = np.zeros((len(texts), max(k, 1)))
-    if not k or not n:
-        return words, np.zeros(0, np.int16), letters
-    sums = np.concatenate([np.zeros((1, k)), np.cumsum(model.logs[words.bucket], axis=0, dtype=np.float64)])
-    mean = (sums[words.first[1:]] - sums[words.first[:-1]]) / words.size[:, None]
-    scores = (mean * np.minimum(words.size, cap)[:, None]).astype(np.float32)
-    # scripts that make up a twentieth of a text's letters narrow its candidates; a word in another is open to them all
-    used = np.zeros((len(texts), len(SCRIPTS)))
+def viterbi(scores: np.ndarray, allowed: np.ndarray, row: np.ndarray, n_rows: int, penalty: float) -> np.ndarray:
+    """Best label of every word in one portion."""
+    v = Viterbi(n_rows, scores.shape[1], penalty)
+    v.forward(np.where(allowed, scores, np.float32(-1e9)), row)
+    return v.labels()[0]
+
+
+def _scripts(words: Words, n: int) -> np.ndarray:
+    """Letters of each text by script."""
+    used = np.zeros((n, len(SCRIPTS)))
     np.add.at(used, (words.row, words.script), words.size)
+    return used
+
+
+def _scores(model: Model, words: Words, used: np.ndarray, cap: int) -> np.ndarray:
+    """Words x languages; scripts that make up a twentieth of a text's letters narrow its candidates; a word in another is open to them all."""
+    mean = words.sums(model.logs) / words.size[:, None]
+    scores = (mean * np.minimum(words.size, cap)[:, None]).astype(np.float32)
     used = used >= 0.05 * np.maximum(used.sum(1, keepdims=True), 1)
     candidates = (used.astype(np.int32) @ model.writes.T.astype(np.int32)) > 0
     candidates |= ~candidates.any(1, keepdims=True)
     allowed = candidates[words.row] & model.writes[:, words.script].T
     allowed = np.where(allowed.any(1, keepdims=True), allowed, candidates[words.row])
-    label = viterbi(scores, allowed, words.row, len(texts), penalty)
-    np.add.at(letters, (words.row, label), words.size)
-    return words, label, letters
+    return np.where(allowed, scores, np.float32(-1e9))
+
+
+def _label(model: Model, texts: list[str], penalty: float, cap: int):
+    """Row, start, end and label of every word, and letters by text and language; one text may be longer than a slice."""
+    k = len(model.languages)
+    letters = np.zeros((len(texts), max(k, 1)))
+    parts = list(pieces(texts[0])) if len(texts) == 1 and len(texts[0]) > SLICE else [(0, None)]
+    used = np.zeros((len(texts), len(SCRIPTS)))
+    places = []
+    if k:
+        for _, part in parts:
+            used += _scripts(Words(texts if part is None else [part]), len(texts))
+        v = Viterbi(len(texts), k, penalty)
+        for at, part in parts:
+            words = Words(texts if part is None else [part])
+            base = words.base[words.row] - at
+            places.append((words.row, (words.start - base).astype(np.int32), (words.end - base).astype(np.int32)))
+            v.forward(_scores(model, words, used, cap), words.row)
+        row, start, end = (np.concatenate(x) for x in zip(*places, strict=True))
+        label = np.concatenate(v.labels())
+        np.add.at(letters, (row, label), end - start)
+        return row, start, end, label, letters
+    return *(np.zeros(0, np.int32) for _ in range(4)), letters
 
 
 def identify(docs: DataFrame, model: Model, penalty: float = 12.0, cap: int = 8, carry: tuple[str, ...] = (), spans: bool = True) -> DataFrame:
@@ -184,22 +258,20 @@ def identify(docs: DataFrame, model: Model, penalty: float = 12.0, cap: int = 8,
     arrow = to_arrow_schema(schema)
     span = pa.struct([("start", pa.int32()), ("end", pa.int32()), ("lang", pa.string())])
 
-    def some(batch: pa.RecordBatch):
+    def some(batch: pa.RecordBatch, texts: list[str]):
         m = shared.value
-        texts = [t or "" for t in batch.column("__text").to_pylist()]
-        words, label, letters = _label(m, texts, penalty, cap)
+        row, start, end, label, letters = _label(m, texts, penalty, cap)
         total = letters.sum(1)
         best = letters.argmax(1)
         names = [m.languages[i] if s else UNDETERMINED for i, s in zip(best, total, strict=True)]
         score = np.where(total > 0, letters.max(1) / np.maximum(total, 1), 0.0)
         if spans and len(label):
             new = np.ones(len(label), bool)
-            new[1:] = (label[1:] != label[:-1]) | (words.row[1:] != words.row[:-1])
+            new[1:] = (label[1:] != label[:-1]) | (row[1:] != row[:-1])
             head = np.flatnonzero(new)
             tail = np.append(head[1:], len(label)) - 1
-            base = words.base[words.row[head]]
-            offsets = np.searchsorted(words.row[head], np.arange(len(texts) + 1))
-            values = pa.StructArray.from_arrays([pa.array((words.start[head] - base).astype(np.int32)), pa.array((words.end[tail] - base).astype(np.int32)), pa.array([m.languages[i] for i in label[head]], pa.string())], fields=list(span))
+            offsets = np.searchsorted(row[head], np.arange(len(texts) + 1))
+            values = pa.StructArray.from_arrays([pa.array(start[head]), pa.array(end[tail]), pa.array([m.languages[i] for i in label[head]], pa.string())], fields=list(span))
             found = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), values)
         else:
             found = pa.array([[]] * len(texts), pa.list_(span))
@@ -207,11 +279,9 @@ def identify(docs: DataFrame, model: Model, penalty: float = 12.0, cap: int = 8,
 
     def run(batches):
         for batch in batches:
-            at, sizes = 0, np.cumsum([len(t or "") for t in batch.column("__text").to_pylist()])
-            while at < batch.num_rows:  # some million characters at a time; long texts of one batch step together
-                to = max(at + 1, int(np.searchsorted(sizes, (sizes[at - 1] if at else 0) + 2_000_000, side="right")))
-                yield pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(some(batch.slice(at, to - at)), arrow, strict=True)], schema=arrow)
-                at = to
+            texts = [t or "" for t in batch.column("__text").to_pylist()]
+            for a, b in slices(texts):
+                yield pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(some(batch.slice(a, b - a), texts[a:b]), arrow, strict=True)], schema=arrow)
 
     return picked.mapInArrow(run, schema)
 
