@@ -96,6 +96,57 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
+_TURN = np.uint64(0xC2B2AE3D27D4EB4F)
+_STEPS = 64
+_TABLE = np.random.default_rng(20).integers(0, 1 << 64, (_STEPS, 256), dtype=np.uint64).reshape(-1)  # a random value for each byte at each place
+
+
+def segments(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hash of the bytes of each segment: a sum of random values of (place, byte). No polynomial, so no text of a pattern cancels out."""
+    size = ends - starts
+    live = np.flatnonzero(size > 0)
+    out = np.zeros(len(starts), np.uint64)
+    if len(live):
+        count = size[live]
+        at = expand(starts[live], count)
+        head = np.cumsum(count) - count
+        place = np.arange(len(at)) - np.repeat(head, count)
+        value = _TABLE[((place & (_STEPS - 1)) << 8) | data[at]]
+        if int(count.max()) > _STEPS:
+            far = np.flatnonzero(place >= _STEPS)
+            value[far] = mix(value[far] + (place[far] // _STEPS).astype(np.uint64) * _TURN)
+        out[live] = np.add.reduceat(value, head)
+    return mix(out + size.astype(np.uint64) * _MUL)
+
+
+def sequences(symbols: np.ndarray, first: np.ndarray, seed: int = 0) -> np.ndarray:
+    """Hash of each row of symbols, row i from first[i] to first[i + 1]: a sum of mixed (place, symbol); another for another seed."""
+    count = np.diff(first)
+    live = np.flatnonzero(count > 0)
+    out = np.zeros(len(count), np.uint64)
+    if len(live):
+        place = np.arange(len(symbols)) - np.repeat(first[:-1], count)
+        value = mix(mix(symbols + np.uint64(seed)) + place.astype(np.uint64) * _TURN)
+        out[live] = np.add.reduceat(value, first[:-1][live])
+    return mix(out + count.astype(np.uint64) * _MUL + np.uint64(seed))
+
+
+def windows(symbols: np.ndarray, length: int) -> np.ndarray:
+    """Hash of every ``length`` symbols in a row: pairs of halves mixed to powers of two, and these to the length."""
+    n = len(symbols) - length + 1
+    if n <= 0:
+        return np.zeros(0, np.uint64)
+    power, width, done, out = mix(symbols + _MUL), 1, 0, None
+    while True:
+        if length & width:
+            out = power if out is None else mix(out[: len(symbols) - done - width + 1] * _TURN + power[done:])
+            done += width
+        if done == length:
+            return out[:n]
+        power = mix(power[:-width] * _MUL + power[width:])
+        width *= 2
+
+
 class Powers:
     """Powers of an odd multiplier modulo 2**64 and their inverses, as far as asked for."""
 
@@ -156,7 +207,7 @@ def words(offsets: np.ndarray, data: np.ndarray, apart: np.ndarray = _SPACE) ->
     inner = offsets[1:-1]
     finish[inner[inner > 0] - 1] = True
     ends = np.flatnonzero(finish & ~space) + 1
-    return Prefix(data).of(starts, ends), np.searchsorted(starts, offsets), starts
+    return segments(data, starts, ends), np.searchsorted(starts, offsets), starts
 
 
 def expand(first: np.ndarray, count: np.ndarray) -> np.ndarray:

@@ -1,16 +1,20 @@
 """MinHash near-dedup: improved consistent weighted sampling over TF-IDF shingles, banded, verified by weighted Jaccard.
 
-A text's shingles are its runs of ``shingle`` words (a shorter text is one shingle), weighted by their count in it times an
-inverse document frequency between 1 and 2, from the exact counts of all documents. Consistent weighted samples give signatures
-in bands; texts that agree in a band are candidates. Texts of the same words are one class from the start, so copies take no part.
-In every band bucket the members are first compared with its smallest doc_id: linear in the bucket. After the components
-of these links are known, members of different components in a bucket are compared with one another (in large
-buckets with a leader drawn anew first, and then block by block), so that no candidate link between different classes is left out, and none inside one is
-needed. A link is a weighted Jaccard similarity of ``threshold`` or more, computed from the whole texts. With ``plain``, a Jaccard
-similarity of the sets of shingles of ``threshold`` or more is a link as well: near copies raise the document frequencies of what they
-share, so that in a large group of them the weighted similarity falls below the plain one (from 0.8 to 0.67 at most if no text
-repeats a shingle). Bands are drawn by weight in both cases; such a pair of plain similarity 0.8 meets in one of 14 bands of 4 with a
-probability of 0.95 or more, one with repeated shingles can have a smaller one.
+A text's shingles are its runs of ``shingle`` words (a shorter text is one shingle). A shingle's weight is its count in the text times its
+inverse document frequency, the mean of those of its words, each between 1 and 2. Document frequencies of words are counted over all documents,
+in a table of fixed size (``WORDS`` places; words of one place share theirs). Frequencies of whole shingles would be 1 for nearly all, and
+in a group of near copies they would make what the copies share weigh least, so that a pair would need more likeness the larger its group is.
+
+Consistent weighted samples give signatures in bands; texts that agree in a band are candidates. Texts of the same words are one class from the
+start, so copies take no part. In every band bucket the members are first compared with its smallest doc_id: linear in the bucket. After the
+components of these links are known, members of different components in a bucket are compared with one another (in large buckets with a leader
+drawn anew first, and then block by block), so that no candidate link between different classes is left out, and none inside one is needed.
+A link is a weighted Jaccard similarity of ``threshold`` or more, computed from the whole texts. With ``plain``, a Jaccard similarity of the
+sets of shingles of ``threshold`` or more is a link as well. Bands are drawn by weight in both cases: 14 bands of 4 miss a pair of weighted
+similarity 0.8 with a probability of 0.0006, one of 0.67 with 0.04.
+
+A sample draws from tables of 2^14 places in each band, by the shingle's hash. Shingles of one place have equal chances for equal
+weights but the same draw, which lowers the variety of signatures of texts with more than some 16,000 shingles, not their agreement.
 
 Null texts count as empty; texts without words are like no other; rows without doc_id have a null class and take no part;
 rows of one doc_id count as one document; an empty table gives an empty result; other columns are left out.
@@ -19,7 +23,6 @@ rows of one doc_id count as one document; an empty table gives an empty result;
 from __future__ import annotations
 
 import math
-import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -35,63 +38,69 @@ BROADCAST_IDS = 1_000_000
 #: Members of a bucket whose pairs are listed; larger ones are compared block by block, of so many texts.
 SMALL_BUCKET = 16
 BLOCK_ROWS = 1024
+#: Pairs with a bucket's leader that meet in one task.
+LEADER_ROWS = 512
+#: Places of the table of document frequencies.
+WORDS = 1 << 18
 _SLOT_BITS = 14
 
 
-def shingles(offsets: np.ndarray, data: np.ndarray, k: int):
-    """Row, hash and count of every distinct shingle, sorted by (row, hash); two hashes of each row's words; words by row."""
+def word_place(hashes: np.ndarray) -> np.ndarray:
+    return (hashes >> np.uint64(46)).astype(np.int64)
+
+
+def _count_words(batches):
+    """Per task: in how many documents each place of the word table has a word; place WORDS counts documents."""
+    table = np.zeros(WORDS + 1, np.int64)
+    for batch in batches:
+        offsets, data = B.utf8(batch.column(0).fill_null(""))
+        table[WORDS] += batch.num_rows
+        for a, b in B.parts(offsets, 1 << 20):
+            hashes, first, _ = B.words(offsets[a : b + 1] - offsets[a], data[offsets[a] : offsets[b]])
+            row = np.repeat(np.arange(b - a), np.diff(first))
+            table[:WORDS] += np.bincount(np.unique(row * WORDS + word_place(hashes)) % WORDS, minlength=WORDS)
+    at = np.flatnonzero(table)
+    yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(table[at])], ["place", "n"])
+
+
+def idf(df: np.ndarray, n_docs: int) -> np.ndarray:
+    """In 1024ths: from 2 for a word of no other document down to 1 for one of all."""
+    return np.round(1024 * (1 + np.maximum(0, np.log((1 + n_docs) / (1 + df))) / math.log(1 + max(n_docs, 2)))).astype(np.int64)
+
+
+def word_weights(docs: DataFrame) -> np.ndarray:
+    """The inverse document frequency of every place of the word table."""
+    counts = docs.select("text").mapInArrow(_count_words, "place long, n long").groupBy("place").agg(F.sum("n").alias("n")).toPandas()  # at most WORDS + 1 rows
+    table = np.zeros(WORDS + 1, np.int64)
+    table[counts["place"]] = counts["n"]
+    return idf(table[:WORDS], int(table[WORDS]))
+
+
+def shingles(offsets: np.ndarray, data: np.ndarray, k: int, weights: np.ndarray):
+    """Row, hash, count and weight of every distinct shingle, sorted by (row, hash); two hashes of each row's words; words by row."""
     hashes, first, _ = B.words(offsets, data)
-    prefix, n = B.Prefix(hashes), np.diff(first)
+    n = np.diff(first)
+    whole = np.stack([B.sequences(hashes, first, seed) for seed in (1, 2)])
+    of_word = np.concatenate([[0], np.cumsum(weights[word_place(hashes)])])
     many = np.where(n >= k, n - k + 1, np.minimum(n, 1))
     start = B.expand(first[:-1], many)
     row = np.repeat(np.arange(len(n)), many)
-    h = prefix.of(start, np.minimum(start + k, first[1:][row]))
+    end = np.minimum(start + k, first[1:][row])
+    runs = B.windows(hashes, k)
+    short = (n < k)[row]
+    h = np.where(short, whole[0][row], runs[np.minimum(start, max(len(runs) - 1, 0))] if len(runs) else np.uint64(0))
+    w = (of_word[end] - of_word[start]) / (1024 * (end - start))  # sums of whole numbers: the same for a shingle in any text
     # one key of row and hash sorts faster than two; what its 16 bits of hash miss is sorted out by the second step
     order = np.argsort(row.astype(np.uint64) << np.uint64(48) | h >> np.uint64(16)) if len(n) < 1 << 16 else np.lexsort((h, row))
-    h, row = h[order], row[order]
+    h, row, w = h[order], row[order], w[order]
     if len(h) and ((h[1:] < h[:-1]) & (row[1:] == row[:-1])).any():
         order = np.lexsort((h, row))
-        h, row = h[order], row[order]
+        h, row, w = h[order], row[order], w[order]
     new = np.ones(len(h), bool)
     new[1:] = (h[1:] != h[:-1]) | (row[1:] != row[:-1])
     at = np.flatnonzero(new)
     count = np.diff(np.append(at, len(h)))
-    whole = np.stack([B.Prefix(hashes, p).of(first[:-1], first[1:]) for p in (B.FIRST, B.SECOND)])
-    return row[at], h[at], count, whole, n
-
-
-def _levels(df: np.ndarray) -> np.ndarray:
-    """Document frequencies as eighths of their binary logarithm: steps of 9 %, 1 is 0."""
-    return np.minimum(np.round(8 * np.log2(df)), 255).astype(np.uint8)
-
-
-def idf(level: np.ndarray, n_docs: int) -> np.ndarray:
-    """From 2 for a shingle of one document down to 1 for one of all."""
-    return 1 + np.maximum(0, np.log((1 + n_docs) / (1 + 2 ** (level / 8.0)))) / math.log(1 + max(n_docs, 2))
-
-
-# ---- document frequencies: hashes are cut to 48 bits there, as a rare collision only moves a weight
-
-
-def _ask_counts(n: int, k: int):
-    def ask(table: pa.Table) -> pa.Table:
-        texts = B.Texts(table)
-        found = [shingles(texts.offsets[a : b + 1] - texts.offsets[a], texts.data[texts.offsets[a] : texts.offsets[b]], k)[1] for a, b in texts.parts()]
-        h, df = np.unique(np.concatenate(found) >> np.uint64(16), return_counts=True)
-        cut_at, block = B.ranges(h << np.uint64(16), n), table.column("block")[0].as_py()
-        return B.mail([(i, block, B.pack(*B.squeeze(h[a:b]), np.minimum(df[a:b], 2**32 - 1).astype(np.uint32 if df[a:b].max() > 255 else np.uint8))) for i, (a, b) in enumerate(zip(cut_at[:-1], cut_at[1:], strict=True)) if b > a])
-
-    return ask
-
-
-def _count(sent: list[list[np.ndarray]]) -> list[np.ndarray]:
-    keys = [B.unsqueeze(*s[:3]) for s in sent]
-    order, group, start = B.grouped([[k] for k in keys])
-    df = np.concatenate([s[3].astype(np.int64) for s in sent])[order]
-    level = _levels(np.add.reduceat(df, start))[group]
-    back = np.empty_like(level)
-    back[order] = level
-    return np.split(back, np.cumsum([len(k) for k in keys])[:-1])
+    return row[at], h[at], count, w[at], whole, n
 
 
 # ---- signatures
@@ -133,39 +142,23 @@ class Sampler:
         return out
 
 
-SIGNED = "doc_id long, high long, low long, n_words long, weight double, size int, bands array<long>, levels binary"
-
-
-def _sign(k: int, n_docs: int, bands: int, rows: int):
-    made: list[Sampler] = []
-
-    def sign(key, docs: pa.Table, mail: pa.Table) -> pa.Table:
-        if not docs.num_rows:
-            return pa.table({"doc_id": pa.array([], pa.int64()), "high": pa.array([], pa.int64()), "low": pa.array([], pa.int64()), "n_words": pa.array([], pa.int64()), "weight": pa.array([], pa.float64()), "size": pa.array([], pa.int32()), "bands": pa.array([], pa.list_(pa.int64())), "levels": pa.array([], pa.binary())})
-        sampler = made[0] if made else Sampler(bands, rows)
-        made[:] = [sampler]
-        texts = B.Texts(docs)
-        reply, _ = B.replies(mail)
-        found = [shingles(texts.offsets[a : b + 1] - texts.offsets[a], texts.data[texts.offsets[a] : texts.offsets[b]], k) for a, b in texts.parts()]
-        distinct = np.unique(np.concatenate([f[1] for f in found]) >> np.uint64(16))
-        weight, sizes, signed, levels = [], [], [], []
-        for row, h, count, _, n_words in found:
-            level = reply[np.searchsorted(distinct, h >> np.uint64(16))] if len(h) else np.zeros(0, np.uint8)
-            w = count * idf(level, n_docs)
-            n = len(n_words)
-            size = np.bincount(row, minlength=n)
-            live = np.flatnonzero(size)
-            at = (np.cumsum(size) - size)[live]
-            own = np.zeros((n, bands), np.uint64)
-            own[live] = sampler.signatures(h, np.log(w), at)
-            signed.append(own)
-            weight.append(np.bincount(row, weights=w, minlength=n))
-            sizes.append(size)
-            edges = np.concatenate([[0], np.cumsum(size)])
-            levels += [zlib.compress(level[s:e].tobytes(), 1) for s, e in zip(edges[:-1], edges[1:], strict=True)]
-        whole = np.concatenate([f[3] for f in found], axis=1).view(np.int64)
-        flat = np.concatenate(signed).view(np.int64)
-        return pa.table({"doc_id": texts.doc_ids(), "high": pa.array(whole[0]), "low": pa.array(whole[1]), "n_words": pa.array(np.concatenate([f[4] for f in found])), "weight": pa.array(np.concatenate(weight)), "size": pa.array(np.concatenate(sizes), pa.int32()), "bands": pa.ListArray.from_arrays(pa.array(np.arange(len(flat) + 1, dtype=np.int32) * bands), pa.array(flat.reshape(-1))), "levels": pa.array(levels, pa.binary())})
+SIGNED = "doc_id long, high long, low long, n_words long, weight double, size int, bands array<long>"
+
+
+def _sign(weights, k: int, bands: int, rows: int):
+    def sign(batches):
+        sampler = None
+        for batch in batches:
+            sampler = sampler or Sampler(bands, rows)
+            offsets, data = B.utf8(batch.column(1).fill_null(""))
+            for a, b in B.parts(offsets, 1 << 20):
+                row, h, count, w, whole, n_words = shingles(offsets[a : b + 1] - offsets[a], data[offsets[a] : offsets[b]], k, weights.value)
+                w, size = count * w, np.bincount(row, minlength=b - a)
+                live = np.flatnonzero(size)
+                own = np.zeros((b - a, bands), np.uint64)
+                own[live] = sampler.signatures(h, np.log(w), (np.cumsum(size) - size)[live])
+                flat = pa.ListArray.from_arrays(pa.array(np.arange(b - a + 1, dtype=np.int32) * bands), pa.array(own.view(np.int64).reshape(-1)))
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), *(pa.array(x) for x in whole.view(np.int64)), pa.array(n_words), pa.array(np.bincount(row, weights=w, minlength=b - a).astype(float)), pa.array(size.astype(np.int32)), flat], ["doc_id", "high", "low", "n_words", "weight", "size", "bands"])
 
     return sign
 
@@ -173,13 +166,12 @@ def _sign(k: int, n_docs: int, bands: int, rows: int):
 # ---- verification
 
 
-def similarities(left, right, left_levels: list[bytes], right_levels: list[bytes], k: int, n_docs: int, plain: bool = False) -> np.ndarray:
+def similarities(left, right, k: int, weights: np.ndarray, plain: bool = False) -> np.ndarray:
     """Weighted Jaccard of the texts in two string arrays, row by row; with ``plain``, that of their sets of shingles where it is larger."""
     sides = []
-    for column, levels in ((left, left_levels), (right, right_levels)):
-        row, h, count, _, _ = shingles(*B.utf8(column), k)
-        level = np.frombuffer(b"".join(zlib.decompress(x) for x in levels), np.uint8)
-        sides.append((row, h, count * idf(level, n_docs)))
+    for column in (left, right):
+        row, h, count, w, _, _ = shingles(*B.utf8(column), k, weights)
+        sides.append((row, h, count * w))
     row, h, w = (np.concatenate([s[i] for s in sides]) for i in range(3))
     order = np.lexsort((h, row))
     row, h, w = row[order], h[order], w[order]
@@ -194,38 +186,40 @@ def similarities(left, right, left_levels: list[bytes], right_levels: list[bytes
     return found
 
 
-def _verify(k: int, n_docs: int, threshold: float, plain: bool):
-    def run(batches):
-        for batch in batches:
-            sizes = np.cumsum([len(x) + len(y) for x, y in zip(batch.column("x_text").to_pylist(), batch.column("y_text").to_pylist(), strict=True)])
-            at = 0
-            while at < batch.num_rows:
-                to = max(at + 1, int(np.searchsorted(sizes, (sizes[at - 1] if at else 0) + 2_000_000, side="right")))
-                s = batch.slice(at, to - at)
-                found = similarities(s.column("x_text"), s.column("y_text"), s.column("x_levels").to_pylist(), s.column("y_levels").to_pylist(), k, n_docs, plain)
-                keep = pa.array(found >= threshold - 1e-12)
-                yield pa.RecordBatch.from_arrays([s.column("x").filter(keep), s.column("y").filter(keep), pa.array(found).filter(keep)], ["x", "y", "similarity"])
-                at = to
+LINKS = "x long, y long, similarity double"
+
+
+def _verify(weights, k: int, threshold: float, plain: bool):
+    def run(key, pairs: pa.Table, texts: pa.Table) -> pa.Table:
+        """One x with some of its y."""
+        none = pa.table({"x": pa.array([], pa.int64()), "y": pa.array([], pa.int64()), "similarity": pa.array([], pa.float64())})
+        if not pairs.num_rows or not texts.num_rows:
+            return none
+        x_text, y_texts, out = texts.column("text")[0].as_py(), pairs.column("y_text").combine_chunks(), []
+        sizes = np.cumsum([0, *(pa.compute.binary_length(y_texts).to_numpy() + len(x_text))])
+        for a, b in B.parts(sizes, 1 << 20):
+            found = similarities(pa.array([x_text] * (b - a)), y_texts.slice(a, b - a), k, weights.value, plain)
+            near = np.flatnonzero(found >= threshold - 1e-12)
+            out.append(pa.table({"x": pa.array([key[0].as_py()] * len(near), pa.int64()), "y": pairs.column("y").slice(a, b - a).take(pa.array(near)), "similarity": pa.array(found[near])}))
+        return pa.concat_tables(out) if out else none
 
     return run
 
 
-def _expanded(column, levels: list[bytes], k: int, n_docs: int):
+def _expanded(column, k: int, weights: np.ndarray):
     """Row, key, weight and turn of every shingle, one entry for each time it stands in the text: so that common weights are sums of products."""
-    row, h, count, _, _ = shingles(*B.utf8(column), k)
-    level = np.frombuffer(b"".join(zlib.decompress(x) for x in levels), np.uint8)
+    row, h, count, w, _, _ = shingles(*B.utf8(column), k, weights)
     turn = B.expand(np.zeros(len(h), np.int64), count).astype(np.uint64)
-    return np.repeat(row, count), B.mix(np.repeat(h, count) + turn * np.uint64(0x9E3779B97F4A7C15)), np.repeat(idf(level, n_docs), count), turn
+    return np.repeat(row, count), B.mix(np.repeat(h, count) + turn * np.uint64(0x9E3779B97F4A7C15)), np.repeat(w, count), turn
 
 
-LINKS = "x long, y long, similarity double"
 #: Columns of the working matrices of a block.
-_COLUMNS = 4096
+_COLUMNS = 2048
 
 
-def block_similarities(left: pa.Table, right: pa.Table, k: int, n_docs: int, plain: bool = False) -> np.ndarray:
+def block_similarities(left: pa.Table, right: pa.Table, k: int, weights: np.ndarray, plain: bool = False) -> np.ndarray:
     """Weighted Jaccard of every text in one block with every text in the other, as a matrix product over common shingles; ``plain`` as above."""
-    sides = [_expanded(t.column("text"), t.column("levels").to_pylist(), k, n_docs) for t in (left, right)]
+    sides = [_expanded(t.column("text"), k, weights) for t in (left, right)]
     total = [np.bincount(row, weights=w, minlength=t.num_rows) for (row, _, w, _), t in zip(sides, (left, right), strict=True)]
     both = np.intersect1d(sides[0][1], sides[1][1])
     placed, single = [], np.zeros(len(both), bool)  # single: columns of a shingle's first time in a text
@@ -254,13 +248,17 @@ def block_similarities(left: pa.Table, right: pa.Table, k: int, n_docs: int, pla
     return found
 
 
-def _compare(k: int, n_docs: int, threshold: float, plain: bool):
-    def run(key, left: pa.Table, right: pa.Table) -> pa.Table:
-        if not left.num_rows or not right.num_rows:
-            return pa.table({"x": pa.array([], pa.int64()), "y": pa.array([], pa.int64()), "similarity": pa.array([], pa.float64())})
-        found = block_similarities(left, right, k, n_docs, plain)
+def _compare(weights, k: int, threshold: float, plain: bool):
+    def run(key, table: pa.Table) -> pa.Table:
+        """Two blocks a and b of a bucket, or one with itself."""
+        part = np.asarray(table.column("part"))
+        a, b = key[1].as_py(), key[2].as_py()
+        left = table.filter(pa.array(part == a))
+        right = table.filter(pa.array(part == b))
+        found = block_similarities(left, right, k, weights.value, plain)
         x, y, u, v = (np.asarray(t.column(c)) for c in ("doc_id", "label") for t in (left, right))
-        i, j = np.nonzero((found >= threshold - 1e-12) & (u[:, None] != v))
+        near = (found >= threshold - 1e-12) & (u[:, None] != v)
+        i, j = np.nonzero(np.triu(near) if a == b else near)
         return pa.table({"x": np.minimum(x[i], y[j]), "y": np.maximum(x[i], y[j]), "similarity": found[i, j]})
 
     return run
@@ -269,62 +267,58 @@ def _compare(k: int, n_docs: int, threshold: float, plain: bool):
 class NearDedup:
     """The steps of the operator over one table."""
 
-    def __init__(self, docs: DataFrame, threshold: float = 0.8, shingle: int = 5, bands: int = 14, rows: int = 4, block_bytes: int = B.BLOCK_BYTES, plain: bool = False):
+    def __init__(self, docs: DataFrame, threshold: float = 0.8, shingle: int = 5, bands: int = 14, rows: int = 4, plain: bool = False):
         self.threshold, self.shingle, self.plain = threshold, shingle, plain
-        dealt, n = B.dealt(docs, block_bytes)
         self.docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-        self.n_docs = docs.count()
-        counts = B.answered(dealt.groupBy("block").applyInArrow(_ask_counts(n, shingle), B.MAIL), _count)
-        self.signed = cut(dealt.groupBy("block").cogroup(counts.groupBy("block")).applyInArrow(_sign(shingle, self.n_docs, bands, rows), SIGNED))
+        self.weights = docs.sparkSession.sparkContext.broadcast(word_weights(self.docs))  # of fixed size
+        self.signed = cut(self.docs.mapInArrow(_sign(self.weights, shingle, bands, rows), SIGNED))
         whole = self.signed.filter("n_words > 0 AND doc_id IS NOT NULL")
-        firsts = whole.groupBy("high", "low").agg(F.min("doc_id").alias("first"))
-        self.copies = cut(firsts)
-        heads = whole.join(firsts, ["high", "low"]).filter("doc_id = first").dropDuplicates(["doc_id"])
+        heads = whole.groupBy("high", "low").agg(F.min_by(F.struct("doc_id", "weight", "size", "bands"), "doc_id").alias("h")).select("high", "low", "h.*")
+        heads = cut(heads)
+        self.copies = heads.select("high", "low", F.col("doc_id").alias("first"))
+        if self._repeated():
+            heads = heads.groupBy("doc_id").agg(F.min_by(F.struct("weight", "size", "bands"), F.struct("high", "low")).alias("h")).select("doc_id", "h.*")
         members = heads.select("doc_id", F.struct("weight", "size").alias("weight"), F.explode("bands").alias("bucket"))
-        leaders = members.groupBy("bucket").agg(F.min(F.struct("doc_id", "weight")).alias("leader"), F.count("*").alias("n")).filter("n > 1").drop("n")
+        leaders = members.groupBy("bucket").agg(F.min(F.struct("doc_id", "weight")).alias("leader"), F.count("*").alias("n")).filter("n > 1")
         self.members = cut(members.join(leaders, "bucket"))  # of buckets with two members or more
 
     def _near(self, pairs: DataFrame) -> DataFrame:
-        """Distinct pairs x < y whose weights, or with ``plain`` numbers of shingles, allow the similarity."""
+        """Distinct pairs x <> y whose weights, or with ``plain`` numbers of shingles, allow the similarity; of n pairs of one x, up to ``LEADER_ROWS`` have a salt."""
         fits = [f"least(x_weight.{c}, y_weight.{c}) >= {self.threshold} * greatest(x_weight.{c}, y_weight.{c}) - 1e-9" for c in (["weight", "size"] if self.plain else ["weight"])]
-        return pairs.filter(f"x <> y AND ({' OR '.join(fits)})").select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
+        salt = F.pmod(F.xxhash64("y"), F.ceil(F.col("n") / LEADER_ROWS)).cast("int")
+        return pairs.filter(f"x <> y AND ({' OR '.join(fits)})").select("x", "y", salt.alias("salt")).groupBy("x", "y").agg(F.min("salt").alias("salt"))
 
     def verify(self, pairs: DataFrame) -> DataFrame:
-        """The pairs that are links, with their similarity."""
+        """The pairs that are links, with their similarity. A text comes once to all pairs of one x and salt, and once to each pair as y."""
         pairs = cut(pairs)
-        full = self._texts(pairs.select(F.col("x").alias("doc_id")).distinct().unionByName(pairs.select(F.col("y").alias("doc_id")).distinct()).distinct())
-        x = full.select(F.col("doc_id").alias("x"), F.col("text").alias("x_text"), F.col("levels").alias("x_levels"))
-        y = full.select(F.col("doc_id").alias("y"), F.col("text").alias("y_text"), F.col("levels").alias("y_levels"))
-        return cut(pairs.join(x, "x").join(y, "y").mapInArrow(_verify(self.shingle, self.n_docs, self.threshold, self.plain), LINKS))
+        texts = self._texts(pairs.select(F.col("x").alias("doc_id")).unionByName(pairs.select(F.col("y").alias("doc_id"))).distinct())
+        left = pairs.join(texts.select(F.col("doc_id").alias("y"), F.col("text").alias("y_text")), "y").select("x", "salt", "y", "y_text")
+        right = pairs.select("x", "salt").distinct().join(texts.withColumnRenamed("doc_id", "x"), "x")
+        left, right = (t.select([F.col(c).alias(c) for c in t.columns]) for t in (left, right))
+        return cut(left.groupBy("x", "salt").cogroup(right.groupBy("x", "salt")).applyInArrow(_verify(self.weights, self.shingle, self.threshold, self.plain), LINKS))
 
     def _texts(self, ids: DataFrame) -> DataFrame:
-        """doc_id, text and levels of some documents."""
+        """doc_id and text of some documents."""
         if ids.count() <= BROADCAST_IDS:
             ids = F.broadcast(ids)
-        levels = self.signed.join(ids, "doc_id", "left_semi").select("doc_id", "levels")
         texts = self.docs.join(ids, "doc_id", "left_semi")
-        if self._repeated():
-            levels, texts = (t.dropDuplicates(["doc_id"]) for t in (levels, texts))
-        return texts.join(levels, "doc_id")
+        return texts.groupBy("doc_id").agg(F.min("text").alias("text")) if self._repeated() else texts
 
     def compare(self, open_: DataFrame) -> DataFrame:
         """Links between members of different components in large buckets: outside the main one, against all.
 
-        Both sides are cut into blocks of about ``BLOCK_ROWS`` texts, and each pair of blocks is one small task of matrix products. No pair that is not
-        a link becomes a row.
+        Members outside the main component and members of it are cut into blocks of about ``BLOCK_ROWS`` texts; each pair of blocks, but for two
+        of the main component, is one small task of matrix products. No pair that is not a link becomes a row.
         """
         texts = self._texts(open_.select("doc_id").distinct())
-        sizes = open_.groupBy("bucket").agg(F.count_if(F.col("label") != F.col("main")).alias("n_rest"))
-        rows = open_.join(sizes, "bucket")
-        parts = lambda n: F.greatest(F.lit(1), F.ceil(F.col(n) / BLOCK_ROWS)).cast("int")
-        rows = rows.select("bucket", "doc_id", "label", "main", parts("n_rest").alias("lefts"), parts("n").alias("rights"))
+        parts = lambda n: F.ceil(n / BLOCK_ROWS).cast("int")
+        sizes = open_.groupBy("bucket").agg(parts(F.count_if(F.col("label") != F.col("main"))).alias("rest"), parts(F.count_if(F.col("label") == F.col("main"))).alias("mains"))
         own = lambda n: F.pmod(F.xxhash64("doc_id", "bucket"), F.col(n)).cast("int")
-        every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-        left = rows.filter("label <> main").select("bucket", "doc_id", "label", own("lefts").alias("a"), every("rights").alias("b"))
-        right = rows.select("bucket", "doc_id", "label", every("lefts").alias("a"), own("rights").alias("b"))
-        keys = ["bucket", "a", "b"]
-        left, right = (t.join(texts, "doc_id").select(*[F.col(c).alias(c) for c in (*keys, "doc_id", "label", "text", "levels")]) for t in (left, right))
-        return cut(left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(_compare(self.shingle, self.n_docs, self.threshold, self.plain), LINKS).dropDuplicates(["x", "y"]))
+        rows = open_.join(sizes, "bucket").withColumn("part", F.when(F.col("label") == F.col("main"), F.col("rest") + own("mains")).otherwise(own("rest")))
+        with_ = F.explode(F.when(F.col("part") < F.col("rest"), F.sequence(F.lit(0), F.col("rest") + F.col("mains") - 1)).otherwise(F.sequence(F.lit(0), F.col("rest") - 1)))
+        rows = rows.select("bucket", "doc_id", "label", "part", with_.alias("other"))
+        rows = rows.select("bucket", F.least("part", "other").alias("a"), F.greatest("part", "other").alias("b"), "part", "doc_id", "label").join(texts, "doc_id")
+        return cut(rows.groupBy("bucket", "a", "b").applyInArrow(_compare(self.weights, self.shingle, self.threshold, self.plain), LINKS).dropDuplicates(["x", "y"]))
 
     def _repeated(self) -> bool:
         """Whether a doc_id has several rows."""
@@ -335,14 +329,14 @@ class NearDedup:
     def _open(self, links: DataFrame, tried: int) -> DataFrame:
         """Members of buckets that hold several components: with the component of the smallest member (main), and a member drawn anew (s)."""
         labels = components(links, "x", "y")
-        held = self.members.join(labels.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("label", F.coalesce("label", "doc_id")).select("bucket", "doc_id", "weight", "label")
+        held = self.members.select("bucket", "doc_id", "weight").join(labels.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("label", F.coalesce("label", "doc_id")).select("bucket", "doc_id", "weight", "label")
         draw = F.min_by(F.struct("doc_id", "weight", "label"), F.xxhash64("doc_id", "bucket", F.lit(tried)))
         main = held.groupBy("bucket").agg(F.min(F.struct("doc_id", "label")).alias("m"), draw.alias("s"), F.count("*").alias("n"), F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo < hi").select("bucket", F.col("m.label").alias("main"), "s", "n")
         return cut(held.join(main, "bucket"))
 
     def links(self, drawn: int = 1, small: int = SMALL_BUCKET) -> DataFrame:
         """Links enough that their components are those of all candidate links."""
-        m = self.members.select("bucket", F.col("doc_id").alias("x"), F.col("weight").alias("x_weight"), F.col("leader.doc_id").alias("y"), F.col("leader.weight").alias("y_weight"))
+        m = self.members.select("bucket", F.col("leader.doc_id").alias("x"), F.col("leader.weight").alias("x_weight"), F.col("doc_id").alias("y"), F.col("weight").alias("y_weight"), "n")
         links = self.verify(self._near(m))
         for k in range(drawn + 1):
             open_ = self._open(links, k)
@@ -350,12 +344,12 @@ class NearDedup:
             if k < drawn:  # another leader in each large bucket: linear in the bucket
                 if large.isEmpty():
                     continue
-                pairs = large.select(F.col("s.doc_id").alias("x"), F.col("s.weight").alias("x_weight"), F.col("s.label").alias("x_label"), F.col("doc_id").alias("y"), F.col("weight").alias("y_weight"), F.col("label").alias("y_label"))
+                pairs = large.select(F.col("s.doc_id").alias("x"), F.col("s.weight").alias("x_weight"), F.col("s.label").alias("x_label"), F.col("doc_id").alias("y"), F.col("weight").alias("y_weight"), F.col("label").alias("y_label"), "n")
                 links = links.unionByName(self.verify(self._near(pairs.filter("x_label <> y_label"))))
                 continue
             few = open_.filter(F.col("n") <= small)
             side = few.filter("label <> main").select("bucket", F.col("doc_id").alias("x"), F.col("weight").alias("x_weight"), F.col("label").alias("x_label"))
-            other = few.select("bucket", F.col("doc_id").alias("y"), F.col("weight").alias("y_weight"), F.col("label").alias("y_label"))
+            other = few.select("bucket", F.col("doc_id").alias("y"), F.col("weight").alias("y_weight"), F.col("label").alias("y_label"), "n")
             links = links.unionByName(self.verify(self._near(side.join(other, "bucket").filter("x_label <> y_label"))))
             if not large.isEmpty():
                 links = links.unionByName(self.compare(large))
@@ -368,9 +362,9 @@ class NearDedup:
         return found.select("doc_id", F.when(F.col("n_words") == 0, F.col("doc_id")).otherwise(F.when(F.col("doc_id").isNotNull(), F.coalesce("label", "first"))).alias("class_id"))
 
 
-def near_dedup(docs: DataFrame, threshold: float = 0.8, shingle: int = 5, bands: int = 14, rows: int = 4, block_bytes: int = B.BLOCK_BYTES, plain: bool = False) -> DataFrame:
+def near_dedup(docs: DataFrame, threshold: float = 0.8, shingle: int = 5, bands: int = 14, rows: int = 4, plain: bool = False) -> DataFrame:
     """doc_id and class_id of every row; a class is kept by its document with doc_id = class_id."""
-    return NearDedup(docs, threshold, shingle, bands, rows, block_bytes, plain).classes()
+    return NearDedup(docs, threshold, shingle, bands, rows, plain).classes()
 
 
 def keep_one(docs: DataFrame, **options) -> DataFrame:

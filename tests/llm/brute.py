@@ -57,21 +57,27 @@ def line_dedup(rows, t):
     return out
 
 
-def near_classes(rows, threshold, k):
+def near_classes(rows, threshold, k, plain=False):
     """rows: (doc_id, text) with distinct ids. Returns ({doc_id: class_id}, links) by all pairs, weighted as the operator does."""
     import math
     from collections import Counter
 
-    grams = {}
-    for d, t in rows:
-        w = (t or "").split()
-        grams[d] = Counter(tuple(w[i : i + k]) for i in range(len(w) - k + 1)) if len(w) >= k else Counter([tuple(w)] if w else [])
-    df = Counter(g for c in grams.values() for g in c)
-    n = len(rows)
+    import numpy as np
+
+    from scholmill.llm import blocks as B
+    from scholmill.llm.near_dedup import word_place
+
+    def place(word):
+        data = np.frombuffer(word.encode(), np.uint8)
+        return int(word_place(B.words(np.array([0, len(data)]), data)[0])[0])
+
+    words = {d: (t or "").split() for d, t in rows}
+    places = {w: place(w) for x in words.values() for w in x}
+    df, n = Counter(p for x in words.values() for p in {places[w] for w in x}), len(rows)
+    grams = {d: Counter(tuple(w[i : i + k]) for i in range(len(w) - k + 1)) if len(w) >= k else Counter([tuple(w)] if w else []) for d, w in words.items()}
 
     def idf(g):
-        level = min(round(8 * math.log2(df[g])), 255)
-        return 1 + max(0.0, math.log((1 + n) / (1 + 2 ** (level / 8)))) / math.log(1 + max(n, 2))
+        return sum(round(1024 * (1 + max(0.0, math.log((1 + n) / (1 + df[places[w]]))) / math.log(1 + max(n, 2)))) for w in g) / (1024 * len(g))
 
     vec = {d: {g: c * idf(g) for g, c in x.items()} for d, x in grams.items()}
     label, links = {d: d for d in vec}, {}
@@ -81,6 +87,8 @@ def near_classes(rows, threshold, k):
             keys = vec[a].keys() | vec[b].keys()
             top = sum(max(vec[a].get(g, 0), vec[b].get(g, 0)) for g in keys)
             s = sum(min(vec[a].get(g, 0), vec[b].get(g, 0)) for g in keys) / top if top else 0
+            if plain and keys:
+                s = max(s, len(vec[a].keys() & vec[b].keys()) / len(keys))
             if s >= threshold:
                 links[a, b] = s
                 old, new = max(label[a], label[b]), min(label[a], label[b])

@@ -1,5 +1,4 @@
 import random
-import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -40,7 +39,7 @@ def table(spark, rows):
 def test_classes(spark):
     rows = corpus(1)
     want, _ = brute.near_classes(rows, 0.8, 5)
-    got = {r.doc_id: r.class_id for r in near_dedup(table(spark, rows), bands=30, rows=2, block_bytes=9000).collect()}
+    got = {r.doc_id: r.class_id for r in near_dedup(table(spark, rows), bands=30, rows=2).collect()}
     assert got == want
 
 
@@ -89,13 +88,13 @@ def test_plain_similarities():
     rng = random.Random(9)
     texts = [" ".join(rng.choices("abc", k=rng.randint(5, 40))) for _ in range(30)]
     sets = [{tuple(t.split()[i : i + 2]) for i in range(len(t.split()) - 1)} for t in texts]
-    levels = [zlib.compress(bytes(len(s))) for s in sets]
-    t = pa.table({"text": texts, "levels": pa.array(levels, pa.binary())})
+    weights = np.full(N.WORDS, 1024)
+    t = pa.table({"text": texts})
     plain = np.array([[len(a & b) / len(a | b) for b in sets] for a in sets])
-    blocks = N.block_similarities(t, t, 2, 30, plain=True)
-    assert np.allclose(blocks, np.maximum(plain, N.block_similarities(t, t, 2, 30)))
+    blocks = N.block_similarities(t, t, 2, weights, plain=True)
+    assert np.allclose(blocks, np.maximum(plain, N.block_similarities(t, t, 2, weights)))
     x, y = (np.repeat(np.arange(30), 30), np.tile(np.arange(30), 30))
-    pairs = N.similarities(pa.array([texts[i] for i in x]), pa.array([texts[i] for i in y]), [levels[i] for i in x], [levels[i] for i in y], 2, 30, plain=True)
+    pairs = N.similarities(pa.array([texts[i] for i in x]), pa.array([texts[i] for i in y]), 2, weights, plain=True)
     assert np.allclose(pairs.reshape(30, 30), blocks)
 
 
