@@ -249,7 +249,7 @@ def block_similarities(left: pa.Table, right: pa.Table, k: int, weights: np.ndar
 
 
 def _compare(weights, k: int, threshold: float, plain: bool):
-    def run(key, table: pa.Table) -> pa.Table:
+    def run(key: tuple, table: pa.Table) -> pa.Table:
         """Two blocks a and b of a bucket, or one with itself."""
         part = np.asarray(table.column("part"))
         a, b = key[1].as_py(), key[2].as_py()

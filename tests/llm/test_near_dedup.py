@@ -63,6 +63,24 @@ def test_leaders_and_the_rest(spark, monkeypatch):
     assert links
 
 
+def test_blocks_of_a_large_bucket(spark, monkeypatch):
+    """Groups that share half of their words meet in buckets led by one of them; the others find each other block by block."""
+    rng, rows = random.Random(6), []
+    shared = [f"v{i}" for i in range(100)]
+    for i in range(60):
+        w = shared + [f"g{i % 4}_{j}" for j in range(80)]
+        w[rng.randrange(180)] = f"x{i}"
+        rows.append((i, " ".join(w)))
+    want, _ = brute.near_classes(rows, 0.8, 5)
+    assert len(set(want.values())) == 4
+    monkeypatch.setattr(N, "BLOCK_ROWS", 7)
+    called, compare = [], NearDedup.compare
+    monkeypatch.setattr(NearDedup, "compare", lambda self, open_: called.append(1) or compare(self, open_))
+    d = NearDedup(table(spark, rows), bands=2, rows=1)
+    label = {r.node: r.label for r in components(d.links(0, 1), "x", "y").collect()}
+    assert {i: label.get(i, i) for i, _ in rows} == want and called
+
+
 def test_large_group_of_near_copies(spark, tmp_path, monkeypatch):
     """Texts of one group whose plain similarities are 0.81 are one class, although their shared shingles weigh least."""
     rows = []
