@@ -1,25 +1,24 @@
-"""Documents dealt into blocks of bounded size, and a question-and-answer exchange between blocks and hash ranges.
+"""Documents dealt into blocks of bounded size, hashes of their words and stretches, and questions about the whole corpus.
 
-Several operators ask a corpus-wide question about every fingerprint of every document: how many documents
-hold it, or which is the first. A block holds some megabytes of text. Each block sends its distinct
-fingerprints, as sorted packed arrays cut by hash range, to the tasks that own the ranges; each range answers
-every block in the order it was asked. So a fingerprint that a third of all documents hold still arrives
-once per block only, and no task gathers a key's documents.
+Several operators ask about every fingerprint of every document: does another document hold it, and is one of them earlier? A block holds
+some megabytes of text. It sends each of its distinct fingerprints once, as a row; a window over equal fingerprints finds the smallest doc_id;
+rows of fingerprints that other blocks hold too go back to the block that sent them. So rows grow in proportion to the text, and a
+fingerprint that a third of all documents hold is a row for each block.
 """
 
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 BLOCK_BYTES = 4 << 20
 NO_ID = np.iinfo(np.int64).max  # orders rows without doc_id after all others
-MAIL = "dest long, block long, body binary"
+ASKED = "key long, check long, id long, place long, body binary"
 _MUL = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -119,6 +118,22 @@ def segments(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarr
     return mix(out + size.astype(np.uint64) * _MUL)
 
 
+def _word_hashes(data: np.ndarray, inside: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """The same for the words of a text, which are all of its bytes ``inside``."""
+    if not len(starts):
+        return np.zeros(0, np.uint64)
+    count = ends - starts
+    head = np.cumsum(count) - count
+    at = np.flatnonzero(inside).astype(np.int32)
+    place = at - np.repeat(starts.astype(np.int32), count)
+    longest = int(count.max())
+    value = _TABLE[(((place & np.int32(_STEPS - 1)) if longest > _STEPS else place) << np.int32(8)) | data[inside]]
+    if longest > _STEPS:
+        far = np.flatnonzero(place >= _STEPS)
+        value[far] = mix(value[far] + (place[far] // _STEPS).astype(np.uint64) * _TURN)
+    return mix(np.add.reduceat(value, head) + count.astype(np.uint64) * _MUL)
+
+
 def sequences(symbols: np.ndarray, first: np.ndarray, seed: int = 0) -> np.ndarray:
     """Hash of each row of symbols, row i from first[i] to first[i + 1]: a sum of mixed (place, symbol); another for another seed."""
     count = np.diff(first)
@@ -168,11 +183,13 @@ class Powers:
 
 
 FIRST = Powers(0x5851F42D4C957F2D)
-SECOND = Powers(0xD1342543DE82EF95)
 
 
 class Prefix:
-    """Prefix polynomial hashes of a sequence of symbols: the hash of any stretch in constant time."""
+    """Prefix polynomial hashes of a sequence of symbols: the hash of any stretch in constant time.
+
+    Texts can be made whose polynomials agree modulo 2**64, so what is equal by these hashes is compared by bytes or by another hash.
+    """
 
     def __init__(self, symbols: np.ndarray, powers: Powers = FIRST):
         up, self.down = powers.to(len(symbols) + 1)
@@ -188,6 +205,12 @@ class Prefix:
         return mix((self.sums[length : length + n] - self.sums[:n]) * self.down[:n] + np.uint64(length * int(_MUL) % 2**64))
 
 
+def octets(data: np.ndarray) -> np.ndarray:
+    """A mixed value for every eight bytes in a row, as symbols of a sequence."""
+    n = max(0, len(data) - 7)
+    return mix(np.ndarray((n,), np.uint64, np.ascontiguousarray(data), strides=(1,)).copy() + _MUL) if n else np.zeros(0, np.uint64)
+
+
 #: The bytes that part words, space and 0x09 to 0x0D.
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
@@ -207,7 +230,7 @@ def words(offsets: np.ndarray, data: np.ndarray, apart: np.ndarray = _SPACE) ->
     inner = offsets[1:-1]
     finish[inner[inner > 0] - 1] = True
     ends = np.flatnonzero(finish & ~space) + 1
-    return segments(data, starts, ends), np.searchsorted(starts, offsets), starts
+    return _word_hashes(data, ~space, starts, ends), np.searchsorted(starts, offsets), starts
 
 
 def expand(first: np.ndarray, count: np.ndarray) -> np.ndarray:
@@ -247,96 +270,55 @@ def unpack(body: bytes) -> list[np.ndarray]:
     return out
 
 
-def small_ids(ids: np.ndarray) -> np.ndarray:
-    """As 32-bit numbers where all fit: less to shuffle."""
-    return ids.astype(np.uint32) if len(ids) and ids.min() >= 0 and ids.max() < 1 << 32 else ids
-
-
-def squeeze(sorted_keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Sorted 64-bit keys as 32-bit steps; where and by how much steps are larger."""
-    step = np.diff(sorted_keys, prepend=np.uint64(0))
-    high = step >> np.uint64(32)
-    at = np.flatnonzero(high)
-    return step.astype(np.uint32), at.astype(np.uint32), high[at]
-
-
-def unsqueeze(step: np.ndarray, at: np.ndarray, high: np.ndarray) -> np.ndarray:
-    full = step.astype(np.uint64)
-    full[at] += high << np.uint64(32)
-    return np.cumsum(full)
-
-
-def ranges(hashes: np.ndarray, n: int) -> np.ndarray:
-    """Where the sorted hashes are cut into n equal ranges of the hash space."""
-    edges = np.array([(i << 64) // n for i in range(1, n)], np.uint64)
-    return np.concatenate([[0], np.searchsorted(hashes, edges), [len(hashes)]])
-
+def distinct(keys: np.ndarray, checks: np.ndarray, ids: np.ndarray, *then: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The entry of each distinct (key, check) with the smallest id (then the smallest of what follows), and each entry's number among these."""
+    order = np.lexsort((*reversed(then), ids, checks, keys))
+    new = np.ones(len(order), bool)
+    new[1:] = (np.diff(keys[order]) != 0) | (np.diff(checks[order]) != 0)
+    of = np.empty(len(order), np.int64)
+    of[order] = np.cumsum(new) - 1
+    return order[new], of
 
-def mail(rows: list[tuple[int, int, bytes]]) -> pa.Table:
-    dest, block, body = zip(*rows, strict=True) if rows else ((), (), ())
-    return pa.table({"dest": pa.array(dest, pa.int64()), "block": pa.array(block, pa.int64()), "body": pa.array(body, pa.binary())})
 
+def question(block: int, keys: np.ndarray, checks: np.ndarray, ids: np.ndarray, body: bytes | None = None) -> pa.Table:
+    """A block's distinct fingerprints, each with its smallest id; ``body`` goes back to the block as it is."""
+    more = 0 if body is None else 1
+    place = (block << 32) + np.arange(len(keys) + more)
+    own = lambda x: np.append(x, np.zeros(more, x.dtype))
+    keys, checks, ids = own(keys).view(np.int64), own(checks).view(np.int64), own(ids)
+    bodies = pa.nulls(len(keys), pa.binary())
+    if more:
+        keys[-1], checks[-1] = block, -1  # no fingerprint: filtered by its body
+        bodies = pa.concat_arrays([pa.nulls(len(keys) - 1, pa.binary()), pa.array([body], pa.binary())])
+    return pa.table({"key": keys, "check": checks, "id": ids, "place": place, "body": bodies})
 
-def ask(block: int, n: int, hashes: np.ndarray, *columns: np.ndarray, keep: bytes | None = None) -> pa.Table:
-    """A block's question: distinct sorted hashes with their columns, cut by range; ``keep`` goes back to the block as it is."""
-    cut = ranges(hashes, n)
-    rows = [(i, block, pack(hashes[a:b], *(c[a:b] for c in columns))) for i, (a, b) in enumerate(zip(cut[:-1], cut[1:], strict=True)) if b > a]
-    return mail(rows + ([(-1 - block, block, keep)] if keep is not None else []))
 
+def answered(asked: DataFrame, kinds: bool = False) -> DataFrame:
+    """(block, at, code, body) of the fingerprints that other blocks hold too, by their number in the block's question.
 
-def answered(questions: DataFrame, answer: Callable[[list[list[np.ndarray]]], list[np.ndarray]]) -> DataFrame:
-    """``answer`` gets what all blocks sent to a range, and returns an array for each, in the same order as its hashes."""
-
-    def one(table: pa.Table) -> pa.Table:
-        dest, blocks, bodies = table.column("dest")[0].as_py(), table.column("block").to_pylist(), table.column("body").to_pylist()
-        if dest < 0:
-            return table.select(["dest", "block", "body"])
-        order = sorted(range(len(blocks)), key=blocks.__getitem__)
-        found = answer([unpack(bodies[i]) for i in order])
-        return mail([(dest, blocks[i], pack(a)) for i, a in zip(order, found, strict=True)])
-
-    return questions.groupBy("dest").applyInArrow(one, MAIL)
-
-
-def replies(table: pa.Table) -> tuple[np.ndarray | None, bytes | None]:
-    """A block's answers joined in the order of its sorted hashes, and what it kept."""
-    dest, bodies = table.column("dest").to_pylist(), table.column("body").to_pylist()
-    got = [unpack(bodies[i])[0] for i in sorted(range(len(dest)), key=dest.__getitem__) if dest[i] >= 0]
-    kept = next((b for d, b in zip(dest, bodies, strict=True) if d < 0), None)
-    return (np.concatenate(got) if got else None), kept
-
-
-def grouped(sent: list[list[np.ndarray]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Of all hashes that blocks sent: the order that sorts them, each sorted entry's group, where groups start."""
-    h = np.concatenate([s[0] for s in sent])
-    order = np.argsort(h, kind="stable")
-    new = np.ones(len(h), bool)
-    new[1:] = np.diff(h[order]) != 0
-    return order, np.cumsum(new) - 1, np.flatnonzero(new)
-
-
-def cut_back(sent: list[list[np.ndarray]], values: np.ndarray) -> list[np.ndarray]:
-    """Values in the order sent, for each block."""
-    return np.split(values, np.cumsum([len(s[0]) for s in sent])[:-1])
-
-
-def first_of(keys: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct keys, the smallest id of each, and each entry's key; the ids come in ascending order."""
-    distinct, first, of = np.unique(keys, return_index=True, return_inverse=True)
-    return distinct, ids[first], of
-
-
-def smaller(sent: list[list[np.ndarray]]) -> list[np.ndarray]:
-    """By how much a block's smallest id is above the smallest of all; -1 if it is the smallest and others have the key."""
-    order, group, start = grouped(sent)
-    ids = np.concatenate([s[1].astype(np.int64) for s in sent])[order]
-    least = np.minimum.reduceat(ids, start)
-    count = np.diff(np.append(start, len(ids)))
-    over = ids.astype(np.uint64) - least[group].astype(np.uint64)  # within 64 bits for any two ids
-    found = np.where(over > 0, np.minimum(over, np.uint64(2**62)).astype(np.int64), np.where(count[group] > 1, -1, 0))
-    back = np.empty_like(found)
-    back[order] = found
-    return cut_back(sent, back)
+    Code 1: another block has a smaller id; 2: another block has the fingerprint, none a smaller id. With ``kinds`` 2 stands for a key
+    that comes with several checks instead.
+    """
+    same, every = Window.partitionBy("key", "check"), Window.partitionBy("key").orderBy("check").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    if kinds:
+        asked = asked.withColumn("several", F.min("check").over(every) < F.max("check").over(every))
+    found = asked.withColumn("least", F.min("id").over(same))
+    several = F.col("several") if kinds else F.count("*").over(same) > 1
+    code = F.when(F.col("body").isNotNull(), 0).when(F.col("least") < F.col("id"), 1).when(several, 2)
+    return found.withColumn("code", code.cast("tinyint")).filter("code IS NOT NULL").select(F.shiftright("place", 32).alias("block"), F.col("place").bitwiseAND(0xFFFFFFFF).cast("int").alias("at"), "code", "body")
+
+
+def codes(table: pa.Table, n: int) -> np.ndarray:
+    """The code of each of a block's n fingerprints; 0: no other block has it."""
+    out = np.zeros(n + 1, np.uint8)
+    out[np.asarray(table.column("at"))] = np.asarray(table.column("code"))
+    return out[:n]
+
+
+def kept(table: pa.Table) -> bytes | None:
+    """What the block sent along with its question."""
+    body = table.column("body").combine_chunks().drop_null()
+    return body[0].as_py() if len(body) else None
 
 
 def sha256(b: bytes) -> str:

@@ -1,13 +1,14 @@
 """Line dedup by winnowing over line hashes.
 
-Lines are what ``\\n`` parts. Of every ``min_lines`` lines in a row, the leftmost smallest hash of ``gram`` lines is a
-fingerprint, so a run of ``min_lines`` equal lines has equal fingerprints wherever it stands. Fingerprints are
-joined by hash range; around one that stands elsewhere too, the match is extended both ways by the fingerprints of all
-runs of ``min_lines`` lines that own it. Every line of such a run that stands earlier too (smaller doc_id, or same
-document and earlier line) is deleted; runs are judged on the input.
-
-Null texts are empty (one empty line), shorter documents stay as they are, rows without doc_id come last, rows
-with one doc_id count as one document, an empty table gives an empty result.
+Lines are what ``\\n`` parts. A run is what can repeat: ``min_lines`` lines in a row; one line, or fewer than ``min_lines``, of ``min_words``
+words or more; and a whole text of fewer lines with at least a word. Fingerprints are guaranteed for each: of every ``min_lines`` lines in a row
+the leftmost smallest hash of ``gram`` lines, and the shorter runs themselves. Fingerprints that stand elsewhere too are joined; from such a
+place the match is extended both ways, by all runs of ``min_lines`` lines that own the fingerprint. Every line of a run that stands earlier too
+(smaller doc_id, or same document and earlier line; a whole text: as a whole text of a smaller doc_id) is deleted; runs are judged on the
+input, and are equal by two 64-bit hashes of other seeds.
+
+Null texts are empty (one empty line), rows without doc_id come last, rows with one doc_id count as one document, an empty table gives
+an empty result.
 """
 
 from __future__ import annotations
@@ -20,97 +21,133 @@ from pyspark.sql import functions as F
 from scholmill.llm import blocks as B
 from scholmill.llm.suffix_dedup import leftmost_minima
 
+_OTHER = np.uint64(0xA5A5_5A5A_1234_4321)
+_WHOLE = np.uint64(0x0F0F_3C3C_5555_9999)
+
+
+def _short_space() -> np.ndarray:
+    out = np.zeros(256, bool)
+    out[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
+    return out
+
+
+_SPACE = _short_space()
+
 
 class _Part:
-    """Rows a to b of a block: line hashes, and of every run of ``min_lines`` lines its start and its fingerprint."""
+    """Rows a to b of a block: its lines, and of every run its start, number of lines, fingerprint (key) and two hashes."""
 
-    def __init__(self, texts: B.Texts, a: int, b: int, min_lines: int, gram: int):
+    def __init__(self, texts: B.Texts, a: int, b: int, min_lines: int, min_words: int, gram: int):
         at = texts.offsets[a : b + 1]
         offsets, data = at - at[0], texts.data[at[0] : at[-1]]
         breaks = np.flatnonzero(data == 10)
         per_row = np.diff(np.searchsorted(breaks, offsets)) + 1
         self.a, self.first = a, np.concatenate([[0], np.cumsum(per_row)])
-        self.start = np.empty(self.first[-1], np.int64)
-        head = np.zeros(self.first[-1], bool)
-        head[self.first[:-1]] = True
+        n = int(self.first[-1])
+        head, tail = np.zeros(n, bool), np.zeros(n, bool)
+        head[self.first[:-1]] = tail[self.first[1:] - 1] = True
+        self.start, self.end = np.empty(n, np.int64), np.empty(n, np.int64)
         self.start[head], self.start[~head] = offsets[:-1], breaks + 1
-        self.end = np.empty_like(self.start)
-        tail = np.zeros(self.first[-1], bool)
-        tail[self.first[1:] - 1] = True
         self.end[tail], self.end[~tail] = offsets[1:], breaks
         self.base = int(at[0])
-        lines = B.Prefix(B.Prefix(data).of(self.start, self.end))
-        self.runs = B.expand(self.first[:-1], np.maximum(per_row - min_lines + 1, 0))
+        lines = B.segments(data, self.start, self.end)
+        begin = ~_SPACE[data]
+        if len(data):
+            inner = np.zeros(len(data), bool)
+            inner[1:] = begin[:-1]
+            inner[self.start[self.start < len(data)]] = False
+            begin &= ~inner
+        words = np.diff(np.concatenate([[0], np.cumsum(begin)])[np.stack([self.start, self.end])], axis=0)[0]
+        left = np.repeat(self.first[1:], per_row) - np.arange(n)  # lines from each on to the end of its text
+        runs, sizes, keys, one, two = [], [], [], [], []
+
+        def add(places, size, key, first, second):
+            for to, x in ((runs, places), (sizes, np.full(len(places), size) if np.isscalar(size) else size), (keys, key), (one, first), (two, second)):
+                to.append(x)
+
+        full = np.flatnonzero(left >= min_lines)
+        hashes, others, grams = B.windows(lines, min_lines), B.windows(lines ^ _OTHER, min_lines), B.windows(lines, gram)
+        mark = leftmost_minima(grams, min_lines - gram + 1)[full].astype(np.int64) if len(full) else full
+        add(full, min_lines, grams[mark] if len(full) else np.zeros(0, np.uint64), hashes[full], others[full])
+        self.n_full, self.mark = len(full), mark
+        total = words.copy()
+        for size in range(1, min_lines):  # shorter runs of many words, but those that hold such a run
+            if size > 1:
+                total = total[:-1] + words[size - 1 :] if len(total) else total
+            few = np.flatnonzero((total >= min_words) & (left[: len(total)] >= size))
+            x, y = B.windows(lines, size), B.windows(lines ^ _OTHER, size)
+            add(few, size, x[few], x[few], y[few])
+        per_text = np.diff(np.concatenate([[0], np.cumsum(words)])[self.first])
+        short = np.flatnonzero((per_row < min_lines) & (per_text > 0))
+        x, y = (B.sequences(lines, self.first, seed)[short] ^ _WHOLE for seed in (1, 2))
+        add(self.first[short], per_row[short], x, x, y)
+        self.runs, self.sizes, self.keys, self.hashes, self.checks = (np.concatenate(v) for v in (runs, sizes, keys, one, two))
         self.row = np.searchsorted(self.first, self.runs, side="right") - 1
-        grams = lines.all(gram)
-        self.mark = leftmost_minima(grams, min_lines - gram + 1)[self.runs].astype(np.int64) if len(self.runs) else self.runs
-        self.keys = grams[self.mark] if len(self.runs) else np.zeros(0, np.uint64)
-        self.hashes = lines.of(self.runs, self.runs + min_lines)
 
 
-def _all(texts: B.Texts, parts: list[_Part], of: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Keys, doc_ids and line numbers of all runs of a block."""
-    return np.concatenate([getattr(p, of) for p in parts]), np.concatenate([texts.ids[p.a + p.row] for p in parts]), np.concatenate([p.runs - p.first[p.row] for p in parts])
+def _parts(texts: B.Texts, *rule: int) -> list[_Part]:
+    return [_Part(texts, a, b, *rule) for a, b in texts.parts()]
 
 
-def _parts(texts: B.Texts, min_lines: int, gram: int) -> list[_Part]:
-    return [_Part(texts, a, b, min_lines, gram) for a, b in texts.parts()]
+def _all(texts: B.Texts, parts: list[_Part]):
+    """doc_id and line number of all runs of a block."""
+    return np.concatenate([texts.ids[p.a + p.row] for p in parts]), np.concatenate([p.runs - p.first[p.row] for p in parts])
 
 
-def _ask_marks(n: int, min_lines: int, gram: int):
+def _ask_marks(*rule: int):
     def ask(table: pa.Table) -> pa.Table:
         texts = B.Texts(table)
-        keys, ids, _ = _all(texts, _parts(texts, min_lines, gram), "keys")
-        distinct, least, _ = B.first_of(keys, ids)
-        return B.ask(table.column("block")[0].as_py(), n, distinct, B.small_ids(least))
+        parts = _parts(texts, *rule)
+        keys = np.concatenate([p.keys for p in parts])
+        head, _ = B.distinct(keys, np.zeros_like(keys), ids := _all(texts, parts)[0])
+        return B.question(table.column("block")[0].as_py(), keys[head], np.zeros(len(head), np.uint64), ids[head])
 
     return ask
 
 
-def _ask_runs(n: int, min_lines: int, gram: int):
+def _ask_runs(*rule: int):
     def ask(key, docs: pa.Table, mail: pa.Table) -> pa.Table:
         if not docs.num_rows:
-            return B.mail([])
+            return B.question(0, *(np.zeros(0, t) for t in (np.uint64, np.uint64, np.int64)))
         texts = B.Texts(docs)
-        reply, _ = B.replies(mail)
-        parts = _parts(texts, min_lines, gram)
-        keys, ids, _ = _all(texts, parts, "keys")
-        mark = np.concatenate([p.mark + k * 2**40 for k, p in enumerate(parts)])  # runs that share one place share its fingerprint
-        distinct, _, of = B.first_of(keys, ids)
-        places = np.unique(np.stack([of, mark]), axis=1)[0] if len(of) else of
-        shared = np.bincount(places, minlength=len(distinct)) > 1
-        if reply is not None:
-            shared |= reply != 0
-        live = shared[of] if len(of) else np.zeros(0, bool)
-        hashes = np.concatenate([p.hashes for p in parts])[live]
-        distinct, least, _ = B.first_of(hashes, ids[live])
-        return B.ask(key[0].as_py(), n, distinct, B.small_ids(least), keep=B.pack(np.packbits(live)))
+        parts = _parts(texts, *rule)
+        keys = np.concatenate([p.keys for p in parts])
+        ids, _ = _all(texts, parts)
+        # runs that share one place share its fingerprint
+        place = np.concatenate([np.concatenate([p.mark, p.runs[p.n_full :] + (p.sizes[p.n_full :] << 36)]) + k * 2**44 for k, p in enumerate(parts)])
+        head, of = B.distinct(keys, np.zeros_like(keys), ids)
+        lowest, highest = np.full(len(head), np.iinfo(np.int64).max), np.full(len(head), -1)
+        np.minimum.at(lowest, of, place)
+        np.maximum.at(highest, of, place)
+        live = ((lowest < highest) | (B.codes(mail, len(head)) != 0))[of]
+        hashes, checks = (np.concatenate([getattr(p, c) for p in parts])[live] for c in ("hashes", "checks"))
+        head, _ = B.distinct(hashes, checks, ids[live])
+        return B.question(key[0].as_py(), hashes[head], checks[head], ids[live][head], B.pack(np.packbits(live)))
 
     return ask
 
 
-def _finish(min_lines: int, gram: int, carry: tuple[str, ...], schema: pa.Schema):
+def _finish(rule: tuple[int, ...], carry: tuple[str, ...], schema: pa.Schema):
     def finish(key, docs: pa.Table, mail: pa.Table) -> pa.Table:
         if not docs.num_rows:
             return schema.empty_table()
         texts = B.Texts(docs)
-        reply, kept = B.replies(mail)
-        parts = _parts(texts, min_lines, gram)
-        hashes, ids, line = _all(texts, parts, "hashes")
-        live = np.flatnonzero(np.unpackbits(B.unpack(kept)[0], count=len(hashes)))
-        distinct, of = np.unique(hashes[live], return_inverse=True)
-        order = np.lexsort((line[live], ids[live], of))
-        new = np.ones(len(order), bool)
-        new[1:] = np.diff(of[order]) != 0
-        first = live[order[new]][of] if len(order) else live
+        parts = _parts(texts, *rule)
+        hashes, checks = (np.concatenate([getattr(p, c) for p in parts]) for c in ("hashes", "checks"))
+        ids, line = _all(texts, parts)
+        live = np.flatnonzero(np.unpackbits(B.unpack(B.kept(mail))[0], count=len(hashes)))
+        head, of = B.distinct(hashes[live], checks[live], ids[live], line[live])
+        first = live[head][of]
         later = np.zeros(len(hashes), bool)
-        later[live] = (ids[live] != ids[first]) | (line[live] != line[first])
-        if reply is not None:
-            later[live] |= reply[of] > 0
+        later[live] = (ids[live] != ids[first]) | (line[live] != line[first]) | (B.codes(mail, len(head))[of] == 1)
         n_lines, n_removed, out, seen = [], [], [], 0
         for p in parts:
-            gone = B.covered(p.runs[later[seen : seen + len(p.runs)]], min_lines, int(p.first[-1]))
+            late = later[seen : seen + len(p.runs)]
             seen += len(p.runs)
+            edge = np.zeros(int(p.first[-1]) + 1, np.int32)
+            np.add.at(edge, p.runs[late], 1)
+            np.add.at(edge, (p.runs + p.sizes)[late], -1)
+            gone = np.cumsum(edge[:-1]) > 0
             lost = np.concatenate([[0], np.cumsum(gone)])[p.first]
             n_removed += np.diff(lost).tolist()
             n_lines += np.diff(p.first).tolist()
@@ -127,13 +164,14 @@ def _finish(min_lines: int, gram: int, carry: tuple[str, ...], schema: pa.Schema
     return finish
 
 
-def line_dedup(docs: DataFrame, min_lines: int = 3, gram: int = 2, carry: tuple[str, ...] = (), block_bytes: int = B.BLOCK_BYTES) -> DataFrame:
+def line_dedup(docs: DataFrame, min_lines: int = 3, gram: int = 2, min_words: int = 50, carry: tuple[str, ...] = (), block_bytes: int = B.BLOCK_BYTES) -> DataFrame:
     """doc_id, n_lines, n_removed, the text left, and the columns named in ``carry``."""
     from pyspark.sql.pandas.types import to_arrow_schema
 
-    dealt, n = B.dealt(docs, block_bytes, carry)
+    rule = (min_lines, min_words, gram)
+    dealt, _ = B.dealt(docs, block_bytes, carry)
     empty = dealt.select("doc_id", F.lit(0).cast("long").alias("n_lines"), F.lit(0).cast("long").alias("n_removed"), "text", *carry)
     schema = pa.schema([pa.field(f.name, f.type) for f in to_arrow_schema(empty.schema)])
-    marks = B.answered(dealt.groupBy("block").applyInArrow(_ask_marks(n, min_lines, gram), B.MAIL), B.smaller)
-    runs = B.answered(dealt.groupBy("block").cogroup(marks.groupBy("block")).applyInArrow(_ask_runs(n, min_lines, gram), B.MAIL), B.smaller)
-    return dealt.groupBy("block").cogroup(runs.groupBy("block")).applyInArrow(_finish(min_lines, gram, carry, schema), empty.schema)
+    marks = B.answered(dealt.groupBy("block").applyInArrow(_ask_marks(*rule), B.ASKED))
+    runs = B.answered(dealt.groupBy("block").cogroup(marks.groupBy("block")).applyInArrow(_ask_runs(*rule), B.ASKED))
+    return dealt.groupBy("block").cogroup(runs.groupBy("block")).applyInArrow(_finish(rule, carry, schema), empty.schema)

@@ -279,7 +279,8 @@ class NearDedup:
         if self._repeated():
             heads = heads.groupBy("doc_id").agg(F.min_by(F.struct("weight", "size", "bands"), F.struct("high", "low")).alias("h")).select("doc_id", "h.*")
         members = heads.select("doc_id", F.struct("weight", "size").alias("weight"), F.explode("bands").alias("bucket"))
-        leaders = members.groupBy("bucket").agg(F.min(F.struct("doc_id", "weight")).alias("leader"), F.count("*").alias("n")).filter("n > 1")
+        # written first, so that the join below is one of two plain exchanges, which adaptive execution can split at a hot bucket
+        leaders = cut(members.groupBy("bucket").agg(F.min(F.struct("doc_id", "weight")).alias("leader"), F.count("*").alias("n")).filter("n > 1"))
         self.members = cut(members.join(leaders, "bucket"))  # of buckets with two members or more
 
     def _near(self, pairs: DataFrame) -> DataFrame:
@@ -312,7 +313,7 @@ class NearDedup:
         """
         texts = self._texts(open_.select("doc_id").distinct())
         parts = lambda n: F.ceil(n / BLOCK_ROWS).cast("int")
-        sizes = open_.groupBy("bucket").agg(parts(F.count_if(F.col("label") != F.col("main"))).alias("rest"), parts(F.count_if(F.col("label") == F.col("main"))).alias("mains"))
+        sizes = cut(open_.groupBy("bucket").agg(parts(F.count_if(F.col("label") != F.col("main"))).alias("rest"), parts(F.count_if(F.col("label") == F.col("main"))).alias("mains")))
         own = lambda n: F.pmod(F.xxhash64("doc_id", "bucket"), F.col(n)).cast("int")
         rows = open_.join(sizes, "bucket").withColumn("part", F.when(F.col("label") == F.col("main"), F.col("rest") + own("mains")).otherwise(own("rest")))
         with_ = F.explode(F.when(F.col("part") < F.col("rest"), F.sequence(F.lit(0), F.col("rest") + F.col("mains") - 1)).otherwise(F.sequence(F.lit(0), F.col("rest") - 1)))
@@ -331,7 +332,7 @@ class NearDedup:
         labels = components(links, "x", "y")
         held = self.members.select("bucket", "doc_id", "weight").join(labels.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("label", F.coalesce("label", "doc_id")).select("bucket", "doc_id", "weight", "label")
         draw = F.min_by(F.struct("doc_id", "weight", "label"), F.xxhash64("doc_id", "bucket", F.lit(tried)))
-        main = held.groupBy("bucket").agg(F.min(F.struct("doc_id", "label")).alias("m"), draw.alias("s"), F.count("*").alias("n"), F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo < hi").select("bucket", F.col("m.label").alias("main"), "s", "n")
+        main = cut(held.groupBy("bucket").agg(F.min(F.struct("doc_id", "label")).alias("m"), draw.alias("s"), F.count("*").alias("n"), F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo < hi").select("bucket", F.col("m.label").alias("main"), "s", "n"))
         return cut(held.join(main, "bucket"))
 
     def links(self, drawn: int = 1, small: int = SMALL_BUCKET) -> DataFrame:

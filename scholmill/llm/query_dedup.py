@@ -25,19 +25,25 @@ def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_dedup(spark.read.parquet(f"{sf_dir}/documents.parquet"), min_lines=3, gram=2)
+    return line_dedup(spark.read.parquet(f"{sf_dir}/documents.parquet"), min_lines=3, gram=2, min_words=50)
 
 
-#: Runs of three lines, the first place of each, and the lines that later ones cover.
+#: Runs of three lines, of one or two lines of 50 words, and short texts; the first place of each, and the lines that later ones cover.
 OP8_SQL = r"""
 WITH lines AS (
-  SELECT doc_id, i, string_split(coalesce(text, ''), chr(10))[i] AS line, len(string_split(coalesce(text, ''), chr(10))) AS n
-  FROM (SELECT doc_id, text, unnest(range(1, len(string_split(coalesce(text, ''), chr(10))) + 1)) AS i FROM documents)),
+  SELECT doc_id, i, l[i] AS line, len(l) AS n, len(regexp_extract_all(l[i], '[^\x20\x09-\x0D]+')) AS words
+  FROM (SELECT doc_id, l, unnest(range(1, len(l) + 1)) AS i FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents))),
+near AS (
+  SELECT doc_id, i, n, line AS a, lead(line, 1) OVER w AS b, lead(line, 2) OVER w AS c, words AS x, lead(words, 1) OVER w AS y, sum(words) OVER (PARTITION BY doc_id) AS total
+  FROM lines WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
 runs AS (
-  SELECT doc_id, i, line || chr(10) || lead(line, 1) OVER w || chr(10) || lead(line, 2) OVER w AS run, n FROM lines WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
+  SELECT doc_id, i, 3 AS size, 'lines' AS kind, a || chr(10) || b || chr(10) || c AS run FROM near WHERE i <= n - 2
+  UNION ALL SELECT doc_id, i, 2, 'lines', a || chr(10) || b FROM near WHERE i <= n - 1 AND x + y >= 50
+  UNION ALL SELECT doc_id, i, 1, 'lines', a FROM near WHERE x >= 50
+  UNION ALL SELECT doc_id, i, n, 'text', CASE WHEN n = 1 THEN a ELSE a || chr(10) || b END FROM near WHERE i = 1 AND n < 3 AND total > 0),
 later AS (
-  SELECT doc_id, i FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY run ORDER BY doc_id, i) AS k FROM runs WHERE i <= n - 2) WHERE k > 1),
-gone AS (SELECT DISTINCT doc_id, unnest([i, i + 1, i + 2]) AS i FROM later),
+  SELECT doc_id, i, size FROM (SELECT doc_id, i, size, row_number() OVER (PARTITION BY kind, size, run ORDER BY doc_id, i) AS k FROM runs) WHERE k > 1),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + size)) AS i FROM later),
 kept AS (
   SELECT l.doc_id, count(*) AS n_lines, count(g.i) AS n_removed, coalesce(string_agg(CASE WHEN g.i IS NULL THEN line END, chr(10) ORDER BY l.i), '') AS text
   FROM lines l LEFT JOIN gone g ON l.doc_id = g.doc_id AND l.i = g.i GROUP BY l.doc_id)

@@ -3,9 +3,9 @@
 Two occurrences of one ``window``-word passage start at any word of their documents. A difference cover D of the
 residues modulo a period v has, for every pair of starts, a shift below v that takes both to places of D. So it is
 enough to hash the ``window - v + 1`` words that start at places of D: equal passages share an aligned anchor.
-Anchors that other documents hold too are extended to every full window around them; windows are compared by
-64-bit fingerprints in the hash range that owns them, and every word of a window that a document with a smaller
-doc_id holds is removed. Windows are judged on the input.
+Anchors that other documents hold too are extended to every full window around them; windows (and whole texts, so that copies need no
+windows) are equal by two 64-bit hashes of other seeds, and every word of a window that a document with a smaller doc_id holds is removed.
+Windows are judged on the input. Hashes mix at every step instead of summing a polynomial, so texts of a pattern don't cancel out.
 
 Null texts count as empty, texts below ``window`` words stay as they are, rows without doc_id come after all
 others, rows with one doc_id never remove words from each other, an empty table gives an empty result, and
@@ -24,7 +24,7 @@ from scholmill.llm import blocks as B
 
 #: Perfect difference sets, every nonzero residue of the period once as a difference.
 COVERS = {7: (1, 2, 4), 13: (0, 1, 3, 9), 21: (3, 6, 7, 12, 14), 31: (1, 5, 11, 24, 25, 27)}
-_WHOLE = np.uint64(0xA5A5_5A5A_1234_4321)
+_OTHER = np.uint64(0xA5A5_5A5A_1234_4321)
 
 
 def difference_cover(window: int) -> tuple[int, tuple[int, ...]]:
@@ -42,7 +42,7 @@ class _Block:
         at = texts.offsets[a : b + 1]
         hashes, self.first, _ = B.words(at - at[0], texts.data[at[0] : at[-1]])
         self.n_words = np.diff(self.first)
-        self.prefix, self.n = B.Prefix(hashes), len(hashes)
+        self.hashes, self.n = hashes, len(hashes)
         size = window - self.period + 1
         doc = np.repeat(np.arange(b - a), self.n_words)
         place = np.arange(self.n) - self.first[doc]
@@ -50,7 +50,10 @@ class _Block:
         self.anchor = np.flatnonzero(keep)
         self.doc = doc
         long = np.flatnonzero(self.n_words >= window)  # a copy of a whole text needs no windows
-        self.keys = np.concatenate([self.prefix.of(self.anchor, self.anchor + size), self.prefix.of(self.first[long], self.first[long + 1]) ^ _WHOLE])
+        anchors = B.windows(hashes, size)
+        whole = [B.sequences(hashes, self.first, seed)[long] for seed in (1, 2)]
+        self.keys = np.concatenate([anchors[self.anchor], whole[0]])
+        self.checks = np.concatenate([np.zeros(len(self.anchor), np.uint64), whole[1]])
         self.row = np.concatenate([doc[self.anchor], long])
 
     def windows(self, flags: np.ndarray) -> np.ndarray:
@@ -67,63 +70,67 @@ class _Block:
         ok &= ~self.copies(flags)[self.doc]
         return np.flatnonzero(ok)
 
+    def prints(self, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Two hashes of the windows from these words on."""
+        if not len(starts):
+            return np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+        return B.windows(self.hashes, self.window)[starts], B.windows(self.hashes ^ _OTHER, self.window)[starts]
+
     def copies(self, flags: np.ndarray) -> np.ndarray:
         out = np.zeros(len(self.n_words), bool)
         out[self.row[len(self.anchor) :]] = flags[len(self.anchor) :]
         return out
 
 
-def _ask_anchors(n: int, window: int):
+def _blocks(texts: B.Texts, window: int) -> list[_Block]:
+    return [_Block(texts, a, b, window) for a, b in texts.parts()]
+
+
+def _entries(texts: B.Texts, found: list[_Block]):
+    """Keys, checks and ids of all anchors and long texts of a block."""
+    keys, checks = (np.concatenate([getattr(p, c) for p in found]) for c in ("keys", "checks"))
+    return keys, checks, np.concatenate([texts.ids[p.a + p.row] for p in found])
+
+
+def _ask_anchors(window: int):
     def ask(table: pa.Table) -> pa.Table:
         texts = B.Texts(table)
-        keys, ids = [], []
-        for a, b in texts.parts():
-            part = _Block(texts, a, b, window)
-            keys.append(part.keys)
-            ids.append(texts.ids[a + part.row])
-        keys, ids = np.concatenate(keys), np.concatenate(ids)
-        order = np.argsort(ids, kind="stable")
-        distinct, least, _ = B.first_of(keys[order], ids[order])
-        return B.ask(table.column("block")[0].as_py(), n, distinct, B.small_ids(least))
+        keys, checks, ids = _entries(texts, _blocks(texts, window))
+        head, _ = B.distinct(keys, checks, ids)
+        return B.question(table.column("block")[0].as_py(), keys[head], checks[head], ids[head])
 
     return ask
 
 
-def _flags(texts: B.Texts, window: int, reply: np.ndarray | None) -> list[tuple[_Block, np.ndarray, np.ndarray]]:
+def _flags(texts: B.Texts, window: int, mail: pa.Table) -> list[tuple[_Block, np.ndarray, np.ndarray]]:
     """Of each part: the entries whose key another document holds, and those whose key a smaller doc_id holds."""
-    found = [_Block(texts, a, b, window) for a, b in texts.parts()]
-    keys = np.concatenate([p.keys for p in found])
-    ids = np.concatenate([texts.ids[p.a + p.row] for p in found])
-    order = np.argsort(ids, kind="stable")
-    distinct, least, of = B.first_of(keys[order], ids[order])
-    most = np.full(len(distinct), np.iinfo(np.int64).min)
-    np.maximum.at(most, of, ids[order])
-    smaller, shared = np.empty(len(keys), bool), np.empty(len(keys), bool)
-    reply = np.zeros(0, np.int64) if reply is None else reply
-    smaller[order] = (reply[of] > 0) | (ids[order] > least[of])
-    shared[order] = (reply[of] != 0) | (most[of] > least[of])
+    found = _blocks(texts, window)
+    keys, checks, ids = _entries(texts, found)
+    head, of = B.distinct(keys, checks, ids)
+    code, least = B.codes(mail, len(head))[of], ids[head][of]
+    most = np.full(len(head), np.iinfo(np.int64).min)
+    np.maximum.at(most, of, ids)
     cut = np.cumsum([len(p.keys) for p in found])[:-1]
-    return list(zip(found, np.split(shared, cut), np.split(smaller, cut), strict=True))
+    return list(zip(found, np.split((code != 0) | (most[of] > least), cut), np.split((code == 1) | (ids > least), cut), strict=True))
+
+
+def _windows(texts: B.Texts, parts: list[tuple[_Block, np.ndarray]]):
+    """Starts of the windows of each part; keys, checks and ids of all."""
+    starts = [p.windows(flags) for p, flags in parts]
+    prints = [p.prints(at) for (p, _), at in zip(parts, starts, strict=True)]
+    ids = np.concatenate([texts.ids[p.a + p.doc[at]] for (p, _), at in zip(parts, starts, strict=True)])
+    return starts, np.concatenate([x for x, _ in prints]), np.concatenate([x for _, x in prints]), ids
 
 
-def _ask_windows(n: int, window: int):
+def _ask_windows(window: int):
     def ask(key, docs: pa.Table, mail: pa.Table) -> pa.Table:
         if not docs.num_rows:
-            return B.mail([])
+            return B.question(0, *(np.zeros(0, t) for t in (np.uint64, np.uint64, np.int64)))
         texts = B.Texts(docs)
-        reply, _ = B.replies(mail)
-        keys, ids, marks = [], [], []
-        for part, shared, smaller in _flags(texts, window, reply):
-            k = len(part.anchor)
-            flags = np.concatenate([shared[:k], smaller[k:]])
-            at = part.windows(flags)
-            keys.append(part.prefix.of(at, at + window))
-            ids.append(texts.ids[part.a + part.doc[at]])
-            marks.append(np.packbits(flags))
-        keys, ids = np.concatenate(keys), np.concatenate(ids)
-        order = np.argsort(ids, kind="stable")
-        distinct, least, _ = B.first_of(keys[order], ids[order])
-        return B.ask(key[0].as_py(), n, distinct, B.small_ids(least), keep=B.pack(np.concatenate(marks)))
+        parts = [(p, np.concatenate([shared[: len(p.anchor)], smaller[len(p.anchor) :]])) for p, shared, smaller in _flags(texts, window, mail)]
+        _, keys, checks, ids = _windows(texts, parts)
+        head, _ = B.distinct(keys, checks, ids)
+        return B.question(key[0].as_py(), keys[head], checks[head], ids[head], B.pack(np.concatenate([np.packbits(flags) for _, flags in parts])))
 
     return ask
 
@@ -136,23 +143,17 @@ def _finish(window: int, digest: bool):
         if not docs.num_rows:
             return pa.table({"doc_id": pa.array([], pa.int64()), "n_words": pa.array([], pa.int64()), "n_removed": pa.array([], pa.int64()), "kept": pa.array([], pa.string())})
         texts = B.Texts(docs)
-        reply, kept = B.replies(mail)
-        marks = B.unpack(kept)[0]
-        parts, starts, at_mark = [], [], 0
-        for a, b in texts.parts():
-            part = _Block(texts, a, b, window)
+        marks = B.unpack(B.kept(mail))[0]
+        parts, at_mark = [], 0
+        for part in _blocks(texts, window):
             size = -(-len(part.keys) // 8)
-            flags = np.unpackbits(marks[at_mark : at_mark + size])[: len(part.keys)].astype(bool)
+            parts.append((part, np.unpackbits(marks[at_mark : at_mark + size])[: len(part.keys)].astype(bool)))
             at_mark += size
-            parts.append((part, flags))
-            starts.append(part.windows(flags))
-        keys = np.concatenate([p.prefix.of(at, at + window) for (p, _), at in zip(parts, starts, strict=True)])
-        ids = np.concatenate([texts.ids[p.a + p.doc[at]] for (p, _), at in zip(parts, starts, strict=True)])
-        order = np.argsort(ids, kind="stable")
-        distinct, least, of = B.first_of(keys[order], ids[order])
-        later = np.empty(len(keys), bool)
-        later[order] = (ids[order] > least[of]) | ((np.zeros(0, np.int64) if reply is None else reply)[of] > 0)
-        n_words, n_removed, texts_out, seen = [], [], [], 0
+        starts, keys, checks, ids = _windows(texts, parts)
+        head, of = B.distinct(keys, checks, ids)
+        later = (ids > ids[head][of]) | (B.codes(mail, len(head))[of] == 1)
+        seen = 0
+        n_words, n_removed, texts_out = [], [], []
         for (part, flags), at in zip(parts, starts, strict=True):
             gone = B.covered(at[later[seen : seen + len(at)]], window, part.n) | part.copies(flags)[part.doc]
             seen += len(at)
@@ -174,7 +175,7 @@ def _finish(window: int, digest: bool):
 
 def substring_dedup(docs: DataFrame, window: int = 50, digest: bool = False, block_bytes: int = B.BLOCK_BYTES) -> DataFrame:
     """doc_id, n_words, n_removed and ``kept``: the words kept, joined by a space (their sha256 with ``digest``)."""
-    dealt, n = B.dealt(docs, block_bytes)
-    answers = B.answered(dealt.groupBy("block").applyInArrow(_ask_anchors(n, window), B.MAIL), B.smaller)
-    windows = B.answered(dealt.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_ask_windows(n, window), B.MAIL), B.smaller)
+    dealt, _ = B.dealt(docs, block_bytes)
+    answers = B.answered(dealt.groupBy("block").applyInArrow(_ask_anchors(window), B.ASKED))
+    windows = B.answered(dealt.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_ask_windows(window), B.ASKED))
     return dealt.groupBy("block").cogroup(windows.groupBy("block")).applyInArrow(_finish(window, digest), RESULT)

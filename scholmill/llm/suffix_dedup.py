@@ -6,8 +6,8 @@ has the same anchor with the same surroundings (all strings the anchor owns): th
 Only anchors that recur in other surroundings, at the edges of shared passages, are looked at closer: a second
 exchange keeps those whose nearer surroundings recur. Of these, every block mergesorts the suffixes with comparisons by prefix
 polynomial hashes (the common extension of two suffixes by binary search); runs of neighbours that share ``length`` bytes,
-each verified byte by byte, are one string. The earliest of each run meets the other blocks' in the task that owns its hash
-range, by two independent hashes (128 bits). So a passage that a third of all documents hold comes once from each block.
+each verified byte by byte, are one string. The earliest of each run meets the other blocks' by two hashes of other kinds
+(a polynomial of bytes and one of mixed octets). So a passage that a third of all documents hold comes once from each block.
 Every byte covered by a string that starts earlier (smaller doc_id, or same document and
 earlier start) is removed; strings are judged on the input.
 
@@ -70,7 +70,15 @@ class _Part:
         self.lo = begin.copy()
         if len(p):
             self.lo[1:] = np.where(follows, self.hi[:-1] + 1, begin[1:])
-        self.c = B.mix(self.prefix.of(self.lo, self.hi + length) + (p - self.lo).astype(np.uint64))
+        # the surroundings by mixed octets, as polynomials of bytes can be made to cancel out
+        self.octets = B.Prefix(B.octets(self.data))
+        self.c = B.mix(self.wide(self.lo, self.hi + length) + (p - self.lo).astype(np.uint64))
+
+    def wide(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """Hash of stretches by their octets; of those below eight bytes by bytes."""
+        if self.length < 8:
+            return self.prefix.of(start, end)
+        return self.octets.of(start, np.maximum(end - 7, start))
 
     def marks(self) -> np.ndarray:
         own = np.zeros(self.n, bool)
@@ -99,46 +107,25 @@ def _keys(texts: B.Texts, parts: list[_Part]):
     return h, c, ids, base, order, new
 
 
-def _ask_anchors(n: int, length: int, gram: int):
+def _ask_anchors(length: int, gram: int):
     def ask(table: pa.Table) -> pa.Table:
         texts = B.Texts(table)
         parts = _parts(texts, length, gram)
         h, c, ids, _, order, new = _keys(texts, parts)
         first = order[new]
         keep = zlib.compress(np.concatenate([p.marks() for p in parts]).tobytes(), 1)
-        return B.ask(table.column("block")[0].as_py(), n, h[first], c[first], B.small_ids(ids[first]), keep=keep)
+        return B.question(table.column("block")[0].as_py(), h[first], c[first], ids[first], keep)
 
     return ask
 
 
-def _judge(sent: list[list[np.ndarray]]) -> list[np.ndarray]:
-    """1: an earlier document has the anchor in the same surroundings; 2: in others only; 0: no other has it."""
-    h = np.concatenate([s[0] for s in sent])
-    c = np.concatenate([s[1] for s in sent])
-    ids = np.concatenate([s[2].astype(np.int64) for s in sent])
-    order = np.lexsort((ids, c, h))
-    h, c, ids = h[order], c[order], ids[order]
-    new_h = np.ones(len(h), bool)
-    new_h[1:] = np.diff(h) != 0
-    new = new_h.copy()
-    new[1:] |= np.diff(c) != 0
-    of = np.cumsum(new) - 1
-    of_h = np.cumsum(new_h) - 1
-    kinds = np.bincount(of_h[new], minlength=of_h[-1] + 1)
-    code = np.where(ids > ids[np.flatnonzero(new)][of], 1, np.where(kinds[of_h] > 1, 2, 0)).astype(np.uint8)
-    back = np.empty_like(code)
-    back[order] = code
-    return B.cut_back(sent, back)
-
-
-def _codes(texts: B.Texts, parts: list[_Part], reply: np.ndarray | None) -> np.ndarray:
-    """For every anchor: 1 if all its strings are repeats, 2 if some may be, 0 if none is."""
+def _codes(texts: B.Texts, parts: list[_Part], mail: pa.Table) -> np.ndarray:
+    """For every anchor: 1 if all its strings are repeats, 2 if some may be (it has other surroundings elsewhere), 0 if none is."""
     h, _, ids, base, order, new = _keys(texts, parts)
     code = np.ones(len(h), np.uint8)
-    if reply is not None:
-        of = np.cumsum(new) - 1
-        first = order[new][of]
-        code[order] = np.where((ids[order] == ids[first]) & (base[order] == base[first]), reply[of], 1)
+    of = np.cumsum(new) - 1
+    first = order[new][of]
+    code[order] = np.where((ids[order] == ids[first]) & (base[order] == base[first]), B.codes(mail, int(new.sum()))[of], 1)
     return code
 
 
@@ -154,7 +141,7 @@ class _Edges:
         self.at, p = at[i], part.anchors[at[i]]
         self.first = np.maximum(part.lo[self.at], p - bounds[j + 1] + 1)
         self.last = np.minimum(part.hi[self.at], p - bounds[j])
-        self.keys = B.mix(part.prefix.of(p - bounds[j], p - bounds[j + 1] + 1 + part.length) + j.astype(np.uint64))
+        self.keys = B.mix(part.wide(p - bounds[j], p - bounds[j + 1] + 1 + part.length) + j.astype(np.uint64))
         self.row = part.row[self.at]
 
 
@@ -165,19 +152,26 @@ def _edges(parts: list[_Part], code: np.ndarray, gram: int) -> list[_Edges]:
     return [_Edges(p, c, gram) for p, c in zip(parts, np.split(code, np.cumsum([len(p.anchors) for p in parts])[:-1]), strict=True)]
 
 
-def _ask_edges(n: int, length: int, gram: int):
+def _shared(texts: B.Texts, edges: list[_Edges]):
+    """Keys and ids of all edges of a block, the first entry of each key, and each entry's number among these."""
+    keys = np.concatenate([e.keys for e in edges])
+    ids = np.concatenate([texts.ids[e.part.a + e.row] for e in edges])
+    return keys, ids, *B.distinct(keys, np.zeros_like(keys), ids)
+
+
+_NOTHING = tuple(np.zeros(0, t) for t in (np.uint64, np.uint64, np.int64))
+
+
+def _ask_edges(length: int, gram: int):
     def ask(key, docs: pa.Table, mail: pa.Table) -> pa.Table:
         if not docs.num_rows:
-            return B.mail([])
-        texts = B.Texts(docs)
-        reply, marks = B.replies(mail)
+            return B.question(0, *_NOTHING)
+        texts, marks = B.Texts(docs), B.kept(mail)
         parts = _parts(texts, length, gram, marks)
-        code = _codes(texts, parts, reply)
-        edges = _edges(parts, code, gram)
-        keys = np.concatenate([e.keys for e in edges])
-        distinct, least, _ = B.first_of(keys, np.concatenate([texts.ids[e.part.a + e.row] for e in edges]))
+        code = _codes(texts, parts, mail)
+        keys, ids, head, _ = _shared(texts, _edges(parts, code, gram))
         keep = B.pack(np.frombuffer(marks, np.uint8), np.frombuffer(zlib.compress(code.tobytes(), 1), np.uint8))
-        return B.ask(key[0].as_py(), n, distinct, B.small_ids(least), keep=keep)
+        return B.question(key[0].as_py(), keys[head], np.zeros(len(head), np.uint64), ids[head], keep)
 
     return ask
 
@@ -209,17 +203,14 @@ class _Strings:
         self.run[order] = np.cumsum(~same) - 1
         at = self.places[self.heads]
         self.keys = part.prefix.of(at, at + length)
-        self.checks = B.Prefix(part.data, B.SECOND).of(at, at + length) if len(at) else self.keys
+        self.checks = part.wide(at, at + length)
 
 
-def _strings(texts: B.Texts, edges: list[_Edges], reply: np.ndarray | None) -> list[_Strings]:
-    keys = np.concatenate([e.keys for e in edges])
-    distinct, of, count = np.unique(keys, return_inverse=True, return_counts=True)
-    shared = count > 1
-    if reply is not None:
-        shared = shared | (reply != 0)
-    live = shared[of] if len(of) else np.zeros(0, bool)
-    return [_Strings(texts, e, x) for e, x in zip(edges, np.split(live, np.cumsum([len(e.keys) for e in edges])[:-1]), strict=True)]
+def _strings(texts: B.Texts, edges: list[_Edges], code: np.ndarray) -> list[_Strings]:
+    """code: of each distinct edge, whether other blocks have it."""
+    _, _, head, of = _shared(texts, edges)
+    shared = (np.bincount(of, minlength=len(head)) > 1) | (code != 0)
+    return [_Strings(texts, e, x) for e, x in zip(edges, np.split(shared[of], np.cumsum([len(e.keys) for e in edges])[:-1]), strict=True)]
 
 
 def _runs(strings: list[_Strings]):
@@ -232,28 +223,22 @@ def _runs(strings: list[_Strings]):
     return keys, checks, ids, start, order, new
 
 
-def _ask_strings(n: int, length: int, gram: int):
+def _ask_strings(length: int, gram: int):
     def ask(key, docs: pa.Table, mail: pa.Table) -> pa.Table:
         if not docs.num_rows:
-            return B.mail([])
+            return B.question(0, *_NOTHING)
         texts = B.Texts(docs)
-        reply, kept = B.replies(mail)
-        marks, codes = B.unpack(kept)
+        marks, codes = B.unpack(B.kept(mail))
         parts = _parts(texts, length, gram, marks.tobytes())
-        strings = _strings(texts, _edges(parts, np.frombuffer(zlib.decompress(codes.tobytes()), np.uint8), gram), reply)
-        keys, checks, ids, _, order, new = _runs(strings)
+        edges = _edges(parts, np.frombuffer(zlib.decompress(codes.tobytes()), np.uint8), gram)
+        shared = B.codes(mail, len(_shared(texts, edges)[2]))
+        keys, checks, ids, _, order, new = _runs(_strings(texts, edges, shared))
         first = order[new]
-        spread = np.zeros(0, np.uint8) if reply is None else np.packbits(reply != 0)
-        return B.ask(key[0].as_py(), n, keys[first], checks[first], B.small_ids(ids[first]), keep=B.pack(marks, codes, spread, np.array([reply is not None])))
+        return B.question(key[0].as_py(), keys[first], checks[first], ids[first], B.pack(marks, codes, np.packbits(shared != 0)))
 
     return ask
 
 
-def _later(sent: list[list[np.ndarray]]) -> list[np.ndarray]:
-    """1 where a document with a smaller doc_id, in another block, has the string."""
-    return [(x == 1).astype(np.uint8) for x in _judge(sent)]
-
-
 def common_extension(prefix: B.Prefix, x: np.ndarray, y: np.ndarray, most: int) -> np.ndarray:
     """Length of the common prefix of the suffixes at x and y, up to ``most``, by binary search over prefix hashes."""
     low, high = np.zeros(len(x), np.int64), np.full(len(x), most, np.int64)
@@ -313,16 +298,14 @@ def _finish(length: int, gram: int, digest: bool):
         if not docs.num_rows:
             return pa.table({k: pa.array([], pa.int64()) for k in names} | {"kept": pa.array([], pa.binary()), "kept_sha256": pa.array([], pa.string())})
         texts = B.Texts(docs)
-        reply, kept = B.replies(mail)
-        marks, codes, shared, asked = B.unpack(kept)
+        marks, packed, spread = B.unpack(B.kept(mail))
         parts = _parts(texts, length, gram, marks.tobytes())
-        code = np.frombuffer(zlib.decompress(codes.tobytes()), np.uint8)
+        code = np.frombuffer(zlib.decompress(packed.tobytes()), np.uint8)
         edges = _edges(parts, code, gram)
-        n_keys = len(np.unique(np.concatenate([e.keys for e in edges])))
-        strings = _strings(texts, edges, np.unpackbits(shared, count=n_keys) if asked[0] else None)
+        strings = _strings(texts, edges, np.unpackbits(spread, count=len(_shared(texts, edges)[2])))
         _, _, ids, start, order, new = _runs(strings)
         of = np.cumsum(new) - 1
-        ahead = np.zeros(int(new.sum()), bool) if reply is None else reply.astype(bool)
+        ahead = B.codes(mail, int(new.sum())) == 1
         first = order[new][of]
         least = np.empty((len(order), 2), np.int64)  # the earliest place of each run's string, in the block
         least[order] = np.stack([ids[first], start[first]], axis=1)
@@ -357,8 +340,8 @@ def _finish(length: int, gram: int, digest: bool):
 def suffix_dedup(docs: DataFrame, length: int = 100, digest: bool = False, block_bytes: int = B.BLOCK_BYTES) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, ``kept`` (the bytes left; null with ``digest``) and their sha256."""
     gram = max(1, length * 31 // 100)
-    dealt, n = B.dealt(docs, block_bytes)
-    anchors = B.answered(dealt.groupBy("block").applyInArrow(_ask_anchors(n, length, gram), B.MAIL), _judge)
-    edges = B.answered(dealt.groupBy("block").cogroup(anchors.groupBy("block")).applyInArrow(_ask_edges(n, length, gram), B.MAIL), B.smaller)
-    strings = B.answered(dealt.groupBy("block").cogroup(edges.groupBy("block")).applyInArrow(_ask_strings(n, length, gram), B.MAIL), _later)
+    dealt, _ = B.dealt(docs, block_bytes)
+    anchors = B.answered(dealt.groupBy("block").applyInArrow(_ask_anchors(length, gram), B.ASKED), kinds=True)
+    edges = B.answered(dealt.groupBy("block").cogroup(anchors.groupBy("block")).applyInArrow(_ask_edges(length, gram), B.ASKED))
+    strings = B.answered(dealt.groupBy("block").cogroup(edges.groupBy("block")).applyInArrow(_ask_strings(length, gram), B.ASKED))
     return dealt.groupBy("block").cogroup(strings.groupBy("block")).applyInArrow(_finish(length, gram, digest), RESULT)

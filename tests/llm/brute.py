@@ -42,17 +42,24 @@ def suffix_dedup(rows, length):
     return out
 
 
-def line_dedup(rows, t):
+def line_dedup(rows, t, min_words=50):
     """rows: (doc_id, text). Returns {doc_id: (n_lines, n_removed, text)}; doc_ids are distinct."""
     seen, out = set(), {}
     for d, text in sorted(rows):
         lines = (text or "").split("\n")
+        words = [len(re.findall(r"[^\x20\x09-\x0D]+", x)) for x in lines]
         gone = [False] * len(lines)
-        for i in range(len(lines) - t + 1):
-            run = tuple(lines[i : i + t])
-            if run in seen:
-                gone[i : i + t] = [True] * t
-            seen.add(run)
+        for i in range(len(lines)):
+            for size in range(1, t + 1):
+                if i + size <= len(lines) and (size == t or sum(words[i : i + size]) >= min_words):
+                    run = tuple(lines[i : i + size])
+                    if run in seen:
+                        gone[i : i + size] = [True] * size
+                    seen.add(run)
+        if len(lines) < t and sum(words):
+            if ("whole", *lines) in seen:
+                gone = [True] * len(lines)
+            seen.add(("whole", *lines))
         out[d] = (len(lines), sum(gone), "\n".join(x for x, g in zip(lines, gone, strict=True) if not g))
     return out
 

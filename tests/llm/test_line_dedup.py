@@ -7,15 +7,15 @@ from tests.llm.test_substring_dedup import SCHEMA
 
 def corpus(seed, n=80):
     rng = random.Random(seed)
-    lines = [f"línea {i}" * (i % 4) for i in range(14)]
-    return [(i * 2, "\n".join(rng.choices(lines, k=rng.randint(0, 18)))) for i in range(n)]
+    lines = [f"línea {i} " * (i % 4) for i in range(14)] + [f"x{i} " * 6 for i in range(3)]
+    return [(i * 2, "\n".join(rng.choices(lines, k=rng.choice([0, 1, 1, 2, 2, 5, 18])))) for i in range(n)]
 
 
 def test_matches_brute_force(spark):
-    for seed, t, gram, block in ((1, 3, 2, 1 << 20), (2, 2, 1, 900), (3, 5, 2, 2000)):
+    for seed, t, gram, words, block in ((1, 3, 2, 50, 1 << 20), (2, 2, 1, 6, 900), (3, 5, 2, 9, 2000), (4, 3, 2, 7, 500)):
         rows = corpus(seed)
-        got = {r.doc_id: (r.n_lines, r.n_removed, r.text) for r in line_dedup(spark.createDataFrame([(*r, "x", 1) for r in rows], SCHEMA), t, gram, block_bytes=block).collect()}
-        assert got == brute.line_dedup(rows, t)
+        got = {r.doc_id: (r.n_lines, r.n_removed, r.text) for r in line_dedup(spark.createDataFrame([(*r, "x", 1) for r in rows], SCHEMA), t, gram, words, block_bytes=block).collect()}
+        assert got == brute.line_dedup(rows, t, words)
 
 
 def test_odd_rows(spark):
@@ -26,5 +26,13 @@ def test_odd_rows(spark):
     assert got == [(4, 4, 0, 7, 1), (4, 4, 0, 7, 1), (9, 1, 0, 0, 1), (10, 1, 0, 0, 1), (11, 5, 4, 300_000, 1), (12, 10, 9, 0, 1), (99, 1, 0, 0, 1), (99, 4, 4, 0, 1)]
 
 
+def test_texts_of_a_pattern(spark):
+    """Lines whose polynomials would cancel out are different lines."""
+    bits = [bin(i).count("1") & 1 for i in range(1024)]
+    one, other = ("".join("ab"[b ^ k] for b in bits) for k in (0, 1))
+    rows = [(2, f"{one}\nx\ny"), (3, f"{other}\nx\ny")]
+    assert sorted((r.doc_id, r.n_removed) for r in line_dedup(spark.createDataFrame([(*r, "x", 1) for r in rows], SCHEMA)).collect()) == [(2, 0), (3, 0)]
+
+
 def test_empty(spark):
     assert line_dedup(spark.createDataFrame([], SCHEMA)).collect() == []

@@ -1,5 +1,7 @@
 import random
 
+from scholmill.llm import blocks as B
+from scholmill.llm import substring_dedup as S
 from scholmill.llm.substring_dedup import COVERS, substring_dedup
 from tests.llm import brute
 
@@ -46,3 +48,30 @@ def test_odd_rows(spark):
 
 def test_empty(spark):
     assert substring_dedup(spark.createDataFrame([], SCHEMA)).collect() == []
+
+
+def pattern(n, k=0):
+    """A Thue-Morse sequence of n bits, or its complement: polynomials of the two agree modulo 2**64 from 1024 on."""
+    return [(bin(i).count("1") & 1) ^ k for i in range(n)]
+
+
+def test_texts_of_a_pattern(spark):
+    """Words whose polynomials would cancel out are different words, and so are texts."""
+    one, other = ("".join("ab"[b] for b in pattern(1024, k)) for k in (0, 1))
+    rest = " ".join(f"w{i}" for i in range(49))
+    words = [" ".join(("yes", "no")[b] for b in pattern(1024, k)) for k in (0, 1)]
+    rows = [(1, f"{one} {rest}"), (2, f"{other} {rest}"), (3, words[0]), (4, words[1])]
+    got = {r.doc_id: (r.n_words, r.n_removed, r.kept) for r in substring_dedup(spark.createDataFrame([(*r, "x", 1) for r in rows], SCHEMA), digest=True).collect()}
+    assert got == brute.substring_dedup(rows, 50)
+
+
+def test_rows_exchanged_grow_with_the_text(spark):
+    """A block's question has a row for each of its fingerprints, however many blocks there are."""
+    rng, counts = random.Random(3), []
+    for n in (100, 200, 400):
+        rows = [(i, " ".join(f"w{rng.randrange(10**6)}" for _ in range(60))) for i in range(n)]
+        dealt, blocks = B.dealt(spark.createDataFrame([(*r, "x", 1) for r in rows], SCHEMA), 4000)
+        counts.append(dealt.groupBy("block").applyInArrow(S._ask_anchors(50), B.ASKED).count())
+        assert blocks > n / 10
+    print("rows asked for 100, 200 and 400 texts:", counts)
+    assert counts[1] == 2 * counts[0] and counts[2] == 4 * counts[0]

@@ -5,7 +5,7 @@ import numpy as np
 from scholmill.llm import blocks as B
 from scholmill.llm.suffix_dedup import common_extension, leftmost_minima, suffix_dedup, suffix_sort
 from tests.llm import brute
-from tests.llm.test_substring_dedup import SCHEMA, corpus
+from tests.llm.test_substring_dedup import SCHEMA, corpus, pattern
 
 
 def test_minima():
@@ -45,3 +45,10 @@ def test_odd_rows(spark):
 
 def test_empty(spark):
     assert suffix_dedup(spark.createDataFrame([], SCHEMA)).collect() == []
+
+
+def test_texts_of_a_pattern(spark):
+    rows = [(k, "".join("ab"[b] for b in pattern(2048, k)) + "z" * 40) for k in (0, 1)]
+    for length in (30, 100):
+        got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in suffix_dedup(spark.createDataFrame([(*r, "x", 1) for r in rows], SCHEMA), length).collect()}
+        assert got == brute.suffix_dedup(rows, length)
