@@ -100,40 +100,22 @@ _STEPS = 64
 _TABLE = np.random.default_rng(20).integers(0, 1 << 64, (_STEPS, 256), dtype=np.uint64).reshape(-1)  # a random value for each byte at each place
 
 
-def segments(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Hash of the bytes of each segment: a sum of random values of (place, byte). No polynomial, so no text of a pattern cancels out."""
+def segments(data: np.ndarray, inside: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hash of each segment of bytes; ``inside`` marks the bytes of all. A sum of random values of (place, byte): no polynomial, so no pattern cancels out."""
     size = ends - starts
-    live = np.flatnonzero(size > 0)
     out = np.zeros(len(starts), np.uint64)
-    if len(live):
-        count = size[live]
-        at = expand(starts[live], count)
-        head = np.cumsum(count) - count
-        place = np.arange(len(at)) - np.repeat(head, count)
-        value = _TABLE[((place & (_STEPS - 1)) << 8) | data[at]]
-        if int(count.max()) > _STEPS:
+    if len(live := np.flatnonzero(size > 0)):
+        count, at = size[live], np.flatnonzero(inside).astype(np.int32)
+        place = at - np.repeat(starts[live].astype(np.int32), count)
+        longest = int(count.max())
+        value = _TABLE[(((place & np.int32(_STEPS - 1)) if longest > _STEPS else place) << np.int32(8)) | data[inside]]
+        if longest > _STEPS:
             far = np.flatnonzero(place >= _STEPS)
             value[far] = mix(value[far] + (place[far] // _STEPS).astype(np.uint64) * _TURN)
-        out[live] = np.add.reduceat(value, head)
+        out[live] = np.add.reduceat(value, np.cumsum(count) - count)
     return mix(out + size.astype(np.uint64) * _MUL)
 
 
-def _word_hashes(data: np.ndarray, inside: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """The same for the words of a text, which are all of its bytes ``inside``."""
-    if not len(starts):
-        return np.zeros(0, np.uint64)
-    count = ends - starts
-    head = np.cumsum(count) - count
-    at = np.flatnonzero(inside).astype(np.int32)
-    place = at - np.repeat(starts.astype(np.int32), count)
-    longest = int(count.max())
-    value = _TABLE[(((place & np.int32(_STEPS - 1)) if longest > _STEPS else place) << np.int32(8)) | data[inside]]
-    if longest > _STEPS:
-        far = np.flatnonzero(place >= _STEPS)
-        value[far] = mix(value[far] + (place[far] // _STEPS).astype(np.uint64) * _TURN)
-    return mix(np.add.reduceat(value, head) + count.astype(np.uint64) * _MUL)
-
-
 def sequences(symbols: np.ndarray, first: np.ndarray, seed: int = 0) -> np.ndarray:
     """Hash of each row of symbols, row i from first[i] to first[i + 1]: a sum of mixed (place, symbol); another for another seed."""
     count = np.diff(first)
@@ -230,7 +212,7 @@ def words(offsets: np.ndarray, data: np.ndarray, apart: np.ndarray = _SPACE) ->
     inner = offsets[1:-1]
     finish[inner[inner > 0] - 1] = True
     ends = np.flatnonzero(finish & ~space) + 1
-    return _word_hashes(data, ~space, starts, ends), np.searchsorted(starts, offsets), starts
+    return segments(data, ~space, starts, ends), np.searchsorted(starts, offsets), starts
 
 
 def expand(first: np.ndarray, count: np.ndarray) -> np.ndarray:

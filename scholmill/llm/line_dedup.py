@@ -50,7 +50,7 @@ class _Part:
         self.start[head], self.start[~head] = offsets[:-1], breaks + 1
         self.end[tail], self.end[~tail] = offsets[1:], breaks
         self.base = int(at[0])
-        lines = B.segments(data, self.start, self.end)
+        lines = B.segments(data, data != 10, self.start, self.end)
         begin = ~_SPACE[data]
         if len(data):
             inner = np.zeros(len(data), bool)
