@@ -1,12 +1,17 @@
-"""Benchmark decontamination: a BM25 index of the test items, queried by every passage of every document with block-max WAND.
+"""Benchmark decontamination: a BM25 inverted index of the test items, queried by every passage of every document with block-max WAND.
 
-Words are runs of letters and digits, in lower case. A shard of the index holds up to ``SHARD_ITEMS`` items of similar length; L is its longest
-item's length in words. Passages are the windows of 2 L words at every L-th word, so that each stretch of L words lies whole in
-one. A passage's score for an item is the sum of the BM25 impacts of its distinct words; it is retrieved from ``retrieve`` of the score
-of the item's own text on. Impacts are divided by that threshold, so that one bound holds for all items: a tree of item blocks holds
-the largest impact of every word in each block, and a passage goes down only into blocks where the sum of these reaches 1, so that
-all items above the threshold are found and most are never scored. A retrieved item counts if ``overlap`` of the ``shingle``-word runs of its
-question, and of its answer, stand in the passage. The answer is the last line, or else the last sentence; an item of one sentence is all question.
+Words are runs of letters and digits, in lower case. Document frequencies, the number of items and their mean length are counted over all items
+before, so that scores are the same however the index is cut. Items are indexed by length class: C is the length of the longest possible item
+of the class in words, a power of two. Passages are the windows of 2 C words at every C-th word, so that each stretch of C words lies whole
+in one. A passage's score for an item is the sum of the BM25 impacts of its distinct words; the item is retrieved from ``retrieve`` of the score
+of its own text on. Impacts are divided by that threshold, so that one bound holds for all items.
+
+A posting list has the largest impact of each block of ``FAN`` items, of each ``FAN`` blocks, and so on up to the whole list. A passage goes from
+whole lists down into blocks where the sum of these reaches 1; in a block that is left, WAND moves one cursor a word: in order of
+their items, the first cursor at which the sum of largest impacts reaches 1 is the pivot, the cursors before it skip to its item, and the item
+is scored when all stand there. All passages step together. So all items above the threshold are found and most are never scored.
+A retrieved item counts if ``overlap`` of the ``shingle``-word runs of its question, and of its answer, stand in the passage. The answer
+is the last line, or else the last sentence; an item of one sentence is all question.
 
 Null texts are empty and match nothing; items without words and rows of ``items`` without text take no part; rows without doc_id
 are searched as any other, and equal rows each; items with equal text are all reported; an empty table gives an empty result.
@@ -23,11 +28,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from scholmill.llm import blocks as B
+from scholmill.operators.durable import cut
 
-SHARD_ITEMS = 512
-#: Bytes of item texts in one pass over the documents; a larger benchmark takes several passes.
+#: Items of one index, and bytes of item texts in one pass over the documents; a larger benchmark takes several passes. Neither changes a result.
+SHARD_ITEMS = 4096
 PASS_BYTES = 8 << 20
-FAN = 16
+FAN = 64
+_NEAR = 1 - 1e-4
 
 _APART = np.ones(256, bool)
 _APART[list(range(48, 58)) + list(range(97, 123)) + list(range(128, 256))] = False
@@ -43,7 +50,7 @@ def tokens(texts: pa.Array):
 def runs(hashes: np.ndarray, k: int) -> np.ndarray:
     """Hashes of all runs of k words; of the whole if it is shorter."""
     k = min(k, len(hashes))
-    return np.unique(B.Prefix(hashes).all(k)) if k else np.zeros(0, np.uint64)
+    return np.unique(B.windows(hashes, k)) if k else np.zeros(0, np.uint64)
 
 
 def question_and_answer(text: str) -> tuple[str, str]:
@@ -54,28 +61,48 @@ def question_and_answer(text: str) -> tuple[str, str]:
     return (found[1], found[2]) if found else (text, "")
 
 
+class Statistics:
+    """Of all items: their number, their mean length, and in how many of them each word of some of them stands."""
+
+    def __init__(self, n: int, mean: float, words: np.ndarray, df: np.ndarray, k1: float = 1.2, b: float = 0.75):
+        order = np.argsort(words)
+        self.n, self.mean, self.words, self.df, self.k1, self.b = n, mean, words[order], df[order], k1, b
+
+    def impacts(self, word: np.ndarray, tf: np.ndarray, length: np.ndarray) -> np.ndarray:
+        df = self.df[np.searchsorted(self.words, word)]
+        return np.log(1 + (self.n - df + 0.5) / (df + 0.5)) * tf * (self.k1 + 1) / (tf + self.k1 * (1 - self.b + self.b * length / self.mean))
+
+
+def length_class(length: int, shingle: int) -> int:
+    """The power of two from this length on."""
+    return 1 << max(int(length) - 1, 2 * shingle - 1, 1).bit_length()
+
+
 class Shard:
-    """The index of some items of similar length."""
+    """The inverted index of some items of one length class."""
 
-    def __init__(self, items: list[tuple[int, str]], retrieve: float, shingle: int, k1: float = 1.2, b: float = 0.75):
+    def __init__(self, items: list[tuple[int, str]], statistics: Statistics, retrieve: float, shingle: int):
         self.ids = np.array([i for i, _ in items])
         hashes, first = tokens(pa.array([t for _, t in items]))
         length = np.diff(first)
-        self.stride = max(int(length.max()), 2 * shingle)
+        self.stride = length_class(length.max(), shingle)
         self.vocabulary, term = np.unique(hashes, return_inverse=True)
-        of = np.repeat(np.arange(len(items)), length)
-        tf = np.zeros((len(self.vocabulary), len(items)), np.float64)
-        np.add.at(tf, (term, of), 1)
-        df = (tf > 0).sum(1, keepdims=True)
-        idf = np.log(1 + (len(items) - df + 0.5) / (df + 0.5))
-        impact = idf * tf * (k1 + 1) / (tf + k1 * (1 - b + b * length / length.mean()))
-        self.need = retrieve * impact.sum(0)
-        leaf = (impact / self.need).astype(np.float32)
-        self.levels = [leaf]  # from single items up to one block of all
-        while (n := self.levels[0].shape[1]) > 1:
-            padded = np.pad(self.levels[0], ((0, 0), (0, -n % FAN)))
-            self.levels[0] = padded
-            self.levels.insert(0, padded.reshape(len(padded), -1, FAN).max(2))
+        n = len(items)
+        posting, tf = np.unique(term * n + np.repeat(np.arange(n), length), return_counts=True)  # sorted by word, then item
+        term, item = posting // n, posting % n
+        impact = statistics.impacts(self.vocabulary[term], tf, length[item])
+        self.need = retrieve * np.bincount(item, weights=impact, minlength=n)
+        self.posting, self.impact = posting, impact / self.need[item]
+        self.levels = []  # from whole lists down to blocks of FAN items: node size, keys of word and block, largest impacts
+        self.fan = size = FAN
+        while True:
+            blocks = -(-n // size)
+            key = term * blocks + item // size
+            start = np.flatnonzero(np.diff(key, prepend=-1))
+            self.levels.insert(0, (size, blocks, key[start], np.maximum.reduceat(self.impact, start)))
+            if blocks == 1:
+                break
+            size *= self.fan
         self.seen = np.zeros(1 << 16, bool)
         self.seen[(self.vocabulary >> np.uint64(48)).astype(np.int64)] = True
         self.parts = []
@@ -83,74 +110,142 @@ class Shard:
             q, a = (tokens(pa.array([t]))[0] for t in question_and_answer(text))
             self.parts.append((runs(q, shingle), min(len(q), shingle), runs(a, shingle), min(len(a), shingle)))
 
-    def search(self, hashes: np.ndarray, first: np.ndarray):
-        """(row, first word of the passage, item, score over threshold) of all retrieved passages."""
-        n, L = np.diff(first), self.stride
-        windows = np.maximum(1, -(-n // L) - 1)
+    def passages(self, hashes: np.ndarray, first: np.ndarray):
+        """First passage of each row, and the distinct indexed words of every passage that has any: passage, start and count in the list of words."""
+        n, C = np.diff(first), self.stride
+        windows = np.maximum(1, -(-n // C) - 1)
         base = np.cumsum(windows) - windows
         at = np.flatnonzero(self.seen[(hashes >> np.uint64(48)).astype(np.int64)])
         term = np.searchsorted(self.vocabulary, hashes[at])
         hit = self.vocabulary[np.minimum(term, len(self.vocabulary) - 1)] == hashes[at]
         at, term = at[hit], term[hit]
         row = np.searchsorted(first, at, side="right") - 1
-        segment = (at - first[row]) // L
+        segment = (at - first[row]) // C
         size, keys = len(self.vocabulary), []
         for back in (0, 1):
             ok = (segment >= back) & (segment - back < windows[row])
             keys.append((base[row[ok]] + segment[ok] - back) * size + term[ok])
         keys = np.unique(np.concatenate(keys))
-        if not len(keys):
-            return None
         window, term = keys // size, keys % size
         start = np.flatnonzero(np.diff(window, prepend=-1))
-        count, window = np.diff(np.append(start, len(keys))), window[start]
-        node = np.zeros(len(start), np.int64)  # the block of each passage that is still open
-        pick = np.arange(len(start))
-        for depth, level in enumerate(self.levels):
-            fan = 1 if not depth else FAN
+        return base, window[start], start, np.diff(np.append(start, len(keys))), term
+
+    def search(self, hashes: np.ndarray, first: np.ndarray):
+        """(row, first word of the passage, item, score over threshold) of all retrieved passages."""
+        base, window, start, count, term = self.passages(hashes, first)
+        pick, node = np.arange(len(window)), np.zeros(len(window), np.int64)  # passages, and blocks of theirs that are still open
+        above = 1  # blocks of the level above
+        for size, blocks, key, most in self.levels:
+            fan = self.fan if above > 1 else blocks
             found = []
             for a, b in B.parts(np.concatenate([[0], np.cumsum(count[pick])]), 1 << 19):
                 p, own = pick[a:b], count[pick[a:b]]
-                terms = term[B.expand(start[p], own)]
-                inner = np.cumsum(own) - own
-                if fan == 1:
-                    sums = np.add.reduceat(level[terms, 0], inner)[:, None]
-                else:
-                    columns = (node[a:b] * FAN)[:, None] + np.arange(FAN)
-                    sums = np.add.reduceat(level[terms[:, None], np.repeat(columns, own, axis=0)], inner, axis=0)
-                i, j = np.nonzero(sums >= 1 - 1e-4)
-                found.append((p[i], node[a:b][i] * fan + j, sums[i, j]))
-            pick, node, value = (np.concatenate(x) for x in zip(*found, strict=True)) if found else (pick[:0], node[:0], np.zeros(0))
+                word = term[B.expand(start[p], own)]
+                pair = np.repeat(np.arange(b - a), own)
+                low = np.searchsorted(key, word * blocks + node[a:b][pair] * fan)
+                high = np.searchsorted(key, word * blocks + np.minimum((node[a:b][pair] + 1) * fan, blocks))
+                entry = B.expand(low, high - low)
+                block = np.repeat(pair, high - low) * blocks + key[entry] % blocks
+                open_, of = np.unique(block, return_inverse=True)
+                live = open_[np.bincount(of, weights=most[entry]) >= _NEAR] if len(open_) else open_
+                found.append((p[live // blocks], live % blocks))
+            pick, node = (np.concatenate(x) for x in zip(*found, strict=True)) if found else (pick[:0], node[:0])
+            above = blocks
+        out = [self._wand(pick[a:b], node[a:b], start, count, term) for a, b in B.parts(np.concatenate([[0], np.cumsum(count[pick])]), 1 << 18)]
+        if not out:
+            return None
+        pick, item, value = (np.concatenate(x) for x in zip(*out, strict=True))
         row = np.searchsorted(base, window[pick], side="right") - 1
-        return row, first[row] + (window[pick] - base[row]) * L, node, value
+        return row, first[row] + (window[pick] - base[row]) * self.stride, item, value
+
+    def _wand(self, pick, node, start, count, term):
+        """Passage, item and score of what reaches the threshold in one open block of each passage."""
+        n, (size, blocks, key, most) = len(self.ids), self.levels[-1]
+        pair = np.repeat(np.arange(len(pick)), count[pick])
+        word = term[B.expand(start[pick], count[pick])]
+        entry = np.minimum(np.searchsorted(key, word * blocks + node[pair]), len(key) - 1)
+        has = key[entry] == word * blocks + node[pair]
+        pair, word, bound = pair[has], word[has], most[entry[has]]
+        at = np.searchsorted(self.posting, word * n + node[pair] * size)
+        end = np.searchsorted(self.posting, word * n + np.minimum((node[pair] + 1) * size, n))
+        out = []
+        while len(pair):
+            item = self.posting[at] % n
+            order = np.lexsort((item, pair))
+            pair, word, bound, at, end, item = (x[order] for x in (pair, word, bound, at, end, item))
+            head = np.flatnonzero(np.diff(pair, prepend=-1))
+            own = np.diff(np.append(head, len(pair)))
+            sums = np.cumsum(bound)
+            sums -= np.repeat(sums[head] - bound[head], own)
+            reached = np.flatnonzero(sums >= _NEAR)
+            to = np.searchsorted(reached, head)
+            ends = head + own
+            pivot = np.where(to < len(reached), reached[np.minimum(to, max(len(reached) - 1, 0))] if len(reached) else 0, len(pair))
+            open_ = pivot < ends  # no pivot: no item of the block can reach the threshold any more
+            goal = np.where(open_, item[np.minimum(pivot, len(pair) - 1)], -1)
+            ready = open_ & (item[head] == goal)
+            target = np.repeat(goal, own)
+            here = item == target
+            score = np.bincount(np.repeat(np.arange(len(head)), own), weights=np.where(here, self.impact[at], 0), minlength=len(head))
+            full = np.flatnonzero(ready & (score >= _NEAR))
+            out.append((pick[pair[head[full]]], goal[full], score[full]))
+            step = np.repeat(ready, own) & here
+            at = np.where(step, at + 1, at)
+            skip = np.flatnonzero(np.repeat(open_ & ~ready, own) & (item < target))
+            at[skip] = np.searchsorted(self.posting, word[skip] * n + target[skip])
+            keep = np.repeat(open_, own) & (at < end)
+            pair, word, bound, at, end = (x[keep] for x in (pair, word, bound, at, end))
+        return [np.concatenate(x) for x in zip(*out, strict=True)] if out else [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)]
 
     def verified(self, hashes: np.ndarray, first: np.ndarray, overlap: float) -> list[tuple[int, int, float, float, float]]:
         """(row, item_id, BM25 score, question overlap, answer overlap), the best passage of each."""
         found = self.search(hashes, first)
         best: dict[tuple[int, int], tuple] = {}
         for row, at, item, value in zip(*found, strict=True) if found else ():
-            passage = B.Prefix(hashes[at : min(at + 2 * self.stride, first[row + 1])])
+            passage = hashes[at : min(at + 2 * self.stride, first[row + 1])]
             q, q_size, a, a_size = self.parts[item]
-            shares = [float(np.isin(part, passage.all(k)).mean()) if k else 1.0 for part, k in ((q, q_size), (a, a_size))]
+            shares = [float(np.isin(part, B.windows(passage, k)).mean()) if k else 1.0 for part, k in ((q, q_size), (a, a_size))]
             if min(shares) >= overlap - 1e-12:
                 key, new = (int(row), int(self.ids[item])), (float(value * self.need[item]), *shares)
                 best[key] = max(best.get(key, new), new)
         return [(*k, *v) for k, v in best.items()]
 
 
+def _item_words(batches):
+    """The distinct words of every item; with a null word its length."""
+    for batch in batches:
+        hashes, first = tokens(batch.column(1))
+        length = np.diff(first)
+        of = np.repeat(np.arange(batch.num_rows), length)
+        order = np.lexsort((hashes, of))
+        new = np.ones(len(order), bool)
+        new[1:] = (np.diff(hashes[order]) != 0) | (np.diff(of[order]) != 0)
+        some, long = order[new], np.flatnonzero(length)
+        part = np.asarray(batch.column(0))
+        word = pa.array(np.concatenate([hashes[some].view(np.int64), np.zeros(len(long), np.int64)]), mask=np.arange(len(some) + len(long)) >= len(some))
+        yield pa.RecordBatch.from_arrays([pa.array(part[np.concatenate([of[some], long])]), word, pa.array(np.concatenate([np.ones(len(some), np.int64), length[long]]))], ["part", "word", "n"])
+
+
 def index(items: DataFrame, retrieve: float = 0.6, shingle: int = 5) -> list[list[Shard]]:
     """The shards of each pass over the documents; a pass holds items of ``PASS_BYTES`` at most (a longer item alone)."""
     rows = items.filter(F.col("text").isNotNull() & F.col("item_id").isNotNull()).select(F.col("item_id").cast("long").alias("item_id"), "text").distinct()
     total = rows.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
     n = max(1, -(-total // PASS_BYTES))
+    rows = rows.withColumn("part", F.pmod(F.xxhash64("item_id"), F.lit(n)).cast("int"))
+    words = cut(rows.select("part", "text").mapInArrow(_item_words, "part int, word long, n long"))
+    count = words.filter("word IS NULL").agg(F.count("*").alias("n"), F.avg("n").alias("mean")).first()
+    df = words.filter("word IS NOT NULL").groupBy("word").agg(F.count("*").alias("df"))
     passes = []
     for k in range(n):
-        some = [(r[0], r[1]) for r in rows.filter(F.pmod(F.xxhash64("item_id"), F.lit(n)) == k).collect()]  # bounded by the bytes of a pass
-        size = np.diff(tokens(pa.array([t for _, t in some], pa.string()))[1]) if some else []
-        some = [(i, t) for (i, t), s in zip(some, size, strict=True) if s]
-        size = [s for s in size if s]
-        some = [some[j] for j in sorted(range(len(some)), key=lambda j: (size[j], some[j][0]))]
-        passes.append([Shard(some[a : a + SHARD_ITEMS], retrieve, shingle) for a in range(0, len(some), SHARD_ITEMS)])
+        of_pass = words.filter((F.col("part") == k) & F.col("word").isNotNull()).select("word").distinct()
+        found = df.join(of_pass, "word").toPandas()  # the words of one pass
+        statistics = Statistics(count["n"], count["mean"] or 1.0, found["word"].to_numpy(np.int64).view(np.uint64), found["df"].to_numpy(np.int64))
+        some = [(r[0], r[1]) for r in rows.filter(F.col("part") == k).select("item_id", "text").collect()]  # bounded by the bytes of a pass
+        size = np.diff(tokens(pa.array([t for _, t in some], pa.string()))[1]).tolist() if some else []
+        classes: dict[int, list] = {}
+        for _, i, t in sorted((s, i, t) for (i, t), s in zip(some, size, strict=True) if s):
+            classes.setdefault(length_class(len(tokens(pa.array([t]))[0]), shingle), []).append((i, t))
+        passes.append([Shard(c[a : a + SHARD_ITEMS], statistics, retrieve, shingle) for c in classes.values() for a in range(0, len(c), SHARD_ITEMS)])
     return passes
 
 

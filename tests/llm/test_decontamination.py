@@ -16,7 +16,6 @@ def brute(docs, items, retrieve, overlap, k):
     """Scores of every passage for every item."""
     items = [(i, t) for i, t in items if t and words(t)]
     tok = {i: words(t) for i, t in items}
-    L = max(max(map(len, tok.values())), 2 * k)
     n, mean = len(items), sum(map(len, tok.values())) / len(items)
     df = {w: sum(w in t for t in tok.values()) for t in tok.values() for w in t}
 
@@ -32,9 +31,10 @@ def brute(docs, items, retrieve, overlap, k):
     out = {}
     for d, text in docs:
         t = words(text)
-        for s in range(0, max(1, -(-len(t) // L) - 1) * L, L):
-            p = t[s : s + 2 * L]
-            for i, item in items:
+        for i, item in items:
+            L = D.length_class(len(tok[i]), k)
+            for s in range(0, max(1, -(-len(t) // L) - 1) * L, L):
+                p = t[s : s + 2 * L]
                 score = sum(impact(w, i) for w in set(p))
                 if score >= retrieve * own[i] * (1 - 1e-4):
                     shares = []
@@ -75,12 +75,16 @@ def test_matches_brute_force(spark, monkeypatch):
 def test_passes_and_shards_find_the_same_leaks(spark, monkeypatch):
     docs, items = corpus(3)
     table, bench = spark.createDataFrame([(*d, 1, "x") for d in docs], SCHEMA), spark.createDataFrame(items, "item_id long, text string")
-    whole = {(r.doc_id, r.item_id) for r in D.contaminated(table, bench).collect()}
+    found = lambda: {(r.doc_id, r.item_id): (round(r.bm25, 9), r.question_overlap, r.answer_overlap) for r in D.contaminated(table, bench, overlap=0.5).collect()}
+    whole, leaks = found(), {(r.doc_id, r.item_id) for r in D.contaminated(table, bench).collect()}
     monkeypatch.setattr(D, "SHARD_ITEMS", 7)
     monkeypatch.setattr(D, "PASS_BYTES", 2000)
-    assert {(r.doc_id, r.item_id) for r in D.contaminated(table, bench).collect()} == whole
+    monkeypatch.setattr(D, "FAN", 2)
+    assert found() == whole and len(whole) > 10
+    want = brute(docs, items, 0.6, 0.5, 5)
+    assert whole.keys() == want.keys() and all(abs(whole[k][0] - want[k]) < 1e-6 for k in want)
     kept = {r.doc_id for r in D.clean(table, bench).collect()}
-    assert kept == {d for d, _ in docs} - {d for d, _ in whole}
+    assert kept == {d for d, _ in docs} - {d for d, _ in leaks}
 
 
 def test_odd_rows(spark):
