@@ -194,11 +194,11 @@ def octets(data: np.ndarray) -> np.ndarray:
 
 
 #: The bytes that part words, space and 0x09 to 0x0D.
-_SPACE = np.zeros(256, bool)
-_SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
+SPACE = np.zeros(256, bool)
+SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 
 
-def words(offsets: np.ndarray, data: np.ndarray, apart: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def words(offsets: np.ndarray, data: np.ndarray, apart: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Hash of every word, the first word of every row (and the end), and the start byte of every word; ``apart``: bytes that part words."""
     if len(data) == 0:
         return np.zeros(0, np.uint64), np.zeros(len(offsets), np.int64), np.zeros(0, np.int64)

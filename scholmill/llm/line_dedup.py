@@ -25,15 +25,6 @@ _OTHER = np.uint64(0xA5A5_5A5A_1234_4321)
 _WHOLE = np.uint64(0x0F0F_3C3C_5555_9999)
 
 
-def _short_space() -> np.ndarray:
-    out = np.zeros(256, bool)
-    out[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
-    return out
-
-
-_SPACE = _short_space()
-
-
 class _Part:
     """Rows a to b of a block: its lines, and of every run its start, number of lines, fingerprint (key) and two hashes."""
 
@@ -51,7 +42,7 @@ class _Part:
         self.end[tail], self.end[~tail] = offsets[1:], breaks
         self.base = int(at[0])
         lines = B.segments(data, data != 10, self.start, self.end)
-        begin = ~_SPACE[data]
+        begin = ~B.SPACE[data]
         if len(data):
             inner = np.zeros(len(data), bool)
             inner[1:] = begin[:-1]

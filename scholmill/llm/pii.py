@@ -3,12 +3,14 @@
 Base spans are the leftmost non-overlapping matches of one pattern for each kind, without those that fail the kind's check. Their
 places come from the lengths of the matches and of what stands between them. Base spans that are a whole unit (tokens with a digit or
 ``@``, next to each other) are seeds. Each unit has two lexical patterns: the two words before it, and the word before with the word
-after. Patterns that ``support`` different seeds of a kind share span a graph with all units that they match; scores go to and fro over it
-``rounds`` times: a pattern's confidence in a kind is the mean score of its different units, a unit's score the highest confidence of its
-patterns; seeds stay at 1. Units of ``accept`` or more that overlap no base span are found identifiers of that kind.
+after. Patterns and units are a graph. In each round patterns are induced: those that ``support`` different known units of a kind share, seeds or
+found in earlier rounds. A pattern's confidence in a kind is the mean score of its different units, a unit's score the highest confidence of
+its patterns; seeds stay at 1. Units of ``accept`` or more become known and bring their own patterns in the next round, until a
+round changes no score by more than a hundredth (``rounds`` at most). Known units that overlap no base span are found identifiers of that kind.
 
 Null texts are empty; rows without doc_id and equal rows are handled each; positions are code points, ends exclusive; a text without
-matches gives zeros and empty lists; an empty table gives an empty result; other columns are left out.
+matches gives zeros and empty lists; an empty table gives an empty result; other columns are left out. What is written between steps holds
+digests of units and patterns, places and doc_ids, no text.
 """
 
 from __future__ import annotations
@@ -79,32 +81,35 @@ def annotated(docs: DataFrame) -> DataFrame:
     rows = rows.select("doc_id", "text", F.concat(*(f"{k}_spans" for k in KINDS)).alias("base"))
     rows = _matches(rows, "unit", UNIT, "[0-9@]")
     words = "filter(split({}, '\\\\s+'), w -> w <> '')"
-    left = f"slice(concat(array('', IF(i = 0, '^', '<id>')), {words.format('lower(right(unit_gaps[i], 80))')}), -2, 2)"
-    right = f"concat({words.format('lower(left(unit_gaps[i + 1], 80))')}, array(IF(i = size(unit) - 1, '$', '<id>')))[0]"
+    left = f"slice(concat(array('', IF(i = 0, '^', '<id>')), {words.format('lower(unit_gaps[i])')}), -2, 2)"
+    right = f"concat({words.format('lower(unit_gaps[i + 1])')}, array(IF(i = size(unit) - 1, '$', '<id>')))[0]"
     core = r"struct(s.start + length(regexp_extract(x, '^[^\\p{L}\\p{N}+]*+', 0)) AS start, s.end - length(regexp_extract(x, '(?<![^\\p{L}\\p{N}])[^\\p{L}\\p{N}]*+$', 0)) AS end)"
     value = r"lower(regexp_replace(x, '^[^\\p{L}\\p{N}+]++|(?<![^\\p{L}\\p{N}])[^\\p{L}\\p{N}]++$', ''))"
     unit = f"transform(unit_at, (s, i) -> transform(array(unit[i]), x -> struct({core} AS c, {value} AS value, {left} AS l, {right} AS r))[0])"
     kind = "CASE WHEN exists(base, b -> b.start = u.c.start AND b.end = u.c.end) THEN filter(base, b -> b.start = u.c.start AND b.end = u.c.end)[0].kind WHEN exists(base, b -> b.start < u.c.end AND b.end > u.c.start) THEN -2 ELSE -1 END"
-    named = f"transform({unit}, u -> struct(u.c.start AS start, u.c.end AS end, u.value AS value, {kind} AS kind, array(concat('before ', u.l[0], ' ', u.l[1]), concat('around ', u.l[1], ' _ ', u.r)) AS patterns))"
+    named = f"transform({unit}, u -> struct(u.c.start AS start, u.c.end AS end, u.value AS value, {kind} AS kind, array(md5(concat('before ', u.l[0], ' ', u.l[1])), md5(concat('around ', u.l[1], ' _ ', u.r))) AS patterns))"
     like = r"u.kind >= 0 OR u.kind = -1 AND length(u.value) >= 6 AND (u.value LIKE '%@%' OR length(regexp_replace(u.value, '[^0-9]', '')) >= 3)"
-    rows = rows.select("doc_id", "base", F.expr(f"filter({named}, u -> {like})").alias("units"))
+    digests = "u -> struct(u.start AS start, u.end AS end, left(sha2(u.value, 256), 32) AS value, u.kind AS kind, u.patterns AS patterns)"
+    rows = rows.select("doc_id", "base", F.expr(f"transform(filter({named}, u -> {like}), {digests})").alias("units"))
     return cut(rows).select(F.monotonically_increasing_id().alias("row"), "*")
 
 
-def discovered(units: DataFrame, support: int = 3, accept: float = 0.7, rounds: int = 3) -> DataFrame:
+def discovered(units: DataFrame, support: int = 3, accept: float = 0.7, rounds: int = 10) -> DataFrame:
     """(value, kind) of the identifiers that high-confidence patterns find; units: value, kind, patterns."""
-    seeds = units.filter("kind >= 0").select("value", "kind").distinct()
-    edges = units.filter("kind >= -1").select("value", F.explode("patterns").alias("pattern")).distinct()
-    seeded = edges.join(seeds, "value").groupBy("pattern", "kind").agg(F.count("*").alias("n")).filter(F.col("n") >= support).select("pattern", "kind")
-    edges = cut(edges.join(seeded.select("pattern").distinct(), "pattern", "left_semi"))
-    sizes = edges.groupBy("pattern").agg(F.count("*").alias("size"))
-    kinds = cut(seeded.join(sizes, "pattern"))  # pattern, kind, size
-    scores = seeds.withColumn("score", F.lit(1.0))
+    seeds = cut(units.filter("kind >= 0").select("value", "kind").distinct().withColumn("score", F.lit(1.0)))
+    edges = cut(units.filter("kind >= -1").select("value", F.explode("patterns").alias("pattern")).distinct())
+    sizes = cut(edges.groupBy("pattern").agg(F.count("*").alias("size")).filter(F.col("size") >= support))
+    scores, mark = seeds, None
     for _ in range(rounds):
-        sums = edges.join(scores, "value").groupBy("pattern", "kind").agg(F.sum("score").alias("sum"))
-        confidence = kinds.join(sums, ["pattern", "kind"]).select("pattern", "kind", (F.col("sum") / F.col("size")).alias("score"))
+        known = F.count_if(F.col("score") >= accept)
+        patterns = edges.join(scores, "value").groupBy("pattern", "kind").agg(F.sum("score").alias("sum"), known.alias("known")).filter(F.col("known") >= support)
+        confidence = patterns.join(sizes, "pattern").select("pattern", "kind", (F.col("sum") / F.col("size")).alias("score"))
         reached = edges.join(confidence, "pattern").groupBy("value", "kind").agg(F.max("score").alias("score"))
-        scores = cut(reached.join(seeds, ["value", "kind"], "left_anti").unionByName(seeds.withColumn("score", F.lit(1.0))))
+        scores = cut(reached.join(seeds, ["value", "kind"], "left_anti").unionByName(seeds))
+        seen = scores.agg(F.count("*"), F.sum(F.xxhash64("value", "kind", F.round("score", 2)).cast("decimal(38,0)"))).first()
+        if seen == mark:
+            break
+        mark = seen
     best = scores.join(seeds.select("value").distinct(), "value", "left_anti").filter(F.col("score") >= accept)
     return best.groupBy("value").agg(F.max_by("kind", F.struct("score", -F.col("kind"))).alias("kind"))
 
@@ -114,7 +119,7 @@ def _listed(spans: str) -> str:
     return f"concat_ws(',', transform(array_sort({spans}), s -> concat({names}[s.kind], ':', s.start, ':', s.end)))"
 
 
-def personal_data(docs: DataFrame, support: int = 3, accept: float = 0.7, rounds: int = 3) -> DataFrame:
+def personal_data(docs: DataFrame, support: int = 3, accept: float = 0.7, rounds: int = 10) -> DataFrame:
     """doc_id, the number of base spans by kind, the lists of base spans and of all spans (kind:start:end), and n_found."""
     rows = annotated(docs)
     units = rows.select("row", F.explode("units").alias("u")).select("row", "u.*")

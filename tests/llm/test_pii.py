@@ -1,6 +1,6 @@
 import random
 
-from scholmill.llm.pii import personal_data
+from scholmill.llm.pii import discovered, personal_data
 from scholmill.llm.query_pii import op9_personal_data
 from tests.llm import brute
 
@@ -31,6 +31,57 @@ def test_patterns_find_unseen_identifiers(spark):
     assert spans(spark, texts, support=7)[6]["spans"] == ""
 
 
+def plain(contexts, seeds, support, accept, rounds):
+    """{value: kind} of what is found; contexts: (value, pattern) pairs, seeds: {value: kind}; by sets, without Spark."""
+    edges = set(contexts)
+    of = {p: {v for v, q in edges if q == p} for _, p in edges}
+    scores, before = {(v, k): 1.0 for v, k in seeds.items()}, None
+    for _ in range(rounds):
+        confidence = {}
+        for p, values in of.items():
+            for kind in {k for _, k in scores}:
+                got = [scores.get((v, kind), 0) for v in values]
+                if sum(x >= accept for x in got) >= support:
+                    confidence[p, kind] = sum(got) / len(values)
+        scores = {(v, k): 1.0 for v, k in seeds.items()}
+        for v, p in edges:
+            for kind in {k for q, k in confidence if q == p}:
+                if seeds.get(v) != kind:
+                    scores[v, kind] = max(scores.get((v, kind), 0), confidence[p, kind])
+        known = {(x, round(s, 2)) for x, s in scores.items()}
+        if known == before:
+            break
+        before = known
+    best = {}
+    for (v, k), s in sorted(scores.items()):
+        if v not in seeds and s >= accept and s > best.get(v, (0, 0))[0]:
+            best[v] = (s, k)
+    return {v: k for v, (s, k) in best.items()}
+
+
+def test_found_units_bring_their_own_patterns(spark):
+    """Seeds find values in their context; these find others in a context where no seed stands."""
+    texts = [f"please call me at +1 (200) 555-{1000 + i} today" for i in range(6)] + [f"please call me at 0049-30-765{i} today" for i in range(4)]
+    texts += [f"reach office line 0049-30-765{i} daily" for i in range(4)] + ["reach office line 0049-99-1234 daily", "the numbers 2023-44 and 2024-45 are years"]
+    got = spans(spark, texts)
+    assert got[14]["spans"] == "phone:18:30" and texts[14][18:30] == "0049-99-1234"
+    assert all(r["spans"] == "phone:18:30" for r in got[6:15]) and got[15]["spans"] == ""
+    assert spans(spark, texts, rounds=1)[14]["spans"] == ""
+
+
+def test_graph_against_the_plain_version(spark):
+    rng = random.Random(8)
+    values = [f"v{i}" for i in range(60)]
+    units = [(v, -1, [f"p{rng.randrange(6) + 6 * (i % 4)}", f"q{rng.randrange(5) + 5 * (i % 4)}"]) for i, v in enumerate(values) for _ in range(rng.randint(1, 3))]
+    seeds = {v: i % 2 for i, v in enumerate(values) if i % 4 < 2 and rng.random() < 0.7}
+    rows = [(v, seeds.get(v, -1), p) for v, _, p in units]
+    frame = spark.createDataFrame(rows, "value string, kind int, patterns array<string>")
+    for accept, support in ((0.6, 2), (0.4, 1), (0.7, 3)):
+        got = {r.value: r.kind for r in discovered(frame, support, accept, 8).collect()}
+        assert got == plain([(v, p) for v, _, ps in units for p in ps], seeds, support, accept, 8)
+        assert got or accept == 0.7
+
+
 def test_odd_rows(spark):
     rows = [(None, "a@b.cd"), (None, None), (3, "a@b.cd"), (3, "a@b.cd"), (4, ""), (5, "w " * 200_000 + "+1 361 555 8283")]
     got = sorted(((r.doc_id or 0, r.spans) for r in personal_data(spark.createDataFrame([(*r, 1, "x") for r in rows], SCHEMA)).collect()))
