@@ -69,11 +69,30 @@ def test_recall_with_uneven_lengths(spark):
     assert recall(spark, x / np.sqrt((x * x).sum(1, keepdims=True)) * np.exp(0.5 * rng.normal(size=(12_000, 1)))) >= 0.9
 
 
+def test_recall_of_the_query_without_structure(spark, tmp_path):
+    """The registered query on 20,000 vectors without structure, for two ways of dealing them out."""
+    rng = np.random.default_rng(7)
+    x = rng.normal(size=(20_000, 32)).astype(np.float32)
+    table = spark.createDataFrame([(i, [float(v) for v in y], 1, "x") for i, y in enumerate(x)], SCHEMA)
+    got = []
+    for n in (3, 7):
+        table.repartition(n, "vec_id").write.parquet(f"{tmp_path}/{n}/embeddings.parquet")
+        got.append(lists(op1_permutation_index(spark, f"{tmp_path}/{n}")))
+    assert got[0] == got[1] and len(got[0]) == 1000
+    x, hits = x.astype(float), 0
+    for q in range(0, 20_000, 400):
+        s = x @ x[q]
+        s[q] = -np.inf
+        hits += len(set(np.argsort(-s)[:20].tolist()) & {i for i, _ in got[0][q]})
+    print("recall", hits / 1000)
+    assert hits / 1000 >= 0.9
+
+
 def test_odd_rows(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(0, [1.0, 0.0]), (1, [1.0, 0.0]), (1, [1.0, 0.0]), (2, None), (3, [0.0, 0.0]), (4, [nan, 1.0]), (5, [inf, 1.0]), (6, [None, 1.0]), (7, [1.0]), (None, [1.0, 1.0]), (8, [-0.0, 2.0]), (20, [3e38, 3e38]), (40, [])]
     got = lists(nearest(spark.createDataFrame([(*r, 1, "x") for r in rows], SCHEMA), "id % 20 = 0"))
     big = float(np.float32(3e38))
-    assert got == {0: [(20, big), (1, 1.0), (8, 0.0)], 20: [(8, 2 * big), (0, big), (1, big)]}
+    assert got == {0: [(20, big), (1, 1.0), (7, 1.0), (8, 0.0)], 20: [(8, 2 * big), (0, big), (1, big), (7, big)]}
     assert nearest(spark.createDataFrame([], SCHEMA), "id % 20 = 0").collect() == []
     assert nearest(spark.createDataFrame([(0, [1.0], 1, "x")], SCHEMA), "id % 20 = 0").collect() == []
