@@ -52,7 +52,7 @@ def test_stages_against_plain_versions(spark, tmp_path):
             assert {i: r.text for i, r in after.items()} == {i: x[2] for i, x in plain.items() if x[2].strip()}
             assert all(r.n_chars == len(r.text) for r in after.values()) and len(after) < len(before)
         elif k == 2:
-            label, _ = brute.near_classes([(i, r.text) for i, r in before.items()], 0.8, 5)
+            label, _ = brute.near_classes([(i, r.text) for i, r in before.items()], 0.8, 5, plain=True)
             assert after == {i: r for i, r in before.items() if label[i] == i} and len(after) < len(before)
         else:
             found = {d for d, _ in leaks([(i, r.text) for i, r in before.items()], items, 0.6, 0.8, 5)}
@@ -64,3 +64,25 @@ def test_stages_against_plain_versions(spark, tmp_path):
         seqs[r.sequence_id] += r.length
     assert max(seqs.values()) <= 2048 and len(seqs) <= -(-sum(seqs.values()) // 2048) + 1
     assert UNDETERMINED == "und"
+
+
+def test_odd_rows(spark, tmp_path):
+    """Null and repeated ids, null and empty texts, null languages and further columns with names that the operators use."""
+    rows, items = corpus(2)
+    odd = [(None, rows[0][1] + " without id", "en", None, None), (None, None, "en", "s", 1), (500, "", "en", "s", 0), (501, None, None, None, None), (502, rows[1][1] + " no language", None, "s", None), (503, rows[2][1] + " again", "de", "s", 9), (503, rows[2][1] + " again", "de", "s", 9), (504, "the house " * 60_000, "en", "s", 1)]
+    schema = "doc_id long, text string, lang string, source string, n_chars long, block long, label string, x int, row int"
+    for name, some in (("odd", [(*r, 1, "x", 2, 3) for r in rows + odd]), ("none", [])):
+        spark.createDataFrame(some, schema).write.parquet(f"{tmp_path}/{name}/documents.parquet")
+        spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{tmp_path}/{name}/benchmark.parquet")
+    docs = spark.read.parquet(f"{tmp_path}/odd/documents.parquet")
+    seen = []
+    for _, stage in corpus_pipeline.STAGES[:4]:
+        docs = stage(spark, docs, f"{tmp_path}/odd")
+        assert docs.columns == corpus_pipeline.COLUMNS
+        docs = spark.createDataFrame(docs.collect(), docs.schema)
+        seen.append([r.doc_id for r in docs.collect()])
+    assert seen[0].count(None) == 1 and not {500, 501} & set(seen[0]) and seen[0].count(503) == 2
+    assert all(x.count(None) <= 1 and {502, 504} <= set(x) for x in seen) and seen[3].count(503) <= 1
+    last = corpus_pipeline.run(spark, f"{tmp_path}/odd").collect()
+    assert {r.doc_id for r in last} == set(seen[3])
+    assert corpus_pipeline.run(spark, f"{tmp_path}/none").collect() == []
