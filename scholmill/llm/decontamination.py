@@ -2,7 +2,7 @@
 
 Words are runs of letters and digits, in lower case. Document frequencies, the number of items and their mean length are counted over all items
 before, so that scores are the same however the index is cut. Items are indexed by length class: C is the length of the longest possible item
-of the class in words, a power of two. Passages are the windows of 2 C words at every C-th word, so that each stretch of C words lies whole
+of the class in words: 64, 256 and so on. Passages are the windows of 2 C words at every C-th word, so that each stretch of C words lies whole
 in one. A passage's score for an item is the sum of the BM25 impacts of its distinct words; the item is retrieved from ``retrieve`` of the score
 of its own text on. Impacts are divided by that threshold, so that one bound holds for all items.
 
@@ -74,8 +74,11 @@ class Statistics:
 
 
 def length_class(length: int, shingle: int) -> int:
-    """The power of two from this length on."""
-    return 1 << max(int(length) - 1, 2 * shingle - 1, 1).bit_length()
+    """The length of the longest item of its class: 64, 256, 1024 and so on."""
+    size = 64
+    while size < max(int(length), 2 * shingle):
+        size *= 4
+    return size
 
 
 class Shard:
@@ -135,20 +138,22 @@ class Shard:
         base, window, start, count, term = self.passages(hashes, first)
         pick, node = np.arange(len(window)), np.zeros(len(window), np.int64)  # passages, and blocks of theirs that are still open
         above = 1  # blocks of the level above
-        for size, blocks, key, most in self.levels:
+        for _, blocks, key, most in self.levels:
             fan = self.fan if above > 1 else blocks
             found = []
-            for a, b in B.parts(np.concatenate([[0], np.cumsum(count[pick])]), 1 << 19):
-                p, own = pick[a:b], count[pick[a:b]]
+            for a, b in B.parts(np.concatenate([[0], np.cumsum(count[pick])]), max(1, (1 << 22) // fan)):
+                p, own, own_node = pick[a:b], count[pick[a:b]], node[a:b]
                 word = term[B.expand(start[p], own)]
-                pair = np.repeat(np.arange(b - a), own)
-                low = np.searchsorted(key, word * blocks + node[a:b][pair] * fan)
-                high = np.searchsorted(key, word * blocks + np.minimum((node[a:b][pair] + 1) * fan, blocks))
-                entry = B.expand(low, high - low)
-                block = np.repeat(pair, high - low) * blocks + key[entry] % blocks
-                open_, of = np.unique(block, return_inverse=True)
-                live = open_[np.bincount(of, weights=most[entry]) >= _NEAR] if len(open_) else open_
-                found.append((p[live // blocks], live % blocks))
+                if blocks == 1:  # whole lists: one entry a word
+                    sums = np.add.reduceat(most[word], np.cumsum(own) - own)[:, None]
+                else:
+                    pair = np.repeat(np.arange(b - a), own)
+                    low = np.searchsorted(key, word * blocks + own_node[pair] * fan)
+                    high = np.searchsorted(key, word * blocks + np.minimum((own_node[pair] + 1) * fan, blocks))
+                    entry, pair = B.expand(low, high - low), np.repeat(pair, high - low)
+                    sums = np.bincount(pair * fan + key[entry] % blocks - own_node[pair] * fan, weights=most[entry], minlength=(b - a) * fan).reshape(-1, fan)
+                i, j = np.nonzero(sums >= _NEAR)
+                found.append((p[i], own_node[i] * fan + j))
             pick, node = (np.concatenate(x) for x in zip(*found, strict=True)) if found else (pick[:0], node[:0])
             above = blocks
         out = [self._wand(pick[a:b], node[a:b], start, count, term) for a, b in B.parts(np.concatenate([[0], np.cumsum(count[pick])]), 1 << 18)]

@@ -6,8 +6,8 @@ times a capped length. The scripts of a text narrow its candidates to languages
 text with the best sequence of candidates, where each switch costs a penalty; equal neighbours form spans. A text's language is
 the one whose spans hold most letters (ties: the first in sorted order), its score their share.
 
-Texts are handled in slices of some ``SLICE`` characters. A longer text is cut into slices after words; the state of Viterbi goes from
-one to the next, so its labels are those of the whole. A run of letters of more than ``SLICE`` characters in such a text counts as several words.
+Texts are turned to scores in slices of some ``SLICE`` characters; a longer text is cut into slices after words. Scores of words, not of
+characters, are held, ``HELD`` at most; the state of Viterbi goes from one portion to the next, so labels are those of the whole. A run of letters of more than ``SLICE`` characters in such a text counts as several words.
 
 Null texts and texts without letters give ``und`` with score 0 and no spans; rows without a language teach nothing; without any training
 row every text is ``und``; other columns can be carried along; equal rows are labelled each; an empty table gives an empty result.
@@ -24,7 +24,10 @@ from pyspark.sql import functions as F
 
 UNDETERMINED = "und"
 BUCKETS = 1 << 16
+#: Characters that are turned to scores at once; characters of texts that step together; scores that are held for a step.
 SLICE = 200_000
+BATCH = 8_000_000
+HELD = 8_000_000
 #: First code points of script ranges, and their scripts (0: no letter's script of its own).
 SCRIPT_STARTS = (0x0000, 0x0370, 0x0400, 0x0530, 0x0590, 0x0600, 0x0700, 0x0900, 0x0E00, 0x1100, 0x1200, 0x1E00, 0x1F00, 0x2000, 0x2C00, 0x2C60, 0x2C80, 0x3040, 0x30A0, 0x3100, 0x3400, 0xA000, 0xA720, 0xA800, 0xAC00, 0xD7B0, 0xF900, 0xFB00, 0xFB50, 0xFE00, 0xFF21, 0xFF66, 0xFFA0, 0x20000)
 SCRIPT_NAMES = ("Latin", "Greek", "Cyrillic", "Other", "Hebrew", "Arabic", "Other", "Indic", "SoutheastAsian", "Hangul", "Other", "Latin", "Greek", "Other", "Other", "Latin", "Other", "Hiragana", "Katakana", "Other", "Han", "Other", "Latin", "Other", "Hangul", "Other", "Han", "Latin", "Arabic", "Other", "Latin", "Katakana", "Hangul", "Han")
@@ -83,11 +86,11 @@ class Words:
         return out
 
 
-def slices(texts: list[str]):
-    """Ranges of texts of some ``SLICE`` characters together; a longer text is alone."""
+def slices(texts: list[str], most: int):
+    """Ranges of texts of so many characters together; a longer text is alone."""
     at, ends = 0, np.cumsum([len(t) for t in texts])
     while at < len(texts):
-        to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + SLICE, side="right")))
+        to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + most, side="right")))
         yield at, to
         at = to
 
@@ -110,7 +113,7 @@ def counts(batches, languages: list[str]):
     for batch in batches:
         langs, texts = batch.column("lang").to_pylist(), batch.column("text").to_pylist()
         texts = [t or "" for t in texts]
-        for a, b in slices(texts):
+        for a, b in slices(texts, SLICE):
             for part in [texts[a:b]] if len(texts[a]) <= SLICE else ([t] for _, t in pieces(texts[a])):
                 words = Words(part)
                 lang = np.array([index[g] for g in langs[a:b]])[words.row]
@@ -153,49 +156,59 @@ class Viterbi:
     """
 
     def __init__(self, n_rows: int, k: int, penalty: float):
-        self.k, self.penalty = k, penalty
-        self.state, self.fresh = np.zeros((n_rows, k), np.float32), np.ones(n_rows, bool)
-        self.steps: list[tuple[list, np.ndarray, np.ndarray, int]] = []
+        self.k, self.penalty = k, np.float32(penalty)
+        self.state = np.zeros((n_rows, k), np.float32)
+        self.steps: list[tuple] = []
 
     def forward(self, scores: np.ndarray, row: np.ndarray) -> None:
         """The next words; scores: words x labels, row: ascending."""
         n = len(scores)
+        if not n:
+            self.steps.append((None, None, None, None, None))
+            return
         length = np.bincount(row, minlength=len(self.state))
-        first = np.cumsum(length) - length
-        by = np.argsort(-length, kind="stable")
-        by = by[length[by] > 0]
-        sizes, start = length[by], first[by]
-        state, fresh = self.state[by], self.fresh[by]
-        best, bits = np.zeros(n, np.int16), np.zeros((n, -(-self.k // 8)), np.uint8)
-        live, lives = len(by), []
-        for t in range(int(sizes[0]) if n else 0):
-            while sizes[live - 1] <= t:
-                live -= 1
-            lives.append(live)
-            at, s = start[:live] + t, state[:live]
-            top = s.argmax(1)
-            jump = s[np.arange(live), top] - self.penalty
-            switch = (jump[:, None] > s) & ~fresh[:live, None]
-            best[at], bits[at] = top, np.packbits(switch, axis=1)
-            s = np.where(switch, jump[:, None], s)
-            s -= s.max(1, keepdims=True)  # only differences matter; sums of long texts stay exact
-            state[:live] = s + scores[at]
-            fresh[:live] = False
-        self.state[by], self.fresh[by] = state, fresh
-        self.steps.append(((by, start, lives), best, bits, n))
+        by = np.argsort(-length, kind="stable")[: int((length > 0).sum())]  # the longest text first
+        rank = np.empty(len(length), np.int64)
+        rank[by] = np.arange(len(by))
+        turn = np.arange(n) - np.repeat((np.cumsum(length) - length), length)  # each word's number in its text
+        order = np.lexsort((rank[row], turn))  # first words of all texts, second words, and so on
+        lives = np.bincount(turn)
+        scores, state = scores[order], self.state[by]
+        best, switch = np.empty(n, np.int16), np.empty((n, self.k), bool)
+        at = 0
+        for live in lives.tolist():
+            s, to = state[:live], at + live
+            top = s.max(1, keepdims=True)
+            jump = top - self.penalty
+            best[at:to] = s.argmax(1)
+            np.greater(jump, s, out=switch[at:to])
+            np.maximum(s, jump, out=s)
+            s -= top  # only differences matter; sums of long texts stay exact
+            s += scores[at:to]
+            at = to
+        self.state[by] = state
+        self.steps.append((by, order.astype(np.int32), lives, best, np.packbits(switch, axis=1)))
 
     def labels(self) -> list[np.ndarray]:
         """The label of every word, by portion."""
         label, out = self.state.argmax(1), []
-        for (by, start, lives), best, bits, n in reversed(self.steps):
-            found = np.zeros(n, np.int16)
-            for t in range(len(lives) - 1, -1, -1):
-                live = lives[t]
-                at, now = start[:live] + t, label[by[:live]]
-                found[at] = now
-                switched = (bits[at, now >> 3] >> (7 - (now & 7)).astype(np.uint8)) & 1
-                label[by[:live]] = np.where(switched == 1, best[at], now)
-            out.append(found)
+        for by, order, lives, best, bits in reversed(self.steps):
+            if by is None:
+                out.append(np.zeros(0, np.int16))
+                continue
+            n = len(best)
+            switch, base = np.unpackbits(bits, axis=1, count=self.k).reshape(-1), np.arange(n) * self.k
+            found, now, at = np.empty(n, np.int16), label[by], n
+            for live in lives[::-1].tolist():
+                s, to = now[:live], at
+                at -= live
+                found[at:to] = s
+                switched = switch.take(base[at:to] + s)
+                now[:live] = np.where(switched, best[at:to], s)
+            label[by] = now
+            back = np.empty(n, np.int16)
+            back[order] = found
+            out.append(back)
         return out[::-1]
 
 
@@ -225,27 +238,43 @@ def _scores(model: Model, words: Words, used: np.ndarray, cap: int) -> np.ndarra
     return np.where(allowed, scores, np.float32(-1e9))
 
 
+def _portions(model: Model, texts: list[str], cap: int):
+    """Row, start, end and scores of the words of some texts, a slice at a time."""
+    for a, b in slices(texts, SLICE):
+        if len(texts[a]) <= SLICE:
+            words = Words(texts[a:b])
+            base = words.base[words.row]
+            yield a + words.row, words.start - base, words.end - base, _scores(model, words, _scripts(words, b - a), cap)
+            continue
+        used = sum(_scripts(Words([part]), 1) for _, part in pieces(texts[a]))
+        for at, part in pieces(texts[a]):
+            words = Words([part])
+            yield a + words.row, words.start + at, words.end + at, _scores(model, words, used, cap)
+
+
 def _label(model: Model, texts: list[str], penalty: float, cap: int):
-    """Row, start, end and label of every word, and letters by text and language; one text may be longer than a slice."""
+    """Row, start, end and label of every word, and letters by text and language."""
     k = len(model.languages)
     letters = np.zeros((len(texts), max(k, 1)))
-    parts = list(pieces(texts[0])) if len(texts) == 1 and len(texts[0]) > SLICE else [(0, None)]
-    used = np.zeros((len(texts), len(SCRIPTS)))
-    places = []
-    if k:
-        for _, part in parts:
-            used += _scripts(Words(texts if part is None else [part]), len(texts))
-        v = Viterbi(len(texts), k, penalty)
-        for at, part in parts:
-            words = Words(texts if part is None else [part])
-            base = words.base[words.row] - at
-            places.append((words.row, (words.start - base).astype(np.int32), (words.end - base).astype(np.int32)))
-            v.forward(_scores(model, words, used, cap), words.row)
-        row, start, end = (np.concatenate(x) for x in zip(*places, strict=True))
-        label = np.concatenate(v.labels())
-        np.add.at(letters, (row, label), end - start)
-        return row, start, end, label, letters
-    return *(np.zeros(0, np.int32) for _ in range(4)), letters
+    if not k:
+        return *(np.zeros(0, np.int32) for _ in range(4)), letters
+    v, places, held = Viterbi(len(texts), k, penalty), [], []
+
+    def step():
+        v.forward(np.concatenate([s for _, s in held]), np.concatenate([r for r, _ in held]))
+        held.clear()
+
+    for row, start, end, scores in _portions(model, texts, cap):
+        places.append((row, start.astype(np.int32), end.astype(np.int32)))
+        held.append((row, scores))
+        if sum(s.size for _, s in held) > HELD:
+            step()
+    if held:
+        step()
+    row, start, end = (np.concatenate(x) for x in zip(*places, strict=True))
+    label = np.concatenate(v.labels())
+    np.add.at(letters, (row, label), end - start)
+    return row, start, end, label, letters
 
 
 def identify(docs: DataFrame, model: Model, penalty: float = 12.0, cap: int = 8, carry: tuple[str, ...] = (), spans: bool = True) -> DataFrame:
@@ -280,7 +309,7 @@ def identify(docs: DataFrame, model: Model, penalty: float = 12.0, cap: int = 8,
     def run(batches):
         for batch in batches:
             texts = [t or "" for t in batch.column("__text").to_pylist()]
-            for a, b in slices(texts):
+            for a, b in slices(texts, BATCH):
                 yield pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(some(batch.slice(a, b - a), texts[a:b]), arrow, strict=True)], schema=arrow)
 
     return picked.mapInArrow(run, schema)

@@ -51,8 +51,9 @@ def test_long_texts_are_labelled_as_a_whole(spark, monkeypatch):
     model, rng = train(training(spark)), random.Random(5)
     text = " ".join(w for _ in range(30) for w in rng.choices(rng.choice([EN, DE, RU]), k=rng.randint(2, 9)))
     want = plain(model, text, 12.0, 8)
-    for size in (40, 333, 10**6):
+    for size, held in ((40, 50), (333, 10**6), (10**6, 10**6), (60, 10**6)):
         monkeypatch.setattr(L, "SLICE", size)
+        monkeypatch.setattr(L, "HELD", held)
         row, start, end, label, letters = L._label(model, [text], 12.0, 8)
         assert label.tolist() == want and [text[s:e] for s, e in zip(start, end, strict=True)] == text.split() and letters.sum() == sum(map(len, text.split()))
     assert len(set(want)) == 3
