@@ -9,11 +9,14 @@ from pyspark.sql import DataFrame
 
 
 def _folder(df: DataFrame) -> str:
-    """The session's ``spark.checkpoint.dir``; only where none is set (as in local tests) a new folder."""
+    """The session's ``spark.checkpoint.dir``; only where none is set and the master is this machine (as in tests) a new folder."""
     spark = df.sparkSession
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoint-"))
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if folder is None and not context.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="checkpoint-"))
     return context.getCheckpointDir()
 
 
