@@ -26,8 +26,8 @@ UNDETERMINED = "und"
 BUCKETS = 1 << 16
 #: Characters that are turned to scores at once; characters of texts that step together; scores that are held for a step.
 SLICE = 200_000
-BATCH = 8_000_000
-HELD = 8_000_000
+BATCH = 4_000_000
+HELD = 2_000_000
 #: First code points of script ranges, and their scripts (0: no letter's script of its own).
 SCRIPT_STARTS = (0x0000, 0x0370, 0x0400, 0x0530, 0x0590, 0x0600, 0x0700, 0x0900, 0x0E00, 0x1100, 0x1200, 0x1E00, 0x1F00, 0x2000, 0x2C00, 0x2C60, 0x2C80, 0x3040, 0x30A0, 0x3100, 0x3400, 0xA000, 0xA720, 0xA800, 0xAC00, 0xD7B0, 0xF900, 0xFB00, 0xFB50, 0xFE00, 0xFF21, 0xFF66, 0xFFA0, 0x20000)
 SCRIPT_NAMES = ("Latin", "Greek", "Cyrillic", "Other", "Hebrew", "Arabic", "Other", "Indic", "SoutheastAsian", "Hangul", "Other", "Latin", "Greek", "Other", "Other", "Latin", "Other", "Hiragana", "Katakana", "Other", "Han", "Other", "Latin", "Other", "Hangul", "Other", "Han", "Latin", "Arabic", "Other", "Latin", "Katakana", "Hangul", "Han")

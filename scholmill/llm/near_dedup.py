@@ -39,7 +39,7 @@ BROADCAST_IDS = 1_000_000
 SMALL_BUCKET = 16
 BLOCK_ROWS = 1024
 #: Pairs with a bucket's leader that meet in one task.
-LEADER_ROWS = 512
+LEADER_ROWS = 128
 #: Places of the table of document frequencies.
 WORDS = 1 << 18
 _SLOT_BITS = 14
