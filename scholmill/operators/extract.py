@@ -15,19 +15,28 @@ def _journal() -> Column:
     return F.coalesce(F.when(primary["type"] == "journal", primary), F.get(others, F.lit(0)))
 
 
-def _well_formed() -> Column:
+def _well_formed(windows=WINDOWS) -> Column:
     """Whether what is read of a row is there: a topic has all of its parts, and no window holds a count without number."""
     topic = F.col("primary_topic")
     whole = topic.isNull() | (topic["domain"].isNotNull() & topic["field"].isNotNull() & topic["subfield"].isNotNull())
     listed = F.col("primary_location.source.type").eqNullSafe(F.lit("journal")) | F.col("locations").isNotNull()
-    late = F.exists(F.coalesce("counts_by_year", F.array().cast("array<struct<year: int, cited_by_count: long>>")), lambda c: (c["year"] > F.col("publication_year")) & (c["year"] <= F.col("publication_year") + max(WINDOWS)) & c["cited_by_count"].isNull())
+    late = F.exists(F.coalesce("counts_by_year", F.array().cast("array<struct<year: int, cited_by_count: long>>")), lambda c: (c["year"] > F.col("publication_year")) & (c["year"] <= F.col("publication_year") + max(windows, default=0)) & c["cited_by_count"].isNull())
     return whole & listed & ~late
 
 
-def accepted(raw: DataFrame, start_year: int, end_year: int) -> DataFrame:
+def _wanted(raw: DataFrame, start_year: int, end_year: int) -> DataFrame:
+    return raw.filter((F.col("type") == "article") & ~F.coalesce("is_xpac", F.lit(False)) & F.col("publication_year").between(start_year, end_year) & (F.col("publication_year") != 0))
+
+
+def accepted(raw: DataFrame, start_year: int, end_year: int, windows=WINDOWS) -> DataFrame:
     """Articles of the years, not expanded, with a journal (column ``journal``), and well formed."""
-    rows = raw.filter((F.col("type") == "article") & ~F.coalesce("is_xpac", F.lit(False)) & F.col("publication_year").between(start_year, end_year) & (F.col("publication_year") != 0))
-    return rows.filter(_well_formed()).withColumn("journal", _journal()).filter(F.col("journal").isNotNull())
+    return _wanted(raw, start_year, end_year).filter(_well_formed(windows)).withColumn("journal", _journal()).filter(F.col("journal").isNotNull())
+
+
+def dropped(raw: DataFrame, start_year: int, end_year: int, windows=WINDOWS) -> DataFrame:
+    """One row: lines that hold no work at all (n_unread), and articles of the years that are dropped as malformed (n_malformed) or have no journal (n_no_journal)."""
+    wanted = _wanted(raw, start_year, end_year).agg(F.count_if(~_well_formed(windows)).alias("n_malformed"), F.count_if(_well_formed(windows) & _journal().isNull()).alias("n_no_journal"))
+    return raw.agg(F.count_if(F.col("id").isNull() & F.col("type").isNull()).alias("n_unread")).crossJoin(wanted)  # one row each
 
 
 def citation_years(raw: DataFrame) -> list[int]:
@@ -62,8 +71,8 @@ def project(rows: DataFrame, years: list[int], windows=WINDOWS, keep: tuple[str,
     return flat.withColumns({f"has_citation_window_{w}y": F.when(F.col(f"citations_window_{w}y") > 0, 1).otherwise(0) for w in windows})
 
 
-def latest(works: DataFrame, newest: str = "updated_date", order: tuple[str, ...] = ("line_no",)) -> DataFrame:
-    """One row for each work_id: of the newest date, there the first in ``order``."""
+def latest(works: DataFrame, newest: str = "updated_date", order: tuple[str, ...] = ("file_path", "line_no")) -> DataFrame:
+    """One row for each work_id: of the newest date, there the first in ``order`` (file, then line)."""
     w = Window.partitionBy("work_id").orderBy(F.desc(newest), *order)
     return works.withColumn("_n", F.row_number().over(w)).filter("_n = 1").drop("_n")
 
@@ -74,11 +83,11 @@ def not_yet(works: DataFrame, done: DataFrame) -> DataFrame:
     return works.join(F.broadcast(dates), "updated_date", "left_anti").join(done.select("work_id").distinct(), "work_id", "left_anti")  # dates: a few a month
 
 
-def extract_works(raw: DataFrame, start_year: int, end_year: int, years: list[int] | None = None, windows=WINDOWS, known: DataFrame | None = None, newest: str = "updated_date", order: tuple[str, ...] = ("line_no",)) -> DataFrame:
+def extract_works(raw: DataFrame, start_year: int, end_year: int, years: list[int] | None = None, windows=WINDOWS, known: DataFrame | None = None, newest: str = "updated_date", order: tuple[str, ...] = ("file_path", "line_no")) -> DataFrame:
     """Flat works of raw works, the newest accepted version of each; without those of ``known``."""
     if years is None:
         years = citation_years(raw)
-    works = project(accepted(raw, start_year, end_year), years, windows, keep=(newest, *order))
+    works = project(accepted(raw, start_year, end_year, windows), years, windows, keep=(newest, *order))
     if known is not None:
         works = not_yet(works, known)
     return latest(works, newest, order)

@@ -2,36 +2,58 @@
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from scholmill.functions import normalize as N
-from scholmill.operators.indicators import CAPES_COLUMNS, FLAG_COLUMNS, INDEX_COLUMNS, TEXT_COLUMNS
-
-
-def _source_names() -> dict[str, str]:
-    """Names in the source table by name here, from the words of the latter where they are regular."""
-    # fixed values: names that follow no rule
-    out = {
-        "openalex_id": "OpenAlex ID", "journal_title": "Journal", "journal_publisher": "Publisher Name", "journal_country": "Country",
-        "scielo_collection_acronym": "SciELO collection acronym", "scielo_thematic_areas": "SciELO Thematic Areas", "publication_year": "YEAR",
-        "scielo_active_valid": "SciELO Active and Valid in the Year", "capes_life_sciences": "CAPES Life Sciences", "capes_humanities": "CAPES Humanities",
-        "capes_phys_tech_multidisc_sciences": "CAPES Phys., Tech. Multidisc. Sciences", "is_scielo": "is SciELO", "is_scopus": "is Scopus",
-        "is_redalyc": "is Redalyc", "is_openalex": "is OpenAlex", "is_qualis": "is Qualis",
-    }
-    for c in CAPES_COLUMNS:
-        out.setdefault(c, "CAPES " + c.removeprefix("capes_").replace("_", " "))
-    for c in INDEX_COLUMNS:
-        out.setdefault(c, "is " + c.removeprefix("is_").upper())
-    return out
-
-
-SOURCE_NAMES = _source_names()
+from scholmill.operators.indicators import FLAG_COLUMNS, TEXT_COLUMNS
+
+
+#: Names here, and in the source table.
+SOURCE_NAMES = {
+    "openalex_id": "OpenAlex ID",
+    "journal_title": "Journal",
+    "journal_publisher": "Publisher Name",
+    "journal_country": "Country",
+    "scielo_collection_acronym": "SciELO collection acronym",
+    "scielo_thematic_areas": "SciELO Thematic Areas",
+    "publication_year": "YEAR",
+    "scielo_active_valid": "SciELO Active and Valid in the Year",
+    "capes_life_sciences": "CAPES Life Sciences",
+    "capes_humanities": "CAPES Humanities",
+    "capes_phys_tech_multidisc_sciences": "CAPES Phys., Tech. Multidisc. Sciences",
+    "is_scielo": "is SciELO",
+    "is_scopus": "is Scopus",
+    "is_redalyc": "is Redalyc",
+    "is_openalex": "is OpenAlex",
+    "is_qualis": "is Qualis",
+    "capes_agricultural_sciences": "CAPES agricultural sciences",
+    "capes_applied_social_sciences": "CAPES applied social sciences",
+    "capes_biological_sciences": "CAPES biological sciences",
+    "capes_engineering": "CAPES engineering",
+    "capes_exact_and_earth_sciences": "CAPES exact and earth sciences",
+    "capes_health_sciences": "CAPES health sciences",
+    "capes_human_sciences": "CAPES human sciences",
+    "capes_linguistics_letters_and_arts": "CAPES linguistics letters and arts",
+    "capes_multidisciplinary": "CAPES multidisciplinary",
+    "is_wos": "is WOS",
+    "is_ahci": "is AHCI",
+    "is_esci": "is ESCI",
+    "is_scie": "is SCIE",
+    "is_ssci": "is SSCI",
+    "is_doaj": "is DOAJ",
+    "is_lilacs": "is LILACS",
+    "is_medline": "is MEDLINE",
+    "is_pmc": "is PMC",
+}
 
 
 def journal_metadata(raw: DataFrame) -> DataFrame | None:
-    """Normalized metadata of a source table, one row for each journal and year; None if a column is missing."""
-    if not set(SOURCE_NAMES.values()) <= set(raw.columns):
+    """Normalized metadata of a source table, one row for each journal and year; None, with a warning that names them, if columns are missing."""
+    if missing := sorted(set(SOURCE_NAMES.values()) - set(raw.columns)):
+        warnings.warn(f"journal metadata is left out, columns are missing: {', '.join(missing)}", stacklevel=2)
         return None
     named = raw.select(*[F.col(f"`{source}`").alias(name) for name, source in SOURCE_NAMES.items()])
     return resolve_conflicts(normalize(named))

@@ -120,7 +120,7 @@ def oracle_sql() -> dict[str, str]:
             "works_json",
         ),
         "cohort_publication_stats": (f"{_all()} SELECT * FROM stats", "works"),
-        "citation_percentiles_linear": (f"WITH {_rows(('domain', 'field'))} SELECT {_KEY}, quantile_cont(citations_total, 0.25) AS p25, quantile_cont(citations_total, 0.5) AS p50, quantile_cont(citations_total, 0.9) AS p90 FROM rows_ GROUP BY ALL", "works"),
+        "citation_percentiles_linear": (f"WITH {_rows()} SELECT {_KEY}, coalesce(quantile_cont(citations_total, 0.25), 0) AS p25, coalesce(quantile_cont(citations_total, 0.5), 0) AS p50, coalesce(quantile_cont(citations_total, 0.9), 0) AS p90 FROM rows_ GROUP BY ALL", "works"),
         "cohort_impact": (f"{_all()} SELECT {_KEY}, journal_id, {', '.join(_impact(n) for n, _, _ in _SPANS)} FROM full_", "works"),
         "top_share": (f"{_all()} SELECT {_KEY}, journal_id, {', '.join(_share(p, None) for p in PERCENTILES)}, {_share(90, 3)} FROM full_", "works"),
         "indicators_all_levels": (_indicators(), "works"),
@@ -172,7 +172,7 @@ def oracle_sql() -> dict[str, str]:
     sql["metadata_resolved"] = (f"WITH {meta} SELECT * FROM meta", "meta_raw")
     sql["metadata_conflicts"] = (f"WITH {meta} SELECT count(*) FILTER (WHERE n = 1) AS n_unique, count(*) FILTER (WHERE n > 1 AND k = 1) AS n_identical, count(*) FILTER (WHERE k > 1) AS n_conflicts FROM judged", "meta_raw")
     sql["indicators_enriched"] = (
-        f"""{_all(("domain", "field"), brief, (90,))}, {meta} SELECT category_level, category_id, publication_year, replace(j.journal_id, 'https://openalex.org/', '') AS journal_id,
+        f"""{_all(LEVELS, brief, (90,))}, {meta} SELECT category_level, category_id, publication_year, replace(j.journal_id, 'https://openalex.org/', '') AS journal_id,
         coalesce(nullif(journal_title, ''), j.journal_id) AS journal_title, coalesce(journal_country, '') AS journal_country,
         CASE WHEN is_scielo = 1 AND scielo_active_valid = 1 THEN scielo_collection_acronym ELSE '' END AS scielo_collection, coalesce(is_scielo, 0) AS is_scielo, CAST(0 AS INT) AS is_scopus, journal_publications_count, {_impact("")}
         FROM full_ j LEFT JOIN meta USING (journal_id, publication_year)""",

@@ -16,8 +16,9 @@ from scholmill.operators import metadata as M
 from scholmill.plans.views import view
 from scholmill.sources.works import parse_snapshot
 
-YEARS = (1993, 1997)
-PIVOT_YEARS = [1994, 1995, 1996, 1997, 1998, 1999, 2000]
+#: All years of publication, and all years that counts of the views reach.
+YEARS = (1, 9999)
+PIVOT_YEARS = list(range(1992, 2004))
 
 
 def cohort_categories(spark, sf_dir):
@@ -63,7 +64,7 @@ def cohort_publication_stats(spark, sf_dir):
 
 
 def citation_percentiles_linear(spark, sf_dir):
-    rows = C.cohort_rows(view(spark, sf_dir, "works"), levels=("domain", "field"))
+    rows = C.cohort_rows(view(spark, sf_dir, "works"))
     p = rows.groupBy(*C.COHORT).agg(linear_percentiles("citations_total", [0.25, 0.5, 0.9]).alias("p"))
     return p.select(*C.COHORT, F.col("p")[0].alias("p25"), F.col("p")[1].alias("p50"), F.col("p")[2].alias("p90"))
 
@@ -98,7 +99,7 @@ def metadata_conflicts(spark, sf_dir):
 
 def indicators_enriched(spark, sf_dir):
     meta = M.resolve_conflicts(M.normalize(view(spark, sf_dir, "meta_raw")))
-    out = I.build_indicators(view(spark, sf_dir, "works"), meta, levels=("domain", "field"), windows=(2,), percentiles=(90,), short_ids=True)
+    out = I.build_indicators(view(spark, sf_dir, "works"), meta, short_ids=True)
     return out.select("category_level", "category_id", "publication_year", "journal_id", "journal_title", "journal_country", "scielo_collection", "is_scielo", "is_scopus", "journal_publications_count", "journal_impact_cohort")
 
 
@@ -113,7 +114,7 @@ def raw_works(spark, sf_dir):
       'locations', CASE WHEN location_journal_id IS NULL THEN array(named_struct('source', {source.format("'x'", "'repository'")}))
                    ELSE array(named_struct('source', {source.format("'x'", "'repository'")}), named_struct('source', {source.format("location_journal_id", "'journal'")})) END,
       'counts_by_year', array({counts})))"""
-    return parse_snapshot(flat.select(F.expr(packed).alias("value"), "updated_date", "line_no"))
+    return parse_snapshot(flat.select(F.expr(packed).alias("value"), "updated_date", F.lit("part").alias("file_path"), "line_no"))
 
 
 _FLAT = ["work_id", "publication_year", "journal_id", "is_journal_oa", "citations_total", *(f"citations_{y}" for y in PIVOT_YEARS), *(f"citations_window_{w}y" for w in E.WINDOWS), *(f"has_citation_window_{w}y" for w in E.WINDOWS)]

@@ -46,7 +46,7 @@ RAW_FLAT = """SELECT concat('https://openalex.org/W', CAST(l_orderkey AS STRING)
   CAST(l_suppkey % 4 AS BIGINT) AS cites_y3, CAST(l_suppkey % 6 AS BIGINT) AS cites_y5
 FROM lineitem"""
 
-META_RAW = """SELECT concat(CASE WHEN s_suppkey % 2 = 0 THEN '' ELSE ' ' END, 'S', CAST(s_suppkey AS STRING)) AS openalex_id,
+META_RAW = """SELECT concat(CASE WHEN s_suppkey % 2 = 0 THEN '' ELSE ' ' END, CASE WHEN s_suppkey % 7 = 6 THEN 'SX' ELSE 'S' END, CAST(s_suppkey AS STRING)) AS openalex_id,
   y AS publication_year,
   CASE WHEN s_suppkey % 6 = 0 THEN '' ELSE concat(' ', s_name, CASE WHEN k = 1 AND s_suppkey % 5 = 0 THEN ' II' ELSE '' END) END AS journal_title,
   n_name AS journal_country,
@@ -56,20 +56,20 @@ META_RAW = """SELECT concat(CASE WHEN s_suppkey % 2 = 0 THEN '' ELSE ' ' END, 'S
 FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
 CROSS JOIN (SELECT DISTINCT CAST(year(l_shipdate) AS INT) AS y FROM lineitem) yy
 CROSS JOIN (SELECT 0 AS k UNION ALL SELECT 1 AS k) kk
-WHERE (k = 0 OR s_suppkey % 4 = 0 OR s_suppkey % 5 = 0) AND s_suppkey % 7 <> 6"""
+WHERE k = 0 OR s_suppkey % 4 = 0 OR s_suppkey % 5 = 0"""
 
 DOC_FLAT = """SELECT doc_id AS doc_idx, lang AS collection,
   concat('P', CAST(n_chars // 50 AS STRING)) AS pid_v2,
   CAST(2018 + doc_id % 2 AS INT) AS publication_year,
   concat('10.1590/', CAST(n_chars // 10 AS STRING)) AS doi,
   CASE WHEN doc_id % 3 = 0 THEN concat('10.1590/', CAST(n_chars // 10 + 1 AS STRING)) ELSE '' END AS doi_en,
-  substr(lower(replace(text, ' ', '')), 1, 40) AS title_a,
-  substr(lower(replace(text, ' ', '')), 41, 40) AS title_b,
+  concat('title ', md5(replace(text, ' ', ''))) AS title_a,
+  concat('other title ', md5(text)) AS title_b,
   concat('Journal ', source) AS journal_title,
   concat('ISSN-', CAST(n_chars % 3 AS STRING)) AS issn
 FROM documents"""
 
-ARTICLE_DOI = """SELECT o_orderkey // 3 AS article_idx, concat('10.1590/', CAST(o_orderkey AS STRING)) AS doi FROM orders WHERE o_orderkey % 3 < 2
+ARTICLE_DOI = """SELECT o_orderkey // 3 AS article_idx, concat(CASE WHEN o_orderkey % 3 < 2 THEN '10.1590/' ELSE '10.1590/z' END, CAST(o_orderkey AS STRING)) AS doi FROM orders
 UNION ALL SELECT o_orderkey // 3 - 1, concat('10.1590/', CAST(o_orderkey AS STRING)) FROM orders WHERE o_orderkey % 15 = 0 AND o_orderkey > 0
 UNION ALL SELECT o_orderkey + 1000000, concat('10.1590/x', CAST(o_orderkey AS STRING)) FROM orders WHERE o_orderkey % 50 = 0"""
 

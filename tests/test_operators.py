@@ -104,7 +104,8 @@ def test_metadata(spark, works):
     raw = spark.createDataFrame([tuple(r[n] for n in names) for r in rows], ", ".join(f"`{n}` string" for n in names))
     meta = M.journal_metadata(raw)
     assert [(r.journal_id, r.journal_title, r.is_scielo) for r in meta.collect()] == [("https://openalex.org/S1", "One", 1)]
-    assert M.journal_metadata(raw.drop("YEAR")) is None
+    with pytest.warns(UserWarning, match="YEAR"):
+        assert M.journal_metadata(raw.drop("YEAR")) is None
     assert tuple(M.conflict_stats(M.normalize(raw.select(*[F.col(f"`{s}`").alias(n) for n, s in M.SOURCE_NAMES.items()]))).first()) == (0, 1, 1)
     rich = I.build_indicators(works.withColumn("journal_id", N.journal_id("journal_id")), meta, levels=("field",), years=[2020])
     got = {r.journal_id[-2:]: (r.journal_title[-3:], r.scielo_collection, r.is_scielo) for r in rich.collect()}
@@ -118,7 +119,7 @@ RAW = "id string, type string, is_xpac boolean, publication_year int, p string,
 def raw(spark, rows):
     df = spark.createDataFrame(rows, RAW + ", updated_date string, line_no long")
     source = "named_struct('id', p, 'type', pt, 'issn_l', 'I', 'is_oa', true)"
-    return SW.parse_snapshot(df.select(F.expr(f"to_json(named_struct('id', id, 'type', type, 'is_xpac', is_xpac, 'publication_year', publication_year, 'cited_by_count', 3, 'primary_location', named_struct('source', {source}), 'locations', array(named_struct('source', {source}), named_struct('source', named_struct('id', 'L', 'type', 'journal', 'issn_l', 'I', 'is_oa', true))), 'counts_by_year', n))").alias("value"), "updated_date", "line_no"))
+    return SW.parse_snapshot(df.select(F.expr(f"to_json(named_struct('id', id, 'type', type, 'is_xpac', is_xpac, 'publication_year', publication_year, 'cited_by_count', 3, 'primary_location', named_struct('source', {source}), 'locations', array(named_struct('source', {source}), named_struct('source', named_struct('id', 'L', 'type', 'journal', 'issn_l', 'I', 'is_oa', true))), 'counts_by_year', n))").alias("value"), "updated_date", F.lit("part").alias("file_path"), "line_no"))
 
 
 def test_extract(spark):
@@ -143,7 +144,27 @@ def test_extract(spark):
     known = spark.createDataFrame([("W1", "2023-01-01")], "work_id string, updated_date string")
     assert [r.work_id for r in E.extract_works(df, 2018, 2025, years=[], known=known).collect()] == ["W3"]
     bad = spark.createDataFrame([("{", "d", 1), ('{"publication_year":"x","type":"article"}', "d", 2), (None, "d", 3)], "value string, updated_date string, line_no long")
-    assert E.extract_works(SW.parse_snapshot(bad), 2018, 2025, years=[2020]).count() == 0
+    assert E.extract_works(SW.parse_snapshot(bad), 2018, 2025, years=[2020], order=("line_no",)).count() == 0
+    assert tuple(E.dropped(df, 2018, 2025).first()) == (0, 1, 0) and tuple(E.dropped(df, 2018, 2025, windows=()).first()) == (0, 0, 0)
+    assert E.dropped(SW.parse_snapshot(bad), 2018, 2025).first().n_unread == 2
+
+
+def test_first_of_file_and_line(spark, tmp_path):
+    """Of two versions of one date the one in the file of the smaller name counts, also where that file is read later as it is smaller."""
+    import gzip
+    import json
+
+    def line(work, citations):
+        source = {"id": "J", "type": "journal", "issn_l": "I", "is_oa": True}
+        return json.dumps({"id": work, "type": "article", "publication_year": 2020, "cited_by_count": citations, "primary_location": {"source": source}, "locations": [{"source": source}], "counts_by_year": []})
+
+    folder = tmp_path / "updated_date=2024-01-01"
+    folder.mkdir()
+    for name, lines in (("part_000.gz", [line("W1", 1), line("W1", 7)]), ("part_001.gz", [line("W1", 2)] + [line(f"X{i}", i) for i in range(3000)])):
+        with gzip.open(folder / name, "wt") as f:
+            f.write("\n".join(lines))
+    got = E.extract_works(SW.parse_snapshot(SW.read_snapshot(spark, str(tmp_path))), 2018, 2025, years=[])
+    assert got.filter("work_id = 'W1'").first().citations_total == 1 and got.count() == 3001
 
 
 def test_snapshot_and_stream(spark, tmp_path):
