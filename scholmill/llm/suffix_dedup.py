@@ -114,8 +114,8 @@ def _ask_anchors(length: int, gram: int):
         h, c, ids, _, order, new = _keys(texts, parts)
         first = order[new]
         keep = zlib.compress(np.concatenate([p.marks() for p in parts]).tobytes(), 1)
-        # 48 bits of the anchor meet: where others have the same, strings are looked at for nothing
-        return B.question(table.column("block")[0].as_py(), h[first] >> np.uint64(16), c[first], ids[first], keep)
+        # 48 bits of the anchor meet: where others have the same, strings are looked at for nothing; with 56 of its surroundings
+        return B.question(table.column("block")[0].as_py(), h[first] >> np.uint64(16), c[first] >> np.uint64(8), ids[first], keep)
 
     return ask
 
@@ -172,7 +172,7 @@ def _ask_edges(length: int, gram: int):
         code = _codes(texts, parts, mail)
         keys, ids, head, _ = _shared(texts, _edges(parts, code, gram))
         keep = B.pack(np.frombuffer(marks, np.uint8), np.frombuffer(zlib.compress(code.tobytes(), 1), np.uint8))
-        return B.question(key[0].as_py(), keys[head], np.zeros(len(head), np.uint64), ids[head], keep)
+        return B.question(key[0].as_py(), keys[head] >> np.uint64(16), np.zeros(len(head), np.uint64), ids[head], keep)
 
     return ask
 
