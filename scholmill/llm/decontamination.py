@@ -237,7 +237,7 @@ def index(items: DataFrame, retrieve: float = 0.6, shingle: int = 5) -> list[lis
     total = rows.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
     n = max(1, -(-total // PASS_BYTES))
     rows = rows.withColumn("part", F.pmod(F.xxhash64("item_id"), F.lit(n)).cast("int"))
-    words = cut(rows.select("part", "text").mapInArrow(_item_words, "part int, word long, n long"))
+    words = cut(rows.select("part", "text").mapInArrow(B.tidied(_item_words), "part int, word long, n long"))
     count = words.filter("word IS NULL").agg(F.count("*").alias("n"), F.avg("n").alias("mean")).first()
     df = words.filter("word IS NOT NULL").groupBy("word").agg(F.count("*").alias("df"))
     passes = []
@@ -280,7 +280,7 @@ def contaminated(docs: DataFrame, items: DataFrame, retrieve: float = 0.6, overl
                 ids, rows = batch.column("doc_id").to_pylist(), list(search(batch.column("text")))
                 yield pa.RecordBatch.from_arrays([pa.array([ids[r[0]] for r in rows], pa.int64()), *(pa.array([r[k] for r in rows], t) for k, t in ((1, pa.int64()), (2, pa.float64()), (3, pa.float64()), (4, pa.float64())))], ["doc_id", "item_id", "bm25", "question_overlap", "answer_overlap"])
 
-        found = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, FOUND)
+        found = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(B.tidied(run), FOUND)
         out = found if out is None else out.unionByName(found)
     return out
 
@@ -297,5 +297,5 @@ def clean(docs: DataFrame, items: DataFrame, retrieve: float = 0.6, overlap: flo
                 keep[[r[0] for r in search(batch.column(text))]] = False
                 yield batch.filter(pa.array(keep))
 
-        docs = docs.mapInArrow(run, docs.schema)
+        docs = docs.mapInArrow(B.tidied(run), docs.schema)
     return docs

@@ -22,6 +22,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from scholmill.llm import blocks as B
+
 UNDETERMINED = "und"
 BUCKETS = 1 << 16
 #: Characters that are turned to scores at once; characters of texts that step together; scores that are held for a step.
@@ -142,7 +144,7 @@ def train(rows: DataFrame, lang: str = "lang") -> Model:
     languages = sorted(r[0] for r in rows.select("lang").distinct().collect())  # one row for each language
     table = np.zeros((len(languages), BUCKETS + len(SCRIPTS)), np.int64)
     if languages:
-        found = rows.mapInArrow(lambda it: counts(it, languages), "lang long, bucket long, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
+        found = rows.mapInArrow(B.tidied(lambda it: counts(it, languages)), "lang long, bucket long, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
         got = found.toPandas()  # languages times buckets at most
         table[got["lang"], got["bucket"]] = got["n"]
     return Model(languages, table)
@@ -312,7 +314,7 @@ def identify(docs: DataFrame, model: Model, penalty: float = 12.0, cap: int = 8,
             for a, b in slices(texts, BATCH):
                 yield pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(some(batch.slice(a, b - a), texts[a:b]), arrow, strict=True)], schema=arrow)
 
-    return picked.mapInArrow(run, schema)
+    return picked.mapInArrow(B.tidied(run), schema)
 
 
 def held_out(doc_id: str = "doc_id", modulus: int = 4, remainder: int = 2):

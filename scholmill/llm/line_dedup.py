@@ -163,6 +163,6 @@ def line_dedup(docs: DataFrame, min_lines: int = 3, gram: int = 2, min_words: in
     dealt, _ = B.dealt(docs, block_bytes, carry)
     empty = dealt.select("doc_id", F.lit(0).cast("long").alias("n_lines"), F.lit(0).cast("long").alias("n_removed"), "text", *carry)
     schema = pa.schema([pa.field(f.name, f.type) for f in to_arrow_schema(empty.schema)])
-    marks = B.answered(dealt.groupBy("block").applyInArrow(_ask_marks(*rule), B.ASKED))
-    runs = B.answered(dealt.groupBy("block").cogroup(marks.groupBy("block")).applyInArrow(_ask_runs(*rule), B.ASKED))
-    return dealt.groupBy("block").cogroup(runs.groupBy("block")).applyInArrow(_finish(rule, carry, schema), empty.schema)
+    marks = B.answered(dealt.groupBy("block").applyInArrow(B.tidied_groups(_ask_marks(*rule)), B.ASKED))
+    runs = B.answered(dealt.groupBy("block").cogroup(marks.groupBy("block")).applyInArrow(B.tidied_groups(_ask_runs(*rule)), B.ASKED))
+    return dealt.groupBy("block").cogroup(runs.groupBy("block")).applyInArrow(B.tidied_groups(_finish(rule, carry, schema)), empty.schema)

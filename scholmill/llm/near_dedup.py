@@ -70,7 +70,7 @@ def idf(df: np.ndarray, n_docs: int) -> np.ndarray:
 
 def word_weights(docs: DataFrame) -> np.ndarray:
     """The inverse document frequency of every place of the word table."""
-    counts = docs.select("text").mapInArrow(_count_words, "place long, n long").groupBy("place").agg(F.sum("n").alias("n")).toPandas()  # at most WORDS + 1 rows
+    counts = docs.select("text").mapInArrow(B.tidied(_count_words), "place long, n long").groupBy("place").agg(F.sum("n").alias("n")).toPandas()  # at most WORDS + 1 rows
     table = np.zeros(WORDS + 1, np.int64)
     table[counts["place"]] = counts["n"]
     return idf(table[:WORDS], int(table[WORDS]))
@@ -201,6 +201,8 @@ def _verify(weights, k: int, threshold: float, plain: bool):
             found = similarities(pa.array([x_text] * (b - a)), y_texts.slice(a, b - a), k, weights.value, plain)
             near = np.flatnonzero(found >= threshold - 1e-12)
             out.append(pa.table({"x": pa.array([key[0].as_py()] * len(near), pa.int64()), "y": pairs.column("y").slice(a, b - a).take(pa.array(near)), "similarity": pa.array(found[near])}))
+        if sizes[-1] > 1 << 20:  # most groups are small, and giving back after each would cost more than they do
+            B.give_back()
         return pa.concat_tables(out) if out else none
 
     return run
@@ -271,7 +273,7 @@ class NearDedup:
         self.threshold, self.shingle, self.plain = threshold, shingle, plain
         self.docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
         self.weights = docs.sparkSession.sparkContext.broadcast(word_weights(self.docs))  # of fixed size
-        self.signed = cut(self.docs.mapInArrow(_sign(self.weights, shingle, bands, rows), SIGNED))
+        self.signed = cut(self.docs.mapInArrow(B.tidied(_sign(self.weights, shingle, bands, rows)), SIGNED))
         whole = self.signed.filter("n_words > 0 AND doc_id IS NOT NULL")
         heads = whole.groupBy("high", "low").agg(F.min_by(F.struct("doc_id", "weight", "size", "bands"), "doc_id").alias("h")).select("high", "low", "h.*")
         heads = cut(heads)
@@ -319,7 +321,7 @@ class NearDedup:
         with_ = F.explode(F.when(F.col("part") < F.col("rest"), F.sequence(F.lit(0), F.col("rest") + F.col("mains") - 1)).otherwise(F.sequence(F.lit(0), F.col("rest") - 1)))
         rows = rows.select("bucket", "doc_id", "label", "part", with_.alias("other"))
         rows = rows.select("bucket", F.least("part", "other").alias("a"), F.greatest("part", "other").alias("b"), "part", "doc_id", "label").join(texts, "doc_id")
-        return cut(rows.groupBy("bucket", "a", "b").applyInArrow(_compare(self.weights, self.shingle, self.threshold, self.plain), LINKS).dropDuplicates(["x", "y"]))
+        return cut(rows.groupBy("bucket", "a", "b").applyInArrow(B.tidied_groups(_compare(self.weights, self.shingle, self.threshold, self.plain)), LINKS).dropDuplicates(["x", "y"]))
 
     def _repeated(self) -> bool:
         """Whether a doc_id has several rows."""

@@ -24,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from scholmill.llm import blocks as B
 from scholmill.operators.durable import cut
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -201,7 +202,7 @@ def pack(docs: DataFrame, path: str, pattern: str | None = None, capacity: int =
     path: a tokenizer file that every executor has; pattern: its word pattern, for the faster of two equal encoders.
     """
     spark = docs.sparkSession
-    pieces = cut(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_pieces(path, pattern, capacity), PIECES))
+    pieces = cut(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(B.tidied(_pieces(path, pattern, capacity)), PIECES))
     full = pieces.filter(F.col("length") == capacity)
     part = pieces.filter(F.col("length") < capacity)
     histogram = {r["length"]: r["n"] for r in part.groupBy("length").agg(F.count("*").alias("n")).collect()}  # at most capacity rows
