@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from scholmill.functions import normalize as N
+from scholmill.operators import quantiles as Q
+from scholmill.operators.durable import cut
 
 LEVELS = ("domain", "field", "subfield", "topic")
 COHORT = ["category_level", "category_id", "publication_year"]
@@ -44,8 +46,8 @@ def cohort_rows(works: DataFrame, levels=LEVELS, years=None, categories=None) ->
     levels = check_levels(works, levels)
     if years is not None:
         works = works.filter(F.col("publication_year").isin(*years))
-    pairs = F.array(*[F.struct(F.lit(v).alias("category_level"), F.col(v).alias("category_id")) for v in levels])
-    rows = works.withColumn("_pair", F.explode(pairs)).select("_pair.*", *[c for c in works.columns if c not in LEVELS])
+    # one Expand of the scan: a row for each level is made where it is aggregated
+    rows = works.unpivot([c for c in works.columns if c not in LEVELS], levels, "category_level", "category_id")
     rows = rows.filter(F.col("category_id").isNotNull() & F.col("publication_year").isNotNull())
     return rows if categories is None else rows.filter(F.col("category_id").isin(*categories))
 
@@ -112,18 +114,49 @@ def cohort_thresholds_histogram(works: DataFrame, levels=LEVELS, years=None, win
     return wide.select(*COHORT, *picked)
 
 
+def _ranks(windows, percentiles) -> list[Q.Rank]:
+    return [Q.percentile(N.threshold_name(p, w), "citations_total" if w is None else f"citations_window_{w}y", p) for _, _, w in metrics(windows) for p in percentiles]
+
+
+def settled_cohorts(rows: DataFrame, aggregates: list[Column], windows=WINDOWS, percentiles=PERCENTILES, threshold_mode: str = "exact") -> DataFrame:
+    """Cohorts of ``cohort_rows`` with the aggregates and the exact thresholds; no task holds a cohort's values."""
+    check_mode(threshold_mode)
+    ranks = _ranks(windows, percentiles)
+    filled = rows.withColumns({c: F.coalesce(F.col(c), F.lit(0)).cast("long") for c in dict.fromkeys(r.column for r in ranks)})
+    groups = cut(filled.groupBy(*COHORT).agg(*aggregates, F.count("*").alias("n")))
+    out = Q.settle(groups, filled, COHORT, ranks).drop("n")
+    return out if threshold_mode == "exact" else out.withColumns({r.name: F.col(r.name) + 1 for r in ranks})
+
+
+def cohort_thresholds_bracketed(works: DataFrame, levels=LEVELS, years=None, windows=WINDOWS, percentiles=PERCENTILES, threshold_mode: str = "exact", only=None) -> DataFrame:
+    """The values of ``cohort_thresholds`` by bracketed selection (``quantiles``), for cohorts of any size."""
+    return settled_cohorts(cohort_rows(works, levels, years, only), [], windows, percentiles, threshold_mode)
+
+
+#: Bytes of thresholds that are sent to every task; more meet the rows by a shuffle.
+BROADCAST = 64 << 20
+
+
+def _small(cohorts: DataFrame) -> DataFrame:
+    """``cohorts``, to be broadcast if its rows, counted, are small enough."""
+    width = sum(8 if kind in ("bigint", "double", "int") else 64 for _, kind in cohorts.dtypes)
+    return F.broadcast(cohorts) if cohorts.count() * width <= BROADCAST else cohorts
+
+
 def journal_metrics(rows: DataFrame, cohorts: DataFrame, windows=WINDOWS, percentiles=PERCENTILES, with_languages: bool = False) -> DataFrame:
     """Per cohort and journal: totals, means, cited works, yearly sums, works at or above each threshold, flags.
 
     rows: of ``cohort_rows``; cohorts: rows with the thresholds. Works without journal have no row; null citations never reach a threshold.
     """
     names = [N.threshold_name(p, w) for _, _, w in metrics(windows) for p in percentiles]
-    with_thresholds = rows.filter(F.col("journal_id").isNotNull()).join(cohorts.select(*COHORT, *names), COHORT)
-    out = [F.count("*").alias("journal_publications_count"), F.min("journal_issn_l").alias("journal_issn")]
+    keys = [*COHORT, "journal_id"]
+    rows = rows.filter(F.col("journal_id").isNotNull())
+    with_thresholds = rows.join(cohorts.select(*COHORT, *names), COHORT)
+    out, means = [F.count("*").alias("journal_publications_count")], {}
     for name, x, w in metrics(windows):
-        filled = F.coalesce(x, F.lit(0))
         total = "journal_citations_total" if w is None else f"citations{name}"
-        out += [F.sum(filled).cast("long").alias(total), F.avg(filled).alias(f"journal_citations_mean{name}")]
+        out.append(F.sum(F.coalesce(x, F.lit(0))).cast("long").alias(total))
+        means[f"journal_citations_mean{name}"] = F.col(total) / F.col("journal_publications_count")
         if w is not None:
             out.append(F.count_if(x >= 1).alias(f"citations{name}_works"))
         out += [F.count_if(x >= F.col(N.threshold_name(p, w))).alias(N.threshold_name(p, w).replace("_citations_threshold", "_publications_count")) for p in percentiles]
@@ -131,7 +164,9 @@ def journal_metrics(rows: DataFrame, cohorts: DataFrame, windows=WINDOWS, percen
     out.append(F.coalesce(F.max(F.col("is_journal_oa").cast("int")), F.lit(0)).alias("is_journal_oa"))
     flag = F.max(N.multilingual("is_merged", "oa_individual_works")) if with_languages else F.lit(0)
     out.append(flag.alias("is_journal_multilingual"))
-    return with_thresholds.groupBy(*COHORT, "journal_id").agg(*out)
+    # the smallest text of a group would make the whole aggregation sort its rows, so ISSNs are made distinct by a hash first, and numbers stay with numbers
+    issns = rows.select(*keys, "journal_issn_l").distinct().groupBy(*keys).agg(F.min("journal_issn_l").alias("journal_issn"))
+    return with_thresholds.groupBy(*keys).agg(*out).withColumns(means).join(issns.hint("shuffle_hash"), keys)  # a row for each key on either side: nothing to sort wide rows for
 
 
 def has_languages(works: DataFrame) -> bool:
@@ -143,6 +178,14 @@ def publication_stats(journals: DataFrame) -> DataFrame:
     return journals.groupBy(*COHORT).agg(F.avg("journal_publications_count").alias("category_publications_mean"), F.median("journal_publications_count").alias("category_publications_median"))
 
 
+def publication_stats_bracketed(journals: DataFrame) -> DataFrame:
+    """``publication_stats`` without a buffer of a cohort's counts: the median is the mean of the two middle ones. ``journals`` is read several times."""
+    ranks = Q.middle("journal_publications_count")
+    groups = journals.groupBy(*COHORT).agg(F.avg("journal_publications_count").alias("category_publications_mean"), F.count("*").alias("n"))
+    out = Q.settle(groups, journals, COHORT, ranks)
+    return out.select(*COHORT, "category_publications_mean", ((F.col("_low") + F.col("_high")) / 2).alias("category_publications_median"))
+
+
 def issn_conflicts(works: DataFrame, levels=LEVELS, years=None) -> DataFrame:
     """Journals with several ISSNs in one cohort."""
     rows = cohort_rows(works, levels, years).filter(F.col("journal_id").isNotNull())

@@ -8,11 +8,40 @@ from pyspark.sql import functions as F
 from scholmill.functions import normalize as N
 from scholmill.functions.statistics import ratio, share_percent
 from scholmill.operators import cohorts as C
+from scholmill.operators.durable import cut, written
 
 #: Names of metadata columns, and the shares and least number of the comparability flag.
 TEXT_COLUMNS = ("journal_title", "journal_publisher", "journal_country", "scielo_collection_acronym", "scielo_thematic_areas")
-CAPES_COLUMNS = tuple(f"capes_{x}" for x in ("agricultural_sciences", "applied_social_sciences", "biological_sciences", "engineering", "exact_and_earth_sciences", "health_sciences", "human_sciences", "linguistics_letters_and_arts", "multidisciplinary", "life_sciences", "humanities", "phys_tech_multidisc_sciences"))
-INDEX_COLUMNS = tuple(f"is_{x}" for x in ("scielo", "scopus", "wos", "ahci", "esci", "scie", "ssci", "doaj", "lilacs", "redalyc", "medline", "pmc", "openalex", "qualis"))
+CAPES_COLUMNS = (
+    "capes_agricultural_sciences",
+    "capes_applied_social_sciences",
+    "capes_biological_sciences",
+    "capes_engineering",
+    "capes_exact_and_earth_sciences",
+    "capes_health_sciences",
+    "capes_human_sciences",
+    "capes_linguistics_letters_and_arts",
+    "capes_multidisciplinary",
+    "capes_life_sciences",
+    "capes_humanities",
+    "capes_phys_tech_multidisc_sciences",
+)
+INDEX_COLUMNS = (
+    "is_scielo",
+    "is_scopus",
+    "is_wos",
+    "is_ahci",
+    "is_esci",
+    "is_scie",
+    "is_ssci",
+    "is_doaj",
+    "is_lilacs",
+    "is_redalyc",
+    "is_medline",
+    "is_pmc",
+    "is_openalex",
+    "is_qualis",
+)
 FLAG_COLUMNS = (*CAPES_COLUMNS, *INDEX_COLUMNS, "scielo_active_valid")
 COMPARABLE_SHARES = {"domain": 0.0003, "field": 0.001, "subfield": 0.005, "topic": 0.02}
 COMPARABLE_LEAST = 12
@@ -55,17 +84,21 @@ def output_columns(windows=C.WINDOWS, percentiles=C.PERCENTILES, yearly=()) -> l
 def build_indicators(works: DataFrame, meta: DataFrame | None = None, levels=C.LEVELS, years=None, windows=C.WINDOWS, percentiles=C.PERCENTILES, threshold_mode: str = "exact", only=None, short_ids: bool = False) -> DataFrame:
     """A row for each level, category, year and journal, with the columns of ``output_columns``.
 
-    Two groupings of the works (cohorts, journals), one of the journals (publication statistics), and joins of aggregates.
+    The columns that are needed are written once, so that ``works``, however it is made, is read once. Cohorts are one grouping of it, their
+    thresholds exact counts by bucket (``quantiles``), the publication statistics the same over the journals' sizes. Thresholds go to the tasks if their
+    measured size allows. Journals are one grouping, planned with the rest of the result, so that columns nobody reads are not made.
     """
     C.check_mode(threshold_mode)
     windows, percentiles = sorted(windows), sorted(percentiles, reverse=True)
     needed = ["publication_year", "journal_id", "journal_issn_l", "is_journal_oa", *levels, "citations_total", *(f"citations_window_{w}y" for w in windows), *C.yearly_columns(works)]
     languages = C.has_languages(works)
     C.check_levels(works, levels)
-    rows = C.cohort_rows(works.select(*needed, *(["is_merged", "oa_individual_works"] if languages else [])), levels, years, only)
-    cohorts = rows.groupBy(*C.COHORT).agg(*C._baseline(windows), *C._thresholds(windows, percentiles, threshold_mode))
-    journals = C.journal_metrics(rows, cohorts, windows, percentiles, languages)
-    journals = journals.join(cohorts, C.COHORT).join(C.publication_stats(journals), C.COHORT)
+    slim = works.filter(F.col("publication_year").isin(*years)) if years is not None else works
+    rows = C.cohort_rows(written(slim.select(*needed, *(["is_merged", "oa_individual_works"] if languages else []))), levels, None, only)
+    cohorts = cut(C.settled_cohorts(rows, C._baseline(windows), windows, percentiles, threshold_mode))
+    sizes = cut(rows.filter(F.col("journal_id").isNotNull()).groupBy(*C.COHORT, "journal_id").agg(F.count("*").alias("journal_publications_count")))
+    journals = C.journal_metrics(rows, C._small(cohorts), windows, percentiles, languages)
+    journals = journals.join(C._small(cohorts.join(C.publication_stats_bracketed(sizes), C.COHORT)), C.COHORT)
     derived = {}
     for name, _, w in C.metrics(windows):
         derived[f"journal_impact_cohort{name}"] = ratio(F.col(f"journal_citations_mean{name}"), F.col(f"category_citations_mean{name}"))

@@ -164,7 +164,8 @@ def oracle_sql() -> dict[str, str]:
         "short_ids": ("SELECT work_id, replace(work_id, 'https://openalex.org/', '') AS short_work, replace(journal_id, 'https://openalex.org/', '') AS short_journal, coalesce(citations_total, 0) AS citations FROM works", "works"),
         "extract_years": ("SELECT doc_idx, publication_year AS year, CAST(NULL AS INT) AS none, CAST(doc_idx AS INT) AS number FROM doc_flat", "doc_flat"),
     }
-    sql["cohort_thresholds_histogram"] = sql["cohort_thresholds"]
+    sql["cohort_thresholds_histogram"] = sql["cohort_thresholds_bracketed"] = sql["cohort_thresholds"]
+    sql["cohort_publication_stats_bracketed"] = sql["cohort_publication_stats"]
     meta = """m AS (SELECT concat('https://openalex.org/', trim(openalex_id)) AS journal_id, publication_year, trim(journal_title) AS journal_title, journal_country, scielo_collection_acronym,
       CAST(is_scielo IS NOT DISTINCT FROM 'yes' AS INT) AS is_scielo, CAST(scielo_active_valid = '1' AS INT) AS scielo_active_valid FROM meta_raw),
     judged AS (SELECT journal_id, publication_year, count(*) AS n, count(DISTINCT (journal_title, journal_country, scielo_collection_acronym, is_scielo, scielo_active_valid)) AS k FROM m GROUP BY ALL),

@@ -13,6 +13,7 @@ from scholmill.operators import extract as E
 from scholmill.operators import indicators as I
 from scholmill.operators import integrate as G
 from scholmill.operators import metadata as M
+from scholmill.operators.durable import cut
 from scholmill.plans.views import view
 from scholmill.sources.works import parse_snapshot
 
@@ -41,6 +42,10 @@ def cohort_thresholds_histogram(spark, sf_dir):
     return C.cohort_thresholds_histogram(view(spark, sf_dir, "works"))
 
 
+def cohort_thresholds_bracketed(spark, sf_dir):
+    return C.cohort_thresholds_bracketed(view(spark, sf_dir, "works"))
+
+
 def cohort_thresholds_floor_plus_one(spark, sf_dir):
     return C.cohort_thresholds(view(spark, sf_dir, "works"), windows=(2, 5), percentiles=(90, 50), threshold_mode="floor_plus_one")
 
@@ -63,6 +68,11 @@ def cohort_publication_stats(spark, sf_dir):
     return C.publication_stats(rows.groupBy(*C.COHORT, "journal_id").agg(F.count("*").alias("journal_publications_count")))
 
 
+def cohort_publication_stats_bracketed(spark, sf_dir):
+    rows = C.cohort_rows(view(spark, sf_dir, "works")).filter("journal_id IS NOT NULL")
+    return C.publication_stats_bracketed(cut(rows.groupBy(*C.COHORT, "journal_id").agg(F.count("*").alias("journal_publications_count"))))
+
+
 def citation_percentiles_linear(spark, sf_dir):
     rows = C.cohort_rows(view(spark, sf_dir, "works"))
     p = rows.groupBy(*C.COHORT).agg(linear_percentiles("citations_total", [0.25, 0.5, 0.9]).alias("p"))

@@ -11,6 +11,7 @@ from scholmill.operators import extract as E
 from scholmill.operators import indicators as I
 from scholmill.operators import integrate as G
 from scholmill.operators import metadata as M
+from scholmill.operators import quantiles as Q
 from scholmill.sources import articles as SA
 from scholmill.sources import works as SW
 from scholmill.streaming.incremental import extract_new_files
@@ -64,8 +65,8 @@ def test_cohorts(spark, works):
     assert one.top_50pct_all_time_citations_threshold == 11
     key = lambda r: tuple(map(str, r))
     for kw in ({}, {"percentiles": (75,), "windows": ()}):
-        a, b = C.cohort_thresholds(works, **kw), C.cohort_thresholds_histogram(works, **kw)
-        assert a.columns == b.columns and sorted(map(key, a.collect())) == sorted(map(key, b.collect()))
+        a, b, c = C.cohort_thresholds(works, **kw), C.cohort_thresholds_histogram(works, **kw), C.cohort_thresholds_bracketed(works, **kw)
+        assert a.columns == b.columns == c.columns and sorted(map(key, a.collect())) == sorted(map(key, b.collect())) == sorted(map(key, c.collect()))
     with pytest.raises(ValueError):
         C.cohort_baseline(works, ("field; drop",))
     with pytest.raises(ValueError):
@@ -73,6 +74,26 @@ def test_cohorts(spark, works):
     assert [r.n_issns for r in C.issn_conflicts(works.unionByName(works.withColumn("journal_issn_l", F.lit("X"))), ("domain",), [2020]).collect()] == [2, 2]
 
 
+def test_bracketed_selection(spark):
+    """Few values and many, ties, negative and very large values, and a group with most rows."""
+    import random
+
+    rnd = random.Random(5)
+    draw = [lambda: rnd.randrange(3), lambda: rnd.randrange(-5000, 10**6), lambda: int(rnd.paretovariate(0.4)) % 2**62 * rnd.choice((1, -1)), lambda: rnd.choice((2**63 - 1, -(2**63), 127, 128, -128, -129, 2**40 + rnd.randrange(9)))]
+    data = [(g, draw[g % 4](), draw[(g + 1) % 4]()) for g in range(7) for _ in range(3000 if g == 2 else (1, 5, 90, 700)[g % 4])]
+    df = spark.createDataFrame(data, "g int, x long, y long").repartition(3)
+    ranks = [Q.percentile(f"{c}{p}", c, p) for c in "xy" for p in (1, 50, 95, 99, 100)] + Q.middle("x", "lower", "upper")
+    count = lambda d: d.groupBy("g").agg(F.max("x").alias("top"), F.count("*").alias("n"))
+    got = {r.g: r for r in Q.settle(count(df), df, ["g"], ranks).collect()}
+    assert len(got) == 7
+    for g, r in got.items():
+        xs, ys = sorted(d[1] for d in data if d[0] == g), sorted(d[2] for d in data if d[0] == g)
+        for c, vs in (("x", xs), ("y", ys)):
+            assert [r[f"{c}{p}"] for p in (1, 50, 95, 99, 100)] == [vs[max(-(-p * len(vs) // 100), 1) - 1] for p in (1, 50, 95, 99, 100)]
+        assert (r.lower, r.upper) == (xs[(len(xs) + 1) // 2 - 1], xs[len(xs) // 2]) and (r.n, r.top) == (len(xs), xs[-1])
+    assert Q.settle(count(df.limit(0)), df.limit(0), ["g"], ranks).count() == 0
+
+
 def test_indicators(spark, works):
     out = {(r.publication_year, r.journal_id): r for r in I.build_indicators(works, levels=("field",), only=["Arts'"]).collect()}
     s1, s2 = out[2020, "S1"], out[2020, "S2"]
