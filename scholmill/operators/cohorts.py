@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from scholmill.functions import normalize as N
@@ -143,10 +143,11 @@ def _small(cohorts: DataFrame) -> DataFrame:
     return F.broadcast(cohorts) if cohorts.count() * width <= BROADCAST else cohorts
 
 
-def journal_metrics(rows: DataFrame, cohorts: DataFrame, windows=WINDOWS, percentiles=PERCENTILES, with_languages: bool = False) -> DataFrame:
+def journal_metrics(rows: DataFrame, cohorts: DataFrame, windows=WINDOWS, percentiles=PERCENTILES, with_languages: bool = False, seen: Observation | None = None) -> DataFrame:
     """Per cohort and journal: totals, means, cited works, yearly sums, works at or above each threshold, flags.
 
     rows: of ``cohort_rows``; cohorts: rows with the thresholds. Works without journal have no row; null citations never reach a threshold.
+    ``seen`` has n_journals and n_issn_conflicts (those of several ISSNs in their cohort) once the result has been read.
     """
     names = [N.threshold_name(p, w) for _, _, w in metrics(windows) for p in percentiles]
     keys = [*COHORT, "journal_id"]
@@ -165,7 +166,10 @@ def journal_metrics(rows: DataFrame, cohorts: DataFrame, windows=WINDOWS, percen
     flag = F.max(N.multilingual("is_merged", "oa_individual_works")) if with_languages else F.lit(0)
     out.append(flag.alias("is_journal_multilingual"))
     # the smallest text of a group would make the whole aggregation sort its rows, so ISSNs are made distinct by a hash first, and numbers stay with numbers
-    issns = rows.select(*keys, "journal_issn_l").distinct().groupBy(*keys).agg(F.min("journal_issn_l").alias("journal_issn"))
+    issns = rows.select(*keys, "journal_issn_l").distinct().groupBy(*keys).agg(F.min("journal_issn_l").alias("journal_issn"), F.count("journal_issn_l").alias("_issns"))
+    if seen is not None:
+        issns = issns.observe(seen, F.count("*").alias("n_journals"), F.count_if(F.col("_issns") > 1).alias("n_issn_conflicts"))
+    issns = issns.drop("_issns")
     return with_thresholds.groupBy(*keys).agg(*out).withColumns(means).join(issns.hint("shuffle_hash"), keys)  # a row for each key on either side: nothing to sort wide rows for
 
 

@@ -5,12 +5,11 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
-def _folder(df: DataFrame) -> str:
+def scratch(spark: SparkSession) -> str:
     """The session's ``spark.checkpoint.dir``; only where none is set and the master is this machine (as in tests) a new folder."""
-    spark = df.sparkSession
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         folder = spark.conf.get("spark.checkpoint.dir", None)
@@ -22,12 +21,12 @@ def _folder(df: DataFrame) -> str:
 
 def cut(df: DataFrame) -> DataFrame:
     """``df`` written to the shared checkpoint folder and read from there."""
-    _folder(df)
+    scratch(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
 def written(df: DataFrame) -> DataFrame:
     """``df`` written as Parquet below the shared checkpoint folder, and read from there."""
-    path = f"{_folder(df)}/table-{uuid.uuid4().hex}"
+    path = f"{scratch(df.sparkSession)}/table-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)

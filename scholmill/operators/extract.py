@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 WINDOWS = (2, 3, 5)
@@ -39,6 +39,15 @@ def dropped(raw: DataFrame, start_year: int, end_year: int, windows=WINDOWS) ->
     return raw.agg(F.count_if(F.col("id").isNull() & F.col("type").isNull()).alias("n_unread")).crossJoin(wanted)  # one row each
 
 
+def observed(raw: DataFrame, start_year: int, end_year: int, seen: Observation, windows=WINDOWS) -> DataFrame:
+    """``raw``, whose counts ``seen`` has once it has been read: n_lines, and what ``dropped`` counts. No pass of its own."""
+    wanted = (F.col("type") == "article") & ~F.coalesce("is_xpac", F.lit(False)) & F.col("publication_year").between(start_year, end_year) & (F.col("publication_year") != 0)
+    return raw.observe(
+        seen, F.count("*").alias("n_lines"), F.count_if(F.col("id").isNull() & F.col("type").isNull()).alias("n_unread"),
+        F.count_if(wanted & ~_well_formed(windows)).alias("n_malformed"), F.count_if(wanted & _well_formed(windows) & _journal().isNull()).alias("n_no_journal"),
+    )
+
+
 def citation_years(raw: DataFrame) -> list[int]:
     """The years that counts are given for (a small job of its own; pass a list to ``extract_works`` to save it)."""
     years = raw.select(F.explode("counts_by_year.year").alias("y")).filter("y IS NOT NULL AND y <> 0").distinct()

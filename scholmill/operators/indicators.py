@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from scholmill.functions import normalize as N
@@ -81,12 +81,13 @@ def output_columns(windows=C.WINDOWS, percentiles=C.PERCENTILES, yearly=()) -> l
     return out
 
 
-def build_indicators(works: DataFrame, meta: DataFrame | None = None, levels=C.LEVELS, years=None, windows=C.WINDOWS, percentiles=C.PERCENTILES, threshold_mode: str = "exact", only=None, short_ids: bool = False) -> DataFrame:
+def build_indicators(works: DataFrame, meta: DataFrame | None = None, levels=C.LEVELS, years=None, windows=C.WINDOWS, percentiles=C.PERCENTILES, threshold_mode: str = "exact", only=None, short_ids: bool = False, seen: Observation | None = None) -> DataFrame:
     """A row for each level, category, year and journal, with the columns of ``output_columns``.
 
     The columns that are needed are written once, so that ``works``, however it is made, is read once. Cohorts are one grouping of it, their
     thresholds exact counts by bucket (``quantiles``), the publication statistics the same over the journals' sizes. Thresholds go to the tasks if their
     measured size allows. Journals are one grouping, planned with the rest of the result, so that columns nobody reads are not made.
+    ``seen`` has n_journals and n_issn_conflicts once the result has been read.
     """
     C.check_mode(threshold_mode)
     windows, percentiles = sorted(windows), sorted(percentiles, reverse=True)
@@ -97,7 +98,7 @@ def build_indicators(works: DataFrame, meta: DataFrame | None = None, levels=C.L
     rows = C.cohort_rows(written(slim.select(*needed, *(["is_merged", "oa_individual_works"] if languages else []))), levels, None, only)
     cohorts = cut(C.settled_cohorts(rows, C._baseline(windows), windows, percentiles, threshold_mode))
     sizes = cut(rows.filter(F.col("journal_id").isNotNull()).groupBy(*C.COHORT, "journal_id").agg(F.count("*").alias("journal_publications_count")))
-    journals = C.journal_metrics(rows, C._small(cohorts), windows, percentiles, languages)
+    journals = C.journal_metrics(rows, C._small(cohorts), windows, percentiles, languages, seen)
     journals = journals.join(C._small(cohorts.join(C.publication_stats_bracketed(sizes), C.COHORT)), C.COHORT)
     derived = {}
     for name, _, w in C.metrics(windows):

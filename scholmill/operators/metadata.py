@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import warnings
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from scholmill.functions import normalize as N
@@ -74,11 +74,17 @@ def _judged(meta: DataFrame, keys: list[str]) -> DataFrame:
     return meta.groupBy(*keys).agg(F.count("*").alias("n_rows"), F.count_distinct(row).alias("n_kinds"), F.first(row).alias("row"))
 
 
-def resolve_conflicts(meta: DataFrame, keys: tuple[str, ...] = ("journal_id", "publication_year")) -> DataFrame:
-    """One row for each key; keys whose rows differ are dropped altogether."""
-    return _judged(meta, list(keys)).filter("n_kinds = 1").select(*keys, "row.*").select(meta.columns)
+_KINDS = (("n_unique", "n_rows = 1"), ("n_identical", "n_rows > 1 AND n_kinds = 1"), ("n_conflicts", "n_kinds > 1"))
+
+
+def resolve_conflicts(meta: DataFrame, keys: tuple[str, ...] = ("journal_id", "publication_year"), seen: Observation | None = None) -> DataFrame:
+    """One row for each key; keys whose rows differ are dropped altogether. ``seen`` has the counts of ``conflict_stats`` once the rows have been read."""
+    judged = _judged(meta, list(keys))
+    if seen is not None:
+        judged = judged.observe(seen, *(F.count_if(F.expr(which)).alias(name) for name, which in _KINDS))
+    return judged.filter("n_kinds = 1").select(*keys, "row.*").select(meta.columns)
 
 
 def conflict_stats(meta: DataFrame, keys: tuple[str, ...] = ("journal_id", "publication_year")) -> DataFrame:
     """Numbers of keys that are unique, have identical duplicates, or contradict each other."""
-    return _judged(meta, list(keys)).agg(F.count_if(F.expr("n_rows = 1")).alias("n_unique"), F.count_if(F.expr("n_rows > 1 AND n_kinds = 1")).alias("n_identical"), F.count_if(F.expr("n_kinds > 1")).alias("n_conflicts"))
+    return _judged(meta, list(keys)).agg(*(F.count_if(F.expr(which)).alias(name) for name, which in _KINDS))

@@ -74,6 +74,9 @@ flat AS (SELECT work_id, publication_year, journal_id, CAST(CASE WHEN cited_by_c
   updated_date, line_no FROM accepted WHERE journal_id IS NOT NULL)"""
 _NEWEST = "row_number() OVER (PARTITION BY work_id ORDER BY updated_date DESC, line_no)"
 
+_RUNS = f"""stored AS (SELECT *, CAST(1 AS INT) AS run_number FROM (SELECT *, {_NEWEST} AS n FROM flat WHERE updated_date <= '2024-01-02') WHERE n = 1
+  UNION ALL SELECT *, CAST(2 AS INT) FROM (SELECT *, {_NEWEST} AS n FROM flat WHERE updated_date > '2024-01-02' AND work_id NOT IN (SELECT work_id FROM flat WHERE updated_date <= '2024-01-02')) WHERE n = 1)"""
+
 _SUMMED = ("citations_total", *(f"citations_window_{w}y" for w in WINDOWS), "citations_2000", "citations_2001")
 _MATCH = f"""owners AS (SELECT doi, max(article_idx) AS article_idx FROM article_doi GROUP BY doi),
 hits AS (SELECT article_idx, work_id, replace(lower(w.doi), 'https://doi.org/', '') AS doi, is_journal_oa, {", ".join(LEVELS)}, {", ".join(f"coalesce({c}, 0) AS {c}" for c in _SUMMED)}
@@ -149,6 +152,26 @@ def oracle_sql() -> dict[str, str]:
             SELECT work_id, updated_date, line_no, citations_total FROM fresh WHERE n = 1""",
             "raw_flat",
         ),
+        "ledger_works": (
+            f"""WITH {_ACCEPTED}, {_RUNS} SELECT work_id, updated_date, citations_total, citations_1996, citations_window_5y, run_number FROM stored""",
+            "raw_flat",
+        ),
+        "ledger_dates": (
+            f"""WITH {_ACCEPTED}, {_RUNS}, raw AS (SELECT CASE WHEN updated_date <= '2024-01-02' THEN 1 ELSE 2 END AS run_number, updated_date, type, is_xpac, primary_source_type, location_journal_id FROM raw_flat
+            UNION ALL SELECT 1, '2023-12-31', type, is_xpac, primary_source_type, location_journal_id FROM raw_flat WHERE type = 'book'),
+            told AS (SELECT run_number, count(*) AS n_lines, count(*) FILTER (WHERE type = 'article' AND NOT coalesce(is_xpac, false) AND primary_source_type <> 'journal' AND location_journal_id IS NULL) AS n_no_journal FROM raw GROUP BY 1),
+            dates AS (SELECT DISTINCT run_number, updated_date FROM raw), counts AS (SELECT updated_date, count(*) AS n FROM stored GROUP BY 1)
+            SELECT CAST(run_number AS INT) AS run_number, updated_date, n_lines, CAST(0 AS BIGINT) AS n_unread, CAST(0 AS BIGINT) AS n_malformed, n_no_journal, coalesce(n, 0) AS n_works FROM dates JOIN told USING (run_number) LEFT JOIN counts USING (updated_date)
+            UNION ALL SELECT 3, NULL, 0, 0, 0, 0, NULL""",
+            "raw_flat",
+        ),
+        "dropped_lines": (
+            f"""WITH {_ACCEPTED}, wanted AS (SELECT * FROM raw_flat WHERE line_no % 17 <> 0 AND type = 'article' AND NOT coalesce(is_xpac, false)),
+            judged AS (SELECT *, line_no % 19 = 0 AND primary_source_type <> 'journal' AS bad, primary_source_type <> 'journal' AND location_journal_id IS NULL AS lone FROM wanted)
+            SELECT (SELECT count(DISTINCT work_id) FROM judged WHERE NOT bad AND NOT lone) AS n_works, (SELECT count(*) FROM raw_flat) AS n_lines, (SELECT count(*) FROM raw_flat WHERE line_no % 17 = 0) AS n_unread,
+            (SELECT count(*) FROM judged WHERE bad) AS n_malformed, (SELECT count(*) FROM judged WHERE lone AND NOT bad) AS n_no_journal""",
+            "raw_flat",
+        ),
         "merge_audit": (
             f"""WITH {_DOCS}, own AS (SELECT doc_idx, titles, unnest(dois) AS doi FROM docs)
             SELECT a.doi, a.doc_idx AS left_idx, b.doc_idx AS right_idx, list_has_any(a.titles, b.titles) AS merged, 'doi_match' AS reason FROM own a JOIN own b ON a.doi = b.doi AND a.doc_idx < b.doc_idx""",
@@ -172,6 +195,12 @@ def oracle_sql() -> dict[str, str]:
     meta AS (SELECT DISTINCT m.* FROM m JOIN judged USING (journal_id, publication_year) WHERE k = 1)"""
     sql["metadata_resolved"] = (f"WITH {meta} SELECT * FROM meta", "meta_raw")
     sql["metadata_conflicts"] = (f"WITH {meta} SELECT count(*) FILTER (WHERE n = 1) AS n_unique, count(*) FILTER (WHERE n > 1 AND k = 1) AS n_identical, count(*) FILTER (WHERE k > 1) AS n_conflicts FROM judged", "meta_raw")
+    sql["indicator_reports"] = (
+        f"""{_all()}, {meta}, kinds AS (SELECT {_KEY}, journal_id, count(DISTINCT journal_issn_l) AS k FROM rows_ WHERE journal_id IS NOT NULL GROUP BY ALL)
+        SELECT count(*) FILTER (WHERE k > 0) AS n_with_issn, count(*) AS n_journals, count(*) FILTER (WHERE k > 1) AS n_issn_conflicts, (SELECT count(*) FROM judged WHERE n = 1) AS n_unique,
+        (SELECT count(*) FROM judged WHERE n > 1 AND judged.k = 1) AS n_identical, (SELECT count(*) FROM judged WHERE judged.k > 1) AS n_conflicts FROM kinds""",
+        "works", "meta_raw",
+    )
     sql["indicators_enriched"] = (
         f"""{_all(LEVELS, brief, (90,))}, {meta} SELECT category_level, category_id, publication_year, replace(j.journal_id, 'https://openalex.org/', '') AS journal_id,
         coalesce(nullif(journal_title, ''), j.journal_id) AS journal_title, coalesce(journal_country, '') AS journal_country,

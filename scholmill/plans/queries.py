@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import uuid
+
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from scholmill.functions import normalize as N
@@ -13,9 +15,10 @@ from scholmill.operators import extract as E
 from scholmill.operators import indicators as I
 from scholmill.operators import integrate as G
 from scholmill.operators import metadata as M
-from scholmill.operators.durable import cut
+from scholmill.operators.durable import cut, scratch
 from scholmill.plans.views import view
 from scholmill.sources.works import parse_snapshot
+from scholmill.streaming import ledger
 
 #: All years of publication, and all years that counts of the views reach.
 YEARS = (1, 9999)
@@ -113,8 +116,8 @@ def indicators_enriched(spark, sf_dir):
     return out.select("category_level", "category_id", "publication_year", "journal_id", "journal_title", "journal_country", "scielo_collection", "is_scielo", "is_scopus", "journal_publications_count", "journal_impact_cohort")
 
 
-def raw_works(spark, sf_dir):
-    """raw_flat as the JSON lines of a snapshot, parsed again."""
+def _raw_lines(spark, sf_dir):
+    """raw_flat as the JSON lines of a snapshot."""
     flat = view(spark, sf_dir, "raw_flat")
     source = "named_struct('id', {}, 'type', {}, 'issn_l', 'I', 'is_oa', cited_by_count % 2 = 0)"
     counts = ", ".join(f"named_struct('year', publication_year + {k}, 'cited_by_count', cites_y{k})" for k in (0, 1, 3, 5))
@@ -124,7 +127,64 @@ def raw_works(spark, sf_dir):
       'locations', CASE WHEN location_journal_id IS NULL THEN array(named_struct('source', {source.format("'x'", "'repository'")}))
                    ELSE array(named_struct('source', {source.format("'x'", "'repository'")}), named_struct('source', {source.format("location_journal_id", "'journal'")})) END,
       'counts_by_year', array({counts})))"""
-    return parse_snapshot(flat.select(F.expr(packed).alias("value"), "updated_date", F.lit("part").alias("file_path"), "line_no"))
+    return flat.select(F.expr(packed).alias("value"), "updated_date", F.lit("part").alias("file_path"), "line_no", "type")
+
+
+def raw_works(spark, sf_dir):
+    return parse_snapshot(_raw_lines(spark, sf_dir).drop("type"))
+
+
+def _two_runs(spark, sf_dir):
+    """A store after two runs over a snapshot that grew between them, with a date that has no works. Returns the store and what the runs report."""
+    folder = f"{scratch(spark)}/snapshot-{uuid.uuid4().hex}"
+    lines = _raw_lines(spark, sf_dir)
+    books = lines.filter("type = 'book'").withColumn("updated_date", F.lit("2023-12-31"))
+
+    def add(rows):
+        rows.repartition("updated_date").sortWithinPartitions("updated_date", "line_no").select("value", "updated_date").write.mode("append").partitionBy("updated_date").option("compression", "gzip").text(f"{folder}/raw")
+
+    def one():
+        return ledger.run(spark, f"{folder}/raw", f"{folder}/store", *YEARS, PIVOT_YEARS, glob="part-*.gz")
+
+    add(books.unionByName(lines.filter("updated_date <= '2024-01-02'")))
+    reports = [one()]
+    add(lines.filter("updated_date > '2024-01-02'"))
+    return f"{folder}/store", [*reports, one(), one()]
+
+
+def ledger_works(spark, sf_dir):
+    """Works of the store, by run."""
+    store, reports = _two_runs(spark, sf_dir)
+    number = F.when(F.col("run") == reports[0]["run"], 1).otherwise(2)
+    return ledger.read_store(spark, store).select("work_id", F.col("updated_date").cast("string").alias("updated_date"), "citations_total", "citations_1996", "citations_window_5y", number.alias("run_number"))
+
+
+def ledger_dates(spark, sf_dir):
+    """What the ledger says: dates by run, those without works too, and what the runs have dropped."""
+    store, reports = _two_runs(spark, sf_dir)
+    told = spark.createDataFrame([(r["run"], k, r["n_lines"], r["n_unread"], r["n_malformed"], r["n_no_journal"]) for k, r in enumerate(reports, 1)], "run string, run_number int, n_lines long, n_unread long, n_malformed long, n_no_journal long")
+    rows = ledger.read_ledger(spark, store).groupBy("run", F.col("updated_date").cast("string").alias("updated_date")).agg(F.sum("n_works").alias("n_works"))
+    return told.join(rows, "run", "left").drop("run")
+
+
+def dropped_lines(spark, sf_dir):
+    """Counts observed while lines of a snapshot, some of them broken, are extracted."""
+    lines = _raw_lines(spark, sf_dir)
+    broken = F.when(F.col("line_no") % 17 == 0, F.left("value", F.lit(20))).when(F.col("line_no") % 19 == 0, F.regexp_replace("value", '"locations":\\[.*?\\],"counts_by_year"', '"counts_by_year"')).otherwise(F.col("value"))
+    seen = Observation()
+    raw = E.observed(parse_snapshot(lines.withColumn("value", broken).drop("type")), *YEARS, seen)
+    works = E.latest(E.project(E.accepted(raw, *YEARS), [], keep=("updated_date", "file_path", "line_no")))
+    kept = works.count()
+    return spark.createDataFrame([(kept, *(seen.get[c] for c in ("n_lines", "n_unread", "n_malformed", "n_no_journal")))], "n_works long, n_lines long, n_unread long, n_malformed long, n_no_journal long")
+
+
+def indicator_reports(spark, sf_dir):
+    """Conflicts of ISSNs and of metadata, observed while the indicators are made."""
+    journals, metadata = Observation(), Observation()
+    meta = cut(M.resolve_conflicts(M.normalize(view(spark, sf_dir, "meta_raw")), seen=metadata))
+    n = I.build_indicators(view(spark, sf_dir, "works"), meta, seen=journals).select(F.count_if(F.col("journal_issn").isNotNull())).first()[0]
+    row = (n, journals.get["n_journals"], journals.get["n_issn_conflicts"], *(metadata.get[c] for c in ("n_unique", "n_identical", "n_conflicts")))
+    return spark.createDataFrame([row], "n_with_issn long, n_journals long, n_issn_conflicts long, n_unique long, n_identical long, n_conflicts long")
 
 
 _FLAT = ["work_id", "publication_year", "journal_id", "is_journal_oa", "citations_total", *(f"citations_{y}" for y in PIVOT_YEARS), *(f"citations_window_{w}y" for w in E.WINDOWS), *(f"has_citation_window_{w}y" for w in E.WINDOWS)]

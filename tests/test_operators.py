@@ -211,6 +211,62 @@ def test_snapshot_and_stream(spark, tmp_path):
     assert sorted((r.work_id, str(r.updated_date), r.citations_2021) for r in got) == [("W1", "2024-01-01", 4), ("W2", "2024-01-01", 4), ("W3", "2024-01-02", 4)]
 
 
+def test_ledger(spark, tmp_path, monkeypatch):
+    """Nothing read twice, dates without works remembered, a failed run without a trace, known ids left out with a filter of any size."""
+    import gzip
+    import json
+
+    from scholmill.streaming import ledger as L
+
+    def put(date, part, *ids, kind="article"):
+        d = tmp_path / "raw" / f"updated_date={date}"
+        d.mkdir(parents=True, exist_ok=True)
+        with gzip.open(d / f"part_{part}.gz", "wt") as f:
+            f.writelines(json.dumps({"id": i, "type": kind, "publication_year": 2020, "primary_location": {"source": {"id": "S", "type": "journal"}}, "counts_by_year": [{"year": 2021, "cited_by_count": 4}]}) + "\n" for i in ids)
+
+    raw, store = f"{tmp_path}/raw", f"{tmp_path}/store"
+    run = lambda **kw: L.run(spark, raw, store, 2018, 2025, [2021], **kw)
+    put("2024-01-01", 0, "W1", "W2")
+    put("2024-01-01", 1, "B", kind="book")
+    put("2024-01-02", 0, "B2", kind="book")
+    first = run(expected=10)
+    assert first["n_lines"] == 4 and L.read_store(spark, store).count() == 2
+    assert sorted((r.updated_date, r.file_path[-9:], r.n_works) for r in L.read_ledger(spark, store).collect()) == [("2024-01-01", "part_0.gz", 2), ("2024-01-01", "part_1.gz", 0), ("2024-01-02", "part_0.gz", 0)]
+    assert run(expected=10)["run"] is None and L.unread(spark, raw, store).count() == 0
+    put("2024-01-02", 7, "W9")
+    assert L.unread(spark, raw, store).count() == 0 and [r.file_path[-9:] for r in L.unread(spark, raw, store, by="file").collect()] == ["part_7.gz"]
+    put("2024-01-03", 0, "W2", *(f"X{i}" for i in range(500)))
+    with monkeypatch.context() as m:
+        m.setattr(L.B, "bloom", lambda *a: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            run(expected=10)
+    assert L.read_store(spark, store).count() == 2
+    second = run(expected=10)
+    assert second["n_lines"] == 501 and L.read_store(spark, store).count() == 502
+    put("2024-01-04", 0, "W1", "X7", "Y")
+    with monkeypatch.context() as m:
+        m.setattr(L.B, "BROADCAST", 0)
+        assert run(expected=10)["n_lines"] == 3
+    got = L.read_store(spark, store)
+    assert got.count() == 503 and got.select("work_id").distinct().count() == 503 and {r[0] for r in got.groupBy("run").count().select("count").collect()} == {2, 500, 1}
+    with pytest.raises(ValueError):
+        L.unread(spark, raw, store, by="month")
+
+
+def test_bloom(spark):
+    from scholmill.operators import bloom as B
+
+    ids = spark.range(3000).select(F.concat(F.lit("W"), "id").alias("work_id"))
+    for blocks in (1, B.blocks_for(3000), 50):
+        whole, parts = B.bloom(ids, "work_id", blocks), B.merged(B.bloom(ids.filter("work_id < 'W2'"), "work_id", blocks).unionByName(B.bloom(ids.filter("work_id >= 'W2'"), "work_id", blocks)))
+        assert sorted(map(tuple, whole.collect())) == sorted(map(tuple, parts.collect()))
+        asked = spark.range(2000, 6000).select(F.concat(F.lit("W"), "id").alias("work_id")).unionByName(spark.createDataFrame([(None,)], "work_id string"))
+        rows = {r.work_id: r.maybe for r in B.with_maybe(asked, "work_id", whole, blocks).collect()}
+        assert all(rows[f"W{i}"] for i in range(2000, 3000)) and not rows[None] and sum(rows.values()) < (2000 if blocks == 1 else 1200)
+    with pytest.raises(ValueError):
+        B.with_maybe(ids, "work_id", whole, B.BROADCAST)
+
+
 def test_works_of_several_schemas(spark, tmp_path):
     spark.createDataFrame([("a", 1)], "work_id string, citations_2020 long").write.parquet(f"{tmp_path}/w/x")
     spark.createDataFrame([("b", 1.5, 2)], "work_id string, citations_2020 double, citations_2021 long").write.parquet(f"{tmp_path}/w/y")
