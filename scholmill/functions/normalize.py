@@ -91,8 +91,9 @@ def short_id(x: Column | str, prefix: str = ID_PREFIX) -> Column:
 
 def merged_languages(x: Column | str) -> Column:
     """Sorted distinct languages of the members of a JSON object; members that are no objects and invalid JSON give none."""
-    members = F.map_values(F.from_json(_col(x), "map<string,string>"))
-    languages = F.transform(members, lambda m: F.lower(strip(F.get_json_object(m, "$.language"))))
+    # one parse of the text: the object as a variant, its members by their paths
+    members = F.map_values(F.try_variant_get(F.try_parse_json(_col(x)), "$", "map<string,variant>"))
+    languages = F.transform(members, lambda m: F.lower(strip(F.try_variant_get(m, "$.language", "string"))))
     return F.coalesce(F.array_sort(F.array_distinct(F.filter(languages, lambda v: v.isNotNull() & (v != "")))), F.array().cast("array<string>"))
 
 

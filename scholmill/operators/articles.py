@@ -21,7 +21,7 @@ TITLE_LENGTH = 15
 
 
 def article_docs(records: DataFrame, start_year: int, end_year: int) -> DataFrame:
-    """Docs of the records of the years that have a DOI."""
+    """Docs of the records of the years that have a DOI; doc_idx is that of the records, or the order in which they are scanned."""
     rows = records.withColumn("publication_year", N.year("publication_year")).filter(F.col("publication_year").between(start_year, end_year))
     rows = rows.filter((F.size(F.coalesce("doi_and_lang", F.array().cast("array<struct<lang: string, doi: string>>"))) > 0) | (F.coalesce("doi", F.lit("")) != ""))
     pairs = F.filter(F.transform(F.coalesce("doi_and_lang", F.array().cast("array<struct<lang: string, doi: string>>")), lambda p: F.struct(p["lang"].alias("lang"), N.doi(p["doi"]).alias("doi"))), lambda p: (p["doi"] != "") & p["lang"].isNotNull())
@@ -36,7 +36,7 @@ def article_docs(records: DataFrame, start_year: int, end_year: int) -> DataFram
         F.col("collection_acronym").alias("collection"), F.col("publisher_id").alias("pid_v2"), "publication_year",
         F.map_from_arrays(langs, last).alias("doi_with_lang"), N.doi("doi").alias("doi"), names.alias("_titles"),
         N.text("document_type").alias("document_type"), N.text("journal.title").alias("journal_title"), F.array_sort(F.array_distinct(issns)).alias("journal_issns"),
-        F.monotonically_increasing_id().alias("doc_idx"),
+        F.col("doc_idx") if "doc_idx" in records.columns else F.monotonically_increasing_id().alias("doc_idx"),
     )
     return with_title_keys(rows, "_titles").withColumnRenamed("_titles", "titles")
 
@@ -112,10 +112,36 @@ def resolve_articles(docs: DataFrame, strategies=RULES) -> DataFrame:
     return out.select("article_idx", "n_docs", "collection", "pid_v2", "publication_year", "doi_with_lang", F.coalesce("doi", other, F.lit("")).alias("doi"), "titles", F.coalesce("document_type", F.lit("")).alias("document_type"), F.coalesce("journal_title", F.lit("")).alias("journal_title"), "journal_issns")
 
 
+def _claims(docs: DataFrame) -> DataFrame:
+    """A row for each DOI of each doc."""
+    return docs.select("doc_idx", F.coalesce("titles", F.array().cast("array<string>")).alias("titles"), F.explode(_dois()).alias("doi"))
+
+
+def audit_classes(docs: DataFrame) -> DataFrame:
+    """The audit in classes: docs of one DOI and the same titles are a row, with their number and the smallest of them.
+
+    As many rows as there are different claims of a DOI at most. Two docs of a class merge if it has a title, docs of two classes if their titles overlap.
+    """
+    return _claims(docs).groupBy("doi", "titles").agg(F.min("doc_idx").alias("class_idx"), F.count("*").alias("n_docs"))
+
+
+def audit_members(docs: DataFrame) -> DataFrame:
+    """(doi, doc_idx, class_idx): the class of each claim."""
+    return _claims(docs).join(audit_classes(docs), ["doi", "titles"]).select("doi", "doc_idx", "class_idx", "n_docs", "titles")
+
+
+def expand_audit(members: DataFrame, chunk: int = 1000) -> DataFrame:
+    """The pairs of ``merge_audit`` for the members given (filter them first: pairs of a DOI are squared).
+
+    The docs of a DOI are dealt into chunks, and each chunk meets each later one and itself as a key of its own, so no task gets more than two chunks.
+    """
+    sizes = members.groupBy("doi").agg(F.greatest(F.ceil(F.count("*") / chunk), F.lit(1)).cast("int").alias("k"))
+    dealt = members.join(sizes, "doi").withColumn("c", F.pmod(F.xxhash64("doc_idx"), F.col("k")).cast("int"))
+    as_pair = lambda side, i, j: dealt.select("doi", "k", F.explode(F.expr(f"transform(sequence(0, k - 1), o -> struct({i} AS i, {j} AS j))")).alias("p"), F.col("doc_idx").alias(f"{side}_idx"), F.col("titles").alias(f"{side}_titles")).select("doi", "p.i", "p.j", f"{side}_idx", f"{side}_titles")
+    pairs = as_pair("left", "c", "o").join(as_pair("right", "o", "c"), ["doi", "i", "j"]).filter("left_idx < right_idx")
+    return pairs.select("doi", "left_idx", "right_idx", F.arrays_overlap("left_titles", "right_titles").alias("merged"), F.lit("doi_match").alias("reason"))
+
+
 def merge_audit(docs: DataFrame) -> DataFrame:
-    """A row for each DOI of each pair of docs that share it, and whether the DOI rule merges them. Opt-in: pairs of a DOI are squared."""
-    slim = docs.select("doc_idx", F.coalesce("titles", F.array().cast("array<string>")).alias("titles"), F.explode(_dois()).alias("doi"))
-    a = slim.select("doi", F.col("doc_idx").alias("left_idx"), F.col("titles").alias("left_titles"))
-    b = slim.select("doi", F.col("doc_idx").alias("right_idx"), F.col("titles").alias("right_titles"))
-    pairs = a.join(b, "doi").filter("left_idx < right_idx")
-    return pairs.select("doi", "left_idx", "right_idx", F.coalesce(F.arrays_overlap("left_titles", "right_titles"), F.lit(False)).alias("merged"), F.lit("doi_match").alias("reason"))
+    """A row for each DOI of each pair of docs that share it, and whether the DOI rule merges them. Opt-in: pairs of a DOI are squared (``audit_classes`` are not)."""
+    return expand_audit(audit_members(docs))

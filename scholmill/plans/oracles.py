@@ -94,7 +94,19 @@ k_pid AS (SELECT doc_idx, concat('pid|', pid_v2, '|', t, '|', publication_year,
 k_title AS (SELECT doc_idx, concat('title|', t, '|', publication_year, '|', j) AS k FROM (SELECT *, unnest([issn, journal_title]) AS j FROM doc_titles WHERE length(t) >= 15))"""
 
 
-def _article_of(*rules: str) -> str:
+_KEY_OF = "trim(lower(replace(strip_accents({}), ' ', '')), concat(' ', chr(9), chr(10), chr(13)))"
+#: Records in the order of their files, without those of no year or no DOI.
+_RECORDS = f"""records AS (SELECT row_number() OVER (ORDER BY CASE WHEN doc_id % 5 = 0 THEN 0 ELSE 1 END, doc_id) - 1 AS doc_idx, doc_id, lang AS collection, concat('P', n_chars // 50) AS pid_v2, CAST(2018 + doc_id % 2 AS INT) AS publication_year,
+  CASE WHEN doc_id % 5 = 1 THEN '' ELSE concat('10.1590/', n_chars // 10) END AS doi, CASE WHEN doc_id % 3 = 0 THEN concat('10.1590/', n_chars // 10 + 1) ELSE '' END AS doi_en,
+  [split_part(coalesce(text, ''), chr(10), 1), split_part(coalesce(text, ''), chr(10), -1)] AS names, concat('Journal ', source) AS journal_title, concat('ISSN-', n_chars % 3) AS issn FROM documents),
+docs AS (SELECT * EXCLUDE (names), list_sort(list_distinct([{_KEY_OF.format("x")} for x in names if x <> ''])) AS titles, list_distinct([x for x in [doi, doi_en] if x <> '']) AS dois FROM records WHERE doc_id % 11 <> 7 AND (doi <> '' OR doi_en <> ''))"""
+
+
+def _article_of(*rules: str, docs: str | None = None) -> str:
+    return _articles(*rules) if docs is None else _articles(*rules).replace(_DOCS[: _DOCS.index("doc_titles AS")], f"{docs},\n")
+
+
+def _articles(*rules: str) -> str:
     keys = " UNION ".join(f"SELECT * FROM k_{r}" for r in rules)
     return f"""WITH {_DOCS}, ks AS ({keys}),
 heads AS (SELECT k, min(doc_idx) AS head FROM ks GROUP BY k),
@@ -218,6 +230,22 @@ def oracle_sql() -> dict[str, str]:
         FROM g JOIN gt USING (article_idx) GROUP BY article_idx""",
         "doc_flat",
     )
+    sql["merge_audit_classes"] = (f"WITH {_DOCS} SELECT doi, array_to_string(titles, '|') AS titles, min(doc_idx) AS class_idx, count(*) AS n_docs FROM (SELECT doc_idx, titles, unnest(dois) AS doi FROM docs) GROUP BY doi, titles", "doc_flat")
+    sql["metadata_from_csv"] = (f"WITH {meta} SELECT *, CAST(0 AS INT) AS is_scopus FROM meta", "meta_raw")
+    sql["indicators_csv"] = (f"{_all(('domain',))} SELECT {_KEY}, journal_id, journal_issn, category_publications_count, journal_publications_count, {_impact('')}, {_share(90, None)} FROM full_", "works")
+    sql["vocabulary_files"] = sql["category_coverage"]
+    sql["mixed_schemas"] = (
+        """SELECT work_id, publication_year, CAST(citations_total AS DOUBLE) AS citations_total, CASE WHEN publication_year % 3 <> 2 THEN citations_2000 END AS citations_2000, CASE WHEN publication_year % 3 <> 1 THEN citations_2001 END AS citations_2001 FROM works_unique""",
+        "works_unique",
+    )
     out = {name: with_views(*parts) for name, parts in sql.items()}
+    out["article_docs"] = f"WITH {_RECORDS} SELECT doc_idx, collection, pid_v2, publication_year, doi, doi_en, array_to_string(titles, '|') AS titles, 'research' AS document_type, journal_title, issn AS journal_issns FROM docs"
+    out["resolve_records"] = (
+        f"""{_article_of("doi", "pid", "title", docs=_RECORDS)}, g AS (SELECT article_idx, d.* FROM docs d JOIN article_of USING (doc_idx)),
+        gt AS (SELECT article_idx, string_agg(DISTINCT t, '|' ORDER BY t) AS titles FROM (SELECT article_idx, unnest(titles) AS t FROM g) GROUP BY 1),
+        m AS (SELECT article_idx, count(*) AS n_docs, string_agg(DISTINCT collection, '|' ORDER BY collection) AS collection, string_agg(DISTINCT pid_v2, '|' ORDER BY pid_v2) AS pid_v2, min(publication_year) AS publication_year,
+        arg_min(doi, doc_idx) FILTER (WHERE doi <> '') AS first_doi, coalesce(arg_max(doi_en, doc_idx) FILTER (WHERE doi_en <> ''), '') AS doi_en, min(journal_title) AS journal_title, string_agg(DISTINCT issn, '|' ORDER BY issn) AS journal_issns FROM g GROUP BY article_idx)
+        SELECT article_idx, collection, pid_v2, publication_year, coalesce(first_doi, CASE WHEN n_docs > 1 THEN doi_en END, '') AS doi, doi_en, coalesce(titles, '') AS titles, journal_title, journal_issns FROM m LEFT JOIN gt USING (article_idx)"""
+    ).replace("WITH ", "WITH RECURSIVE ", 1)
     out["normalize_titles"] = "SELECT doc_id, trim(lower(replace(strip_accents(text), ' ', '')), concat(' ', chr(9), chr(10), chr(13))) AS title_key FROM documents"
     return out

@@ -17,6 +17,8 @@ from scholmill.operators import integrate as G
 from scholmill.operators import metadata as M
 from scholmill.operators.durable import cut, scratch
 from scholmill.plans.views import view
+from scholmill.sources import articles as SA
+from scholmill.sources import works as SW
 from scholmill.sources.works import parse_snapshot
 from scholmill.streaming import ledger
 
@@ -259,6 +261,87 @@ def merge_audit(spark, sf_dir):
     return A.merge_audit(_docs(spark, sf_dir))
 
 
+def merge_audit_classes(spark, sf_dir):
+    return A.audit_classes(_docs(spark, sf_dir)).select("doi", F.array_join("titles", "|").alias("titles"), "class_idx", "n_docs")
+
+
+def _records(spark, sf_dir):
+    """Article records of the documents in files of two folders, a fifth of them in the first, read back as they stand there."""
+    d = spark.read.parquet(f"{sf_dir}/documents.parquet").withColumn("text", F.coalesce("text", F.lit("")))
+    part = lambda n: F.concat(F.lit("10.1590/"), F.expr(f"cast(n_chars div 10 + {n} AS string)"))
+    pair = lambda lang, doi: F.struct(F.lit(lang).alias("lang"), doi.alias("doi"))
+    en = F.when(F.col("doc_id") % 3 == 0, F.array(pair("en", F.lit("doi:10.1590/OLD")), pair("pt", F.lit(" ")), pair("en", F.concat(F.lit("https://doi.org/"), part(1)))))
+    issn = F.concat(F.lit(" ISSN-"), (F.col("n_chars") % 3).cast("string"))
+    journal = F.struct(F.concat(F.lit("Journal "), "source", F.lit(" ")).alias("title"), issn.alias("any_issn"), F.trim(issn).alias("scielo_issn"), F.lit("").alias("electronic_issn"))
+    records = d.select(
+        "doc_id", F.col("lang").alias("collection_acronym"), F.concat(F.lit("P"), F.expr("cast(n_chars div 50 AS string)")).alias("publisher_id"), F.when(F.col("doc_id") % 11 == 7, F.lit("n.d.")).otherwise((2018 + F.col("doc_id") % 2).cast("string")).alias("publication_year"),
+        F.when(F.col("doc_id") % 5 != 1, F.concat(F.lit("DOI:"), part(0))).alias("doi"), en.alias("doi_and_lang"), F.lit(" research ").alias("document_type"),
+        F.expr("split_part(text, chr(10), 1)").alias("original_title"), F.create_map(F.lit("en"), F.expr("split_part(text, chr(10), -1)")).alias("translated_titles"), journal.alias("journal"),
+    )
+    folder = f"{scratch(spark)}/records-{uuid.uuid4().hex}"
+    for name, rows in (("a", records.filter("doc_id % 5 = 0")), ("b", records.filter("doc_id % 5 <> 0"))):
+        rows.orderBy("doc_id").select(F.to_json(F.struct(*[c for c in rows.columns if c != "doc_id"])).alias("value")).write.text(f"{folder}/{name}")
+    return SA.read_records(spark, f"{folder}/*")
+
+
+def article_docs(spark, sf_dir):
+    """Records of several files to docs, numbered by file and line."""
+    docs = A.article_docs(_records(spark, sf_dir), 2018, 2025)
+    joined = lambda c: F.array_join(c, "|").alias(c)
+    return docs.select("doc_idx", "collection", "pid_v2", "publication_year", "doi", F.coalesce(F.col("doi_with_lang")["en"], F.lit("")).alias("doi_en"), joined("titles"), "document_type", "journal_title", joined("journal_issns"))
+
+
+def resolve_records(spark, sf_dir):
+    """Articles of records of several files, written as JSON lines and read back: first DOI and last language by file and line."""
+    path = f"{scratch(spark)}/resolved-{uuid.uuid4().hex}"
+    SA.write_json(A.resolve_articles(cut(A.article_docs(_records(spark, sf_dir), 2018, 2025))), path)
+    r = SA.read_resolved(spark, path)
+    joined = lambda c: F.array_join(c, "|").alias(c)
+    return r.select("article_idx", joined("collection"), joined("pid_v2"), "publication_year", "doi", F.coalesce(F.col("doi_with_lang")["en"], F.lit("")).alias("doi_en"), joined("titles"), "journal_title", joined("journal_issns"))
+
+
+def mixed_schemas(spark, sf_dir):
+    """Works written as files of three schemas, some with long and some with double counts, read as one table."""
+    works = view(spark, sf_dir, "works_unique").select("work_id", "publication_year", "citations_total", "citations_2000", "citations_2001")
+    path = f"{scratch(spark)}/mixed-{uuid.uuid4().hex}"
+    third = F.pmod(F.col("publication_year"), F.lit(3))
+    works.filter(third == 0).write.parquet(f"{path}/x")
+    works.filter(third == 1).withColumn("citations_total", F.col("citations_total").cast("double")).drop("citations_2001").write.parquet(f"{path}/y/deep")
+    works.filter(third == 2).drop("citations_2000").write.parquet(f"{path}/z")
+    got = SW.read_works(spark, path)
+    return got.select("work_id", "publication_year", "citations_total", *C.yearly_columns(got))
+
+
+def metadata_from_csv(spark, sf_dir):
+    """The metadata source table as CSV with its own column names, loaded and resolved."""
+    raw = view(spark, sf_dir, "meta_raw")
+    named = raw.select(*[F.col(c).cast("string").alias(source) if c in raw.columns else F.lit("").alias(source) for c, source in M.SOURCE_NAMES.items()])
+    path = f"{scratch(spark)}/meta-{uuid.uuid4().hex}"
+    named.write.option("header", True).option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
+    meta = M.journal_metadata(spark.read.option("header", True).option("ignoreLeadingWhiteSpace", False).csv(path))
+    return meta.select("journal_id", "publication_year", "journal_title", "journal_country", "scielo_collection_acronym", "is_scielo", "scielo_active_valid", "is_scopus")
+
+
+def indicators_csv(spark, sf_dir):
+    """The indicators of a level as CSV by level and year, read back."""
+    out = I.build_indicators(view(spark, sf_dir, "works"), levels=("domain",))
+    path = f"{scratch(spark)}/csv-{uuid.uuid4().hex}"
+    I.write_csv(out, path, partition=True)
+    back = spark.read.option("header", True).csv(path)
+    back = back.toDF(*[c.replace(" ", "_") for c in back.columns])
+    number = {"category_publications_count": "long", "journal_publications_count": "long", "publication_year": "int", "journal_impact_cohort": "double", "top_10pct_all_time_publications_share_pct": "double"}
+    return back.select("category_level", "category_id", "journal_id", "journal_issn", *[F.col(c).cast(k).alias(c) for c, k in number.items()])
+
+
+def vocabulary_files(spark, sf_dir):
+    """Category names of files of quoted lines, and whether works use them."""
+    works = view(spark, sf_dir, "works")
+    names = spark.table("region").select(F.col("r_name").alias("v")).unionByName(spark.table("nation").select(F.col("n_name").alias("v")))
+    path = f"{scratch(spark)}/vocabulary-{uuid.uuid4().hex}/domain.txt"
+    names.select(F.explode(F.array(F.concat(F.lit(' "'), "v", F.lit('" ')), F.lit("  "))).alias("value")).write.text(path)
+    return G.category_coverage(SA.category_vocabulary(spark, path, "domain", glob="*"), C.categories(works, ("domain",)))
+
+
 def category_coverage(spark, sf_dir):
     works = view(spark, sf_dir, "works")
     names = spark.table("region").select(F.col("r_name").alias("category_id")).unionByName(spark.table("nation").select(F.col("n_name").alias("category_id")))

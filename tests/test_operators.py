@@ -331,6 +331,42 @@ def test_article_docs(spark, tmp_path):
     assert SA.read_resolved(spark, f"{tmp_path}/resolved").first().collection == ["c"]
 
 
+def test_numbers_by_file_and_line(spark, tmp_path):
+    """Files of different sizes in several blocks: numbers follow names and lines, not the tasks."""
+    from scholmill.sources.order import numbered, placed
+
+    want = []
+    for name, n in (("a", 3), ("b", 4000), ("c", 50)):
+        lines = [f"{name}{i:05d}" for i in range(n)]
+        (tmp_path / f"{name}.txt").write_text("\n".join(lines))
+        want += lines
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "3000")
+    try:
+        got = numbered(placed(spark.read.text(str(tmp_path))), "n")
+        assert got.rdd.getNumPartitions() > 1 and [r.value for r in got.orderBy("n").collect()] == want and sorted(r.n for r in got.collect()) == list(range(len(want)))
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    (tmp_path / "none").mkdir()
+    (tmp_path / "none" / "x.txt").touch()
+    assert numbered(placed(spark.read.text(f"{tmp_path}/none")), "n").count() == 0
+
+
+def test_audit_in_chunks(spark):
+    import random
+
+    rnd = random.Random(4)
+    docs = [doc(i, doi=f"d{rnd.randrange(3) if i else 9}", langs={"en": f"d{rnd.randrange(3)}"}, titles=rnd.sample(("a", "b", "c"), rnd.randrange(3))) for i in range(60)]
+    df = spark.createDataFrame(docs, DOCS)
+    want = set()
+    for i, a in enumerate(docs):
+        for b in docs[i + 1 :]:
+            want |= {(d, a[0], b[0], bool(set(a[5]) & set(b[5]))) for d in {a[3], *a[4].values()} & {b[3], *b[4].values()}}
+    for chunk in (1, 7, 1000):
+        got = [(r.doi, r.left_idx, r.right_idx, r.merged) for r in A.expand_audit(A.audit_members(df), chunk).collect()]
+        assert len(got) == len(want) and set(got) == want
+    assert A.audit_classes(df).agg(F.sum("n_docs")).first()[0] == A.audit_members(df).count()
+
+
 def test_vocabulary(spark, tmp_path):
     (tmp_path / "domain.txt").write_text('"A"\n\n "B b" \n')
     got = SA.category_vocabulary(spark, str(tmp_path), "domain")
