@@ -21,7 +21,6 @@ from pyspark.sql import functions as F
 from scholmill.llm import blocks as B
 from scholmill.llm.suffix_dedup import leftmost_minima
 
-_OTHER = np.uint64(0xA5A5_5A5A_1234_4321)
 _WHOLE = np.uint64(0x0F0F_3C3C_5555_9999)
 
 
@@ -41,7 +40,7 @@ class _Part:
         self.start[head], self.start[~head] = offsets[:-1], breaks + 1
         self.end[tail], self.end[~tail] = offsets[1:], breaks
         self.base = int(at[0])
-        lines = B.segments(data, data != 10, self.start, self.end)
+        lines, lines_too = B.segments(data, data != 10, self.start, self.end), B.others(data, self.start, self.end)
         begin = ~B.SPACE[data]
         if len(data):
             inner = np.zeros(len(data), bool)
@@ -57,7 +56,7 @@ class _Part:
                 to.append(x)
 
         full = np.flatnonzero(left >= min_lines)
-        hashes, others, grams = B.windows(lines, min_lines), B.windows(lines ^ _OTHER, min_lines), B.windows(lines, gram)
+        hashes, others, grams = B.windows(lines, min_lines), B.windows(lines_too, min_lines), B.windows(lines, gram)
         mark = leftmost_minima(grams, min_lines - gram + 1)[full].astype(np.int64) if len(full) else full
         add(full, min_lines, grams[mark] if len(full) else np.zeros(0, np.uint64), hashes[full], others[full])
         self.n_full, self.mark = len(full), mark
@@ -66,11 +65,11 @@ class _Part:
             if size > 1:
                 total = total[:-1] + words[size - 1 :] if len(total) else total
             few = np.flatnonzero((total >= min_words) & (left[: len(total)] >= size))
-            x, y = B.windows(lines, size), B.windows(lines ^ _OTHER, size)
+            x, y = B.windows(lines, size), B.windows(lines_too, size)
             add(few, size, x[few], x[few], y[few])
         per_text = np.diff(np.concatenate([[0], np.cumsum(words)])[self.first])
         short = np.flatnonzero((per_row < min_lines) & (per_text > 0))
-        x, y = (B.sequences(lines, self.first, seed)[short] ^ _WHOLE for seed in (1, 2))
+        x, y = (B.sequences(v, self.first, seed)[short] ^ _WHOLE for seed, v in ((1, lines), (2, lines_too)))
         add(self.first[short], per_row[short], x, x, y)
         self.runs, self.sizes, self.keys, self.hashes, self.checks = (np.concatenate(v) for v in (runs, sizes, keys, one, two))
         self.row = np.searchsorted(self.first, self.runs, side="right") - 1

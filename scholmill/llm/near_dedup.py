@@ -78,17 +78,17 @@ def word_weights(docs: DataFrame) -> np.ndarray:
 
 def shingles(offsets: np.ndarray, data: np.ndarray, k: int, weights: np.ndarray):
     """Row, hash, count and weight of every distinct shingle, sorted by (row, hash); two hashes of each row's words; words by row."""
-    hashes, first, _ = B.words(offsets, data)
+    hashes, first, _, too = B.words(offsets, data, twice=True)
     n = np.diff(first)
-    whole = np.stack([B.sequences(hashes, first, seed) for seed in (1, 2)])
+    whole = np.stack([B.sequences(x, first, seed) for seed, x in ((1, hashes), (2, too))])
     of_word = np.concatenate([[0], np.cumsum(weights[word_place(hashes)])])
     many = np.where(n >= k, n - k + 1, np.minimum(n, 1))
     start = B.expand(first[:-1], many)
     row = np.repeat(np.arange(len(n)), many)
     end = np.minimum(start + k, first[1:][row])
-    runs = B.windows(hashes, k)
+    runs = B.windows(B.mix(hashes + too), k)  # of both hashes of a word
     short = (n < k)[row]
-    h = np.where(short, whole[0][row], runs[np.minimum(start, max(len(runs) - 1, 0))] if len(runs) else np.uint64(0))
+    h = np.where(short, B.mix(whole[0] + whole[1])[row], runs[np.minimum(start, max(len(runs) - 1, 0))] if len(runs) else np.uint64(0))
     w = (of_word[end] - of_word[start]) / (1024 * (end - start))  # sums of whole numbers: the same for a shingle in any text
     # one key of row and hash sorts faster than two; what its 16 bits of hash miss is sorted out by the second step
     order = np.argsort(row.astype(np.uint64) << np.uint64(48) | h >> np.uint64(16)) if len(n) < 1 << 16 else np.lexsort((h, row))

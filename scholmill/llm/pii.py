@@ -6,7 +6,8 @@ places come from the lengths of the matches and of what stands between them. Bas
 after. Patterns and units are a graph. In each round patterns are induced: those that ``support`` different known units of a kind share, seeds or
 found in earlier rounds. A pattern's confidence in a kind is the mean score of its different units, a unit's score the highest confidence of
 its patterns; seeds stay at 1. Units of ``accept`` or more become known and bring their own patterns in the next round, until a
-round changes no score by more than a hundredth (``rounds`` at most). Known units that overlap no base span are found identifiers of that kind.
+round changes no score by more than a hundredth (an error after ``rounds``). Units of fewer than 6 characters, and such as have neither ``@`` nor 3
+digits, are no candidates: ordinals and short numbers stand in any context. Known units that overlap no base span are found identifiers of that kind.
 
 Null texts are empty; rows without doc_id and equal rows are handled each; positions are code points, ends exclusive; a text without
 matches gives zeros and empty lists; an empty table gives an empty result; other columns are left out. What is written between steps holds
@@ -94,7 +95,7 @@ def annotated(docs: DataFrame) -> DataFrame:
     return cut(rows).select(F.monotonically_increasing_id().alias("row"), "*")
 
 
-def discovered(units: DataFrame, support: int = 3, accept: float = 0.7, rounds: int = 10) -> DataFrame:
+def discovered(units: DataFrame, support: int = 3, accept: float = 0.7, rounds: int = 100) -> DataFrame:
     """(value, kind) of the identifiers that high-confidence patterns find; units: value, kind, patterns."""
     seeds = cut(units.filter("kind >= 0").select("value", "kind").distinct().withColumn("score", F.lit(1.0)))
     edges = cut(units.filter("kind >= -1").select("value", F.explode("patterns").alias("pattern")).distinct())
@@ -110,6 +111,8 @@ def discovered(units: DataFrame, support: int = 3, accept: float = 0.7, rounds:
         if seen == mark:
             break
         mark = seen
+    else:
+        raise RuntimeError(f"scores of patterns and units did not settle in {rounds} rounds")
     best = scores.join(seeds.select("value").distinct(), "value", "left_anti").filter(F.col("score") >= accept)
     return best.groupBy("value").agg(F.max_by("kind", F.struct("score", -F.col("kind"))).alias("kind"))
 
@@ -119,7 +122,7 @@ def _listed(spans: str) -> str:
     return f"concat_ws(',', transform(array_sort({spans}), s -> concat({names}[s.kind], ':', s.start, ':', s.end)))"
 
 
-def personal_data(docs: DataFrame, support: int = 3, accept: float = 0.7, rounds: int = 10) -> DataFrame:
+def personal_data(docs: DataFrame, support: int = 3, accept: float = 0.7, rounds: int = 100) -> DataFrame:
     """doc_id, the number of base spans by kind, the lists of base spans and of all spans (kind:start:end), and n_found."""
     rows = annotated(docs)
     units = rows.select("row", F.explode("units").alias("u")).select("row", "u.*")

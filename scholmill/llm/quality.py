@@ -21,12 +21,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from scholmill.llm import blocks as B
+from scholmill.operators.durable import written
+from scholmill.operators.quantiles import Rank, settle
 
 SAMPLE_ROWS = 20_000
 PAIRS_EACH = 8
-#: Bins of the histogram of scores for each unit of score, and scores of one bin that are looked at one by one, at most.
-_BINS = 1024
-_MOST = 100_000
 
 _KINDS = ("lower", "upper", "digit", "high", "space", "newline", "stop", "comma", "shout", "bar", "quote", "other")
 
@@ -132,6 +131,16 @@ class Ranker:
         return 1 / (1 + np.exp(-np.clip(s, -30, 30)))
 
 
+def _code(x: np.ndarray) -> np.ndarray:
+    """Whole numbers in the order of finite scores."""
+    bits = (x + 0.0).view(np.int64)
+    return bits ^ ((bits >> 63) & np.int64(2**63 - 1))
+
+
+def _decoded(code: np.ndarray) -> np.ndarray:
+    return (code ^ ((code >> 63) & np.int64(2**63 - 1))).view(np.float64)
+
+
 def train(rows: DataFrame, labels: DataFrame, label: str = "quality", cut: float = 0.3, sample_rows: int = SAMPLE_ROWS) -> Ranker:
     """A ranker from ``labels`` (doc_id and the label) and the texts of ``rows``; at most ``sample_rows`` labelled rows fit its weights."""
     picked = labels.filter(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("y")).distinct()
@@ -152,21 +161,14 @@ def train(rows: DataFrame, labels: DataFrame, label: str = "quality", cut: float
 
     def scores(batches):
         for (y,), x in _vectors(1)(batches):
-            yield pa.RecordBatch.from_arrays([y, pa.array(ranker.raw(x))], ["y", "s"])
-
-    every = texts.join(picked, "doc_id").select("y", "text").mapInArrow(scores, "y int, s double")
-    # a histogram of all scores, then the exact quantile within the one bin that holds it
-    bins = every.groupBy(F.floor(F.col("s") * _BINS).alias("bin")).agg(F.count("*").alias("n"), F.count_if(F.col("y") == 0).alias("bad")).orderBy("bin").toPandas()
-    total, bad = int(bins["n"].sum()), int(bins["bad"].sum())
-    at = min(max(bad, 1), max(total - 1, 1))  # so many scores stand below the threshold
-    to = int(np.searchsorted(bins["n"].cumsum().to_numpy(), at))
-    before = int(bins["n"][:to].sum())
-    low = every.filter(F.floor(F.col("s") * _BINS) == int(bins["bin"][to])).orderBy("s")
-    inside = [r.s for r in low.limit(at - before + 1).select("s").collect()] if at - before < _MOST else []
-    if len(inside) > at - before:
-        ranker.threshold = (inside[at - before - 1] + inside[at - before]) / 2
-    else:  # the next score is in another bin, or equal scores fill this one
-        ranker.threshold = (int(bins["bin"][to]) + 1) / _BINS
+            yield pa.RecordBatch.from_arrays([y, pa.array(_code(ranker.raw(x)))], ["y", "code"])
+
+    # every labelled text is scored once; the two scores around the threshold are exact order statistics of all of them
+    every = written(texts.join(picked, "doc_id").select("y", "text").mapInArrow(scores, "y int, code long")).withColumn("all", F.lit(0))
+    count = every.groupBy("all").agg(F.count("*").alias("n"), F.count_if(F.col("y") == 0).alias("bad"))
+    at = "least(greatest(bad, 1L), greatest(n - 1, 1L))"  # so many scores stand below the threshold
+    found = settle(count, every, ["all"], [Rank("below", "code", at), Rank("above", "code", f"least({at} + 1, n)")]).first()
+    ranker.threshold = float(_decoded(np.array([found.below, found.above])).mean())
     return ranker
 
 

@@ -24,7 +24,6 @@ from scholmill.llm import blocks as B
 
 #: Perfect difference sets, every nonzero residue of the period once as a difference.
 COVERS = {7: (1, 2, 4), 13: (0, 1, 3, 9), 21: (3, 6, 7, 12, 14), 31: (1, 5, 11, 24, 25, 27)}
-_OTHER = np.uint64(0xA5A5_5A5A_1234_4321)
 
 
 def difference_cover(window: int) -> tuple[int, tuple[int, ...]]:
@@ -40,7 +39,7 @@ class _Block:
         self.a, self.window = a, window
         self.period, cover = difference_cover(window)
         at = texts.offsets[a : b + 1]
-        hashes, self.first, _ = B.words(at - at[0], texts.data[at[0] : at[-1]])
+        hashes, self.first, _, self.others = B.words(at - at[0], texts.data[at[0] : at[-1]], twice=True)
         self.n_words = np.diff(self.first)
         self.hashes, self.n = hashes, len(hashes)
         size = window - self.period + 1
@@ -51,7 +50,7 @@ class _Block:
         self.doc = doc
         long = np.flatnonzero(self.n_words >= window)  # a copy of a whole text needs no windows
         anchors = B.windows(hashes, size)
-        whole = [B.sequences(hashes, self.first, seed)[long] for seed in (1, 2)]
+        whole = [B.sequences(x, self.first, seed)[long] for seed, x in ((1, hashes), (2, self.others))]
         self.keys = np.concatenate([anchors[self.anchor], whole[0]])
         self.checks = np.concatenate([np.zeros(len(self.anchor), np.uint64), whole[1]])
         self.row = np.concatenate([doc[self.anchor], long])
@@ -71,10 +70,10 @@ class _Block:
         return np.flatnonzero(ok)
 
     def prints(self, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Two hashes of the windows from these words on."""
+        """Two hashes of the windows from these words on, each of its own hash of the words' bytes."""
         if not len(starts):
             return np.zeros(0, np.uint64), np.zeros(0, np.uint64)
-        return B.windows(self.hashes, self.window)[starts], B.windows(self.hashes ^ _OTHER, self.window)[starts]
+        return B.windows(self.hashes, self.window)[starts], B.windows(self.others, self.window)[starts]
 
     def copies(self, flags: np.ndarray) -> np.ndarray:
         out = np.zeros(len(self.n_words), bool)

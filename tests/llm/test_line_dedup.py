@@ -2,7 +2,7 @@ import random
 
 from scholmill.llm.line_dedup import line_dedup
 from tests.llm import brute
-from tests.llm.test_substring_dedup import SCHEMA
+from tests.llm.test_substring_dedup import ONE, OTHER, SCHEMA
 
 
 def corpus(seed, n=80):
@@ -36,3 +36,9 @@ def test_texts_of_a_pattern(spark):
 
 def test_empty(spark):
     assert line_dedup(spark.createDataFrame([], SCHEMA)).collect() == []
+
+
+def test_lines_of_one_hash(spark):
+    rows = [(1, f"{ONE}\nx\ny"), (2, f"{OTHER}\nx\ny"), (3, ONE), (4, OTHER), (5, " ".join([ONE] * 60)), (6, " ".join([OTHER] * 60)), (7, ONE)]
+    got = line_dedup(spark.createDataFrame([(*r, "x", 1) for r in rows], SCHEMA)).collect()
+    assert sorted((r.doc_id, r.n_removed) for r in got) == [(1, 0), (2, 0), (3, 0), (4, 0), (5, 0), (6, 0), (7, 1)]

@@ -152,3 +152,10 @@ def test_texts_of_a_pattern(spark):
     got = {r.doc_id: r.class_id for r in near_dedup(table(spark, rows)).collect()}
     want, _ = brute.near_classes(rows, 0.8, 5)
     assert got[4] == 4 and (got[5] == got[6]) == (want[5] == want[6])
+
+
+def test_words_of_one_hash(spark):
+    from tests.llm.test_substring_dedup import ONE, OTHER
+
+    got = {r.doc_id: r.class_id for r in near_dedup(table(spark, [(1, ONE), (2, OTHER), (3, ONE)])).collect()}
+    assert got[1] == got[3] != got[2]

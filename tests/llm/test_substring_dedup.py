@@ -5,6 +5,10 @@ from scholmill.llm import substring_dedup as S
 from scholmill.llm.substring_dedup import COVERS, substring_dedup
 from tests.llm import brute
 
+#: Two words that one of the two word hashes takes for the same.
+ONE = "smcashqkvffngxx9ah3xvl6x4gnk3f0zm45wa5qxujcfudg6cpealw5gq1hce398"
+OTHER = "gfib7j664uip9z7n5l22yxrp1cooj4ttrzw0lrr9227m89extw0dm6cedji8trzc"
+
 SCHEMA = "doc_id long, text string, block string, dest int"
 
 
@@ -75,3 +79,11 @@ def test_rows_exchanged_grow_with_the_text(spark):
         assert blocks > n / 10
     print("rows asked for 100, 200 and 400 texts:", counts)
     assert counts[1] == 2 * counts[0] and counts[2] == 4 * counts[0]
+
+
+def test_words_of_one_hash(spark):
+    """Windows that differ in a word whose hash is the other's are different."""
+    rest = " ".join(f"w{i}" for i in range(49))
+    rows = [(1, f"{ONE} {rest}"), (2, f"{OTHER} {rest}"), (3, f"{rest} {ONE} {rest}"), (4, f"{rest} {OTHER} {rest}")]
+    got = substring_dedup(spark.createDataFrame([(*r, "x", 1) for r in rows], SCHEMA), window=50).collect()
+    assert sorted((r.doc_id, r.n_removed) for r in got) == [(1, 0), (2, 0), (3, 50), (4, 50)]
