@@ -34,6 +34,8 @@ PATTERNS = (
 HINTS = ("@", r"[0-9]\.[0-9]", r"[0-9]", r"\+[0-9]")
 UNIT = r"(?<!\S)\S*[0-9@]\S*+(?:[ \t]\S*[0-9@]\S*+)*+"
 CHUNK = 256
+#: Links of units and patterns that one task is meant to handle.
+ROWS_A_TASK = 200_000
 SPAN = "struct<kind: int, start: int, end: int>"
 
 
@@ -99,14 +101,16 @@ def discovered(units: DataFrame, support: int = 3, accept: float = 0.7, rounds:
     """(value, kind) of the identifiers that high-confidence patterns find; units: value, kind, patterns."""
     seeds = cut(units.filter("kind >= 0").select("value", "kind").distinct().withColumn("score", F.lit(1.0)))
     edges = cut(units.filter("kind >= -1").select("value", F.explode("patterns").alias("pattern")).distinct())
-    sizes = cut(edges.groupBy("pattern").agg(F.count("*").alias("size")).filter(F.col("size") >= support))
+    k = max(1, -(-edges.count() // ROWS_A_TASK))  # a small graph is kept in few partitions, so that its many exchanges write few files
+    edges, seeds = edges.coalesce(k), seeds.coalesce(k)
+    sizes = cut(edges.groupBy("pattern").agg(F.count("*").alias("size")).filter(F.col("size") >= support).coalesce(k))
     scores, mark = seeds, None
     for _ in range(rounds):
         known = F.count_if(F.col("score") >= accept)
-        patterns = edges.join(scores, "value").groupBy("pattern", "kind").agg(F.sum("score").alias("sum"), known.alias("known")).filter(F.col("known") >= support)
-        confidence = patterns.join(sizes, "pattern").select("pattern", "kind", (F.col("sum") / F.col("size")).alias("score"))
-        reached = edges.join(confidence, "pattern").groupBy("value", "kind").agg(F.max("score").alias("score"))
-        scores = cut(reached.join(seeds, ["value", "kind"], "left_anti").unionByName(seeds))
+        patterns = edges.join(scores, "value").coalesce(k).groupBy("pattern", "kind").agg(F.sum("score").alias("sum"), known.alias("known")).coalesce(k).filter(F.col("known") >= support)
+        confidence = patterns.join(sizes, "pattern").coalesce(k).select("pattern", "kind", (F.col("sum") / F.col("size")).alias("score"))
+        reached = edges.join(confidence, "pattern").coalesce(k).groupBy("value", "kind").agg(F.max("score").alias("score")).coalesce(k)
+        scores = cut(reached.join(seeds, ["value", "kind"], "left_anti").coalesce(k).unionByName(seeds).coalesce(k))
         seen = scores.agg(F.count("*"), F.sum(F.xxhash64("value", "kind", F.round("score", 2)).cast("decimal(38,0)"))).first()
         if seen == mark:
             break
