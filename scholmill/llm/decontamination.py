@@ -20,6 +20,7 @@ are searched as any other, and equal rows each; items with equal text are all re
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -231,8 +232,11 @@ def _item_words(batches):
         yield pa.RecordBatch.from_arrays([pa.array(part[np.concatenate([of[some], long])]), word, pa.array(np.concatenate([np.ones(len(some), np.int64), length[long]]))], ["part", "word", "n"])
 
 
-def index(items: DataFrame, retrieve: float = 0.6, shingle: int = 5) -> list[list[Shard]]:
-    """The shards of each pass over the documents; a pass holds items of ``PASS_BYTES`` at most (a longer item alone)."""
+def index(items: DataFrame, retrieve: float = 0.6, shingle: int = 5) -> Iterator[tuple[list[Shard], bool]]:
+    """The shards of one pass over the documents after the other, and whether they are the last; a pass holds items of ``PASS_BYTES`` at most (a longer item alone).
+
+    Shards are built when asked for, so a caller that lets go of a pass before the next one holds one at a time.
+    """
     rows = items.filter(F.col("text").isNotNull() & F.col("item_id").isNotNull()).select(F.col("item_id").cast("long").alias("item_id"), "text").distinct()
     total = rows.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
     n = max(1, -(-total // PASS_BYTES))
@@ -240,7 +244,6 @@ def index(items: DataFrame, retrieve: float = 0.6, shingle: int = 5) -> list[lis
     words = cut(rows.select("part", "text").mapInArrow(B.tidied(_item_words), "part int, word long, n long"))
     count = words.filter("word IS NULL").agg(F.count("*").alias("n"), F.avg("n").alias("mean")).first()
     df = words.filter("word IS NOT NULL").groupBy("word").agg(F.count("*").alias("df"))
-    passes = []
     for k in range(n):
         of_pass = words.filter((F.col("part") == k) & F.col("word").isNotNull()).select("word").distinct()
         found = df.join(of_pass, "word").toPandas()  # the words of one pass
@@ -250,8 +253,7 @@ def index(items: DataFrame, retrieve: float = 0.6, shingle: int = 5) -> list[lis
         classes: dict[int, list] = {}
         for _, i, t in sorted((s, i, t) for (i, t), s in zip(some, size, strict=True) if s):
             classes.setdefault(length_class(len(tokens(pa.array([t]))[0]), shingle), []).append((i, t))
-        passes.append([Shard(c[a : a + SHARD_ITEMS], statistics, retrieve, shingle) for c in classes.values() for a in range(0, len(c), SHARD_ITEMS)])
-    return passes
+        yield [Shard(c[a : a + SHARD_ITEMS], statistics, retrieve, shingle) for c in classes.values() for a in range(0, len(c), SHARD_ITEMS)], k == n - 1
 
 
 FOUND = "doc_id long, item_id long, bm25 double, question_overlap double, answer_overlap double"
@@ -272,8 +274,10 @@ def _search(shards, overlap: float):
 def contaminated(docs: DataFrame, items: DataFrame, retrieve: float = 0.6, overlap: float = 0.8, shingle: int = 5) -> DataFrame:
     """doc_id, item_id, bm25, question_overlap and answer_overlap of every item that a document holds."""
     out = None
-    for shards in index(items, retrieve, shingle):
-        search = _search(docs.sparkSession.sparkContext.broadcast(shards), overlap)
+    for shards, last in index(items, retrieve, shingle):
+        shared = docs.sparkSession.sparkContext.broadcast(shards)
+        del shards  # before the next pass is built
+        search = _search(shared, overlap)
 
         def run(batches, search=search):
             for batch in batches:
@@ -281,14 +285,19 @@ def contaminated(docs: DataFrame, items: DataFrame, retrieve: float = 0.6, overl
                 yield pa.RecordBatch.from_arrays([pa.array([ids[r[0]] for r in rows], pa.int64()), *(pa.array([r[k] for r in rows], t) for k, t in ((1, pa.int64()), (2, pa.float64()), (3, pa.float64()), (4, pa.float64())))], ["doc_id", "item_id", "bm25", "question_overlap", "answer_overlap"])
 
         found = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(B.tidied(run), FOUND)
+        if not last:  # what this pass finds is written, so that its shards can go
+            found = cut(found)
+            shared.destroy()
         out = found if out is None else out.unionByName(found)
     return out
 
 
 def clean(docs: DataFrame, items: DataFrame, retrieve: float = 0.6, overlap: float = 0.8, shingle: int = 5) -> DataFrame:
     """The rows of ``docs`` that hold no item, as they are."""
-    for shards in index(items, retrieve, shingle):
-        search = _search(docs.sparkSession.sparkContext.broadcast(shards), overlap)
+    for shards, last in index(items, retrieve, shingle):
+        shared = docs.sparkSession.sparkContext.broadcast(shards)
+        del shards
+        search = _search(shared, overlap)
         text = docs.columns.index("text")
 
         def run(batches, search=search, text=text):
@@ -298,4 +307,7 @@ def clean(docs: DataFrame, items: DataFrame, retrieve: float = 0.6, overlap: flo
                 yield batch.filter(pa.array(keep))
 
         docs = docs.mapInArrow(B.tidied(run), docs.schema)
+        if not last:
+            docs = cut(docs)
+            shared.destroy()
     return docs

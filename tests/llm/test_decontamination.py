@@ -1,6 +1,7 @@
 import math
 import random
 import re
+import weakref
 
 from scholmill.llm import decontamination as D
 from scholmill.llm.query_decontamination import op4_decontamination
@@ -87,6 +88,31 @@ def test_passes_and_shards_find_the_same_leaks(spark, monkeypatch):
     assert kept == {d for d, _ in docs} - {d for d, _ in leaks}
 
 
+def test_driver_holds_the_shards_of_one_pass(spark, monkeypatch):
+    docs, items = corpus(4)
+    live, most = weakref.WeakSet(), []
+
+    build = D.Shard.__init__
+
+    def counted(self, *args):
+        build(self, *args)
+        live.add(self)
+        most.append(len(live))
+
+    monkeypatch.setattr(D.Shard, "__init__", counted)
+    table, bench = spark.createDataFrame([(*d, 1, "x") for d in docs], SCHEMA), spark.createDataFrame(items, "item_id long, text string")
+    whole = {(r.doc_id, r.item_id) for r in D.contaminated(table, bench).collect()}
+    one = max(most)
+    monkeypatch.setattr(D, "PASS_BYTES", 400)
+    most.clear()
+    live.clear()
+    assert {(r.doc_id, r.item_id) for r in D.contaminated(table, bench).collect()} == whole
+    assert len(most) > 8 * one and max(most) <= one + 1
+    most.clear()
+    assert {r.doc_id for r in D.clean(table, bench).collect()} == {d for d, _ in docs} - {d for d, _ in whole}
+    assert len(most) > 8 * one and max(most) <= one + 1
+
+
 def test_odd_rows(spark):
     item = "what is the longest river of the northern land\nthe long one they say"
     docs = [(None, "x " * 500 + item), (1, None), (2, ""), (3, item.upper()), (3, item.upper()), (4, "what is the longest river of the northern land"), (5, "a " * 200_000 + item)]
