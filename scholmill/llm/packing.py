@@ -196,6 +196,13 @@ class Plan:
                     open_.setdefault(room - w, []).append((seq, take))
 
 
+def _salted(part: DataFrame, histogram: dict[int, int]) -> DataFrame:
+    """Adds salt: pieces of one length are split into groups of about ``GROUP_ROWS``, those of rare lengths not at all."""
+    salts = part.sparkSession.createDataFrame([(w, max(1, n // GROUP_ROWS)) for w, n in histogram.items()], "length long, salts long")
+    at = F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.col("salts"))
+    return part.join(F.broadcast(salts), "length").withColumn("salt", at).drop("salts")  # at most a row for each length
+
+
 def pack(docs: DataFrame, path: str, pattern: str | None = None, capacity: int = 2048) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32, sequence_id and offset of every piece.
 
@@ -218,8 +225,7 @@ def pack(docs: DataFrame, path: str, pattern: str | None = None, capacity: int =
             at = np.searchsorted(keys, length * (1 << 44) + rank, side="right") - 1
             yield pa.RecordBatch.from_arrays([*(b.column(k) for k in ("doc_id", "piece", "start", "length", "ids_crc32")), pa.array(table[at, 3] + rank - table[at, 1]), pa.array(table[at, 4])], ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"])
 
-    salts = max(1, sum(histogram.values()) // GROUP_ROWS)
-    salted = part.withColumn("salt", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(salts)))
+    salted = _salted(part, histogram)
     order = Window.partitionBy("length").orderBy("salt")
     before = salted.groupBy("length", "salt").agg(F.count("*").alias("n")).withColumn("before", F.sum("n").over(order) - F.col("n")).drop("n")
     own = Window.partitionBy("length", "salt").orderBy("doc_id", "piece", "ids_crc32")

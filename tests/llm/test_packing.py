@@ -7,6 +7,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
+from scholmill.llm import packing as P
 from scholmill.llm.packing import Encoder, Plan, pack
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
@@ -115,3 +116,19 @@ def test_round_trip(spark):
 
 def test_empty(spark):
     assert pack(spark.createDataFrame([], "doc_id long, text string"), PATH).collect() == []
+
+
+def test_groups_are_as_large_as_meant(spark, monkeypatch):
+    monkeypatch.setattr(P, "GROUP_ROWS", 64)
+    sizes = {1: 3000, 2: 63, 3: 64, 4: 129, 5: 1}
+    rows = [(d, 0, 0, w, d * 7) for w, n in sizes.items() for d in range(w * 10_000, w * 10_000 + n)]
+    groups = P._salted(spark.createDataFrame(rows, P.PIECES), sizes).groupBy("length", "salt").count().collect()
+    assert sum(r["count"] for r in groups) == len(rows)
+    per_length = {w: sum(r["length"] == w for r in groups) for w in sizes}
+    assert per_length == {1: 46, 2: 1, 3: 1, 4: 2, 5: 1} and max(r["count"] for r in groups) < 130
+
+
+def test_all_documents_have_the_ids_of_the_plain_encoder(spark):
+    whole, own = Tokenizer.from_file(PATH), Encoder(PATH, public_tokenizers.PATTERN)
+    for row in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("text").collect():
+        assert own.encode(row.text or "") == whole.encode(row.text or "", add_special_tokens=False).ids
