@@ -273,6 +273,18 @@ def test_works_of_several_schemas(spark, tmp_path):
     (tmp_path / "w" / "empty.parquet").touch()
     got = SW.read_works(spark, f"{tmp_path}/w")
     assert dict(got.dtypes)["citations_2020"] == "double" and sorted(map(tuple, got.collect())) == [("a", 1.0, None), ("b", 1.5, 2)]
+    # a folder of two schemas, files beside a folder, an empty and a hidden file in a folder that is read whole, folders by date
+    spark.createDataFrame([("c", 3.5)], "work_id string, citations_2020 double").coalesce(1).write.mode("append").parquet(f"{tmp_path}/w/x")
+    spark.createDataFrame([("d", 4)], "work_id string, citations_2020 int").coalesce(1).write.parquet(f"{tmp_path}/w/y/z")
+    (tmp_path / "w" / "y" / "z" / "empty.parquet").touch()
+    (tmp_path / "w" / "y" / "z" / "_note.parquet").write_text("no Parquet")
+    spark.createDataFrame([("e", 5, "2024-01-01"), ("f", 6, "2024-01-02")], "work_id string, citations_2020 long, updated_date string").write.partitionBy("updated_date").parquet(f"{tmp_path}/dates")
+    got = SW.read_works(spark, f"{tmp_path}/w")
+    assert sorted(map(tuple, got.select("work_id", "citations_2020").collect())) == [("a", 1.0), ("b", 1.5), ("c", 3.5), ("d", 4.0)]
+    dates = SW.read_works(spark, f"{tmp_path}/dates")
+    assert sorted((r.work_id, str(r.updated_date)) for r in dates.collect()) == [("e", "2024-01-01"), ("f", "2024-01-02")]
+    plan = dates.filter("citations_2020 > 5").select("work_id")._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [IsNotNull(citations_2020), GreaterThan(citations_2020,5)]" in plan and plan.count("FileScan") == 1
     with pytest.raises(ValueError):
         (tmp_path / "none").mkdir()
         SW.read_works(spark, f"{tmp_path}/none")
