@@ -1,4 +1,7 @@
-"""Articles and works joined by DOI: matches, merged works, and what is left on either side."""
+"""Articles and works joined by DOI: matches, merged works, and what is left on either side.
+
+Works can be any table, or one of ``store_by_doi``: then neither the match nor the merge moves works that belong to no article, however often they run.
+"""
 
 from __future__ import annotations
 
@@ -8,6 +11,8 @@ from pyspark.sql import functions as F
 from scholmill.functions import normalize as N
 from scholmill.operators.cohorts import LEVELS, yearly_columns
 
+#: Normalised DOI of a stored work; that of a work without DOI starts with a space, which no normalised DOI does.
+KEY = "doi_key"
 WINDOW_COLUMNS = ("citations_window_2y", "citations_window_3y", "citations_window_5y")
 FIRST_YEAR = 2012
 
@@ -23,21 +28,39 @@ def doi_owners(articles: DataFrame) -> DataFrame:
     return rows.groupBy("doi").agg(F.max("article_idx").alias("article_idx"))
 
 
+def store_by_doi(works: DataFrame, table: str, path: str, buckets: int) -> DataFrame:
+    """Works as a table bucketed by ``doi_key``; works without DOI are spread by id. A join by DOI reads it without an exchange.
+
+    Works have one row an id; a repeated one raises, before anything is written. All works of one DOI are in one bucket.
+    """
+    ids = works.filter("work_id IS NOT NULL").groupBy("work_id").count().filter("count > 1")
+    if not ids.isEmpty():
+        raise ValueError("work_id repeats: store the newest version of each work")
+    alone = F.concat(F.lit(" "), F.coalesce("work_id", F.monotonically_increasing_id().cast("string")))
+    keyed = works.withColumn(KEY, F.coalesce(F.nullif(N.doi("doi"), F.lit("")), alone))
+    keyed.repartition(buckets, KEY).write.bucketBy(buckets, KEY).sortBy(KEY).option("path", path).mode("overwrite").saveAsTable(table)
+    return works.sparkSession.table(table)
+
+
+def _key(works: DataFrame) -> Column:
+    return F.col(KEY) if KEY in works.columns else N.doi("doi")
+
+
 def match_works(owners: DataFrame, works: DataFrame, start_year: int, end_year: int, years: list[int] | None = None) -> DataFrame:
     """Works of the years with a DOI of an article, once for each article, with their metrics filled."""
     held = [c for c in yearly_columns(works) if years is None or int(c[10:]) in years]
-    slim = works.filter(F.col("publication_year").between(start_year, end_year)).select("work_id", N.doi("doi").alias("doi"), "language", "journal_id", N.flag("is_journal_oa", dict(works.dtypes)["is_journal_oa"]).alias("is_journal_oa"), *LEVELS, *[N.count(c).alias(c) for c in ("citations_total", *WINDOW_COLUMNS, *held)])
-    hits = slim.filter("doi <> '' AND work_id IS NOT NULL").join(owners, "doi")
+    slim = works.filter(F.col("publication_year").between(start_year, end_year)).select("work_id", _key(works).alias("doi"), "language", "journal_id", N.flag("is_journal_oa", dict(works.dtypes)["is_journal_oa"]).alias("is_journal_oa"), *LEVELS, *[N.count(c).alias(c) for c in ("citations_total", *WINDOW_COLUMNS, *held)])
+    hits = slim.filter("doi <> '' AND NOT startswith(doi, ' ') AND work_id IS NOT NULL").join(owners, "doi")
     w = Window.partitionBy("article_idx", "work_id").orderBy(F.desc("doi"), F.desc("citations_total"), "journal_id")
     return hits.withColumn("_n", F.row_number().over(w)).filter("_n = 1").drop("_n")
 
 
 def consolidate(matches: DataFrame) -> DataFrame:
-    """One row for each matched article: ids, sums of all metrics, open access of any, details by work, taxonomy sets."""
+    """One row for each matched article: ids, sums of all metrics, open access of any, DOIs and details by work, taxonomy sets."""
     sums = [c for c in matches.columns if c.startswith("citations_")]
     detail = F.struct("language", "journal_id", "is_journal_oa", F.col("citations_total").alias("total_citations"), *[c for c in sums if c != "citations_total"])
     found = matches.groupBy("article_idx").agg(
-        F.array_sort(F.collect_set("work_id")).alias("work_ids"), F.count("*").alias("match_count"),
+        F.array_sort(F.collect_set("work_id")).alias("work_ids"), F.collect_set("doi").alias("work_dois"), F.count("*").alias("match_count"),
         *[F.sum(c).alias(c) for c in sums], F.max("is_journal_oa").alias("is_journal_oa"),
         F.array_sort(F.collect_list(F.struct("work_id", detail.alias("metrics")))).alias("_works"),
         *[F.array_sort(F.collect_set(F.when(F.col(v) != "", F.col(v)))).alias(v) for v in LEVELS],
@@ -55,26 +78,36 @@ def citation_like(df: DataFrame) -> list[str]:
     return [c for c in df.columns if c.startswith("citations_") or "window" in c]
 
 
-def merge_works(matched: DataFrame, works: DataFrame, base_row: str = "survivor", order: tuple[str, ...] = ()) -> DataFrame:
+def merge_works(matched: DataFrame, works: DataFrame, base_row: str = "survivor", order: tuple[str, ...] = (), years: tuple[int, int] | None = None) -> DataFrame:
     """Works, those of one article as one row.
 
     The row is that of the smallest work_id (``survivor``), or of the first of the article's works by ``order`` (``first_scanned``). Totals are
     those of the article; empty taxonomy is filled field by field; a work of two articles goes to the last one. Works without article
-    pass as they are, also repeated ones.
+    pass as they are, also repeated ones. Works of ``store_by_doi`` are tagged by DOI, as a DOI has one article and a work one DOI; ``years`` are
+    those of the match.
     """
     if base_row not in ("survivor", "first_scanned"):
         raise ValueError(f"base_row must be survivor or first_scanned: {base_row!r}")
+    stored = KEY in works.columns
+    if stored and years is None:
+        raise ValueError("works stored by DOI need the years of the match")
     works = works.fillna(0, subset=citation_like(works))
     hit = matched.filter("has_oa_match") if "has_oa_match" in matched.columns else matched
     sums = [c for c in hit.columns if c.startswith("citations_")]
     survivor = hit.withColumn("survivor", F.array_min("work_ids"))
-    of = survivor.select("article_idx", "survivor", F.explode("work_ids").alias("work_id")).groupBy("work_id").agg(F.max_by("survivor", "article_idx").alias("survivor"))
     # of articles with one survivor the last
     w = Window.partitionBy("survivor").orderBy(F.desc("article_idx"))
     data = survivor.withColumn("_n", F.row_number().over(w)).filter("_n = 1")
     has = lambda c, default: F.col(c) if c in data.columns else default
     data = data.select("survivor", F.struct(*sums, "is_journal_oa", *LEVELS, has("collection", F.lit(None).cast("array<string>")).alias("collection"), "pid_v2", "work_ids", F.to_json("individual_works", {"ignoreNullFields": "false"}).alias("individual_works")).alias("_m"))
-    tagged = works.join(of, "work_id", "left")
+    if stored:
+        of = survivor.select(F.explode("work_dois").alias(KEY), F.col("survivor").alias("_of"))
+        mine = F.col("work_id").isNotNull() & F.col("publication_year").between(*years)
+        tagged = works.join(of, KEY, "left").withColumn("survivor", F.when(mine, F.col("_of"))).drop(KEY, "_of")
+        works = works.drop(KEY)
+    else:
+        of = survivor.select("article_idx", "survivor", F.explode("work_ids").alias("work_id")).groupBy("work_id").agg(F.max_by("survivor", "article_idx").alias("survivor"))
+        tagged = works.join(of, "work_id", "left")
     first = Window.partitionBy("survivor").orderBy(*([F.col("work_id") != F.col("survivor")] if base_row == "survivor" else []), *(order or ("work_id",)))
     rows = tagged.filter("survivor IS NOT NULL").withColumn("_n", F.row_number().over(first)).filter("_n = 1").drop("_n").join(data, "survivor")
     fixed = {c: F.col(f"_m.{c}").cast(dict(works.dtypes)[c]) for c in sums if c in works.columns}
@@ -102,7 +135,7 @@ def unmatched_articles(matched: DataFrame, like: DataFrame) -> DataFrame:
 def integrate(articles: DataFrame, works: DataFrame, start_year: int, end_year: int, years: list[int] | None = None, base_row: str = "survivor") -> DataFrame:
     """Merged works and unmatched articles, one table."""
     matched = match_articles(articles, works, start_year, end_year, years)
-    merged = merge_works(matched, works, base_row)
+    merged = merge_works(matched, works, base_row, years=(start_year, end_year))
     return merged.unionByName(unmatched_articles(matched, merged))
 
 

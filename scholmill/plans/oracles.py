@@ -238,6 +238,7 @@ def oracle_sql() -> dict[str, str]:
         """SELECT work_id, publication_year, CAST(citations_total AS DOUBLE) AS citations_total, CASE WHEN publication_year % 3 <> 2 THEN citations_2000 END AS citations_2000, CASE WHEN publication_year % 3 <> 1 THEN citations_2001 END AS citations_2001 FROM works_unique""",
         "works_unique",
     )
+    sql["merged_works_stored"] = sql["merged_works"]
     out = {name: with_views(*parts) for name, parts in sql.items()}
     out["article_docs"] = f"WITH {_RECORDS} SELECT doc_idx, collection, pid_v2, publication_year, doi, doi_en, array_to_string(titles, '|') AS titles, 'research' AS document_type, journal_title, issn AS journal_issns FROM docs"
     out["resolve_records"] = (

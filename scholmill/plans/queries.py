@@ -224,11 +224,22 @@ def match_consolidated(spark, sf_dir):
     return m.select("article_idx", "has_oa_match", "match_count", "citations_total", *G.WINDOW_COLUMNS, "citations_2000", "citations_2001", "is_journal_oa", joined("work_ids"), *[joined(v) for v in C.LEVELS])
 
 
-def merged_works(spark, sf_dir):
-    out = G.integrate(_articles(spark, sf_dir), view(spark, sf_dir, "works_unique"), *YEARS)
+def _merged(articles, works):
+    out = G.integrate(articles, works, *YEARS)
     return out.select("work_id", "publication_year", "citations_total", *G.WINDOW_COLUMNS, "citations_2000", "citations_2001", "is_journal_oa", "domain", "field", F.array_join("scielo_pid_v2", ",").alias("scielo_pid_v2"), F.array_join("all_work_ids", ",").alias("all_work_ids"), "is_merged", F.coalesce(F.json_object_keys("oa_individual_works")[0], F.lit("")).alias("first_work"))
 
 
+def merged_works(spark, sf_dir):
+    return _merged(_articles(spark, sf_dir), view(spark, sf_dir, "works_unique"))
+
+
+def merged_works_stored(spark, sf_dir):
+    """The same from works stored by DOI."""
+    name = f"works_{uuid.uuid4().hex}"
+    works = G.store_by_doi(view(spark, sf_dir, "works_unique"), name, f"{scratch(spark)}/{name}", int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return _merged(_articles(spark, sf_dir), works)
+
+
 def unmatched_coverage(spark, sf_dir):
     return G.coverage(G.match_articles(_articles(spark, sf_dir), view(spark, sf_dir, "works_unique"), *YEARS))
 

@@ -401,3 +401,32 @@ def test_integrate(spark, works):
     assert (cover.n_articles, cover.n_matched) == (3, 2)
     with pytest.raises(ValueError):
         G.merge_works(articles, works, "other")
+
+
+def test_stored_by_doi(spark, works, tmp_path):
+    flat = works.drop("is_merged", "oa_individual_works")
+    articles = spark.createDataFrame([(0, "10/a", {"pt": "10/b"}, ["S1"], ["c"], 2020), (1, "10/none", {}, ["S0002"], ["c"], 2020), (2, "10/c", {}, ["S3"], ["c"], 2020)], "article_idx long, doi string, doi_with_lang map<string,string>, pid_v2 array<string>, collection array<string>, publication_year int")
+    more = flat.unionByName(flat.filter("work_id = 'W4'").withColumns({"work_id": F.lit(None).cast("string"), "doi": F.lit(" ")})).unionByName(flat.filter("work_id = 'W1'").withColumns({"work_id": F.lit("W9"), "publication_year": F.lit(2021)}))
+    stored = G.store_by_doi(more, "stored_by_doi", f"{tmp_path}/stored", 4)
+    for years in ((2020, 2020), (2020, 2021)):
+        plain, by_doi = (sorted(map(str, G.integrate(articles, w, *years).drop("oa_individual_works").collect())) for w in (more, stored))
+        assert plain == by_doi and len(plain) >= 6
+    with pytest.raises(ValueError):
+        G.store_by_doi(flat.unionByName(flat), "twice", f"{tmp_path}/twice", 4)
+    with pytest.raises(ValueError):
+        G.merge_works(G.match_articles(articles, stored, 2020, 2020), stored)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        # above every join with the table's rows, its side is sorted or filtered, but not exchanged
+        plan = G.integrate(articles, stored, 2020, 2020)._jdf.queryExecution().executedPlan().toString().splitlines()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    scans = [k for k, line in enumerate(plan) if "stored_by_doi" in line and "FileScan" in line]
+    assert scans and all("Bucketed: true" in plan[k] for k in scans)
+    for k in scans:
+        depth = len(plan[k]) - len(plan[k].lstrip(" :+-"))
+        while "SortMergeJoin" not in plan[k]:
+            assert "Exchange" not in plan[k]
+            k = max(j for j in range(k) if len(plan[j]) - len(plan[j].lstrip(" :+-")) < depth)
+            depth = len(plan[k]) - len(plan[k].lstrip(" :+-"))
+    spark.sql("DROP TABLE stored_by_doi")
