@@ -160,11 +160,11 @@ def train(rows: DataFrame, labels: DataFrame, label: str = "quality", cut: float
         return ranker
 
     def scores(batches):
-        for (y,), x in _vectors(1)(batches):
-            yield pa.RecordBatch.from_arrays([y, pa.array(_code(ranker.raw(x)))], ["y", "code"])
+        for (ids,), x in _vectors(1)(batches):
+            yield pa.RecordBatch.from_arrays([ids, pa.array(_code(ranker.raw(x)))], ["doc_id", "code"])
 
-    # every labelled text is scored once; the two scores around the threshold are exact order statistics of all of them
-    every = written(texts.join(picked, "doc_id").select("y", "text").mapInArrow(scores, "y int, code long")).withColumn("all", F.lit(0))
+    # texts are scored where they are read, and only ids and scores meet the labels; the two scores around the threshold are exact order statistics of all labelled texts
+    every = written(texts.mapInArrow(scores, "doc_id long, code long").join(picked, "doc_id").select("y", "code")).withColumn("all", F.lit(0))
     count = every.groupBy("all").agg(F.count("*").alias("n"), F.count_if(F.col("y") == 0).alias("bad"))
     at = "least(greatest(bad, 1L), greatest(n - 1, 1L))"  # so many scores stand below the threshold
     found = settle(count, every, ["all"], [Rank("below", "code", at), Rank("above", "code", f"least({at} + 1, n)")]).first()

@@ -64,6 +64,22 @@ def test_query_against_the_plain_version(spark):
     assert got.keys() == want.keys() and all(abs(got[d][0] - want[d]) < 1e-6 and got[d][1] == int(got[d][0] >= 0.3) for d in want)
 
 
+def test_texts_stay_where_they_are_read(spark):
+    """Where labels are too many for a broadcast, ids and scores meet them in an exchange, no text."""
+    rows = [(i, "".join(random.Random(i).choices("abcdefgh 1!", k=4000)), int(i % 3 > 0)) for i in range(500)]
+    docs = quality.written(spark.createDataFrame(rows, "doc_id long, text string, quality int"))
+    store = spark._jsparkSession.sharedState().statusStore()
+    seen = store.executionsCount()
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+        quality.train(docs.select("doc_id", "text"), docs.select("doc_id", "quality"), sample_rows=50)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    plans = [store.executionsList(k, 1).head().physicalPlanDescription() for k in range(seen, store.executionsCount())]
+    moved = [line for plan in plans for line in re.findall(r"\(\d+\) Exchange\nInput \[\d+\]: \[(.*?)\]", plan)]
+    assert any("code#" in line for line in moved) and not any("text#" in line for line in moved), moved
+
+
 def test_odd_rows(spark):
     docs = spark.createDataFrame([(1, "A good text.", 1, "s"), (2, "### $$$ %%%", 1, "s"), (3, None, 1, "s"), (4, "", 1, "s"), (None, "x " * 200_000, 1, "s"), (1, "A good text.", 1, "s")], "doc_id long, text string, y int, score string")
     labels = spark.createDataFrame([(1, 1), (2, 0), (3, None), (4, 5), (None, 1), (77, 0)], "doc_id long, quality int")
