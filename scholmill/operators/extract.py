@@ -8,11 +8,15 @@ from pyspark.sql import functions as F
 WINDOWS = (2, 3, 5)
 
 
+def _at(values: Column, place: Column) -> Column:
+    """The value at a place from 1 of ``array_position``, else null."""
+    return F.get(values, (place - 1).cast("int"))
+
+
 def _journal() -> Column:
     """The primary source if it is a journal, else the first journal among the locations."""
-    primary = F.col("primary_location.source")
-    others = F.filter(F.transform("locations", lambda v: v["source"]), lambda s: s["type"] == "journal")
-    return F.coalesce(F.when(primary["type"] == "journal", primary), F.get(others, F.lit(0)))
+    primary, others = F.col("primary_location.source"), F.col("locations.source")
+    return F.coalesce(F.when(primary["type"] == "journal", primary), _at(others, F.array_position(others["type"], "journal")))
 
 
 def _well_formed(windows=WINDOWS) -> Column:
@@ -54,19 +58,27 @@ def citation_years(raw: DataFrame) -> list[int]:
     return sorted(r[0] for r in years.collect())
 
 
-def _of_year(counts: Column, year: int) -> Column:
-    """Of several counts for a year the last one holds."""
-    return F.try_element_at(F.filter(counts, lambda c: c["year"] == year), F.lit(-1))["cited_by_count"]
+def _of_year(years: Column, counts: Column, year: int) -> Column:
+    """Of several counts for a year the last one holds; both arrays are backwards."""
+    return _at(counts, F.array_position(years, F.lit(year)))
+
+
+def _in_windows(windows) -> Column:
+    """A struct with the sum of each window, by one pass over the counts."""
+    zero = F.lit(0).cast("long")
 
+    def add(a, c):
+        inside = lambda w: (c["year"] != 0) & (c["year"] > F.col("publication_year")) & (c["year"] <= F.col("publication_year") + w)
+        return F.struct(*[(a[f"w{w}"] + F.when(inside(w), c["cited_by_count"]).otherwise(zero)).alias(f"w{w}") for w in windows])
 
-def _in_window(counts: Column, window: int) -> Column:
-    inside = F.filter(counts, lambda c: (c["year"] > F.col("publication_year")) & (c["year"] <= F.col("publication_year") + window))
-    return F.aggregate(inside, F.lit(0).cast("long"), lambda a, c: a + c["cited_by_count"])
+    none = F.array().cast("array<struct<year: int, cited_by_count: long>>")
+    return F.aggregate(F.coalesce("counts_by_year", none), F.struct(*[zero.alias(f"w{w}") for w in windows]), add)
 
 
 def project(rows: DataFrame, years: list[int], windows=WINDOWS, keep: tuple[str, ...] = ()) -> DataFrame:
     """Flat works: ids, journal, taxonomy, citations by year and by window after the publication year."""
-    counts = F.filter(F.coalesce("counts_by_year", F.array().cast("array<struct<year: int, cited_by_count: long>>")), lambda c: c["year"] != 0)
+    # functions of arrays are compiled, those with lambdas are interpreted for each element: one of the latter for all windows, none for the years
+    late, counts = F.reverse("counts_by_year.year"), F.reverse("counts_by_year.cited_by_count")
     out = [
         F.col("id").alias("work_id"), "publication_year", "language", "doi", F.col("journal.id").alias("journal_id"), F.col("journal.issn_l").alias("journal_issn_l"),
         F.coalesce(F.col("journal.is_oa").cast("int"), F.lit(0)).alias("is_journal_oa"),
@@ -74,8 +86,10 @@ def project(rows: DataFrame, years: list[int], windows=WINDOWS, keep: tuple[str,
         F.col("primary_topic.display_name").alias("topic"), F.col("primary_topic.score").alias("topic_score"),
         F.coalesce("cited_by_count", F.lit(0).cast("long")).alias("citations_total"),
     ]
-    out += [_of_year(counts, y).alias(f"citations_{y}") for y in years]
-    out += [_in_window(counts, w).alias(f"citations_window_{w}y") for w in windows]
+    out += [(_of_year(late, counts, y) if y else F.lit(None).cast("long")).alias(f"citations_{y}") for y in years]
+    if windows:
+        rows = rows.withColumn("_windows", _in_windows(windows))
+    out += [F.col(f"_windows.w{w}").alias(f"citations_window_{w}y") for w in windows]
     flat = rows.select(*out, *keep)
     return flat.withColumns({f"has_citation_window_{w}y": F.when(F.col(f"citations_window_{w}y") > 0, 1).otherwise(0) for w in windows})
 

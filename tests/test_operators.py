@@ -12,6 +12,7 @@ from scholmill.operators import indicators as I
 from scholmill.operators import integrate as G
 from scholmill.operators import metadata as M
 from scholmill.operators import quantiles as Q
+from scholmill.plans import queries as PQ
 from scholmill.sources import articles as SA
 from scholmill.sources import works as SW
 from scholmill.streaming.incremental import extract_new_files
@@ -430,3 +431,20 @@ def test_stored_by_doi(spark, works, tmp_path):
             k = max(j for j in range(k) if len(plan[j]) - len(plan[j].lstrip(" :+-")) < depth)
             depth = len(plan[k]) - len(plan[k].lstrip(" :+-"))
     spark.sql("DROP TABLE stored_by_doi")
+
+
+def test_counts_without_a_lambda_a_year(spark):
+    """Of several counts for a year the last holds, a window sums all; the plan interprets lambdas for the windows and the null check only."""
+    years = [0, 1999, 2000, 2001, 2003]
+    counts = [[(2000, 1), (2000, 5), (2001, 2), (2003, 7), (2006, 9)], None, [], [(None, 3), (0, 4), (1999, 6)], [(2005, 8), (2000, None), (2003, 1), (2003, 2)]]
+    raw = spark.createDataFrame([(str(i), "article", False, 2000, [({"id": f"J{k}", "type": t, "issn_l": None, "is_oa": True},) for k, t in enumerate(("repository", "journal", "journal"))] , c) for i, c in enumerate(counts)],
+                                "id string, type string, is_xpac boolean, publication_year int, locations array<struct<source: struct<id: string, type: string, issn_l: string, is_oa: boolean>>>, counts_by_year array<struct<year: int, cited_by_count: long>>")
+    raw = spark.read.schema(SW.RAW_SCHEMA).json(raw.toJSON())
+    flat = E.project(E.accepted(raw, 1, 9999), years)
+    got = {int(r.work_id): r for r in flat.collect()}
+    for i, c in enumerate(counts):
+        held = [(y, n) for y, n in c or [] if y]
+        assert [got[i][f"citations_{y}"] for y in years] == [([n for z, n in held if z == y] or [None])[-1] for y in years] and got[i].journal_id == "J1"
+        assert [got[i][f"citations_window_{w}y"] for w in (2, 3, 5)] == [sum(n for z, n in held if 2000 < z <= 2000 + w) for w in (2, 3, 5)]
+    plan = flat._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("lambdafunction(") <= 3, plan.count("lambdafunction(")
