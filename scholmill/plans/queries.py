@@ -129,11 +129,11 @@ def _raw_lines(spark, sf_dir):
       'locations', CASE WHEN location_journal_id IS NULL THEN array(named_struct('source', {source.format("'x'", "'repository'")}))
                    ELSE array(named_struct('source', {source.format("'x'", "'repository'")}), named_struct('source', {source.format("location_journal_id", "'journal'")})) END,
       'counts_by_year', array({counts})))"""
-    return flat.select(F.expr(packed).alias("value"), "updated_date", F.lit("part").alias("file_path"), "line_no", "type")
+    return flat.select(F.expr(packed).alias("value"), "updated_date", F.lit("part").alias("file_path"), "line_no", "type", "work_id")
 
 
 def raw_works(spark, sf_dir):
-    return parse_snapshot(_raw_lines(spark, sf_dir).drop("type"))
+    return parse_snapshot(_raw_lines(spark, sf_dir).drop("type", "work_id"))
 
 
 def _two_runs(spark, sf_dir):
@@ -143,7 +143,8 @@ def _two_runs(spark, sf_dir):
     books = lines.filter("type = 'book'").withColumn("updated_date", F.lit("2023-12-31"))
 
     def add(rows):
-        rows.repartition("updated_date").sortWithinPartitions("updated_date", "line_no").select("value", "updated_date").write.mode("append").partitionBy("updated_date").option("compression", "gzip").text(f"{folder}/raw")
+        # all versions of a work in one task, so that its files keep their order of lines; a task writes a file a date, and a date has as many files as there are tasks
+        rows.repartition("work_id").sortWithinPartitions("updated_date", "line_no").select("value", "updated_date").write.mode("append").partitionBy("updated_date").option("compression", "gzip").text(f"{folder}/raw")
 
     def one():
         return ledger.run(spark, f"{folder}/raw", f"{folder}/store", *YEARS, PIVOT_YEARS, glob="part-*.gz")
@@ -174,7 +175,7 @@ def dropped_lines(spark, sf_dir):
     lines = _raw_lines(spark, sf_dir)
     broken = F.when(F.col("line_no") % 17 == 0, F.left("value", F.lit(20))).when(F.col("line_no") % 19 == 0, F.regexp_replace("value", '"locations":\\[.*?\\],"counts_by_year"', '"counts_by_year"')).otherwise(F.col("value"))
     seen = Observation()
-    raw = E.observed(parse_snapshot(lines.withColumn("value", broken).drop("type")), *YEARS, seen)
+    raw = E.observed(parse_snapshot(lines.withColumn("value", broken).drop("type", "work_id")), *YEARS, seen)
     works = E.latest(E.project(E.accepted(raw, *YEARS), [], keep=("updated_date", "file_path", "line_no")))
     kept = works.count()
     return spark.createDataFrame([(kept, *(seen.get[c] for c in ("n_lines", "n_unread", "n_malformed", "n_no_journal")))], "n_works long, n_lines long, n_unread long, n_malformed long, n_no_journal long")

@@ -448,3 +448,15 @@ def test_counts_without_a_lambda_a_year(spark):
         assert [got[i][f"citations_window_{w}y"] for w in (2, 3, 5)] == [sum(n for z, n in held if 2000 < z <= 2000 + w) for w in (2, 3, 5)]
     plan = flat._jdf.queryExecution().executedPlan().toString()
     assert plan.count("lambdafunction(") <= 3, plan.count("lambdafunction(")
+
+
+def test_snapshot_of_several_files_a_date(spark):
+    """A date of the snapshot is no single gzip file, which one task would have to read, and all versions of a work are in one file of a date."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", False)
+    try:
+        store, _ = PQ._two_runs(spark, "/root/testdata/sf0.001")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    lines = spark.read.text(store.removesuffix("store") + "raw").select("updated_date", F.get_json_object("value", "$.id").alias("id"), F.col("_metadata.file_path").alias("f"))
+    assert all(r.n > 1 for r in lines.groupBy("updated_date").agg(F.count_distinct("f").alias("n")).filter("updated_date > '2024-01-02'").collect())
+    assert lines.filter("updated_date > '2024-01-02'").groupBy("updated_date", "id").agg(F.count_distinct("f").alias("n")).filter("n > 1").isEmpty()
