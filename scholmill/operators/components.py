@@ -19,9 +19,9 @@ def components(links: DataFrame, a: str = "a", b: str = "b", most_rounds: int =
     before the shuffle, so that a node with very many neighbours is no hot task. The rounds grow as the logarithm of the
     longest path; lineage is cut in each.
     """
-    n_links = links.count()
-    k = max(1, -(-2 * n_links // ROWS_A_TASK))  # a small graph is kept in few partitions, so that its many exchanges write few files
-    edges = cut(links.coalesce(k).select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).filter("u <> v").distinct().coalesce(k))
+    links = cut(links.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).filter("u <> v").distinct())  # made by all tasks: few partitions are for what is done with them
+    k = max(1, -(-2 * links.count() // ROWS_A_TASK))  # a small graph is kept in few partitions, so that its many exchanges write few files
+    edges = links.coalesce(k)
     mark = None
     for _ in range(most_rounds):
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))

@@ -1,6 +1,9 @@
 """Small inputs with known results."""
 
+from collections import Counter
+
 import pytest
+from pyspark import TaskContext
 from pyspark.sql import functions as F
 
 from scholmill.functions import normalize as N
@@ -13,6 +16,7 @@ from scholmill.operators import integrate as G
 from scholmill.operators import metadata as M
 from scholmill.operators import quantiles as Q
 from scholmill.plans import queries as PQ
+from scholmill.operators.components import components
 from scholmill.sources import articles as SA
 from scholmill.sources import works as SW
 from scholmill.streaming.incremental import extract_new_files
@@ -460,3 +464,27 @@ def test_snapshot_of_several_files_a_date(spark):
     lines = spark.read.text(store.removesuffix("store") + "raw").select("updated_date", F.get_json_object("value", "$.id").alias("id"), F.col("_metadata.file_path").alias("f"))
     assert all(r.n > 1 for r in lines.groupBy("updated_date").agg(F.count_distinct("f").alias("n")).filter("updated_date > '2024-01-02'").collect())
     assert lines.filter("updated_date > '2024-01-02'").groupBy("updated_date", "id").agg(F.count_distinct("f").alias("n")).filter("n > 1").isEmpty()
+
+
+def test_audit_pairs_are_dealt_by_their_number(spark, monkeypatch):
+    """Few rows make many pairs, so tasks follow pairs and not bytes."""
+    docs = spark.range(400).selectExpr("id AS doc_idx", "array(cast(id % 3 AS string)) AS titles", "concat('d', id % 8) AS doi", "cast(NULL AS map<string,string>) AS doi_with_lang")
+    monkeypatch.setattr(A, "PAIRS_A_TASK", 250, raising=False)
+    pairs = A.expand_audit(A.audit_members(docs), chunk=5)
+    assert pairs.count() == 8 * 50 * 49 // 2
+    assert pairs.groupBy(F.spark_partition_id()).count().count() > 20
+
+
+def test_links_are_made_by_all_tasks(spark, tmp_path):
+    """A small graph is kept in few partitions, but not what its links are made from."""
+
+    def note(batches):
+        at = TaskContext.get()
+        (tmp_path / f"{at.stageId()}-{at.partitionId()}-{at.taskAttemptId()}").touch()
+        yield from batches
+
+    links = spark.range(0, 1000, 1, 8).selectExpr("id AS a", "id - id % 10 AS b").mapInArrow(note, "a long, b long")
+    assert {(r.node, r.label) for r in components(links).collect()} == {(i, i - i % 10) for i in range(1000)}
+    stages = Counter(f.name.split("-")[0] for f in tmp_path.iterdir())
+    parts = {s: len({f.name.split("-")[1] for f in tmp_path.iterdir() if f.name.startswith(s + "-")}) for s in stages}
+    assert set(parts.values()) == {8}, parts
