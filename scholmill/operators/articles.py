@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from scholmill.functions import normalize as N
 from scholmill.operators.components import components
+from scholmill.operators.durable import cut
 
 RULES = ("doi", "pid", "title")
 #: Normalized titles that many articles have, and the least length of a title that tells articles apart.
@@ -130,15 +131,24 @@ def audit_members(docs: DataFrame) -> DataFrame:
     return _claims(docs).join(audit_classes(docs), ["doi", "titles"]).select("doi", "doc_idx", "class_idx", "n_docs", "titles")
 
 
+#: Pairs that one task is meant to make, as long as there are no more tasks than a shuffle can hold.
+PAIRS_A_TASK = 2_000_000
+MOST_TASKS = 10_000
+
+
 def expand_audit(members: DataFrame, chunk: int = 1000) -> DataFrame:
     """The pairs of ``merge_audit`` for the members given (filter them first: pairs of a DOI are squared).
 
-    The docs of a DOI are dealt into chunks, and each chunk meets each later one and itself as a key of its own, so no task gets more than two chunks.
+    The docs of a DOI are dealt into chunks, and each chunk meets each later one and itself as a key of its own, so no task gets more than two chunks of a key.
+    Keys are dealt into tasks by the number of pairs, since few and small rows make very many of them.
     """
-    sizes = members.groupBy("doi").agg(F.greatest(F.ceil(F.count("*") / chunk), F.lit(1)).cast("int").alias("k"))
-    dealt = members.join(sizes, "doi").withColumn("c", F.pmod(F.xxhash64("doc_idx"), F.col("k")).cast("int"))
-    as_pair = lambda side, i, j: dealt.select("doi", "k", F.explode(F.expr(f"transform(sequence(0, k - 1), o -> struct({i} AS i, {j} AS j))")).alias("p"), F.col("doc_idx").alias(f"{side}_idx"), F.col("titles").alias(f"{side}_titles")).select("doi", "p.i", "p.j", f"{side}_idx", f"{side}_titles")
-    pairs = as_pair("left", "c", "o").join(as_pair("right", "o", "c"), ["doi", "i", "j"]).filter("left_idx < right_idx")
+    counted = cut(members.groupBy("doi").agg(F.count("*").alias("n")))
+    wanted = int(counted.agg(F.sum(F.col("n").cast("double") ** 2)).first()[0] or 0) // (2 * PAIRS_A_TASK)
+    tasks = min(max(members.sparkSession.sparkContext.defaultParallelism, wanted), MOST_TASKS)
+    sizes = counted.select("doi", F.greatest(F.ceil(F.col("n") / chunk), F.lit(1)).cast("int").alias("k"))
+    dealt = cut(members.join(sizes, "doi").withColumn("c", F.pmod(F.xxhash64("doc_idx"), F.col("k")).cast("int")))
+    as_pair = lambda side, i, j: dealt.select("doi", "k", F.explode(F.expr(f"transform(sequence(0, k - 1), o -> struct({i} AS i, {j} AS j))")).alias("p"), F.col("doc_idx").alias(f"{side}_idx"), F.col("titles").alias(f"{side}_titles")).select("doi", "p.i", "p.j", f"{side}_idx", f"{side}_titles").repartition(tasks, "doi", "i", "j")
+    pairs = as_pair("left", "c", "o").join(as_pair("right", "o", "c").hint("shuffle_merge"), ["doi", "i", "j"]).filter("left_idx < right_idx")
     return pairs.select("doi", "left_idx", "right_idx", F.arrays_overlap("left_titles", "right_titles").alias("merged"), F.lit("doi_match").alias("reason"))
 
 
