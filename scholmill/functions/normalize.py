@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import unicodedata
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -37,12 +37,18 @@ def doi(x: Column | str) -> Column:
     return strip(out)
 
 
-@F.pandas_udf(T.StringType())
-def _folded(x: pd.Series) -> pd.Series:
+#: Texts that are Python objects at a time.
+_TEXTS = 64
+
+
+@F.arrow_udf(T.StringType())
+def _folded(x: pa.Array) -> pa.Array:
     def one(s: str) -> str:
         return "".join(c for c in unicodedata.normalize("NFKD", s) if not unicodedata.combining(c)).replace(" ", "").lower().strip()
 
-    return x.map(one, na_action="ignore")
+    # a batch has 10,000 whole texts: all of them as objects, before and after, are many times its size
+    done = [pa.array([None if s is None else one(s) for s in x.slice(k, _TEXTS).to_pylist()], pa.string()) for k in range(0, len(x), _TEXTS)]
+    return pa.concat_arrays(done) if done else pa.array([], pa.string())
 
 
 def title_key(x: Column | str) -> Column:

@@ -1,7 +1,9 @@
 """Small inputs with known results."""
 
+import tracemalloc
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 from pyspark import TaskContext
 from pyspark.sql import functions as F
@@ -488,3 +490,15 @@ def test_links_are_made_by_all_tasks(spark, tmp_path):
     stages = Counter(f.name.split("-")[0] for f in tmp_path.iterdir())
     parts = {s: len({f.name.split("-")[1] for f in tmp_path.iterdir() if f.name.startswith(s + "-")}) for s in stages}
     assert set(parts.values()) == {8}, parts
+
+
+def test_titles_are_folded_a_few_at_a_time():
+    """A batch of whole texts is not turned into objects at once."""
+    texts = pa.array([f"Éà  {k} " + "ﬁ" * 2000 for k in range(4000)] + [None])
+    folded = N._folded.func
+    tracemalloc.start()
+    got = folded(texts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert got.to_pylist() == [f"ea{k}" + "fi" * 2000 for k in range(4000)] + [None]
+    assert peak < 4 << 20, peak
