@@ -52,6 +52,21 @@ def cohort_rows(works: DataFrame, levels=LEVELS, years=None, categories=None) ->
     return rows if categories is None else rows.filter(F.col("category_id").isin(*categories))
 
 
+def journal_rows(works: DataFrame, levels=LEVELS, years=None, categories=None) -> DataFrame:
+    """``cohort_rows`` of works with a journal, all works of a journal and year in one task.
+
+    A grouping by cohort and journal needs no further exchange then: a work moves once, not once for each level. Rows are made by a generator, as
+    an Expand would forget where they lie.
+    """
+    levels = check_levels(works, levels)
+    if years is not None:
+        works = works.filter(F.col("publication_year").isin(*years))
+    works = works.filter("journal_id IS NOT NULL AND publication_year IS NOT NULL").repartition("journal_id", "publication_year")
+    named = F.array(*(F.struct(F.lit(v).alias("category_level"), F.col(v).alias("category_id")) for v in levels))
+    rows = works.select(*(c for c in works.columns if c not in LEVELS), F.inline(named)).filter("category_id IS NOT NULL")
+    return rows if categories is None else rows.filter(F.col("category_id").isin(*categories))
+
+
 def categories(works: DataFrame, levels=LEVELS, years=None, only=None) -> DataFrame:
     """Distinct categories by level and year."""
     return cohort_rows(works, levels, years, only).select(*COHORT).distinct()
@@ -118,19 +133,31 @@ def _ranks(windows, percentiles) -> list[Q.Rank]:
     return [Q.percentile(N.threshold_name(p, w), "citations_total" if w is None else f"citations_window_{w}y", p) for _, _, w in metrics(windows) for p in percentiles]
 
 
-def settled_cohorts(rows: DataFrame, aggregates: list[Column], windows=WINDOWS, percentiles=PERCENTILES, threshold_mode: str = "exact") -> DataFrame:
-    """Cohorts of ``cohort_rows`` with the aggregates and the exact thresholds; no task holds a cohort's values."""
+def settled_cohorts(rows: DataFrame, windows=WINDOWS, percentiles=PERCENTILES, threshold_mode: str = "exact", baseline: bool = False, wanted=None) -> DataFrame:
+    """Cohorts of ``cohort_rows`` with the exact thresholds and, if asked for, what ``cohort_baseline`` has; no task holds a cohort's values.
+
+    Rows are read once: they are counted by cohort and the values of their metrics, and the rest is made of these counts. ``wanted`` are the names
+    of the columns to be made (None: all).
+    """
     check_mode(threshold_mode)
-    ranks = _ranks(windows, percentiles)
-    filled = rows.withColumns({c: F.coalesce(F.col(c), F.lit(0)).cast("long") for c in dict.fromkeys(r.column for r in ranks)})
-    groups = cut(filled.groupBy(*COHORT).agg(*aggregates, F.count("*").alias("n")))
-    out = Q.settle(groups, filled, COHORT, ranks).drop("n")
+    asked = lambda c: wanted is None or c in wanted
+    ranks = [r for r in _ranks(windows, percentiles) if asked(r.name)]
+    columns = {name: "citations_total" if w is None else f"citations_window_{w}y" for name, _, w in metrics(windows)}
+    totals = [name for name in columns if baseline and (asked(f"category_citations_total{name}") or asked(f"category_citations_mean{name}"))]
+    used = [c for name, c in columns.items() if name in totals or any(r.column == c for r in ranks)]
+    counted = cut(rows.groupBy(*COHORT, *(F.coalesce(F.col(c), F.lit(0)).cast("long").alias(c) for c in used)).agg(F.count("*").alias("n_rows")))
+    sums = [F.sum(F.col(columns[name]) * F.col("n_rows")).alias(f"category_citations_total{name}") for name in totals]
+    groups = cut(counted.groupBy(*COHORT).agg(F.sum("n_rows").alias("n"), *sums))
+    out = Q.settle(groups, counted, COHORT, ranks, "n_rows")
+    if baseline:
+        out = out.withColumns({"category_publications_count": F.col("n")} | {f"category_citations_mean{name}": F.col(f"category_citations_total{name}") / F.col("n") for name in totals})
+    out = out.drop("n")
     return out if threshold_mode == "exact" else out.withColumns({r.name: F.col(r.name) + 1 for r in ranks})
 
 
 def cohort_thresholds_bracketed(works: DataFrame, levels=LEVELS, years=None, windows=WINDOWS, percentiles=PERCENTILES, threshold_mode: str = "exact", only=None) -> DataFrame:
     """The values of ``cohort_thresholds`` by bracketed selection (``quantiles``), for cohorts of any size."""
-    return settled_cohorts(cohort_rows(works, levels, years, only), [], windows, percentiles, threshold_mode)
+    return settled_cohorts(cohort_rows(works, levels, years, only), windows, percentiles, threshold_mode)
 
 
 #: Bytes of thresholds that are sent to every task; more meet the rows by a shuffle.
@@ -143,53 +170,89 @@ def _small(cohorts: DataFrame) -> DataFrame:
     return F.broadcast(cohorts) if cohorts.count() * width <= BROADCAST else cohorts
 
 
-def journal_metrics(rows: DataFrame, cohorts: DataFrame, windows=WINDOWS, percentiles=PERCENTILES, with_languages: bool = False, seen: Observation | None = None) -> DataFrame:
+def _issn_codes(works: DataFrame) -> DataFrame:
+    """Numbers of all ISSNs, in their order: the smallest text of a group would make its aggregation sort all rows, a number doesn't."""
+    issns = works.select(F.col("journal_issn_l").alias("journal_issn")).filter("journal_issn IS NOT NULL").distinct()
+    return _small(cut(issns.orderBy("journal_issn").withColumn("_issn", F.monotonically_increasing_id())))
+
+
+def journal_metrics(works: DataFrame, cohorts: DataFrame, levels=LEVELS, years=None, only=None, windows=WINDOWS, percentiles=PERCENTILES, with_languages: bool = False, seen: Observation | None = None, wanted=None) -> DataFrame:
     """Per cohort and journal: totals, means, cited works, yearly sums, works at or above each threshold, flags.
 
-    rows: of ``cohort_rows``; cohorts: rows with the thresholds. Works without journal have no row; null citations never reach a threshold.
-    ``seen`` has n_journals and n_issn_conflicts (those of several ISSNs in their cohort) once the result has been read.
+    cohorts: rows with the thresholds. Works without journal have no row; null citations never reach a threshold. ``works`` is read twice.
+    ``seen`` has n_journals and n_issn_conflicts (those of several ISSNs in their cohort) once the result has been read. ``wanted`` are the names of
+    the columns to be made (None: all).
     """
-    names = [N.threshold_name(p, w) for _, _, w in metrics(windows) for p in percentiles]
+    asked = lambda c: wanted is None or c in wanted
     keys = [*COHORT, "journal_id"]
-    rows = rows.filter(F.col("journal_id").isNotNull())
-    with_thresholds = rows.join(cohorts.select(*COHORT, *names), COHORT)
-    out, means = [F.count("*").alias("journal_publications_count")], {}
+    out, means, names = {}, {}, []
     for name, x, w in metrics(windows):
         total = "journal_citations_total" if w is None else f"citations{name}"
-        out.append(F.sum(F.coalesce(x, F.lit(0))).cast("long").alias(total))
-        means[f"journal_citations_mean{name}"] = F.col(total) / F.col("journal_publications_count")
-        if w is not None:
-            out.append(F.count_if(x >= 1).alias(f"citations{name}_works"))
-        out += [F.count_if(x >= F.col(N.threshold_name(p, w))).alias(N.threshold_name(p, w).replace("_citations_threshold", "_publications_count")) for p in percentiles]
-    out += [F.sum(F.coalesce(F.col(c), F.lit(0))).cast("long").alias(c) for c in yearly_columns(rows)]
-    out.append(F.coalesce(F.max(F.col("is_journal_oa").cast("int")), F.lit(0)).alias("is_journal_oa"))
-    flag = F.max(N.multilingual("is_merged", "oa_individual_works")) if with_languages else F.lit(0)
-    out.append(flag.alias("is_journal_multilingual"))
-    # the smallest text of a group would make the whole aggregation sort its rows, so ISSNs are made distinct by a hash first, and numbers stay with numbers
-    issns = rows.select(*keys, "journal_issn_l").distinct().groupBy(*keys).agg(F.min("journal_issn_l").alias("journal_issn"), F.count("journal_issn_l").alias("_issns"))
+        mean = f"journal_citations_mean{name}"
+        if asked(total) or asked(mean):
+            out[total] = F.sum(F.coalesce(x, F.lit(0))).cast("long")
+        if asked(mean):
+            means[mean] = F.col(total) / F.col("journal_publications_count")
+        if w is not None and asked(f"citations{name}_works"):
+            out[f"citations{name}_works"] = F.count_if(x >= 1)
+        for p in percentiles:
+            least = N.threshold_name(p, w)
+            reached = least.replace("_citations_threshold", "_publications_count")
+            if asked(reached):
+                names.append(least)
+                out[reached] = F.count_if(x >= F.col(least))
+    out |= {c: F.sum(F.coalesce(F.col(c), F.lit(0))).cast("long") for c in yearly_columns(works) if asked(c)}
+    if asked("is_journal_oa"):
+        out["is_journal_oa"] = F.coalesce(F.max(F.col("is_journal_oa").cast("int")), F.lit(0))
+    if asked("is_journal_multilingual"):
+        if with_languages:
+            works = works.withColumn("_multilingual", N.multilingual("is_merged", "oa_individual_works"))
+        out["is_journal_multilingual"] = F.max(F.col("_multilingual") if with_languages else F.lit(0))
+    codes = _issn_codes(works) if asked("journal_issn") or seen is not None else None
+    if codes is not None:
+        works = works.join(codes.withColumnRenamed("journal_issn", "journal_issn_l"), "journal_issn_l", "left")
+        out |= {"_issn": F.min("_issn"), "_last_issn": F.max("_issn")}
+    works = works.drop("journal_issn_l", "is_merged", "oa_individual_works")
+    rows = journal_rows(works, levels, years, only)
+    if names:
+        rows = rows.join(cohorts.select(*COHORT, *names), COHORT)
+    journals = rows.groupBy(*keys).agg(F.count("*").alias("journal_publications_count"), *(c.alias(name) for name, c in out.items())).withColumns(means)
     if seen is not None:
-        issns = issns.observe(seen, F.count("*").alias("n_journals"), F.count_if(F.col("_issns") > 1).alias("n_issn_conflicts"))
-    issns = issns.drop("_issns")
-    return with_thresholds.groupBy(*keys).agg(*out).withColumns(means).join(issns.hint("shuffle_hash"), keys)  # a row for each key on either side: nothing to sort wide rows for
+        journals = journals.observe(seen, F.count("*").alias("n_journals"), F.count_if(F.col("_last_issn") > F.col("_issn")).alias("n_issn_conflicts"))
+    return journals if codes is None else journals.join(codes, "_issn", "left").drop("_issn", "_last_issn")
 
 
 def has_languages(works: DataFrame) -> bool:
     return {"is_merged", "oa_individual_works"} <= set(works.columns)
 
 
+def _sizes(journals: DataFrame) -> DataFrame:
+    """Journals of each cohort counted by their publications: as many rows as the root of twice a cohort's works at most."""
+    return journals.groupBy(*COHORT, "journal_publications_count").agg(F.count("*").alias("n_journals"))
+
+
+def _mean_size() -> Column:
+    return (F.sum(F.col("journal_publications_count") * F.col("n_journals")) / F.sum("n_journals")).alias("category_publications_mean")
+
+
 def publication_stats(journals: DataFrame) -> DataFrame:
     """Mean and interpolated median of the journals' publication counts, by cohort."""
-    return journals.groupBy(*COHORT).agg(F.avg("journal_publications_count").alias("category_publications_mean"), F.median("journal_publications_count").alias("category_publications_median"))
+    return _sizes(journals).groupBy(*COHORT).agg(_mean_size(), F.percentile("journal_publications_count", 0.5, F.col("n_journals")).alias("category_publications_median"))
 
 
 def publication_stats_bracketed(journals: DataFrame) -> DataFrame:
-    """``publication_stats`` without a buffer of a cohort's counts: the median is the mean of the two middle ones. ``journals`` is read several times."""
-    ranks = Q.middle("journal_publications_count")
-    groups = journals.groupBy(*COHORT).agg(F.avg("journal_publications_count").alias("category_publications_mean"), F.count("*").alias("n"))
-    out = Q.settle(groups, journals, COHORT, ranks)
+    """``publication_stats`` without a buffer of a cohort's counts: the median is the mean of the two middle ones. ``journals`` is read once."""
+    sizes = cut(_sizes(journals))
+    groups = sizes.groupBy(*COHORT).agg(_mean_size(), F.sum("n_journals").alias("n"))
+    out = Q.settle(groups, sizes, COHORT, Q.middle("journal_publications_count"), "n_journals")
     return out.select(*COHORT, "category_publications_mean", ((F.col("_low") + F.col("_high")) / 2).alias("category_publications_median"))
 
 
+def journal_sizes(works: DataFrame, levels=LEVELS, years=None) -> DataFrame:
+    """Publications of each journal, by cohort."""
+    return journal_rows(works.select("journal_id", "publication_year", *levels), levels, years).groupBy(*COHORT, "journal_id").agg(F.count("*").alias("journal_publications_count"))
+
+
 def issn_conflicts(works: DataFrame, levels=LEVELS, years=None) -> DataFrame:
     """Journals with several ISSNs in one cohort."""
     rows = cohort_rows(works, levels, years).filter(F.col("journal_id").isNotNull())
@@ -199,5 +262,5 @@ def issn_conflicts(works: DataFrame, levels=LEVELS, years=None) -> DataFrame:
 def journal_multilingual(works: DataFrame, levels=LEVELS, years=None) -> DataFrame:
     """1 for journals with a merged record in several languages, by cohort."""
     flag = N.multilingual("is_merged", "oa_individual_works") if has_languages(works) else F.lit(0)
-    rows = cohort_rows(works, levels, years).filter(F.col("journal_id").isNotNull())
-    return rows.groupBy(*COHORT, "journal_id").agg(F.max(flag).alias("is_journal_multilingual"))
+    rows = journal_rows(works.select("journal_id", "publication_year", *levels, flag.alias("_multilingual")), levels, years)
+    return rows.groupBy(*COHORT, "journal_id").agg(F.max("_multilingual").alias("is_journal_multilingual"))

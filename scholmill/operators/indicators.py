@@ -81,35 +81,64 @@ def output_columns(windows=C.WINDOWS, percentiles=C.PERCENTILES, yearly=()) -> l
     return out
 
 
-def build_indicators(works: DataFrame, meta: DataFrame | None = None, levels=C.LEVELS, years=None, windows=C.WINDOWS, percentiles=C.PERCENTILES, threshold_mode: str = "exact", only=None, short_ids: bool = False, seen: Observation | None = None) -> DataFrame:
-    """A row for each level, category, year and journal, with the columns of ``output_columns``.
+def _needed(columns, windows, percentiles) -> set[str]:
+    """The columns, and those that they are made of."""
+    out = {*columns, *C.COHORT, "journal_id", "journal_publications_count"}
+    for name, _, w in C.metrics(windows):
+        if f"journal_impact_cohort{name}" in out:
+            out |= {f"journal_citations_mean{name}", f"category_citations_mean{name}"}
+        for p in percentiles:
+            base = N.threshold_name(p, w).removesuffix("citations_threshold")
+            if f"{base}publications_share_pct" in out:
+                out.add(f"{base}publications_count")
+            if f"{base}publications_count" in out:
+                out.add(f"{base}citations_threshold")
+    return out
 
-    The columns that are needed are written once, so that ``works``, however it is made, is read once. Cohorts are one grouping of it, their
-    thresholds exact counts by bucket (``quantiles``), the publication statistics the same over the journals' sizes. Thresholds go to the tasks if their
-    measured size allows. Journals are one grouping, planned with the rest of the result, so that columns nobody reads are not made.
+
+def build_indicators(works: DataFrame, meta: DataFrame | None = None, levels=C.LEVELS, years=None, windows=C.WINDOWS, percentiles=C.PERCENTILES, threshold_mode: str = "exact", only=None, short_ids: bool = False, seen: Observation | None = None, columns=None) -> DataFrame:
+    """A row for each level, category, year and journal, with the columns of ``output_columns``, or those of them that ``columns`` names.
+
+    What is needed of ``works`` is written once, so that it is read once, however it is made. Cohorts are counts of equal works, their
+    thresholds exact (``quantiles``). Thresholds go to the tasks if their measured size allows. Journals are one grouping of works that lie together by journal
+    and year; they are written if their cohorts' statistics are asked for, which are made of their sizes.
     ``seen`` has n_journals and n_issn_conflicts once the result has been read.
     """
     C.check_mode(threshold_mode)
     windows, percentiles = sorted(windows), sorted(percentiles, reverse=True)
-    needed = ["publication_year", "journal_id", "journal_issn_l", "is_journal_oa", *levels, "citations_total", *(f"citations_window_{w}y" for w in windows), *C.yearly_columns(works)]
-    languages = C.has_languages(works)
+    every = output_columns(windows, percentiles, C.yearly_columns(works))
+    if columns is not None and not set(columns) <= set(every):
+        raise ValueError(f"no such columns: {sorted(set(columns) - set(every))}")
+    columns = every if columns is None else [c for c in every if c in columns]
+    wanted = _needed(columns, windows, percentiles)
+    languages = C.has_languages(works) and "is_journal_multilingual" in wanted
     C.check_levels(works, levels)
+    needed = ["publication_year", "journal_id", *levels, *(c for c in C.yearly_columns(works) if c in wanted)]
+    needed += ["is_journal_oa"] * ("is_journal_oa" in wanted) + ["journal_issn_l"] * ("journal_issn" in wanted or seen is not None) + ["is_merged", "oa_individual_works"] * languages
+    for name, _, w in C.metrics(windows):
+        own = {f"citations{name}", f"citations{name}_works", f"journal_citations_mean{name}", "journal_citations_total" if w is None else "", f"category_citations_mean{name}", f"category_citations_total{name}"}
+        if wanted & (own | {N.threshold_name(p, w) for p in percentiles}):
+            needed.append("citations_total" if w is None else f"citations_window_{w}y")
     slim = works.filter(F.col("publication_year").isin(*years)) if years is not None else works
-    rows = C.cohort_rows(written(slim.select(*needed, *(["is_merged", "oa_individual_works"] if languages else []))), levels, None, only)
-    cohorts = cut(C.settled_cohorts(rows, C._baseline(windows), windows, percentiles, threshold_mode))
-    sizes = cut(rows.filter(F.col("journal_id").isNotNull()).groupBy(*C.COHORT, "journal_id").agg(F.count("*").alias("journal_publications_count")))
-    journals = C.journal_metrics(rows, C._small(cohorts), windows, percentiles, languages, seen)
-    journals = journals.join(C._small(cohorts.join(C.publication_stats_bracketed(sizes), C.COHORT)), C.COHORT)
+    slim = written(slim.select(*needed))
+    cohorts = cut(C.settled_cohorts(C.cohort_rows(slim, levels, None, only), windows, percentiles, threshold_mode, True, wanted))
+    journals = C.journal_metrics(slim, C._small(cohorts), levels, None, only, windows, percentiles, languages, seen, wanted)
+    if wanted & {"category_publications_mean", "category_publications_median"}:
+        journals = written(journals)
+        cohorts = cut(cohorts.join(C.publication_stats_bracketed(journals), C.COHORT))
+    journals = journals.join(C._small(cohorts), C.COHORT)
     derived = {}
     for name, _, w in C.metrics(windows):
-        derived[f"journal_impact_cohort{name}"] = ratio(F.col(f"journal_citations_mean{name}"), F.col(f"category_citations_mean{name}"))
+        if f"journal_impact_cohort{name}" in wanted:
+            derived[f"journal_impact_cohort{name}"] = ratio(F.col(f"journal_citations_mean{name}"), F.col(f"category_citations_mean{name}"))
         for p in percentiles:
             base = N.threshold_name(p, w).removesuffix("citations_threshold")
-            derived[f"{base}publications_share_pct"] = share_percent(F.col(f"{base}publications_count"), F.col("journal_publications_count"))
+            if f"{base}publications_share_pct" in wanted:
+                derived[f"{base}publications_share_pct"] = share_percent(F.col(f"{base}publications_count"), F.col("journal_publications_count"))
     out = with_metadata(journals.withColumns(derived), meta)
     if short_ids:
         out = out.withColumns({c: N.short_id(c) for c in ("journal_id", "category_id")})
-    return conform(out, output_columns(windows, percentiles, C.yearly_columns(works)))
+    return conform(out, columns)
 
 
 def conform(df: DataFrame, columns: list[str]) -> DataFrame:

@@ -65,14 +65,19 @@ def _picked(counts: DataFrame, wanted: DataFrame, keys: list[str], at: list[str]
     return counts.withColumn("cum", running).join(wanted, [*keys, *at]).filter("need > below + cum - n_part AND need <= below + cum")
 
 
-def settle(groups: DataFrame, rows: DataFrame, keys: list[str], ranks: list[Rank]) -> DataFrame:
-    """``groups`` (keys, n: their rows, and other columns) with a column for each rank. Columns of ranks are long and never null in ``rows``; keys are not null."""
+def settle(groups: DataFrame, rows: DataFrame, keys: list[str], ranks: list[Rank], weight: str | None = None) -> DataFrame:
+    """``groups`` (keys, n: their rows, and other columns) with a column for each rank. Columns of ranks are long and never null in ``rows``; keys are not null.
+
+    ``weight`` is a column with the number of equal rows that a row stands for.
+    """
     if not ranks:
         return groups
     columns = list(dict.fromkeys(r.column for r in ranks))
-    each = rows.select(*keys, *columns).unpivot(keys, columns, "_column", "_x")
+    held = [] if weight is None else [weight]
+    each = rows.select(*keys, *held, *columns).unpivot([*keys, *held], columns, "_column", "_x")
+    n_part = (F.count("*") if weight is None else F.sum(weight)).alias("n_part")
     wanted = groups.select(*keys, F.explode(F.array(*(F.struct(F.lit(r.name).alias("_rank"), F.lit(r.column).alias("_column"), F.expr(r.rank).alias("need")) for r in ranks))).alias("w")).select(*keys, "w.*", F.lit(0).cast("long").alias("below"))
-    counts = each.groupBy(*keys, "_column", F.expr(_bucket("_x")).alias("_part")).agg(F.count("*").alias("n_part"))
+    counts = each.groupBy(*keys, "_column", F.expr(_bucket("_x")).alias("_part")).agg(n_part)
     low, high = _bounds(F.col("_part"))
     state = ["_rank", "_column", "need", "below", "lo", "hi"]
     found = cut(_picked(counts, wanted, keys, ["_column"], "_part").select(*keys, "_rank", "_column", "need", (F.col("below") + F.col("cum") - F.col("n_part")).alias("below"), low.alias("lo"), high.alias("hi")))
@@ -82,7 +87,7 @@ def settle(groups: DataFrame, rows: DataFrame, keys: list[str], ranks: list[Rank
         brackets = open_.select(*keys, "_column", "lo", "hi").distinct()
         size = f"greatest(length(bin(hi - lo)) - {PARTS}, 0)"
         part = F.expr(f"shiftright(_x - lo, {size})")
-        inside = each.join(brackets, [*keys, "_column"]).filter("_x BETWEEN lo AND hi").groupBy(*keys, "_column", "lo", "hi", part.alias("_part")).agg(F.count("*").alias("n_part"))
+        inside = each.join(brackets, [*keys, "_column"]).filter("_x BETWEEN lo AND hi").groupBy(*keys, "_column", "lo", "hi", part.alias("_part")).agg(n_part)
         told = _picked(inside, open_, keys, ["_column", "lo", "hi"], "_part").withColumn("below", F.col("below") + F.col("cum") - F.col("n_part"))
         start = F.expr(f"lo + shiftleft(_part, {size})")
         told = told.select(*keys, "_rank", "_column", "need", "below", start.alias("lo"), F.expr(f"lo + shiftleft(_part, {size}) + (shiftleft(1L, {size}) - 1)").alias("hi"))

@@ -15,7 +15,7 @@ from scholmill.operators import extract as E
 from scholmill.operators import indicators as I
 from scholmill.operators import integrate as G
 from scholmill.operators import metadata as M
-from scholmill.operators.durable import cut, scratch
+from scholmill.operators.durable import cut, scratch, written
 from scholmill.plans.views import view
 from scholmill.sources import articles as SA
 from scholmill.sources import works as SW
@@ -56,8 +56,8 @@ def cohort_thresholds_floor_plus_one(spark, sf_dir):
 
 
 def journal_metrics(spark, sf_dir):
-    works = view(spark, sf_dir, "works")
-    return C.journal_metrics(C.cohort_rows(works), C.cohort_thresholds(works)).drop("is_journal_multilingual")
+    works = written(view(spark, sf_dir, "works").drop("work_id", "language", "doi"))
+    return C.journal_metrics(works, C._small(cut(C.cohort_thresholds_bracketed(works)))).drop("is_journal_multilingual")
 
 
 def journal_issn_conflicts(spark, sf_dir):
@@ -69,13 +69,11 @@ def journal_multilingual(spark, sf_dir):
 
 
 def cohort_publication_stats(spark, sf_dir):
-    rows = C.cohort_rows(view(spark, sf_dir, "works")).filter("journal_id IS NOT NULL")
-    return C.publication_stats(rows.groupBy(*C.COHORT, "journal_id").agg(F.count("*").alias("journal_publications_count")))
+    return C.publication_stats(C.journal_sizes(view(spark, sf_dir, "works")))
 
 
 def cohort_publication_stats_bracketed(spark, sf_dir):
-    rows = C.cohort_rows(view(spark, sf_dir, "works")).filter("journal_id IS NOT NULL")
-    return C.publication_stats_bracketed(cut(rows.groupBy(*C.COHORT, "journal_id").agg(F.count("*").alias("journal_publications_count"))))
+    return C.publication_stats_bracketed(C.journal_sizes(view(spark, sf_dir, "works")))
 
 
 def citation_percentiles_linear(spark, sf_dir):
@@ -84,16 +82,18 @@ def citation_percentiles_linear(spark, sf_dir):
     return p.select(*C.COHORT, F.col("p")[0].alias("p25"), F.col("p")[1].alias("p50"), F.col("p")[2].alias("p90"))
 
 
-def _indicators(spark, sf_dir):
-    return I.build_indicators(view(spark, sf_dir, "works"))
+def _indicators(spark, sf_dir, columns=None):
+    return I.build_indicators(view(spark, sf_dir, "works"), columns=columns)
 
 
 def cohort_impact(spark, sf_dir):
-    return _indicators(spark, sf_dir).select(*C.COHORT, "journal_id", "journal_impact_cohort", *[f"journal_impact_cohort_window_{w}y" for w in C.WINDOWS])
+    asked = [*C.COHORT, "journal_id", "journal_impact_cohort", *[f"journal_impact_cohort_window_{w}y" for w in C.WINDOWS]]
+    return _indicators(spark, sf_dir, asked).select(*asked)
 
 
 def top_share(spark, sf_dir):
-    return _indicators(spark, sf_dir).select(*C.COHORT, "journal_id", *[f"top_{N.top(p)}pct_all_time_publications_share_pct" for p in C.PERCENTILES], "top_10pct_window_3y_publications_share_pct")
+    asked = [*C.COHORT, "journal_id", *[f"top_{N.top(p)}pct_all_time_publications_share_pct" for p in C.PERCENTILES], "top_10pct_window_3y_publications_share_pct"]
+    return _indicators(spark, sf_dir, asked).select(*asked)
 
 
 def indicators_all_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -101,7 +101,8 @@ def indicators_all_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def comparability_flag(spark, sf_dir):
-    return I.comparability(_indicators(spark, sf_dir)).select(*C.COHORT, "journal_id", "journal_publications_count", "min_publications", "is_comparable")
+    asked = [*C.COHORT, "journal_id", "journal_publications_count", "category_publications_count", "category_publications_median"]
+    return I.comparability(_indicators(spark, sf_dir, asked)).select(*C.COHORT, "journal_id", "journal_publications_count", "min_publications", "is_comparable")
 
 
 def metadata_resolved(spark, sf_dir):
@@ -114,8 +115,8 @@ def metadata_conflicts(spark, sf_dir):
 
 def indicators_enriched(spark, sf_dir):
     meta = M.resolve_conflicts(M.normalize(view(spark, sf_dir, "meta_raw")))
-    out = I.build_indicators(view(spark, sf_dir, "works"), meta, short_ids=True)
-    return out.select("category_level", "category_id", "publication_year", "journal_id", "journal_title", "journal_country", "scielo_collection", "is_scielo", "is_scopus", "journal_publications_count", "journal_impact_cohort")
+    asked = ["category_level", "category_id", "publication_year", "journal_id", "journal_title", "journal_country", "scielo_collection", "is_scielo", "is_scopus", "journal_publications_count", "journal_impact_cohort"]
+    return I.build_indicators(view(spark, sf_dir, "works"), meta, short_ids=True, columns=asked).select(*asked)
 
 
 def _raw_lines(spark, sf_dir):
@@ -185,7 +186,7 @@ def indicator_reports(spark, sf_dir):
     """Conflicts of ISSNs and of metadata, observed while the indicators are made."""
     journals, metadata = Observation(), Observation()
     meta = cut(M.resolve_conflicts(M.normalize(view(spark, sf_dir, "meta_raw")), seen=metadata))
-    n = I.build_indicators(view(spark, sf_dir, "works"), meta, seen=journals).select(F.count_if(F.col("journal_issn").isNotNull())).first()[0]
+    n = I.build_indicators(view(spark, sf_dir, "works"), meta, seen=journals, columns=["journal_issn"]).select(F.count_if(F.col("journal_issn").isNotNull())).first()[0]
     row = (n, journals.get["n_journals"], journals.get["n_issn_conflicts"], *(metadata.get[c] for c in ("n_unique", "n_identical", "n_conflicts")))
     return spark.createDataFrame([row], "n_with_issn long, n_journals long, n_issn_conflicts long, n_unique long, n_identical long, n_conflicts long")
 

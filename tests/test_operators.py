@@ -19,6 +19,7 @@ from scholmill.operators import metadata as M
 from scholmill.operators import quantiles as Q
 from scholmill.plans import queries as PQ
 from scholmill.operators.components import components
+from scholmill.operators.durable import cut
 from scholmill.sources import articles as SA
 from scholmill.sources import works as SW
 from scholmill.streaming.incremental import extract_new_files
@@ -502,3 +503,42 @@ def test_titles_are_folded_a_few_at_a_time():
     tracemalloc.stop()
     assert got.to_pylist() == [f"ea{k}" + "fi" * 2000 for k in range(4000)] + [None]
     assert peak < 4 << 20, peak
+
+
+def test_journals_move_a_work_once(spark, works):
+    """Works move by journal and year, before there is a row for each level, and nothing moves by category until journals are counted; no text makes the grouping sort."""
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    for df in (C.journal_multilingual(works), C.journal_sizes(works), C.journal_metrics(works, C._small(cut(C.cohort_thresholds_bracketed(works))))):
+        p = plan(df)
+        assert p.count("hashpartitioning(journal_id") == 1 and "hashpartitioning(category_level" not in p and "SortAggregate" not in p, p
+    several = works.unionByName(works.withColumn("journal_issn_l", F.lit("A9"))).unionByName(works.withColumn("journal_issn_l", F.lit(None).cast("string")))
+    found = {(r.publication_year, r.journal_id): (r.journal_issn, r.journal_publications_count) for r in C.journal_metrics(several, C.cohort_thresholds(several), ("field",)).collect()}
+    assert found == {(2020, "S1"): ("A9", 6), (2020, "S2"): ("A9", 3), (2021, "S1"): ("A9", 3)}
+    assert {r.journal_issn for r in C.journal_metrics(works.withColumn("journal_issn_l", F.lit(None).cast("string")), C.cohort_thresholds(works)).collect()} == {None}
+
+
+def test_only_columns_asked_for(spark, works, monkeypatch):
+    """Columns asked for are those of the whole table, and thresholds and sizes that none of them needs are not made."""
+    whole = I.build_indicators(works)
+    asked = [*C.COHORT, "journal_id", "journal_impact_cohort_window_3y", "journal_issn"]
+    key = lambda r: tuple(map(str, r))
+    for columns in (asked, [*asked, "top_10pct_window_3y_publications_share_pct"], [*asked, "category_publications_median"], ["citations_window_2y_works", "journal_id"]):
+        got = I.build_indicators(works, columns=columns)
+        assert sorted(got.columns) == sorted(columns) and sorted(map(key, got.collect())) == sorted(map(key, whole.select(*got.columns).collect()))
+    with pytest.raises(ValueError):
+        I.build_indicators(works, columns=["none"])
+    monkeypatch.setattr(C, "publication_stats_bracketed", lambda journals: pytest.fail("sizes are not asked for"))
+    monkeypatch.setattr(C.Q, "_picked", lambda *a: pytest.fail("thresholds are not asked for"))
+    assert I.build_indicators(works, columns=asked).count() == whole.count()
+
+
+def test_weighted_ranks(spark):
+    """Values counted before have the ranks of the rows that they stand for, at either side of a bracket."""
+    values = [(1, 3, 2), (1, 700_000, 3), (1, 700_001, 1), (2, -5, 1)]
+    df = spark.createDataFrame(values, "g int, x long, times long")
+    ranks = [*Q.middle("x"), Q.percentile("p", "x", 90)]
+    groups = df.groupBy("g").agg(F.sum("times").alias("n"))
+    assert {tuple(r) for r in Q.settle(groups, df, ["g"], ranks, "times").collect()} == {(1, 6, 700_000, 700_000, 700_001), (2, 1, -5, -5, -5)}
+    sizes = spark.createDataFrame([("d", "c", 2020, n) for n in (1, 1, 2, 9)], "category_level string, category_id string, publication_year int, journal_publications_count long")
+    for f in (C.publication_stats, C.publication_stats_bracketed):
+        assert tuple(f(sizes).first())[3:] == (3.25, 1.5)
