@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from scholmill.functions import normalize as N
 from scholmill.operators.cohorts import LEVELS, yearly_columns
+from scholmill.operators.durable import written
 
 #: Normalised DOI of a stored work; that of a work without DOI starts with a space, which no normalised DOI does.
 KEY = "doi_key"
@@ -133,8 +134,12 @@ def unmatched_articles(matched: DataFrame, like: DataFrame) -> DataFrame:
 
 
 def integrate(articles: DataFrame, works: DataFrame, start_year: int, end_year: int, years: list[int] | None = None, base_row: str = "survivor") -> DataFrame:
-    """Merged works and unmatched articles, one table."""
-    matched = match_articles(articles, works, start_year, end_year, years)
+    """Merged works and unmatched articles, one table.
+
+    Works (unless stored by DOI), articles and matches are written once, as the match, the merge and what is left all read them.
+    """
+    works = works if KEY in works.columns else written(works)
+    matched = written(match_articles(written(articles), works, start_year, end_year, years))
     merged = merge_works(matched, works, base_row, years=(start_year, end_year))
     return merged.unionByName(unmatched_articles(matched, merged))
 

@@ -542,3 +542,12 @@ def test_weighted_ranks(spark):
     sizes = spark.createDataFrame([("d", "c", 2020, n) for n in (1, 1, 2, 9)], "category_level string, category_id string, publication_year int, journal_publications_count long")
     for f in (C.publication_stats, C.publication_stats_bracketed):
         assert tuple(f(sizes).first())[3:] == (3.25, 1.5)
+
+
+def test_merge_reads_works_and_matches_once(spark, works):
+    """The merged table is planned from copies written once: neither works nor articles are made again for the match, the merge and what is left."""
+    articles = spark.createDataFrame([(1, "10/a", ["P"]), (2, "10/z", ["Q"])], "article_idx long, doi string, pid_v2 array<string>")
+    out = G.integrate(articles, works.drop("is_merged", "oa_individual_works"), 2000, 2030)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "FileScan parquet" in plan and "ExistingRDD" not in plan and "LocalTableScan" not in plan, plan
+    assert sorted(r.work_id for r in out.collect()) == ["W1", "W2", "W3", "W4", "W5", "scielo:Q"]
