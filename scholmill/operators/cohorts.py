@@ -8,6 +8,7 @@ where its measured size allows.
 from __future__ import annotations
 
 import re
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
@@ -52,6 +53,19 @@ def cohort_rows(works: DataFrame, levels=LEVELS, years=None, categories=None) ->
     return rows if categories is None else rows.filter(F.col("category_id").isin(*categories))
 
 
+def level_rows(works: DataFrame, levels=LEVELS, years=None, categories=None) -> list[DataFrame]:
+    """``cohort_rows``, a table for each level, for works that are written.
+
+    A grouping of one level reads only its column, and the level is no part of its keys; that takes less than a grouping of rows of all levels, though works are read for each level.
+    """
+    levels = check_levels(works, levels)
+    if years is not None:
+        works = works.filter(F.col("publication_year").isin(*years))
+    kept = [c for c in works.columns if c not in LEVELS]
+    found = [works.select(*kept, F.lit(v).alias("category_level"), F.col(v).alias("category_id")).filter("category_id IS NOT NULL AND publication_year IS NOT NULL") for v in levels]
+    return found if categories is None else [rows.filter(F.col("category_id").isin(*categories)) for rows in found]
+
+
 def journal_rows(works: DataFrame, levels=LEVELS, years=None, categories=None) -> DataFrame:
     """``cohort_rows`` of works with a journal, all works of a journal and year in one task.
 
@@ -133,22 +147,31 @@ def _ranks(windows, percentiles) -> list[Q.Rank]:
     return [Q.percentile(N.threshold_name(p, w), "citations_total" if w is None else f"citations_window_{w}y", p) for _, _, w in metrics(windows) for p in percentiles]
 
 
-def settled_cohorts(rows: DataFrame, windows=WINDOWS, percentiles=PERCENTILES, threshold_mode: str = "exact", baseline: bool = False, wanted=None) -> DataFrame:
-    """Cohorts of ``cohort_rows`` with the exact thresholds and, if asked for, what ``cohort_baseline`` has; no task holds a cohort's values.
+def _grouped(parts: list[DataFrame], keys: list, *found: Column) -> DataFrame:
+    """Each of ``parts``, of which no two share a group, grouped alone."""
+    return reduce(DataFrame.unionByName, [rows.groupBy(*keys).agg(*found) for rows in parts])
+
+
+def settled_cohorts(rows: DataFrame | list[DataFrame], windows=WINDOWS, percentiles=PERCENTILES, threshold_mode: str = "exact", baseline: bool = False, wanted=None) -> DataFrame:
+    """Cohorts of ``cohort_rows`` or ``level_rows`` with the exact thresholds and, if asked for, what ``cohort_baseline`` has; no task holds a cohort's values.
 
-    Rows are read once: they are counted by cohort and the values of their metrics, and the rest is made of these counts. ``wanted`` are the names
-    of the columns to be made (None: all).
+    Rows are read once: they are counted by cohort and the values of their metrics, and the rest is made of these counts; without thresholds they
+    are summed by cohort at once. ``wanted`` are the names of the columns to be made (None: all).
     """
+    parts = rows if isinstance(rows, list) else [rows]
     check_mode(threshold_mode)
     asked = lambda c: wanted is None or c in wanted
     ranks = [r for r in _ranks(windows, percentiles) if asked(r.name)]
     columns = {name: "citations_total" if w is None else f"citations_window_{w}y" for name, _, w in metrics(windows)}
     totals = [name for name in columns if baseline and (asked(f"category_citations_total{name}") or asked(f"category_citations_mean{name}"))]
     used = [c for name, c in columns.items() if name in totals or any(r.column == c for r in ranks)]
-    counted = cut(rows.groupBy(*COHORT, *(F.coalesce(F.col(c), F.lit(0)).cast("long").alias(c) for c in used)).agg(F.count("*").alias("n_rows")))
-    sums = [F.sum(F.col(columns[name]) * F.col("n_rows")).alias(f"category_citations_total{name}") for name in totals]
-    groups = cut(counted.groupBy(*COHORT).agg(F.sum("n_rows").alias("n"), *sums))
-    out = Q.settle(groups, counted, COHORT, ranks, "n_rows")
+    values = {c: F.coalesce(F.col(c), F.lit(0)).cast("long") for c in used}
+    if ranks:
+        counted = cut(_grouped(parts, [*COHORT, *(x.alias(c) for c, x in values.items())], F.count("*").alias("n_rows")))
+        sums = [F.sum(F.col(columns[name]) * F.col("n_rows")).alias(f"category_citations_total{name}") for name in totals]
+        out = Q.settle(cut(counted.groupBy(*COHORT).agg(F.sum("n_rows").alias("n"), *sums)), counted, COHORT, ranks, "n_rows")
+    else:
+        out = _grouped(parts, COHORT, F.count("*").alias("n"), *(F.sum(values[columns[name]]).alias(f"category_citations_total{name}") for name in totals))
     if baseline:
         out = out.withColumns({"category_publications_count": F.col("n")} | {f"category_citations_mean{name}": F.col(f"category_citations_total{name}") / F.col("n") for name in totals})
     out = out.drop("n")

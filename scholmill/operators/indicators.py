@@ -121,12 +121,14 @@ def build_indicators(works: DataFrame, meta: DataFrame | None = None, levels=C.L
             needed.append("citations_total" if w is None else f"citations_window_{w}y")
     slim = works.filter(F.col("publication_year").isin(*years)) if years is not None else works
     slim = written(slim.select(*needed))
-    cohorts = cut(C.settled_cohorts(C.cohort_rows(slim, levels, None, only), windows, percentiles, threshold_mode, True, wanted))
+    cohorts = cut(C.settled_cohorts(C.level_rows(slim, levels, None, only), windows, percentiles, threshold_mode, True, wanted))
     journals = C.journal_metrics(slim, C._small(cohorts), levels, None, only, windows, percentiles, languages, seen, wanted)
     if wanted & {"category_publications_mean", "category_publications_median"}:
         journals = written(journals)
         cohorts = cut(cohorts.join(C.publication_stats_bracketed(journals), C.COHORT))
-    journals = journals.join(C._small(cohorts), C.COHORT)
+    late = [c for c in cohorts.columns if c in columns or c.startswith("category_citations_mean")]
+    if set(late) - set(C.COHORT):
+        journals = journals.join(C._small(cohorts.select(*C.COHORT, *(c for c in late if c not in C.COHORT))), C.COHORT)
     derived = {}
     for name, _, w in C.metrics(windows):
         if f"journal_impact_cohort{name}" in wanted:

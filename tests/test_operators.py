@@ -532,6 +532,23 @@ def test_only_columns_asked_for(spark, works, monkeypatch):
     assert I.build_indicators(works, columns=asked).count() == whole.count()
 
 
+def test_cohorts_are_counted_level_by_level(spark, works, tmp_path, monkeypatch):
+    """Cohorts of written works are counted without a row for each level, each level from its own column; journals meet cohorts again only for columns of theirs."""
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    odd = works.unionByName(works.withColumn("topic", F.lit(None).cast("string"))).unionByName(works.withColumn("publication_year", F.lit(None).cast("int")))
+    odd.write.parquet(f"{tmp_path}/works")
+    odd = spark.read.parquet(f"{tmp_path}/works")
+    for ranks in ((50, 90), ()):
+        made = [sorted(map(tuple, C.settled_cohorts(rows, (2,), ranks, "exact", True).collect())) for rows in (C.cohort_rows(odd, years=[2020, 2021]), C.level_rows(odd, years=[2020, 2021]))]
+        assert made[0] and made[0] == made[1]
+    for level, rows in zip(C.LEVELS, C.level_rows(odd)):
+        p = plan(rows.groupBy(*C.COHORT).count())
+        assert "Expand" not in p and f"ReadSchema: struct<{level}:string,publication_year:int>" in p.replace(f"publication_year:int,{level}:string", f"{level}:string,publication_year:int"), p
+    monkeypatch.setattr(C, "cohort_rows", lambda *a: pytest.fail("a row for each level is made"))
+    share = I.build_indicators(works, columns=[*C.COHORT, "journal_id", "top_50pct_all_time_publications_share_pct"])
+    assert plan(share).count("Join") == 1 and plan(I.build_indicators(works, columns=["journal_id", "journal_impact_cohort"])).count("Join") == 1
+
+
 def test_weighted_ranks(spark):
     """Values counted before have the ranks of the rows that they stand for, at either side of a bracket."""
     values = [(1, 3, 2), (1, 700_000, 3), (1, 700_001, 1), (2, -5, 1)]
