@@ -199,10 +199,10 @@ def _issn_codes(works: DataFrame) -> DataFrame:
     return _small(cut(issns.orderBy("journal_issn").withColumn("_issn", F.monotonically_increasing_id())))
 
 
-def journal_metrics(works: DataFrame, cohorts: DataFrame, levels=LEVELS, years=None, only=None, windows=WINDOWS, percentiles=PERCENTILES, with_languages: bool = False, seen: Observation | None = None, wanted=None) -> DataFrame:
+def journal_metrics(works: DataFrame, cohorts: DataFrame | None, levels=LEVELS, years=None, only=None, windows=WINDOWS, percentiles=PERCENTILES, with_languages: bool = False, seen: Observation | None = None, wanted=None) -> DataFrame:
     """Per cohort and journal: totals, means, cited works, yearly sums, works at or above each threshold, flags.
 
-    cohorts: rows with the thresholds. Works without journal have no row; null citations never reach a threshold. ``works`` is read twice.
+    cohorts: rows with the thresholds; None if nothing is asked for that needs them. Works without journal have no row; null citations never reach a threshold. ``works`` is read twice.
     ``seen`` has n_journals and n_issn_conflicts (those of several ISSNs in their cohort) once the result has been read. ``wanted`` are the names of
     the columns to be made (None: all).
     """

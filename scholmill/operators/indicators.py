@@ -101,7 +101,8 @@ def build_indicators(works: DataFrame, meta: DataFrame | None = None, levels=C.L
 
     What is needed of ``works`` is written once, so that it is read once, however it is made. Cohorts are counts of equal works, their
     thresholds exact (``quantiles``). Thresholds go to the tasks if their measured size allows. Journals are one grouping of works that lie together by journal
-    and year; they are written if their cohorts' statistics are asked for, which are made of their sizes.
+    and year; they are written if their cohorts' statistics are asked for, which are made of their sizes. ``meta`` has a row for each journal and year. Cohorts and
+    metadata of which no column is asked for are left out.
     ``seen`` has n_journals and n_issn_conflicts once the result has been read.
     """
     C.check_mode(threshold_mode)
@@ -121,12 +122,14 @@ def build_indicators(works: DataFrame, meta: DataFrame | None = None, levels=C.L
             needed.append("citations_total" if w is None else f"citations_window_{w}y")
     slim = works.filter(F.col("publication_year").isin(*years)) if years is not None else works
     slim = written(slim.select(*needed))
-    cohorts = cut(C.settled_cohorts(C.level_rows(slim, levels, None, only), windows, percentiles, threshold_mode, True, wanted))
-    journals = C.journal_metrics(slim, C._small(cohorts), levels, None, only, windows, percentiles, languages, seen, wanted)
+    cohorts = None
+    if any(c.startswith(("category_citations_", "category_publications_")) or c.endswith("_citations_threshold") for c in wanted):
+        cohorts = cut(C.settled_cohorts(C.level_rows(slim, levels, None, only), windows, percentiles, threshold_mode, True, wanted))
+    journals = C.journal_metrics(slim, cohorts if cohorts is None else C._small(cohorts), levels, None, only, windows, percentiles, languages, seen, wanted)
     if wanted & {"category_publications_mean", "category_publications_median"}:
         journals = written(journals)
         cohorts = cut(cohorts.join(C.publication_stats_bracketed(journals), C.COHORT))
-    late = [c for c in cohorts.columns if c in columns or c.startswith("category_citations_mean")]
+    late = [] if cohorts is None else [c for c in cohorts.columns if c in columns or c.startswith("category_citations_mean")]
     if set(late) - set(C.COHORT):
         journals = journals.join(C._small(cohorts.select(*C.COHORT, *(c for c in late if c not in C.COHORT))), C.COHORT)
     derived = {}
@@ -137,7 +140,8 @@ def build_indicators(works: DataFrame, meta: DataFrame | None = None, levels=C.L
             base = N.threshold_name(p, w).removesuffix("citations_threshold")
             if f"{base}publications_share_pct" in wanted:
                 derived[f"{base}publications_share_pct"] = share_percent(F.col(f"{base}publications_count"), F.col("journal_publications_count"))
-    out = with_metadata(journals.withColumns(derived), meta)
+    described = {*TEXT_COLUMNS, *FLAG_COLUMNS, "scielo_collection"} & wanted
+    out = with_metadata(journals.withColumns(derived), meta if described else None)
     if short_ids:
         out = out.withColumns({c: N.short_id(c) for c in ("journal_id", "category_id")})
     return conform(out, columns)

@@ -549,6 +549,17 @@ def test_cohorts_are_counted_level_by_level(spark, works, tmp_path, monkeypatch)
     assert plan(share).count("Join") == 1 and plan(I.build_indicators(works, columns=["journal_id", "journal_impact_cohort"])).count("Join") == 1
 
 
+def test_reports_make_no_cohorts(spark, works, monkeypatch):
+    """Cohorts and metadata are not made where no column needs them."""
+    meta = spark.createDataFrame([("S1", 2020, "One")], "journal_id string, publication_year int, journal_title string")
+    want = I.build_indicators(works, meta).select("journal_id", "journal_issn").collect()
+    monkeypatch.setattr(C, "settled_cohorts", lambda *a: pytest.fail("cohorts are not asked for"))
+    got = I.build_indicators(works, meta, columns=["journal_id", "journal_issn"])
+    assert sorted(map(str, got.collect())) == sorted(map(str, want))
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("Join") == 2  # ISSNs' numbers, there and back
+    assert {r.journal_title for r in I.build_indicators(works, meta, columns=["journal_title", "publication_year"]).collect()} >= {"One"}
+
+
 def test_weighted_ranks(spark):
     """Values counted before have the ranks of the rows that they stand for, at either side of a bracket."""
     values = [(1, 3, 2), (1, 700_000, 3), (1, 700_001, 1), (2, -5, 1)]
