@@ -48,12 +48,16 @@ COMPARABLE_LEAST = 12
 
 
 def with_metadata(journals: DataFrame, meta: DataFrame | None) -> DataFrame:
-    """Journal rows with metadata of their journal and year; defaults where there is none. Without the key columns it is skipped."""
+    """Journal rows with metadata of their journal and year; defaults where there is none. Without the key columns it is skipped.
+
+    A task looks its journals up in a hash table of its part of the metadata (a row for each journal and year), so journals, which lie together by these
+    but are many more, are not sorted.
+    """
     keys = ["journal_id", "publication_year"]
     taken: list[str] = []
     if meta is not None and set(keys) <= set(meta.columns):
         taken = [c for c in (*TEXT_COLUMNS, *FLAG_COLUMNS) if c in meta.columns]
-        journals = journals.join(meta.select(*keys, *taken), keys, "left")
+        journals = journals.join(meta.select(*keys, *taken).hint("shuffle_hash"), keys, "left")
     get = lambda c: F.col(c) if c in taken else F.lit(None).cast("string")
     columns = {"journal_title": F.coalesce(F.nullif(get("journal_title"), F.lit("")), F.col("journal_id"))}
     columns |= {c: F.coalesce(get(c), F.lit("")) for c in TEXT_COLUMNS[1:]}

@@ -560,6 +560,20 @@ def test_reports_make_no_cohorts(spark, works, monkeypatch):
     assert {r.journal_title for r in I.build_indicators(works, meta, columns=["journal_title", "publication_year"]).collect()} >= {"One"}
 
 
+def test_metadata_sorts_no_journals(spark, works):
+    """Journals that lie by journal and year meet large metadata without a sort and without moving again."""
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        meta = spark.createDataFrame([("S1", 2020, "One")], "journal_id string, publication_year int, journal_title string")
+        out = I.with_metadata(C.journal_sizes(works), meta)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "Sort" not in plan and plan.count("hashpartitioning(journal_id") == 2, plan
+        assert {(r.journal_id, r.publication_year, r.journal_title) for r in out.collect()} >= {("S1", 2020, "One"), ("S2", 2020, "S2")}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
 def test_weighted_ranks(spark):
     """Values counted before have the ranks of the rows that they stand for, at either side of a bracket."""
     values = [(1, 3, 2), (1, 700_000, 3), (1, 700_001, 1), (2, -5, 1)]
