@@ -12,7 +12,8 @@ from pyspark.sql import types as T
 ID_PREFIX = "https://openalex.org/"
 #: Texts that count as a set flag.
 TRUE_TEXTS = ("1", "true", "t", "yes", "y", "sim", "s")
-_ENDS = r"(?U)^\s+|\s+$"
+#: All white space of Unicode.
+_SPACE = "\t\n\x0b\x0c\r \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
 
 
 def _col(x: Column | str) -> Column:
@@ -21,7 +22,7 @@ def _col(x: Column | str) -> Column:
 
 def strip(x: Column | str) -> Column:
     """Without white space at the ends; null stays null."""
-    return F.regexp_replace(_col(x), _ENDS, "")
+    return F.trim(_col(x), F.lit(_SPACE))
 
 
 def text(x: Column | str) -> Column:
@@ -31,7 +32,7 @@ def text(x: Column | str) -> Column:
 
 def doi(x: Column | str) -> Column:
     """Lower-case DOI without resolver prefixes, wherever they stand; nothing gives ''."""
-    out = F.lower(text(x))
+    out = F.lower(F.coalesce(_col(x).cast("string"), F.lit("")))
     for prefix in ("https://doi.org/", "http://doi.org/", "doi:"):
         out = F.replace(out, F.lit(prefix), F.lit(""))
     return strip(out)

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -30,3 +32,15 @@ def written(df: DataFrame) -> DataFrame:
     path = f"{scratch(df.sparkSession)}/table-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+@contextlib.contextmanager
+def shuffles_let_go(spark: SparkSession) -> Iterator[None]:
+    """Here the shuffle files of a query go as soon as it has ended; else they stay until the driver collects its garbage. For queries whose result is written."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)

@@ -227,8 +227,9 @@ def match_consolidated(spark, sf_dir):
 
 
 def _merged(articles, works):
-    out = G.integrate(articles, works, *YEARS)
-    return out.select("work_id", "publication_year", "citations_total", *G.WINDOW_COLUMNS, "citations_2000", "citations_2001", "is_journal_oa", "domain", "field", F.array_join("scielo_pid_v2", ",").alias("scielo_pid_v2"), F.array_join("all_work_ids", ",").alias("all_work_ids"), "is_merged", F.coalesce(F.json_object_keys("oa_individual_works")[0], F.lit("")).alias("first_work"))
+    plain = ["work_id", "publication_year", "citations_total", *G.WINDOW_COLUMNS, "citations_2000", "citations_2001", "is_journal_oa", "domain", "field", "is_merged"]
+    out = G.integrate(articles, works, *YEARS, columns=[*plain, "scielo_pid_v2", "all_work_ids", "oa_individual_works"])
+    return out.select(*plain[:-1], F.array_join("scielo_pid_v2", ",").alias("scielo_pid_v2"), F.array_join("all_work_ids", ",").alias("all_work_ids"), "is_merged", F.coalesce(F.json_object_keys("oa_individual_works")[0], F.lit("")).alias("first_work"))
 
 
 def merged_works(spark, sf_dir):

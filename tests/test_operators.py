@@ -1,5 +1,7 @@
 """Small inputs with known results."""
 
+import random
+import time
 import tracemalloc
 from collections import Counter
 
@@ -593,3 +595,72 @@ def test_merge_reads_works_and_matches_once(spark, works):
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "FileScan parquet" in plan and "ExistingRDD" not in plan and "LocalTableScan" not in plan, plan
     assert sorted(r.work_id for r in out.collect()) == ["W1", "W2", "W3", "W4", "W5", "scielo:Q"]
+
+
+def test_strip_takes_all_white_space(spark):
+    """What stands at the ends and is white space to Unicode, as a regular expression finds it, for every character of 16 bits."""
+    chars = spark.createDataFrame([(f" \t{c}a {c}b{c}\n",) for c in map(chr, range(1, 0x10000)) if not "\ud800" <= c <= "\udfff"], "x string")
+    out = chars.select(N.strip("x").alias("got"), F.regexp_replace("x", r"(?U)^\s+|\s+$", "").alias("want"))
+    assert out.filter("got <> want OR got IS NULL").count() == 0 and out.filter("startswith(got, 'a')").count() == 25 + 1  # the letter a too
+
+
+def _shuffle_files(spark):
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {name for k in range(files.size()) if (name := files.apply(k).getName()).startswith("shuffle_")}
+
+
+def test_merge_leaves_no_shuffles_and_moves_works_of_articles_only(spark, works):
+    """Once the merge is planned its shuffle files are gone; in the plan works without article don't move, those of one move once, and neither has columns that nobody asks for."""
+    articles = spark.createDataFrame([(1, "10/a", ["P"]), (2, "10/z", ["Q"])], "article_idx long, doi string, pid_v2 array<string>")
+    asked = ["work_id", "citations_total", "domain", "scielo_pid_v2", "all_work_ids"]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        before = _shuffle_files(spark)
+        out = G.integrate(articles, works.drop("is_merged", "oa_individual_works"), 2000, 2030, columns=asked)
+        for _ in range(100):  # they are removed in the background
+            if not (left := _shuffle_files(spark) - before):
+                break
+            time.sleep(0.1)
+        plan = out._jdf.queryExecution().executedPlan().toString().splitlines()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert not left and out.columns == asked
+    indent = lambda line: len(line) - len(line.lstrip(" :+-"))
+    exchanges = {}
+    for k, line in enumerate(plan):
+        if "FileScan" in line and "work_id" in line:
+            assert "topic" not in line and "language" not in line
+            depth, above = indent(line), 0
+            for up in reversed(plan[:k]):
+                if indent(up) < depth:
+                    depth, above = indent(up), above + ("Exchange" in up)
+            exchanges["IsNull(_article)" in line] = above
+    assert exchanges == {True: 0, False: 1}, plan
+    assert sorted((r.work_id, r.citations_total, r.domain, r.scielo_pid_v2, r.all_work_ids) for r in out.filter("work_id IN ('W1', 'scielo:Q')").collect()) == [("W1", 20, "d", ["P"], ["W1"]), ("scielo:Q", 0, None, ["Q"], [])]
+
+
+@pytest.mark.parametrize("repeated", [False, True])
+def test_integrate_against_matches_and_merge(spark, works, repeated):
+    """The table equals that of ``match_articles``, ``merge_works`` and ``unmatched_articles``: ids once or repeated, without id or DOI, of other years, DOIs of several articles, articles twice."""
+    rng = random.Random(5)
+    pick = lambda *v: rng.choice(v)
+    names, rows = [c for c in works.columns if c not in ("is_merged", "oa_individual_works")], []
+    for k in range(300):
+        if not (repeated and k % 3 == 1):  # else all but the DOI is that of the row before
+            row = {c: pick(None, 0, 1, 7, 1000) for c in names if c.startswith("citations_")} | {c: pick(None, "", "x", "y") for c in names if c in (*C.LEVELS, "language", "journal_id", "journal_issn_l")}
+            row |= {"publication_year": pick(None, 2019, 2020, 2020, 2020), "is_journal_oa": pick(None, 0, 1), "work_id": None if k % 29 == 0 else f"W{k}"}
+        rows.append(row | {"doi": pick(None, "", " ", f" W{k}", *[f"https://doi.org/10/{'Aa'[n % 2]}{n}" for n in range(60)] * 2)})
+    all_works = spark.createDataFrame([tuple(r[c] for c in names) for r in rows], works.select(*names).schema)
+    made = [(n % 40 or None, pick(None, "", f" W{n}", f"10/a{n}", f"10/a{n % 30}"), {"pt": f"10/a{n + 5}"}, [f"P{n % 40}"], ["c"], 2000) for n in range(45)]
+    articles = spark.createDataFrame(made, "article_idx long, doi string, doi_with_lang map<string,string>, pid_v2 array<string>, collection array<string>, publication_year int")
+    assert repeated == (all_works.filter("work_id IS NOT NULL").groupBy("work_id").count().filter("count > 1").count() > 0)
+    # of rows with one id, which one is kept, and so its DOI, is open
+    shown = lambda df: sorted(map(str, df.withColumn("doi", F.when(F.lit(not repeated) | F.col("oa_individual_works").isNull(), F.col("doi"))).collect()))
+    matched = G.match_articles(articles, all_works, 2020, 2020, [2024])
+    merged = G.merge_works(matched, all_works)
+    want = cut(merged.unionByName(G.unmatched_articles(matched, merged)))
+    got = G.integrate(articles, all_works, 2020, 2020, [2024])
+    assert got.dtypes == want.dtypes and shown(got) == shown(want)
+    assert all(want.filter(c).count() > 3 for c in ("is_merged", "scielo_pid_v2 IS NULL", "startswith(work_id, 'scielo:')"))
+    few = ["is_merged", "work_id", "topic"]
+    assert sorted(map(str, G.integrate(articles, all_works, 2020, 2020, columns=few).collect())) == sorted(map(str, want.select(*few).collect()))
